@@ -38,7 +38,10 @@ def register(name: str, oracle: str | None, bench: bool = False):
 
 def _load_all() -> None:
     from . import (  # noqa: F401
+        filter_plans,
         ledger_plans,
+        scalar_plans,
+        source_plans,
     )
 
 
