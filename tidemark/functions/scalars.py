@@ -30,6 +30,17 @@ def surrogate_key(*cols) -> Column:
     return F.md5(F.concat_ws("-", *parts))
 
 
+def round_half_up(col, digits: int) -> Column:
+    """``floor(x * 10^d + 0.5) / 10^d`` in plain double arithmetic.
+
+    Used for averages and ratios whose exact value can sit on a rounding tie: the
+    formula is evaluated bit-identically by any IEEE engine (the oracle writes the same
+    expression), unlike ``round``, whose tie handling differs between engines.
+    """
+    scale = float(10 ** digits)
+    return F.floor(_c(col) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
 def safe_div(num, den) -> Column:
     """``num / NULLIF(den, 0)``: null instead of an ANSI divide-by-zero error."""
     return F.try_divide(_c(num), _c(den))

@@ -50,20 +50,22 @@ def tagged_union(parts: dict[str, DataFrame], tag: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def disjunctive_join(left: DataFrame, right: DataFrame, shared: list[str],
-                     left_alts: list[str], right_key: str, left_id: list[str]) -> DataFrame:
-    """``ON l.shared = r.shared AND (l.a = r.k OR l.b = r.k)`` as equi-joins.
-
-    Each alternative becomes its own equi-join on (shared..., alt = key); the union is
-    de-duplicated on the left row id plus the right key, so a row matching through both
-    alternatives is kept once (as the OR join would).
+def or_join(left: DataFrame, right: DataFrame, shared: list[tuple[str, str]],
+            alternatives: list[tuple[str, str]], how: str = "inner") -> DataFrame:
+    """``ON shared equalities AND (alt1 OR alt2 OR ...)`` as a UNION ALL of equi-joins.
+
+    Branch *i* joins on (shared, alt_i) - a hashable key, so no nested loop - and keeps
+    only pairs for which no earlier alternative is true (``A OR B = A + (B AND NOT A)``,
+    with null treated as false).  Each matching pair therefore appears exactly once, as in
+    the OR join, without a de-duplication shuffle and without needing a row id.
     """
     outs = []
-    for alt in left_alts:
-        cond = [left[s] == right[s] for s in shared] + [left[alt] == right[right_key]]
-        outs.append(left.join(right.drop(*shared), cond, "inner"))
-    u = reduce(lambda a, b: a.unionByName(b), outs)
-    return u.dropDuplicates(left_id + [right_key])
+    for i, (la, ra) in enumerate(alternatives):
+        cond = [left[lc] == right[rc] for lc, rc in shared] + [left[la] == right[ra]]
+        for pla, pra in alternatives[:i]:
+            cond.append(~F.coalesce(left[pla] == right[pra], F.lit(False)))
+        outs.append(left.join(right, reduce(lambda a, b: a & b, cond), how))
+    return reduce(lambda a, b: a.unionByName(b), outs)
 
 
 def neighbour(df: DataFrame, group: str, pos: str, offset: int, cols: list[str],
