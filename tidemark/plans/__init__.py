@@ -38,12 +38,15 @@ def register(name: str, oracle: str | None, bench: bool = False):
 
 def _load_all() -> None:
     from . import (  # noqa: F401
+        agg_plans,
         filter_plans,
         join_plans,
         ledger_plans,
         price_plans,
         scalar_plans,
+        set_plans,
         source_plans,
+        window_plans,
     )
 
 

@@ -119,40 +119,43 @@ def win_stddev_trim(spark, sf_dir):
 
 @register("price_from_reserves", f"""
 WITH li AS (SELECT 's' || CAST(l_suppkey AS VARCHAR) AS pool, CAST(l_shipdate AS DATE) AS date,
-                   l_extendedprice * (1.0 - l_discount) AS native, l_quantity AS token,
-                   l_extendedprice / l_quantity AS unit FROM lineitem),
-d AS (SELECT pool, date, sum(native) AS dn, sum(token) AS dt FROM li GROUP BY 1, 2),
-r AS (SELECT pool, date, sum(dn) OVER (PARTITION BY pool ORDER BY date) AS base_reserve,
+                   CAST(round(l_extendedprice * (1.0 - l_discount) * 10000) AS BIGINT) AS native_units,
+                   l_quantity AS token, l_extendedprice / l_quantity AS unit FROM lineitem),
+d AS (SELECT pool, date, sum(native_units) AS dn, sum(token) AS dt FROM li GROUP BY 1, 2),
+r AS (SELECT pool, date, CAST(sum(dn) OVER (PARTITION BY pool ORDER BY date) AS DOUBLE) / 10000.0 AS base_reserve,
              sum(dt) OVER (PARTITION BY pool ORDER BY date) AS quote_reserve FROM d),
 bp AS (SELECT date, avg(unit) / 1000.0 AS base_price FROM li GROUP BY 1),
 p AS (SELECT r.*, CASE WHEN round(quote_reserve) = 0 THEN 0.0
                        ELSE base_reserve / NULLIF(quote_reserve, 0) END AS price_in_base, bp.base_price
       FROM r LEFT JOIN bp ON r.date = bp.date)
-SELECT pool, date, {_hu('base_reserve', 2)} AS base_reserve, {_hu('quote_reserve', 2)} AS quote_reserve,
-       {_hu('price_in_base', 6)} AS price_in_base, {_hu('price_in_base * base_price', 6)} AS price_usd
+SELECT pool, date, base_reserve, quote_reserve,
+       {_hu('price_in_base', 6)} AS price_in_base, {_hu('price_in_base * base_price', 4)} AS price_usd
 FROM p
 """)
 def price_from_reserves(spark, sf_dir):
     """Pool = supplier; its two reserves are the native amount received and the goods
-    quantity shipped (running sums from the ledger job); price = ratio x base price."""
+    quantity shipped (running sums from the ledger job); price = ratio x base price.
+
+    Amounts are carried in integer ten-thousandths, so reserve sums are exact whatever
+    the summation order (a ratio can sit exactly on a rounding tie)."""
     li = T(spark, sf_dir).lineitem.select("l_suppkey", "l_shipdate", "l_extendedprice", "l_discount",
                                           "l_quantity")
     pool = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
+    units = F.round(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) * 10000).cast("long")
     legs = li.select(pool.alias("address"), F.col("l_shipdate").alias("ts"),
                      F.inline(F.array(
-                         F.struct(F.lit("native").alias("asset"),
-                                  (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("amount")),
+                         F.struct(F.lit("native").alias("asset"), units.cast("double").alias("amount")),
                          F.struct(F.lit("token").alias("asset"), F.col("l_quantity").alias("amount")))))
     sums = ledger.period_sums(legs, ["address", "asset"], F.to_date("ts"))
-    bal = ledger.running_balance(sums, ["address", "asset"]).withColumnRenamed("period", "date")
+    bal = ledger.running_balance(sums, ["address", "asset"]).withColumnRenamed("period", "date") \
+                .withColumn("balance", F.when(F.col("asset") == "native", F.col("balance") / 10000.0)
+                                        .otherwise(F.col("balance")))
     base = li.groupBy(F.to_date("l_shipdate").alias("date")).agg(
         (F.avg(F.col("l_extendedprice") / F.col("l_quantity")) / 1000.0).alias("base_price"))
     out = P.reserve_price(bal, "address", "date", "asset", "native", "token", base)
-    return out.select(F.col("address").alias("pool"), "date",
-                      S.round_half_up("base_reserve", 2).alias("base_reserve"),
-                      S.round_half_up("quote_reserve", 2).alias("quote_reserve"),
+    return out.select(F.col("address").alias("pool"), "date", "base_reserve", "quote_reserve",
                       S.round_half_up("price_in_base", 6).alias("price_in_base"),
-                      S.round_half_up("price_usd", 6).alias("price_usd"))
+                      S.round_half_up("price_usd", 4).alias("price_usd"))
 
 
 @register("price_impute", f"""
