@@ -39,7 +39,9 @@ def register(name: str, oracle: str | None, bench: bool = False):
 def _load_all() -> None:
     from . import (  # noqa: F401
         agg_plans,
+        dim_plans,
         filter_plans,
+        incremental_plans,
         join_plans,
         ledger_plans,
         price_plans,
