@@ -45,6 +45,7 @@ def _load_all() -> None:
         join_plans,
         ledger_plans,
         price_plans,
+        quality_plans,
         scalar_plans,
         set_plans,
         source_plans,
