@@ -42,6 +42,7 @@ def _load_all() -> None:
         dim_plans,
         filter_plans,
         incremental_plans,
+        json_plans,
         join_plans,
         ledger_plans,
         price_plans,
