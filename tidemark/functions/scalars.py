@@ -100,3 +100,15 @@ def regexp_instr_from(col, pattern: str, start: int) -> Column:
 
 def url_host(col) -> Column:
     return F.regexp_extract(_c(col), r"^[a-zA-Z]+://([^/?#]+)", 1)
+
+
+def ntz_to_instant(col) -> Column:
+    """Zone-free timestamp -> instant (``TIMESTAMP``), reading the wall time as UTC by exact
+    microsecond arithmetic, so the session time zone plays no part (watermarks and
+    event-time windows need an instant)."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), _c(col)))
+
+
+def instant_to_ntz(col) -> Column:
+    """Inverse of :func:`ntz_to_instant`."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), F.expr(EPOCH_NTZ))

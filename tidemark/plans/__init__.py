@@ -50,6 +50,7 @@ def _load_all() -> None:
         scalar_plans,
         set_plans,
         source_plans,
+        stream_plans,
         window_plans,
     )
 
