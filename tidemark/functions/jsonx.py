@@ -3,14 +3,12 @@
 Payloads stay JSON text in storage; they are parsed once (``try_parse_json``) and typed
 columns are pulled with ``try_variant_get``.  FLATTEN maps to the ``variant_explode``
 table function through a lateral join; the recursive FLATTEN of nested inner
-transactions is a loop bounded by the protocol's nesting depth, so the plan is static
-(no action per level) and each level only carries rows that still have children.
+transactions is a recursive CTE bounded by the protocol's nesting depth; each level only
+carries rows that still have children.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,17 +44,20 @@ def explode_recursive(df: DataFrame, payload: str, id_cols: list[str], child_pat
     """Every node of a tree of nested arrays with its path text:
     root path '' and children ``dt.itx[i]``, ``dt.itx[i].dt.itx[j]`` ...
 
-    Level k+1 explodes only the level-k nodes that have children."""
-    level = df.select(*id_cols, F.lit("").alias("path"), F.col(payload).alias("node"))
-    levels = [level]
-    for _ in range(max_depth):
-        parents = level.withColumn("__kids", F.variant_get("node", child_path, "variant")) \
-                       .where(F.col("__kids").isNotNull())
-        kids = explode(parents, "__kids")
-        sep = F.when(F.col("path") == "", F.lit("")).otherwise(F.lit("."))
-        level = kids.select(*id_cols,
-                            F.concat(F.col("path"), sep, F.lit(f"{child_label}["), F.col("pos").cast("string"),
-                                     F.lit("]")).alias("path"),
-                            F.col("value").alias("node"))
-        levels.append(level)
-    return reduce(lambda a, b: a.unionByName(b), levels)
+    A recursive CTE: each iteration explodes only the nodes of the previous level that
+    have children, the engine stops at the first empty level, and ``max_depth`` (the
+    protocol bound) guards against malformed input."""
+    ids = ", ".join(f"`{c}`" for c in id_cols)
+    nids = ", ".join(f"n.`{c}`" for c in id_cols)
+    src = df.select(*id_cols, F.col(payload).alias("__payload"))
+    return df.sparkSession.sql(f"""
+        WITH RECURSIVE nodes AS (
+          SELECT {ids}, '' AS path, __payload AS node, 0 AS depth FROM {{src}}
+          UNION ALL
+          SELECT {nids},
+                 concat(n.path, CASE WHEN n.path = '' THEN '' ELSE '.' END,
+                        '{child_label}[', CAST(e.pos AS STRING), ']') AS path,
+                 e.value AS node, n.depth + 1 AS depth
+          FROM nodes n, LATERAL variant_explode(variant_get(n.node, '{child_path}', 'variant')) e
+          WHERE n.depth < {int(max_depth)})
+        SELECT {ids}, path, node FROM nodes""", src=src)
