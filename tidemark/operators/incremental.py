@@ -67,6 +67,31 @@ def merge_into_path(spark: SparkSession, target_path: str, batch: DataFrame, key
     return write_version(merge(target, batch, keys), spark, name)
 
 
+def merge_partitions(spark: SparkSession, target_path: str, batch: DataFrame, keys: list[str],
+                     part_col: str) -> None:
+    """Merge ``batch`` into a table partitioned by ``part_col``, rewriting only the
+    partitions the batch touches (cost ~ batch, not ~ table).
+
+    The partition value must follow from the key (e.g. the event date of an event id).
+    The touched values are few (one batch spans a few dates) and are collected to the
+    driver to prune the target read; the merged partitions go to a staging folder first,
+    then replace the target's partitions with a dynamic partition overwrite.  Replaying
+    the same batch gives the same table (merge is idempotent).
+    """
+    touched = [r[0] for r in batch.select(part_col).distinct().collect()]
+    staging = scratch_path(spark, "merge-staging")
+    try:
+        current = spark.read.parquet(target_path).where(F.col(part_col).isin(touched))
+        merged = merge(current, batch.select(*current.columns), keys)
+    except Exception as e:  # first batch: no target yet
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        merged = batch
+    merged.write.mode("overwrite").partitionBy(part_col).parquet(staging)
+    (spark.read.parquet(staging).write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target_path))
+
+
 def clustered_write(df: DataFrame, spark: SparkSession, name: str, partition_col: str,
                     sort_cols: list[str]) -> str:
     """``cluster_by``: range-partition on the clustering columns so each task writes a few

@@ -1,9 +1,10 @@
 """Price jobs: from trades (trim + weighted mean), from pool reserves, imputation.
 
-All statistics are windows partitioned by (asset, bucket) or group-bys on the same keys;
-Spark plans consecutive windows with the same partitioning in one exchange.  The
-previous-period weights are an equi-join on (asset, program, bucket - 1 day), not a
-window over the whole history.
+Statistics over raw trades are aggregates joined back on (asset, bucket) - partial
+aggregation before the shuffle, and AQE can split a hot bucket in the join.  Windows
+are used only after trades are aggregated per (asset, bucket, venue), where a partition
+holds at most one row per venue.  The previous-period weights are an equi-join on
+(asset, venue, day - 1), not a window over the whole history.
 """
 
 from __future__ import annotations
@@ -30,11 +31,17 @@ class TradePriceParams:
 def trim_outliers(trades: DataFrame, keys: list[str], p: TradePriceParams) -> DataFrame:
     """Drop trades beyond ``sigmas`` sample std-devs of the bucket mean (a null std-dev,
     i.e. a single trade, keeps the row), then those with abs(price - median) >
-    ``median_factor`` * median."""
-    w = Window.partitionBy(*keys)
-    x = trades.withColumn("__avg", F.avg("price").over(w)).withColumn("__sd", F.stddev_samp("price").over(w))
+    ``median_factor`` * median.
+
+    Bucket statistics are aggregates joined back on the bucket key, not windows: the
+    mean/std-dev aggregate combines partially before the shuffle, and a hot bucket in
+    the join is split by AQE's skew handling, where a window would hold it in one task.
+    """
+    stats = trades.groupBy(*keys).agg(F.avg("price").alias("__avg"), F.stddev_samp("price").alias("__sd"))
+    x = trades.join(stats, keys, "inner")
     x = x.where(F.col("__sd").isNull() | (F.abs(F.col("price") - F.col("__avg")) <= p.sigmas * F.col("__sd")))
-    x = x.withColumn("__med", F.median("price").over(w))
+    med = x.groupBy(*keys).agg(F.median("price").alias("__med"))
+    x = x.join(med, keys, "inner")
     x = x.where(~(F.abs(F.col("price") - F.col("__med")) > p.median_factor * F.col("__med")))
     return x.drop("__avg", "__sd", "__med")
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
+from ..operators.relational import broadcast_if_bounded
 from ..session import scratch_path
 from ..sources import calendar, files
 from . import register
@@ -94,8 +95,8 @@ def seed_names_join(spark, sf_dir):
         scratch_path(spark, "seed-names"))
     seed = files.read_csv_seed(spark, path, SEED_SCHEMA)
     c = t.customer.select("c_custkey", "c_name", "c_nationkey")
-    # the seed is a fixed-size list of names: a broadcast side by construction
-    j = c.join(F.broadcast(seed), c.c_nationkey == seed.ID, "left")
+    # a seed is a short hand-kept list: broadcast after a bounded count
+    j = c.join(broadcast_if_bounded(seed, 100_000), c.c_nationkey == seed.ID, "left")
     return j.select("c_custkey", "c_name", F.col("Name").alias("nation_name"))
 
 

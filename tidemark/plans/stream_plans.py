@@ -30,17 +30,19 @@ FROM events
 """)
 def stream_upsert(spark, sf_dir):
     """Two landings processed as they arrive (two availableNow runs on one checkpoint);
-    each micro-batch is merged by event id into a versioned table."""
+    each micro-batch is merged by event id, rewriting only the event dates it touches."""
     e = T(spark, sf_dir).events.select("event_id", "ts", "user_id", "event_type", "value")
     landing, ckpt = scratch_path(spark, "landing-upsert"), scratch_path(spark, "ckpt-upsert")
-    table = jobs.VersionedTable(spark, scratch_path(spark, "events-upserted"))
+    target = scratch_path(spark, "events-upserted")
     ts = F.col("ts")
+    run = lambda: jobs.upsert_stream_partitioned(
+        spark, landing, EVENT_SCHEMA, ["event_id"], "ts", F.to_date("ts"), "event_date", target, ckpt)
     _land(e.where(ts < F.lit(CUT).cast("timestamp_ntz")).withColumn("value", F.floor("value").cast("double")),
           landing)
-    jobs.upsert_stream(spark, landing, EVENT_SCHEMA, ["event_id"], "ts", table, ckpt)
+    run()
     _land(e.where(ts >= F.lit(REREAD).cast("timestamp_ntz")), landing)
-    jobs.upsert_stream(spark, landing, EVENT_SCHEMA, ["event_id"], "ts", table, ckpt)
-    return spark.read.parquet(table.current()).select("event_id", "user_id", "value")
+    run()
+    return spark.read.parquet(target).select("event_id", "user_id", "value")
 
 
 @register("stream_dedup", """

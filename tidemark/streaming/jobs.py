@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.scalars import instant_to_ntz, ntz_to_instant
-from ..operators.incremental import dedup_batch, merge
+from ..operators.incremental import dedup_batch, merge, merge_partitions
 
 
 class VersionedTable:
@@ -65,6 +65,22 @@ def upsert_stream(spark: SparkSession, source: str, schema: StructType, keys: li
     q.awaitTermination()
 
 
+def upsert_stream_partitioned(spark: SparkSession, source: str, schema: StructType, keys: list[str],
+                              order_col: str, part_col, part_name: str, target: str, checkpoint: str) -> None:
+    """Like :func:`upsert_stream`, but each micro-batch rewrites only the partitions
+    (``part_name`` = ``part_col`` expression, e.g. the event date) that it touches."""
+
+    def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
+        latest = dedup_batch(batch, keys, [F.col(order_col).desc()]).withColumn(part_name, part_col)
+        merge_partitions(spark, target, latest, keys, part_name)
+
+    q = (spark.readStream.schema(schema).parquet(source)
+         .writeStream.foreachBatch(upsert_batch)
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def dedup_stream(spark: SparkSession, source: str, schema: StructType, keys: list[str], ts: str,
                  delay: str, sink: str, checkpoint: str) -> None:
     q = (spark.readStream.schema(schema).parquet(source)
