@@ -3,8 +3,8 @@
 Statistics over raw trades are aggregates joined back on (asset, bucket) - partial
 aggregation before the shuffle, and AQE can split a hot bucket in the join.  Windows
 are used only after trades are aggregated per (asset, bucket, venue), where a partition
-holds at most one row per venue.  The previous-period weights are an equi-join on
-(asset, venue, day - 1), not a window over the whole history.
+holds at most one row per venue; the previous-day weights are a one-day RANGE frame
+per (asset, venue) on those aggregated rows.
 """
 
 from __future__ import annotations
@@ -37,11 +37,15 @@ def trim_outliers(trades: DataFrame, keys: list[str], p: TradePriceParams) -> Da
     mean/std-dev aggregate combines partially before the shuffle, and a hot bucket in
     the join is split by AQE's skew handling, where a window would hold it in one task.
     """
+    # The per-bucket tables have about one row per bucket - as large as the trades
+    # themselves - so they are joined by shuffle-hash on the bucket key, never broadcast:
+    # the trades are shuffled once, the statistics keep their aggregation partitioning,
+    # and the median join needs no further exchange.
     stats = trades.groupBy(*keys).agg(F.avg("price").alias("__avg"), F.stddev_samp("price").alias("__sd"))
-    x = trades.join(stats, keys, "inner")
+    x = trades.join(stats.hint("shuffle_hash"), keys, "inner")
     x = x.where(F.col("__sd").isNull() | (F.abs(F.col("price") - F.col("__avg")) <= p.sigmas * F.col("__sd")))
     med = x.groupBy(*keys).agg(F.median("price").alias("__med"))
-    x = x.join(med, keys, "inner")
+    x = x.join(med.hint("shuffle_hash"), keys, "inner")
     x = x.where(~(F.abs(F.col("price") - F.col("__med")) > p.median_factor * F.col("__med")))
     return x.drop("__avg", "__sd", "__med")
 
@@ -56,24 +60,34 @@ def venue_stats(trades: DataFrame, asset: str, bucket: str, venue: str) -> DataF
 def weighted_price(stats: DataFrame, asset: str, bucket: str, venue: str,
                    p: TradePriceParams) -> DataFrame:
     """Per (asset, bucket): venue prices weighted by the venue's volume share of the
-    previous day, or by its current-bucket share when the previous day is thin."""
-    day = stats.select(asset, venue, F.to_date(bucket).alias("__day"), "venue_volume", "venue_swaps") \
-               .groupBy(asset, "__day", venue).agg(F.sum("venue_volume").alias("dv"),
-                                                   F.sum("venue_swaps").alias("ds"))
-    wd = Window.partitionBy(asset, "__day")
-    day = (day.withColumn("prev_share", safe_div(F.col("dv"), F.sum("dv").over(wd)))
-              .withColumn("prev_swaps", F.sum("ds").over(wd))
-              .withColumn("prev_venues", F.count(F.lit(1)).over(wd)))
-    prev = day.select(asset, venue, F.date_add("__day", 1).alias("__day"), "prev_share", "prev_swaps",
-                      "prev_venues")
+    previous day, or by its current-bucket share when the previous day is thin.
+
+    One chain of windows over the per-(asset, bucket, venue) statistics - no self-join,
+    so the trimmed-trade subtree is computed once.  "The previous day" is a RANGE frame
+    of exactly one day on the day number, per (asset, venue): it finds the values of
+    day - 1 when the venue traded then, and nothing otherwise.
+    """
+    day = F.to_date(bucket)
+    # Every window below partitions by the asset (plus more keys), so one hash exchange
+    # on the asset serves them all and the final group-by; rows here are already
+    # aggregated per (asset, bucket, venue), i.e. bounded per asset by the calendar.
+    stats = stats.repartition(asset)
+    w_dv = Window.partitionBy(asset, "__day", venue)
+    w_d = Window.partitionBy(asset, "__day")
+    x = (stats.withColumn("__day", day).withColumn("__dayn", F.unix_date(day))
+              .withColumn("__share_d", safe_div(F.sum("venue_volume").over(w_dv), F.sum("venue_volume").over(w_d)))
+              .withColumn("__swaps_d", F.sum("venue_swaps").over(w_d))
+              .withColumn("__venues_d", F.size(F.collect_set(venue).over(w_d))))
+    w_prev = Window.partitionBy(asset, venue).orderBy("__dayn").rangeBetween(-1, -1)
+    x = (x.withColumn("prev_share", F.max("__share_d").over(w_prev))
+          .withColumn("prev_swaps", F.max("__swaps_d").over(w_prev))
+          .withColumn("prev_venues", F.max("__venues_d").over(w_prev)))
     wb = Window.partitionBy(asset, bucket)
-    cur = stats.withColumn("cur_share", safe_div(F.col("venue_volume"), F.sum("venue_volume").over(wb))) \
-               .withColumn("__day", F.to_date(bucket))
-    j = cur.join(prev, [asset, venue, "__day"], "left")
+    x = x.withColumn("cur_share", safe_div(F.col("venue_volume"), F.sum("venue_volume").over(wb)))
     thin = (F.coalesce(F.max("prev_swaps").over(wb), F.lit(0)) < p.min_prev_swaps) | \
            (F.coalesce(F.max("prev_venues").over(wb), F.lit(0)) < p.min_prev_venues)
-    j = j.withColumn("weight", F.when(thin, F.col("cur_share")).otherwise(F.col("prev_share")))
-    agg = j.groupBy(asset, bucket).agg(
+    x = x.withColumn("weight", F.when(thin, F.col("cur_share")).otherwise(F.col("prev_share")))
+    agg = x.groupBy(asset, bucket).agg(
         F.sum(F.col("venue_price") * F.col("weight")).alias("price"),
         F.sum("weight").alias("weight_sum"),
         F.min("venue_min").alias("min_price"), F.max("venue_max").alias("max_price"),
