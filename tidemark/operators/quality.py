@@ -128,9 +128,18 @@ def foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
 
 def missing_columns(spark: SparkSession, df: DataFrame, expected: list[str]) -> DataFrame:
-    """``expect_column_to_exist``: one row per expected column the schema lacks."""
-    have = set(df.columns)
-    return spark.createDataFrame([(c,) for c in expected if c not in have], "column_name string")
+    """``expect_column_to_exist``: one row per expected column the schema lacks, plus
+    columns that exist but hold no value at all (one aggregate pass over the table)."""
+    have = [c for c in expected if c in df.columns]
+    absent = spark.createDataFrame([(c, "missing") for c in expected if c not in df.columns],
+                                   "column_name string, problem string")
+    if not have:
+        return absent
+    counts = df.agg(*[F.count(c).alias(c) for c in have])
+    stacked = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in have])).alias("s"))
+    empty = stacked.where(F.col("s.n") == 0).select("s.column_name", F.lit("empty").alias("problem"))
+    return absent.unionByName(empty)
 
 
 @dataclass(frozen=True)

@@ -44,6 +44,24 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
+def count_distinct_many(df: DataFrame, group: list[str], cols: list[str],
+                        names: list[str] | None = None) -> DataFrame:
+    """Several exact ``COUNT(DISTINCT c)`` per group.
+
+    Spark plans multiple distinct aggregates with an ``Expand`` that copies every input
+    row once per distinct column before the shuffle.  Here each column is its own
+    two-phase aggregation - (group, c) is de-duplicated map-side, then counted per
+    group - and the per-group results are joined on the group key.  Nulls are not
+    counted, as in SQL.
+    """
+    names = names or [f"n_{c}" for c in cols]
+    parts = [df.where(F.col(c).isNotNull()).select(*group, c).distinct()
+               .groupBy(*group).agg(F.count(F.lit(1)).alias(n)) for c, n in zip(cols, names)]
+    groups = df.select(*group).distinct()
+    out = reduce(lambda a, b: a.join(b, group, "left"), parts, groups)
+    return out.fillna(0, subset=names)
+
+
 def tagged_union(parts: dict[str, DataFrame], tag: str) -> DataFrame:
     """UNION ALL of same-shaped inputs with a literal source column."""
     tagged = [df.withColumn(tag, F.lit(name)) for name, df in parts.items()]

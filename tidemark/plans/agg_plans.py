@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import groups as G
+from ..operators import relational as R
 from . import register
 from .common import T
 
@@ -33,10 +34,9 @@ SELECT l_returnflag, count(DISTINCT l_orderkey) AS n_orders, count(DISTINCT l_pa
 FROM lineitem GROUP BY 1
 """)
 def agg_count_distinct(spark, sf_dir):
-    li = T(spark, sf_dir).lineitem
-    return li.groupBy("l_returnflag").agg(
-        F.countDistinct("l_orderkey").alias("n_orders"), F.countDistinct("l_partkey").alias("n_parts"),
-        F.countDistinct("l_suppkey").alias("n_suppliers"))
+    li = T(spark, sf_dir).lineitem.select("l_returnflag", "l_orderkey", "l_partkey", "l_suppkey")
+    return R.count_distinct_many(li, ["l_returnflag"], ["l_orderkey", "l_partkey", "l_suppkey"],
+                                 ["n_orders", "n_parts", "n_suppliers"])
 
 
 @register("agg_conditional", """

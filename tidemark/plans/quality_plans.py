@@ -140,7 +140,8 @@ def dq_foreign_key(spark, sf_dir):
 
 @register("dq_schema", None)
 def dq_schema(spark, sf_dir):
-    """``expect_column_to_exist`` on each table: rows = expected columns that are missing."""
+    """``expect_column_to_exist`` on each table: rows = expected columns that are missing
+    or hold no value."""
     t = T(spark, sf_dir)
     return Q.missing_columns(spark, t.orders, ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"]) \
             .unionByName(Q.missing_columns(spark, t.lineitem, ["l_orderkey", "l_linenumber", "l_shipdate"]))

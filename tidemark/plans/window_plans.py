@@ -50,11 +50,13 @@ SELECT conv_id, max(CASE WHEN rn_asc = 1 THEN role END) AS first_role,
 FROM r GROUP BY 1
 """)
 def win_first_last_leg(spark, sf_dir):
+    """First and last leg of each group pivoted into one row.  The two-way ranking
+    (ROW_NUMBER asc / desc, then pick rank 1) is the same as ``min_by`` / ``max_by`` on the
+    (unique) position, which aggregates partially before the shuffle instead of sorting
+    each group in one window task."""
     c = T(spark, sf_dir).conversations.select("conv_id", "turn", "role")
-    r = (c.withColumn("rn_asc", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")))
-          .withColumn("rn_desc", F.row_number().over(Window.partitionBy("conv_id").orderBy(F.col("turn").desc()))))
-    return r.groupBy("conv_id").agg(F.max(F.when(F.col("rn_asc") == 1, F.col("role"))).alias("first_role"),
-                                    F.max(F.when(F.col("rn_desc") == 1, F.col("role"))).alias("last_role"),
+    return c.groupBy("conv_id").agg(F.min_by("role", "turn").alias("first_role"),
+                                    F.max_by("role", "turn").alias("last_role"),
                                     F.count(F.lit(1)).alias("n_turns"))
 
 
