@@ -138,7 +138,20 @@ def dq_foreign_key(spark, sf_dir):
     return Q.foreign_key(t.orders.select("o_orderkey", "o_custkey"), "o_custkey", parent, "c_custkey")
 
 
-@register("dq_schema", None)
+@register("dq_schema", """
+SELECT column_name, 'missing' AS problem FROM (VALUES ('o_orderkey'), ('o_custkey'), ('o_orderdate'), ('o_totalprice')) v(column_name)
+WHERE column_name NOT IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'orders')
+UNION ALL SELECT 'o_orderkey', 'empty' WHERE (SELECT count(o_orderkey) FROM orders) = 0
+UNION ALL SELECT 'o_custkey', 'empty' WHERE (SELECT count(o_custkey) FROM orders) = 0
+UNION ALL SELECT 'o_orderdate', 'empty' WHERE (SELECT count(o_orderdate) FROM orders) = 0
+UNION ALL SELECT 'o_totalprice', 'empty' WHERE (SELECT count(o_totalprice) FROM orders) = 0
+UNION ALL
+SELECT column_name, 'missing' AS problem FROM (VALUES ('l_orderkey'), ('l_linenumber'), ('l_shipdate')) v(column_name)
+WHERE column_name NOT IN (SELECT column_name FROM information_schema.columns WHERE table_name = 'lineitem')
+UNION ALL SELECT 'l_orderkey', 'empty' WHERE (SELECT count(l_orderkey) FROM lineitem) = 0
+UNION ALL SELECT 'l_linenumber', 'empty' WHERE (SELECT count(l_linenumber) FROM lineitem) = 0
+UNION ALL SELECT 'l_shipdate', 'empty' WHERE (SELECT count(l_shipdate) FROM lineitem) = 0
+""")
 def dq_schema(spark, sf_dir):
     """``expect_column_to_exist`` on each table: rows = expected columns that are missing
     or hold no value."""
