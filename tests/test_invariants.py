@@ -55,3 +55,16 @@ def test_stream_dedup_equals_source(spark):
 def test_upsert_is_unique_per_key(spark):
     assert Q.unique_combination(q(spark, "upsert_merge"), ["o_orderkey"]).count() == 0
     assert Q.unique_combination(q(spark, "stream_upsert"), ["event_id"]).count() == 0
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    names = ["incremental_hwm", "incremental_lookback", "fn_epoch_millis", "fn_date_trunc",
+             "tumbling_hour", "ledger_hourly_balance", "calendar_hours", "stream_tumbling_hour"]
+    before = {n: sorted(q(spark, n).collect()) for n in names}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for n in names:
+            assert sorted(q(spark, n).collect()) == before[n], n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -29,7 +29,9 @@ def new_rows(source: DataFrame, col: str, hwm, lookback: str | None = None) -> D
         return source
     bound = F.lit(hwm)
     if isinstance(hwm, _dt.datetime):
-        bound = bound.cast("timestamp_ntz")
+        # a Python datetime literal is read in the session time zone; go through text cast
+        # to the column's own type so a zone-free mark stays exactly the stored value
+        bound = F.lit(hwm.isoformat(sep=" ")).cast(source.schema[col].dataType)
     if lookback:
         bound = bound - F.expr(f"INTERVAL {lookback}")
     return source.where(F.col(col) >= bound)
