@@ -112,3 +112,9 @@ def ntz_to_instant(col) -> Column:
 def instant_to_ntz(col) -> Column:
     """Inverse of :func:`ntz_to_instant`."""
     return F.timestamp_add("MICROSECOND", F.unix_micros(_c(col)), F.expr(EPOCH_NTZ))
+
+
+def trunc_ts(unit: str, col) -> Column:
+    """``DATE_TRUNC(unit, ts)`` that stays zone-free: Spark's ``date_trunc`` returns a
+    zoned TIMESTAMP even for TIMESTAMP_NTZ input, so cast the result back."""
+    return F.date_trunc(unit, _c(col)).cast("timestamp_ntz")

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from ..sources.tables import Tables
 
 
@@ -60,7 +61,7 @@ def trades(t: Tables) -> DataFrame:
         F.col("l_orderkey").alias("tx_id"),
         F.col("l_linenumber").cast("long").alias("intra"),
         F.col("l_shipdate").alias("ts"),
-        F.date_trunc("hour", F.col("l_shipdate")).alias("hour"),
+        S.trunc_ts("hour", "l_shipdate").alias("hour"),
         F.col("l_quantity").alias("qty"),
         F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("price"),
     )

@@ -177,7 +177,7 @@ def grid_cross_join(spark, sf_dir):
     """Densify hours x tokens.  The global hour range enters as two scalar subqueries, so
     each token row expands itself: no cross join, no nested loop."""
     e = T(spark, sf_dir).events.select("event_type", "ts")
-    h = e.groupBy("event_type", F.date_trunc("hour", "ts").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    h = e.groupBy("event_type", S.trunc_ts("hour", "ts").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
     lo = h.select(F.min("hour")).scalar()
     hi = h.select(F.max("hour")).scalar()
     grid = h.select("event_type").distinct().select(

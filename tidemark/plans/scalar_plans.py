@@ -308,9 +308,9 @@ FROM events
 """)
 def fn_date_trunc(spark, sf_dir):
     e = T(spark, sf_dir).events.select("event_id", "ts")
-    return e.select("event_id", F.date_trunc("hour", "ts").alias("block_hour"),
-                    F.date_trunc("day", "ts").alias("block_day"),
-                    F.date_trunc("month", "ts").alias("block_month"))
+    return e.select("event_id", S.trunc_ts("hour", "ts").alias("block_hour"),
+                    S.trunc_ts("day", "ts").alias("block_day"),
+                    S.trunc_ts("month", "ts").alias("block_month"))
 
 
 @register("fn_calendar_parts", """

@@ -69,7 +69,7 @@ def drop_open_bucket(spark, sf_dir):
     """The newest hour is still filling: drop it with ``hour < max(hour)`` (a scalar
     subquery) instead of a global RANK() window, which would run in one task."""
     e = T(spark, sf_dir).events.select("ts", "value")
-    h = e.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(
+    h = e.groupBy(S.trunc_ts("hour", "ts").alias("hour")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("v"))
     return h.where(F.col("hour") < h.select(F.max("hour")).scalar())
 
@@ -105,7 +105,7 @@ def win_forward_fill(spark, sf_dir):
     """Dense hour grid per event type (global range), forward-filled; rows before a type's
     first value are dropped (qualify on the fill result)."""
     e = T(spark, sf_dir).events.where(F.col("value") > 15).select("event_type", "ts", "value")
-    h = e.groupBy("event_type", F.date_trunc("hour", "ts").alias("hour")).agg(F.avg("value").alias("v"))
+    h = e.groupBy("event_type", S.trunc_ts("hour", "ts").alias("hour")).agg(F.avg("value").alias("v"))
     lo, hi = h.select(F.min("hour")).scalar(), h.select(F.max("hour")).scalar()
     grid = h.select("event_type").distinct().select(
         "event_type", F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 HOUR"))).alias("hour"))
@@ -131,7 +131,7 @@ def win_forward_fill_global(spark, sf_dir):
     ev = T(spark, sf_dir).events
     cal = calendar.hours_between(calendar.data_bounds(ev, "ts"))
     h = (ev.where((F.col("event_type") == "purchase") & (F.col("value") > 20))
-           .groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.avg("value").alias("v")))
+           .groupBy(S.trunc_ts("hour", "ts").alias("hour")).agg(F.avg("value").alias("v")))
     j = cal.join(h, "hour", "left")
     f = W.forward_fill_global(j, "hour", "v", F.to_date("hour"))
     return f.select("hour", S.round_half_up("v", 4).alias("value"))

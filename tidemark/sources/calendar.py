@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import trunc_ts
+
 
 def hours_between(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    return bounds.select(F.explode(F.sequence(F.date_trunc("hour", lo), F.date_trunc("hour", hi),
+    return bounds.select(F.explode(F.sequence(trunc_ts("hour", lo), trunc_ts("hour", hi),
                                               F.expr("INTERVAL 1 HOUR"))).alias("hour"))
 
 
