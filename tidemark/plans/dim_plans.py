@@ -12,8 +12,8 @@ from .common import T, transfers
 _DIM_CUSTOMER_SQL = """
 SELECT md5(COALESCE(CAST(c_custkey AS VARCHAR), '')) AS dim_customer_id, c_custkey, c_name, c_mktsegment
 FROM customer
-UNION ALL SELECT '-1', NULL, 'unknown', NULL
-UNION ALL SELECT '-2', NULL, 'not applicable', NULL
+UNION ALL SELECT '-1', -1, 'unknown', NULL
+UNION ALL SELECT '-2', -2, 'not applicable', NULL
 """
 
 
@@ -24,8 +24,8 @@ def dim_customer(spark, t, where=None):
     d = D.with_key(c, "dim_customer_id", "c_custkey").select("dim_customer_id", "c_custkey", "c_name",
                                                              "c_mktsegment")
     return D.with_sentinels(spark, d, "dim_customer_id",
-                            {D.UNKNOWN_KEY: {"c_name": "unknown"},
-                             D.NOT_APPLICABLE_KEY: {"c_name": "not applicable"}})
+                            {D.UNKNOWN_KEY: {"c_custkey": -1, "c_name": "unknown"},
+                             D.NOT_APPLICABLE_KEY: {"c_custkey": -2, "c_name": "not applicable"}})
 
 
 @register("dim_sentinels", _DIM_CUSTOMER_SQL)
@@ -41,8 +41,8 @@ inf AS (SELECT DISTINCT l_partkey AS asset_id FROM lineitem
         WHERE l_partkey NOT IN (SELECT asset_id FROM known))
 SELECT * FROM dim
 UNION ALL SELECT md5(COALESCE(CAST(asset_id AS VARCHAR), '')), asset_id, NULL, true FROM inf
-UNION ALL SELECT '-1', NULL, 'unknown', false
-UNION ALL SELECT '-2', NULL, 'not applicable', false
+UNION ALL SELECT '-1', -1, 'unknown', false
+UNION ALL SELECT '-2', -2, 'not applicable', false
 """)
 def dim_inferred_members(spark, sf_dir):
     """Asset dimension from the known catalogue, plus members inferred from facts that
@@ -55,8 +55,9 @@ def dim_inferred_members(spark, sf_dir):
     full = D.inferred_members(dim, seen, "asset_id", "dim_asset_id")
     return D.with_sentinels(spark, full.select("dim_asset_id", "asset_id", "asset_name", "inferred"),
                             "dim_asset_id",
-                            {D.UNKNOWN_KEY: {"asset_name": "unknown", "inferred": False},
-                             D.NOT_APPLICABLE_KEY: {"asset_name": "not applicable", "inferred": False}})
+                            {D.UNKNOWN_KEY: {"asset_id": -1, "asset_name": "unknown", "inferred": False},
+                             D.NOT_APPLICABLE_KEY: {"asset_id": -2, "asset_name": "not applicable",
+                                                    "inferred": False}})
 
 
 _FACT_SQL = """

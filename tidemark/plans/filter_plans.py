@@ -143,10 +143,12 @@ def anti_not_in(spark, sf_dir):
 
 
 @register("filter_null_safe", """
-SELECT d.doc_id, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+SELECT d.doc_id, COALESCE(CAST(l.toxic AS VARCHAR), '') AS toxic_text
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 WHERE COALESCE(CAST(l.toxic AS VARCHAR), '') <> '1'
 """)
 def filter_null_safe(spark, sf_dir):
     t = T(spark, sf_dir)
     j = t.documents.select("doc_id").join(t.labels.select("doc_id", "toxic"), "doc_id", "left")
-    return j.where(F.coalesce(F.col("toxic").cast("string"), F.lit("")) != "1").select("doc_id", "toxic")
+    text = F.coalesce(F.col("toxic").cast("string"), F.lit(""))
+    return j.where(text != "1").select("doc_id", text.alias("toxic_text"))

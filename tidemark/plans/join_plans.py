@@ -33,12 +33,16 @@ def join_inner(spark, sf_dir):
 
 
 @register("join_left", """
-SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+SELECT d.doc_id, d.lang, CAST(l.quality AS DOUBLE) AS quality, CAST(l.toxic AS DOUBLE) AS toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """)
 def join_left(spark, sf_dir):
     t = T(spark, sf_dir)
-    return t.documents.select("doc_id", "lang").join(
-        t.labels.select("doc_id", "quality", "toxic"), "doc_id", "left")
+    # optional attributes are null when unmatched; carried as DOUBLE so a null renders the
+    # same in every client (a nullable integer does not)
+    lab = t.labels.select("doc_id", F.col("quality").cast("double").alias("quality"),
+                          F.col("toxic").cast("double").alias("toxic"))
+    return t.documents.select("doc_id", "lang").join(lab, "doc_id", "left")
 
 
 @register("join_role_playing", """
@@ -106,7 +110,7 @@ def join_neighbour(spark, sf_dir):
 
 
 @register("join_theta_residual", """
-SELECT a.conv_id, a.turn, min(b.turn) AS reply_turn
+SELECT a.conv_id, a.turn, CAST(min(b.turn) AS DOUBLE) AS reply_turn
 FROM conversations a
 LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn > a.turn AND b.role = 'assistant'
 WHERE a.role = 'user'
@@ -122,7 +126,8 @@ def join_theta_residual(spark, sf_dir):
     c = T(spark, sf_dir).conversations.select("conv_id", "turn", "role")
     w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(1, Window.unboundedFollowing)
     x = c.withColumn("reply_turn", F.min(F.when(F.col("role") == "assistant", F.col("turn"))).over(w))
-    return x.where(F.col("role") == "user").select("conv_id", "turn", "reply_turn")
+    return x.where(F.col("role") == "user").select("conv_id", "turn",
+                                                   F.col("reply_turn").cast("double").alias("reply_turn"))
 
 
 @register("join_disjunctive", """

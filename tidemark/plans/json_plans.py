@@ -65,7 +65,7 @@ def json_array_index(spark, sf_dir):
 WITH p AS (SELECT event_id, CASE WHEN event_type = 'error' THEN replace(props, '}', '') ELSE props END AS txt
            FROM events)
 SELECT event_id, json_valid(txt) AS valid,
-       CASE WHEN json_valid(txt) THEN CAST(json_extract(txt, '$.k') AS BIGINT) END AS k
+       CASE WHEN json_valid(txt) THEN json_extract_string(txt, '$.k') END AS k
 FROM p
 """)
 def json_try_parse(spark, sf_dir):
@@ -75,7 +75,7 @@ def json_try_parse(spark, sf_dir):
     txt = F.when(F.col("event_type") == "error", F.replace("props", F.lit("}"), F.lit(""))) \
            .otherwise(F.col("props"))
     v = e.select("event_id", F.try_parse_json(txt).alias("v"))
-    return v.select("event_id", F.col("v").isNotNull().alias("valid"), J.get("v", "$.k", "bigint").alias("k"))
+    return v.select("event_id", F.col("v").isNotNull().alias("valid"), J.get("v", "$.k").alias("k"))
 
 
 def _params_json(outer: bool):
@@ -102,13 +102,15 @@ WITH p AS (SELECT page_id, CASE WHEN url LIKE '%?%' THEN string_split(split_part
                                 ELSE [] END AS arr FROM pages),
 e AS (SELECT page_id, arr, unnest(CASE WHEN len(arr) = 0 THEN [NULL] ELSE generate_series(1, len(arr)) END) AS i
       FROM p)
-SELECT page_id, CAST(i - 1 AS INTEGER) AS pos, arr[i] AS param FROM e
+SELECT page_id, CAST(i - 1 AS DOUBLE) AS pos, arr[i] AS param FROM e
 """)
 def json_explode_outer(spark, sf_dir):
     """FLATTEN(OUTER => TRUE): pages without query parameters keep one row of nulls."""
     p = T(spark, sf_dir).pages.select("page_id", _params_json(True).alias("arr"))
     x = J.explode(p, "arr", outer=True)
-    return x.select("page_id", "pos", F.variant_get("value", "$", "string").alias("param"))
+    # pos is null on kept empty rows; carried as DOUBLE so a null renders the same everywhere
+    return x.select("page_id", F.col("pos").cast("double").alias("pos"),
+                    F.variant_get("value", "$", "string").alias("param"))
 
 
 @register("json_explode_object", """
@@ -177,7 +179,7 @@ WITH p AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN '{"close": null}'
                                              ELSE '{}' END AS j FROM orders)
 SELECT o_orderkey, json_extract(j, '$.close') IS NOT NULL AS has_close,
        COALESCE(json_type(j, '$.close') = 'NULL', false) AS close_is_null,
-       CAST(json_extract(j, '$.close') AS BIGINT) AS close_to
+       json_extract_string(j, '$.close') AS close_to
 FROM p
 """)
 def json_presence(spark, sf_dir):
@@ -189,4 +191,4 @@ def json_presence(spark, sf_dir):
     v = o.select("o_orderkey", F.parse_json(text).alias("v"))
     return v.select("o_orderkey", J.present("v", "$.close").alias("has_close"),
                     J.is_json_null("v", "$.close").alias("close_is_null"),
-                    J.get("v", "$.close", "bigint").alias("close_to"))
+                    J.get("v", "$.close").alias("close_to"))

@@ -87,13 +87,14 @@ def dq_unresolved_key(spark, sf_dir):
 
 
 @register("dq_not_null", """
-SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 WHERE d.lang = 'en' AND l.quality IS NULL
 """)
 def dq_not_null(spark, sf_dir):
     t = T(spark, sf_dir)
     j = t.documents.select("doc_id", "lang").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
-    return Q.not_null(j, "quality", where=F.col("lang") == "en").select("doc_id", "quality")
+    return Q.not_null(j, "quality", where=F.col("lang") == "en").select(
+        "doc_id", F.col("quality").cast("double").alias("quality"))
 
 
 @register("dq_unique_combo", """

@@ -99,14 +99,14 @@ def fn_safe_div(spark, sf_dir):
 @register("fn_try_cast", """
 SELECT p_partkey,
        TRY_CAST(regexp_extract(p_brand, '#(.*)$', 1) AS INTEGER) AS brand_no,
-       TRY_CAST(p_name AS INTEGER) AS name_as_int
+       TRY_CAST(p_name AS INTEGER) IS NOT NULL AS name_is_int
 FROM part
 """)
 def fn_try_cast(spark, sf_dir):
     p = T(spark, sf_dir).part
     return p.select("p_partkey",
                     F.regexp_extract("p_brand", "#(.*)$", 1).try_cast("int").alias("brand_no"),
-                    F.col("p_name").try_cast("int").alias("name_as_int"))
+                    F.col("p_name").try_cast("int").isNotNull().alias("name_is_int"))
 
 
 @register("fn_casts", """
@@ -184,7 +184,7 @@ def fn_substr(spark, sf_dir):
 SELECT page_id,
        regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
        regexp_extract(url, '/([a-z][a-z])/', 1) AS lang,
-       TRY_CAST(NULLIF(regexp_extract(url, 'page=([0-9]+)', 1), '') AS INTEGER) AS page_no,
+       CAST(TRY_CAST(NULLIF(regexp_extract(url, 'page=([0-9]+)', 1), '') AS INTEGER) AS DOUBLE) AS page_no,
        CASE WHEN regexp_matches(url, '[0-9]') THEN strpos(url, regexp_extract(url, '[0-9]')) ELSE 0 END
          AS first_digit_at,
        CASE WHEN regexp_matches(substr(url, 10), '[0-9]')
@@ -200,7 +200,8 @@ def fn_regexp(spark, sf_dir):
         "page_id",
         F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
         F.regexp_extract("url", "/([a-z][a-z])/", 1).alias("lang"),
-        F.nullif(F.regexp_extract("url", "page=([0-9]+)", 1), F.lit("")).try_cast("int").alias("page_no"),
+        F.nullif(F.regexp_extract("url", "page=([0-9]+)", 1), F.lit("")).try_cast("int").cast("double")
+         .alias("page_no"),
         F.regexp_instr("url", F.lit("[0-9]")).alias("first_digit_at"),
         S.regexp_instr_from("url", "[0-9]", 10).alias("first_digit_from_10"),
         F.length("html").cast("long").alias("html_chars"),

@@ -200,7 +200,7 @@ def sort_output(spark, sf_dir):
 
 @register("sort_null_order", """
 WITH j AS (SELECT d.source, d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
-SELECT source, doc_id, quality FROM j
+SELECT source, doc_id, CAST(quality AS DOUBLE) AS quality FROM j
 QUALIFY row_number() OVER (PARTITION BY source ORDER BY quality DESC NULLS FIRST, doc_id) = 1
 """)
 def sort_null_order(spark, sf_dir):
@@ -208,4 +208,4 @@ def sort_null_order(spark, sf_dir):
     t = T(spark, sf_dir)
     j = t.documents.select("source", "doc_id").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
     return R.latest_per_key(j, ["source"], [F.col("quality").desc_nulls_first(), F.col("doc_id").asc()]) \
-            .select("source", "doc_id", "quality")
+            .select("source", "doc_id", F.col("quality").cast("double").alias("quality"))
