@@ -10,7 +10,7 @@ from ..functions.address import encode_addresses
 from ..session import scratch_path
 from ..streaming import jobs
 from . import register
-from .common import T, transfers
+from .common import LEGS_SQL, T, transfers
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
 # Fixed parameters: first landing = events before the cut (with stale values), second
@@ -77,6 +77,33 @@ def stream_tumbling_hour(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+LEDGER_CUT = "1999-01-01 00:00:00"
+
+
+@register("stream_running_balance", f"""
+WITH {LEGS_SQL},
+daily AS (SELECT address, CAST(ts AS DATE) AS date, SUM(amount) AS delta FROM legs GROUP BY 1, 2)
+SELECT address, date, ROUND(SUM(delta) OVER (PARTITION BY address ORDER BY date), 4) AS balance
+FROM daily
+""")
+def stream_running_balance(spark, sf_dir):
+    """Ledger legs arrive in two time-ordered landings; the stream keeps a per-address
+    balance state and continues each running sum from it.  Equals the batch rebuild."""
+    from ..operators import ledger
+    legs = ledger.ledger_legs(transfers(T(spark, sf_dir)), ledger.default_legs()) \
+                 .select("address", "ts", "amount")
+    landing, ckpt = scratch_path(spark, "landing-legs"), scratch_path(spark, "ckpt-balance")
+    out, state = scratch_path(spark, "balances"), scratch_path(spark, "balance-state")
+    cut = F.lit(LEDGER_CUT).cast("timestamp_ntz")
+    schema = "address string, ts timestamp_ntz, amount double"
+    _land(legs.where(F.col("ts") < cut), landing)
+    jobs.running_balance_stream(spark, landing, schema, "address", "ts", "amount", out, state, ckpt)
+    _land(legs.where(F.col("ts") >= cut), landing)
+    jobs.running_balance_stream(spark, landing, schema, "address", "ts", "amount", out, state, ckpt)
+    return spark.read.parquet(out).select("address", F.col("period").alias("date"),
+                                          F.round("balance", 4).alias("balance"))
+
+
 @register("encode_addresses", None)
 def encode_addresses_q(spark, sf_dir):
     """Public key per address (SHA-256 of the address text stands in for the key), encoded

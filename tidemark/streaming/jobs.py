@@ -105,3 +105,50 @@ def hourly_counts_stream(spark: SparkSession, source: str, schema: StructType, t
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def running_balance_stream(spark: SparkSession, source: str, schema: StructType, key: str, ts: str,
+                           amount: str, out: str, state: str, checkpoint: str) -> None:
+    """Stateful running balance (stored balance + new deltas) over a stream of legs.
+
+    Each micro-batch is summed per (key, day) by Spark first (partial aggregation, so a
+    hot key is collapsed before any per-key step), then seeded from the state table -
+    one row per key with its latest (day, balance), not the history - and the running
+    sum continues from there.  Results and the new state are written under the batch's
+    epoch (dynamic partition overwrite), so a replayed batch replaces its own output.
+    Landings are expected in time order; a late day for a key is handled by the batch
+    re-run of ``ledger_incremental_seed`` (look-back), as in the reference.
+    """
+    from ..operators.ledger import period_sums, seeded_running_balance
+
+    def batch_fn(batch: DataFrame, epoch_id: int) -> None:
+        sums = period_sums(batch, [key], F.to_date(ts), amount)
+        try:
+            st = spark.read.parquet(state)
+            prev = st.where(F.col("epoch") < epoch_id).agg(F.max("epoch")).first()[0]
+            stored = st.where(F.col("epoch") == prev).select(key, "period", "balance") if prev is not None \
+                else None
+        except AnalysisException:
+            stored = None
+        if stored is None:
+            stored = spark.createDataFrame([], sums.select(key, "period").schema.add("balance", "double"))
+        cut = sums.agg(F.min("period")).first()[0]
+        if cut is None:
+            return
+        rolled = seeded_running_balance(stored, sums, [key], F.lit(cut)).where(F.col("period") >= F.lit(cut))
+        rolled = rolled.select(key, "period", "balance").withColumn("epoch", F.lit(epoch_id))
+        (rolled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("epoch").parquet(out))
+        latest = spark.read.parquet(out).where(F.col("epoch") == epoch_id) \
+                      .groupBy(key).agg(F.max("period").alias("period"),
+                                        F.max_by("balance", "period").alias("balance"))
+        new_state = stored.join(latest.select(key), key, "left_anti").unionByName(latest) \
+                          .withColumn("epoch", F.lit(epoch_id))
+        (new_state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                  .partitionBy("epoch").parquet(state))
+
+    q = (spark.readStream.schema(schema).parquet(source)
+         .writeStream.foreachBatch(batch_fn)
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
