@@ -248,3 +248,12 @@ def test_encode_addresses_job_distinct_keys(spark):
     out = address.encode_addresses(df, "pk", "addr")
     got = [r.addr for r in out.collect()]
     assert got.count("AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAY5HFKQ") == 2 and None in got
+
+
+def test_encode_addresses_from_base64_keys(spark):
+    import base64
+    zero = base64.b64encode(bytes(32)).decode()
+    df = spark.createDataFrame([(zero,), ("not base64!",), (base64.b64encode(b"short").decode(),)], "pk string")
+    got = sorted((r.pk, r.addr) for r in address.encode_addresses(df, "pk", "addr", kind="b64").collect())
+    assert dict(got)[zero] == "AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAY5HFKQ"
+    assert sum(a is None for _, a in got) == 2

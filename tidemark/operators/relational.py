@@ -90,10 +90,10 @@ def neighbour(df: DataFrame, group: str, pos: str, offset: int, cols: list[str],
               prefix: str) -> DataFrame:
     """Attach the columns of the row at ``pos + offset`` in the same group.
 
-    Equivalent to the self-join ``a.pos + offset = b.pos`` when positions are unique in a
-    group; done with ``lag/lead`` when rows are dense, else as an equi-join on the computed
-    key.  We use the equi-join form: it is exact for sparse positions, and both sides
-    hash-partition on (group, pos) so a hot group is spread over the position values.
+    The self-join ``a.pos + offset = b.pos`` as an equi-join on the computed key.  Unlike
+    ``lag/lead`` it is exact when positions are sparse (a missing neighbour gives nulls),
+    and both sides hash-partition on (group, pos), so a hot group is spread over its
+    position values instead of landing in one window task.
     """
     other = df.select(F.col(group).alias("__g"), (F.col(pos) - F.lit(offset)).alias("__p"),
                       *[F.col(c).alias(f"{prefix}{c}") for c in cols])

@@ -14,6 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import pricing as P
 from ..operators import relational as R
 from . import register
 from .common import T, transfers
@@ -282,10 +283,8 @@ def join_preference(spark, sf_dir):
     p1 = base.where(F.col("l_returnflag") == "N").groupBy("asset_id", "date").agg(F.avg("p").alias("p1"))
     p2 = base.where(F.col("l_returnflag") != "N").groupBy("asset_id", "date").agg(F.avg("p").alias("p2"))
     j = p1.join(p2, ["asset_id", "date"], "full")   # the key grid is the union of both providers
-    return j.select("asset_id", "date",
-                    S.round_half_up(F.when(F.col("p1").isNotNull(), F.col("p1")).otherwise(F.col("p2")), 4)
-                     .alias("price"),
-                    F.when(F.col("p1").isNotNull(), "first").otherwise("second").alias("provider"))
+    price, provider = P.preference([("first", F.col("p1")), ("second", F.col("p2"))])
+    return j.select("asset_id", "date", S.round_half_up(price, 4).alias("price"), provider.alias("provider"))
 
 
 @register("two_pass_match", """
