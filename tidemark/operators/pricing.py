@@ -26,6 +26,7 @@ class TradePriceParams:
     min_prev_swaps: int = 20
     min_prev_venues: int = 4
     renormalise: bool = False   # reference: weights are not re-normalised
+    drop_open_bucket: bool = True   # reference: the newest bucket is still filling; skip it
 
 
 def trim_outliers(trades: DataFrame, keys: list[str], p: TradePriceParams) -> DataFrame:
@@ -99,6 +100,9 @@ def weighted_price(stats: DataFrame, asset: str, bucket: str, venue: str,
 
 def price_from_trades(trades: DataFrame, asset: str = "asset_id", bucket: str = "hour",
                       venue: str = "program", params: TradePriceParams = TradePriceParams()) -> DataFrame:
+    if params.drop_open_bucket:
+        # ``bucket < (SELECT max(bucket))``: a scalar subquery, not a global RANK() window
+        trades = trades.where(F.col(bucket) < trades.select(F.max(bucket)).scalar())
     kept = trim_outliers(trades, [asset, bucket], params)
     return weighted_price(venue_stats(kept, asset, bucket, venue), asset, bucket, venue, params)
 

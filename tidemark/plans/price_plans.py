@@ -19,8 +19,9 @@ def _hu(expr: str, d: int = 4) -> str:
 def _trade_price_sql(min_swaps: int, min_venues: int) -> str:
     return f"""
 WITH {TRADES_SQL},
+closed AS (SELECT * FROM trades WHERE hour < (SELECT max(hour) FROM trades)),
 s1 AS (SELECT *, avg(price) OVER (PARTITION BY asset_id, hour) AS a,
-              stddev_samp(price) OVER (PARTITION BY asset_id, hour) AS sd FROM trades),
+              stddev_samp(price) OVER (PARTITION BY asset_id, hour) AS sd FROM closed),
 k1 AS (SELECT * FROM s1 WHERE sd IS NULL OR abs(price - a) <= 2.0 * sd),
 s2 AS (SELECT *, median(price) OVER (PARTITION BY asset_id, hour) AS med FROM k1),
 kept AS (SELECT * FROM s2 WHERE NOT (abs(price - med) > 2.0 * med)),
@@ -58,8 +59,9 @@ def _trade_price(spark, sf_dir, params):
 
 @register("price_from_trades", _trade_price_sql(20, 4), bench=True)
 def price_from_trades(spark, sf_dir):
-    """Hourly price per asset: 2-sigma trim, median rule, venue stats, previous-day volume
-    weights with the reference fallback (under 20 swaps or 4 venues -> current share)."""
+    """Hourly price per asset: newest (open) hour dropped, 2-sigma trim, median rule, venue
+    stats, previous-day volume weights with the reference fallback (under 20 swaps or 4
+    venues -> current share)."""
     return _trade_price(spark, sf_dir, P.TradePriceParams())
 
 
