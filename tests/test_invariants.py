@@ -68,3 +68,10 @@ def test_results_do_not_depend_on_session_time_zone(spark):
             assert sorted(q(spark, n).collect()) == before[n], n
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_balance_intervals_expand_to_the_dense_grid(spark):
+    iv = q(spark, "ledger_balance_intervals")
+    dense = iv.select("address", F.explode(F.sequence("valid_from", "valid_to")).alias("date"), "balance")
+    want = q(spark, "ledger_daily_balance").select("address", "date", "balance")
+    assert dense.exceptAll(want).count() == 0 and want.exceptAll(dense).count() == 0

@@ -14,7 +14,8 @@ from tidemark.plans import REGISTRY  # noqa: E402
 
 
 # Streaming forms registered beside the batch query the survey names for the row.
-ALSO = {"O147": ["stream_running_balance"], "O148": ["stream_tumbling_hour"]}
+ALSO = {"O119": ["ledger_balance_intervals"], "O147": ["stream_running_balance"],
+        "O148": ["stream_tumbling_hour"]}
 
 
 def main() -> None:
