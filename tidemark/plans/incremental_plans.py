@@ -27,15 +27,17 @@ SELECT * FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch)
 UNION ALL SELECT * FROM batch
 """)
 def upsert_merge(spark, sf_dir):
-    """Stored table (stale statuses) merged with an overlapping batch, by order key; the
-    stored and merged versions are parquet folders in the shared work dir."""
-    o = T(spark, sf_dir).orders
+    """Stored table (stale statuses, partitioned by order year) merged with an overlapping
+    batch, by order key.  Only the years the batch touches are rewritten (dynamic
+    partition overwrite through a staging folder); the year follows from the key."""
+    o = T(spark, sf_dir).orders.withColumn("o_year", F.year("o_orderdate"))
     target = o.where(F.col("o_orderdate") < _ts(ORDERS_CUT)).select(
-        "o_orderkey", F.lit("O").alias("o_orderstatus"), "o_totalprice")
-    stored = I.write_version(target, spark, "orders-stored")
+        "o_orderkey", F.lit("O").alias("o_orderstatus"), "o_totalprice", "o_year")
+    stored = I.write_version(target, spark, "orders-stored", partition_by=["o_year"])
     batch = o.where(F.col("o_orderdate") >= _ts(ORDERS_BATCH)).select("o_orderkey", "o_orderstatus",
-                                                                     "o_totalprice")
-    return spark.read.parquet(I.merge_into_path(spark, stored, batch, ["o_orderkey"], "orders-merged"))
+                                                                     "o_totalprice", "o_year")
+    I.merge_partitions(spark, stored, batch, ["o_orderkey"], "o_year")
+    return spark.read.parquet(stored).select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
 @register("upsert_composite", f"""
