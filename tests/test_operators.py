@@ -257,3 +257,9 @@ def test_encode_addresses_from_base64_keys(spark):
     got = sorted((r.pk, r.addr) for r in address.encode_addresses(df, "pk", "addr", kind="b64").collect())
     assert dict(got)[zero] == "AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAY5HFKQ"
     assert sum(a is None for _, a in got) == 2
+
+
+def test_sequence_gaps_null_partition_key_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (None, 9), ("a", 1), ("a", 5)], "g string, n long")
+    out = quality.sequence_gaps(df, ["g"], "n", bucket_width=4)
+    assert rows(out.fillna("<null>", ["g"]), "g", "prev_n", "n") == [("<null>", 2, 9), ("a", 1, 5)]

@@ -5,6 +5,8 @@ holding a third of the table) a plain ``lag`` window would put everything in one
 Instead the order column is cut into buckets: ``lag`` runs per (keys, bucket), and the
 first row of each bucket takes the last value of the nearest earlier non-empty bucket,
 found with a window over the per-bucket summary (one row per bucket - small).
+Buckets should be dense: for a sequence (block heights, intra positions) a width of
+2^16 keeps the summary at range / 65,536 rows; a sparse key needs a wider bucket.
 """
 
 from __future__ import annotations
@@ -31,8 +33,12 @@ def ordered_lag(df: DataFrame, keys: list[str], col: str, bucket: Column,
     last = F.max_by(F.struct(col, *carry_cols), F.col(col))
     summary = x.groupBy(*keys, "__b").agg(last.alias("__last"))
     wb = Window.partitionBy(*keys).orderBy("__b")
-    summary = summary.withColumn("__carry", F.lag("__last").over(wb)).select(*keys, "__b", "__carry")
-    x = x.join(summary, [*keys, "__b"], "left")
+    summary = summary.withColumn("__carry", F.lag("__last").over(wb)) \
+                     .select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__b").alias("__kb"), "__carry")
+    # null-safe on the partition keys: PARTITION BY puts null keys in one group too
+    cond = [x[k].eqNullSafe(summary[f"__k_{k}"]) for k in keys] + [x["__b"] == summary["__kb"]]
+    x = x.join(summary, reduce(lambda a, b: a & b, cond), "left") \
+         .drop(*[f"__k_{k}" for k in keys], "__kb")
     x = x.withColumn(f"prev_{col}", F.coalesce(F.col(f"prev_{col}"), F.col(f"__carry.{col}")))
     for c in carry_cols:
         x = x.withColumn(f"prev_{c}", F.when(F.col("__first"), F.col(f"__carry.{c}"))
