@@ -225,10 +225,12 @@ FROM embeddings e, (SELECT vec_id, unnest(embedding) AS v,
 WHERE e.vec_id = f.vec_id AND f.v > 0.2
 """)
 def lateral_explode_join(spark, sf_dir):
+    """``FROM e, TABLE(FLATTEN(e.embedding)) f WHERE ...``: a lateral join of each row with
+    the table function over its own array (no shuffle; the generator runs in the scan task)."""
     e = T(spark, sf_dir).embeddings.select("vec_id", "label", "embedding")
-    f = e.select("vec_id", "label", F.posexplode("embedding").alias("idx", "v"))
-    return f.where(F.col("v") > 0.2).select("vec_id", "label", F.col("idx").cast("long").alias("idx"),
-                                            F.col("v").cast("double").alias("value"))
+    f = e.lateralJoin(spark.tvf.posexplode(F.col("embedding").outer()))
+    return f.where(F.col("col") > 0.2).select("vec_id", "label", F.col("pos").cast("long").alias("idx"),
+                                              F.col("col").cast("double").alias("value"))
 
 
 @register("join_prev_day", """
