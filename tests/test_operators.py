@@ -263,3 +263,27 @@ def test_sequence_gaps_null_partition_key_is_a_group(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), (None, 9), ("a", 1), ("a", 5)], "g string, n long")
     out = quality.sequence_gaps(df, ["g"], "n", bucket_width=4)
     assert rows(out.fillna("<null>", ["g"]), "g", "prev_n", "n") == [("<null>", 2, 9), ("a", 1, 5)]
+
+
+def test_daily_balance_with_a_hot_address_matches_brute_force(spark):
+    import random
+
+    import pandas as pd
+    rnd = random.Random(7)
+    rows_ = []
+    for i in range(3000):
+        addr = "hot" if i % 3 == 0 else f"a{rnd.randrange(200)}"
+        day = dt.datetime(2024, 1, 1) + dt.timedelta(days=rnd.randrange(60), hours=rnd.randrange(24))
+        rows_.append((addr, day, float(rnd.randrange(-500, 500))))
+    legs = spark.createDataFrame(rows_, "address string, ts timestamp_ntz, amount double")
+    got = {(r.address, r.date): r.balance for r in ledger.daily_balance(legs).collect()}
+    pdf = pd.DataFrame(rows_, columns=["address", "ts", "amount"])
+    pdf["date"] = pdf.ts.dt.date
+    want = {}
+    for addr, g in pdf.groupby("address"):
+        daily = g.groupby("date").amount.sum().sort_index().cumsum()
+        days = pd.date_range(daily.index.min(), daily.index.max(), freq="D").date
+        filled = daily.reindex(days).ffill()
+        want.update({(addr, d): float(v) for d, v in filled.items()})
+    assert got.keys() == want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-6 for k in want)
