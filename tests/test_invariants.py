@@ -75,3 +75,10 @@ def test_balance_intervals_expand_to_the_dense_grid(spark):
     dense = iv.select("address", F.explode(F.sequence("valid_from", "valid_to")).alias("date"), "balance")
     want = q(spark, "ledger_daily_balance").select("address", "date", "balance")
     assert dense.exceptAll(want).count() == 0 and want.exceptAll(dense).count() == 0
+
+
+def test_encoded_addresses_are_58_chars(spark):
+    out = q(spark, "encode_addresses")
+    bad = out.where(F.col("sender_address").isNull() | (F.length("sender_address") != 58)
+                    | F.col("receiver_address").isNull() | (F.length("receiver_address") != 58))
+    assert out.count() > 0 and bad.count() == 0

@@ -45,7 +45,19 @@ def encode_b64_key(b64_keys: pd.Series) -> pd.Series:
 
 def encode_addresses(df: DataFrame, key_col: str, out_col: str, kind: str = "hex") -> DataFrame:
     """Add ``out_col`` = encoded address of ``key_col`` (hex or base64 public key)."""
+    return encode_address_columns(df, {key_col: out_col}, kind)
+
+
+def encode_address_columns(df: DataFrame, cols: dict[str, str], kind: str = "hex") -> DataFrame:
+    """Encode several key columns (e.g. sender and receiver) with one UDF pass over the
+    distinct keys of all of them, then join the text back once per column."""
     udf = encode_hex_key if kind == "hex" else encode_b64_key
-    keys = df.select(key_col).where(F.col(key_col).isNotNull()).distinct()
-    coded = keys.select(key_col, udf(F.col(key_col)).alias(out_col))
-    return df.join(coded, key_col, "left")
+    keys = None
+    for c in cols:
+        k = df.select(F.col(c).alias("__key")).where(F.col("__key").isNotNull())
+        keys = k if keys is None else keys.unionByName(k)
+    coded = keys.distinct().select("__key", udf(F.col("__key")).alias("__addr"))
+    out = df
+    for c, o in cols.items():
+        out = out.join(coded.withColumnRenamed("__key", c).withColumnRenamed("__addr", o), c, "left")
+    return out

@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from ..functions.address import encode_addresses
+from ..functions.address import encode_address_columns
 from ..session import scratch_path
 from ..streaming import jobs
 from . import register
@@ -110,6 +110,5 @@ def encode_addresses_q(spark, sf_dir):
     once per distinct key and joined back to both legs of every transfer."""
     tr = transfers(T(spark, sf_dir)).select("tx_id", "intra", "sender", "receiver")
     keyed = tr.withColumn("sender_pk", F.sha2("sender", 256)).withColumn("receiver_pk", F.sha2("receiver", 256))
-    a = encode_addresses(keyed, "sender_pk", "sender_address")
-    b = encode_addresses(a, "receiver_pk", "receiver_address")
+    b = encode_address_columns(keyed, {"sender_pk": "sender_address", "receiver_pk": "receiver_address"})
     return b.select("tx_id", "intra", "sender_address", "receiver_address")
