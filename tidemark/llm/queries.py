@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, simhash, url_rules
+from . import sharding, simhash, toxicity, url_rules
 from .common import table
 
 
@@ -24,10 +24,17 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_pages(pages, rules)
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic")
+    return toxicity.score_documents(docs, labels)
+
+
 QUERIES = {
     "op1_simhash": simhash_neardup,
     "op3_sharding": sharding_slots,
     "op8_url_filter": url_filter,
+    "op9_toxicity": toxicity_scores,
 }
 
 ORACLES = {
