@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, simhash, toxicity, url_rules
+from . import pieces, sharding, simhash, toxicity, url_rules
 from .common import table
 
 
@@ -30,9 +30,14 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, labels)
 
 
+def sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_simhash": simhash_neardup,
     "op3_sharding": sharding_slots,
+    "op5_sentencepiece": sentencepiece_dropout,
     "op8_url_filter": url_filter,
     "op9_toxicity": toxicity_scores,
 }
