@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, sharding, simhash, toxicity, url_rules
+from . import decontaminate, pieces, sharding, simhash, toxicity, url_rules
 from .common import table
 
 
@@ -30,6 +30,11 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, labels)
 
 
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -37,6 +42,7 @@ def sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": simhash_neardup,
     "op3_sharding": sharding_slots,
+    "op4_decontamination": benchmark_leaks,
     "op5_sentencepiece": sentencepiece_dropout,
     "op8_url_filter": url_filter,
     "op9_toxicity": toxicity_scores,

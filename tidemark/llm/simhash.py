@@ -29,8 +29,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from .common import materialise, text_column, words_of
+from .common import fresh, materialise, words_of
 from .components import connected_components
 
 SEED = 42
@@ -56,19 +58,27 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) for every row of ``docs``; fp is the fingerprint as a signed long.
+def with_fingerprint(docs: DataFrame, column: str, shingle: int = 4) -> DataFrame:
+    """``docs`` with the fingerprint of its text as a signed long; null and blank texts: zero."""
+    at = docs.columns.index("text")
 
-    A null or blank text has fingerprint zero.  Rows stay rows: repeated ids and null ids
-    are kept, other columns are ignored.  An empty table gives an empty table.
-    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], np.uint64)
-            yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py() or "", shingle) for t in b.column(at)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps.view(np.int64))],
+                                             names=[*b.schema.names, column])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())]))
+
+
+def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
+    """(doc_id, fp) for every row of ``docs``; fp is the fingerprint as a signed long.
 
-    cols = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column())
-    return cols.mapInArrow(run, "doc_id long, fp long")
+    Rows stay rows: repeated ids and null ids are kept, other columns are ignored.  An empty
+    table gives an empty table.
+    """
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return with_fingerprint(own, "fp", shingle).select("doc_id", "fp")
 
 
 def block_masks(blocks: int, max_bits: int) -> list[int]:
@@ -149,6 +159,14 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4, blocks: int = 7,
     return links.unionByName(met)
 
 
+def _rooted(own: DataFrame, low: Column, max_bits: int, blocks: int) -> DataFrame:
+    """(fp, low, root) for each distinct fingerprint of ``own``; low: that aggregate of its rows."""
+    nodes = materialise(own.groupBy("fp").agg(low.alias("low")), "simhash-nodes")
+    roots = connected_components(fingerprint_links(nodes.select("fp"), max_bits, blocks))
+    return (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+            .select("fp", "low", F.coalesce("root", "fp").alias("root")))
+
+
 def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
                        blocks: int = 7) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
@@ -159,16 +177,29 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4,
     of null ids alone has a null id); repeated rows stay repeated.
     """
     own = materialise(fingerprints(docs, shingle), "simhash-fp")
-    nodes = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-nodes")
-    links = fingerprint_links(nodes.select("fp"), max_bits, blocks)
-    roots = connected_components(links)
-    rooted = (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "low", F.coalesce("root", "fp").alias("root")))
+    rooted = _rooted(own, F.min("doc_id"), max_bits, blocks)
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = rooted.join(lows, "root").select("fp", "component_id")
     return own.join(named, "fp").select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int = 7) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest doc_id.
+
+    Null ids come last; of rows that share id and fingerprint any one stays.  The texts move
+    once, to meet the kept (doc_id, fingerprint) pairs; no group of rows is gathered.
+    """
+    own = materialise(fingerprints(docs, shingle), "simhash-fp")
+    rooted = _rooted(own, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")), max_bits, blocks)
+    kept = (rooted.groupBy("root").agg(F.min(F.struct("low", "fp")).alias("m"))
+            .select(F.col("m.low.doc_id").alias("id"), F.col("m.fp").alias("kept_fp")))
+    fp, nth = fresh("fp"), fresh("nth")
+    rows = with_fingerprint(docs, fp, shingle)
+    rows = rows.join(kept, F.expr(f"doc_id <=> id AND `{fp}` = kept_fp"), "left_semi")
+    once = Window.partitionBy("doc_id", fp).orderBy(F.lit(0))
+    return rows.withColumn(nth, F.row_number().over(once)).where(F.col(nth) == 1).select(*docs.columns)
+
+
 def hex_digits(column: str) -> Column:
     """A long as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
