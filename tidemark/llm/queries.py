@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, pieces, sharding, simhash, toxicity, url_rules
+from . import decontaminate, pieces, prefixhash, sharding, simhash, token_tree, toxicity, url_rules
 from .common import table
 
 
@@ -39,16 +39,27 @@ def sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixhash.fingerprint_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_tree.edited_counts(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_simhash": simhash_neardup,
     "op3_sharding": sharding_slots,
     "op4_decontamination": benchmark_leaks,
     "op5_sentencepiece": sentencepiece_dropout,
+    "op7_fingerprints": prefix_fingerprints,
     "op8_url_filter": url_filter,
     "op9_toxicity": toxicity_scores,
+    "op10_token_counts": token_counts,
 }
 
 ORACLES = {
+    "op7_fingerprints": prefix_fingerprints,
     "op8_url_filter": r"""
 WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
