@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, pieces, prefixhash, sharding, simhash, token_tree, toxicity, url_rules
+from . import decontaminate, licenses, pieces, prefixhash, sharding, simhash, token_tree, toxicity, url_rules
 from .common import table
 
 
@@ -39,6 +39,11 @@ def sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoded_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = spark.createDataFrame(licenses.TEMPLATES, "license string, text string")
+    return licenses.scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"), templates)
+
+
 def prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefixhash.fingerprint_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op3_sharding": sharding_slots,
     "op4_decontamination": benchmark_leaks,
     "op5_sentencepiece": sentencepiece_dropout,
+    "op6_licenses": license_scan,
     "op7_fingerprints": prefix_fingerprints,
     "op8_url_filter": url_filter,
     "op9_toxicity": toxicity_scores,
@@ -59,6 +65,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op6_licenses": license_scan,
     "op7_fingerprints": prefix_fingerprints,
     "op8_url_filter": r"""
 WITH cut AS (
