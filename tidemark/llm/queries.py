@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, licenses, pieces, prefixhash, sharding, simhash, token_tree, toxicity, url_rules
+from . import decontaminate, licenses, lm, pieces, prefixhash, sharding, simhash, token_tree, toxicity, url_rules
 from .common import table
 
 
@@ -13,6 +13,10 @@ def simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(docs, shingle=4, max_bits=4)
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def sharding_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return sharding.shard_documents(docs, shards=40)
@@ -54,6 +58,7 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": simhash_neardup,
+    "op2_lm_scores": lm_scores,
     "op3_sharding": sharding_slots,
     "op4_decontamination": benchmark_leaks,
     "op5_sentencepiece": sentencepiece_dropout,
