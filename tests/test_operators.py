@@ -84,6 +84,22 @@ def test_or_join_counts_each_pair_once(spark):
     assert rows(out, "g", "a", "b") == [(1, 5, 5), (1, 5, 6), (2, None, 5)]
 
 
+def test_or_join_shared_names_and_branch_conditions(spark):
+    left = spark.createDataFrame([("g", 1, 5, "in"), ("g", 2, 5, "out"), (None, 1, 5, "in")], "g string, a int, b int, kind string")
+    right = spark.createDataFrame([("g", 1, "in"), ("g", 5, "out")], "g string, k int, kind string")
+    out = relational.or_join(left, right, [("g", "g")], [
+        ("a", "k", lambda l, r: r("kind") == "in"), ("b", "k", lambda l, r: l("kind") == r("kind"))])
+    assert out.columns == ["g", "a", "b", "kind", "r_g", "k", "r_kind"]
+    assert rows(out, "a", "b", "kind", "k") == [(1, 5, "in", 1), (2, 5, "out", 5)]
+
+
+def test_count_distinct_null_group_and_null_values(spark):
+    df = spark.createDataFrame([(None, 1, "x"), (None, 2, "x"), ("a", None, "y"), ("a", None, "y"), ("b", 3, None)],
+                               "g string, v int, w string")
+    out = relational.count_distinct_many(df, ["g"], ["v", "w"])
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(None, 2, 1), ("a", 0, 1), ("b", 1, 0)], key=str)
+
+
 def test_latest_per_key_total_order(spark):
     df = spark.createDataFrame([("a", 1, 10), ("a", 2, 10), ("b", 1, None)], "k string, v int, t int")
     out = relational.latest_per_key(df, ["k"], [F.col("t").desc_nulls_first(), F.col("v").desc()])
@@ -146,16 +162,16 @@ def test_forward_fill_global_crosses_chunks(spark):
 
 def test_sequence_gaps_across_buckets_and_duplicates(spark):
     df = spark.createDataFrame([(v,) for v in [1, 2, 3, 7, 8, 8, 20, None]], "n long")
-    out = quality.sequence_gaps(df, [], "n", bucket_width=4)
+    out = quality.sequence_gaps(df, [], "n")
     assert rows(out, "prev_n", "n", "gap") == [(3, 7, 3), (8, 8, -1), (8, 20, 11)]
 
 
 def test_sequence_gaps_buffered_uses_previous_delayed(spark):
     df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (3, dt.datetime(2024, 1, 2)),
                                 (6, dt.datetime(2024, 1, 3, 12))], "n long, t timestamp_ntz")
-    out = quality.sequence_gaps_buffered(df, [], "n", "t", "15 HOURS", bucket_width=2)
+    out = quality.sequence_gaps_buffered(df, [], "n", "t", "15 HOURS")
     assert rows(out, "n", "gap") == [(3, 1), (6, 2)]
-    out2 = quality.sequence_gaps_buffered(df, [], "n", "t", "2 DAYS", bucket_width=2)
+    out2 = quality.sequence_gaps_buffered(df, [], "n", "t", "2 DAYS")
     assert rows(out2, "n") == [(3,)]
 
 
@@ -186,6 +202,96 @@ def test_merge_twice_equals_once(spark):
     assert rows(once, "k", "v") == rows(twice, "k", "v") == [(1, "old"), (2, "new"), (3, "new")]
 
 
+def merged(spark, target, stored, batch, schema="k int, v string, p string"):
+    for part in (stored, batch):
+        incremental.merge_partitions(spark, target, spark.createDataFrame(part, schema), ["k"], "p")
+    back = incremental.read_table(spark, target, spark.createDataFrame([], schema).schema)
+    return sorted(map(tuple, back.collect()), key=str)
+
+
+def test_merge_partitions_null_text_and_moved_values(spark, tmp_path):
+    stored = [(1, "a", None), (9, "b", None), (2, "c", "007"), (3, "d", "x"), (4, "e", "y"), (None, "n", "x")]
+    batch = [(9, "B", None), (2, "C", "007"), (3, "D", "y"), (5, "f", "7"), (None, "N", "x")]
+    want = [(1, "a", None), (9, "B", None), (2, "C", "007"), (3, "D", "y"), (4, "e", "y"), (5, "f", "7"), (None, "N", "x")]
+    assert merged(spark, f"{tmp_path}/t", stored, batch) == sorted(want, key=str)
+    # the whole partition x is left behind when its only keys move
+    assert merged(spark, f"{tmp_path}/u", [(1, "a", "x")], [(1, "b", "z")]) == [(1, "b", "z")]
+    assert merged(spark, f"{tmp_path}/w", [(1, "a", None)], [(2, "b", None)]) == [(1, "a", None), (2, "b", None)]
+    again = spark.createDataFrame([(1, "b", "z")], "k int, v string, p string")
+    incremental.merge_partitions(spark, f"{tmp_path}/u", again, ["k"], "p")
+    assert spark.read.parquet(f"{tmp_path}/u").count() == 1
+
+
+def test_dedup_batch_ties_do_not_depend_on_order(spark):
+    rows_ = [(1, 5, "a"), (1, 5, "b"), (1, 4, "z")]
+    for part in (rows_, rows_[::-1]):
+        df = spark.createDataFrame(part, "k int, t int, v string")
+        assert incremental.dedup_batch(df, ["k"], [F.col("t").desc()]).head().v == "b"
+
+
+def test_append_stamp_is_utc(spark, tmp_path):
+    import datetime
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        incremental.append_stamped(spark.range(1), f"{tmp_path}/a")
+        got = spark.read.parquet(f"{tmp_path}/a").head()["_inserted_timestamp"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
+    assert abs((now - got).total_seconds()) < 300
+
+
+def stream_balances(spark, base, landings):
+    from tidemark.streaming import jobs
+    schema = "key string, ts timestamp_ntz, amount double"
+    for part in landings:
+        spark.createDataFrame(part, "key string, ts string, amount double") \
+            .withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.mode("append").parquet(f"{base}/landing")
+        jobs.running_balance_stream(spark, f"{base}/landing", schema, "key", "ts", "amount", f"{base}/out", f"{base}/state", f"{base}/ckpt")
+    got = jobs.current_balances(spark, f"{base}/out", ["key"])
+    return sorted(((r.key, str(r.period), r.balance) for r in got.collect()), key=str)
+
+
+def test_stream_balance_split_days_and_late_rows(spark, tmp_path):
+    got = stream_balances(spark, tmp_path, [
+        [("a", "2024-01-01", 10.0), ("a", "2024-01-03", 100.0), ("b", "2024-01-02", 1.0)],
+        [("a", "2024-01-01", 5.0), ("b", "2024-01-05", 1.0), (None, "2024-01-02", 7.0)],
+        [("b", "2024-01-01", 2.0)],
+        [("a", "2024-01-04", 1.0)]])
+    assert got == sorted([("a", "2024-01-01", 15.0), ("a", "2024-01-03", 115.0), ("a", "2024-01-04", 116.0),
+                          ("b", "2024-01-01", 2.0), ("b", "2024-01-02", 3.0), ("b", "2024-01-05", 4.0),
+                          (None, "2024-01-02", 7.0)], key=str)
+
+
+def test_missing_columns_reads_the_schema_only(spark):
+    df = spark.createDataFrame([], "a int, b int")
+    assert rows(quality.missing_columns(spark, df, ["a", "c"]), "column_name", "problem") == [("c", "missing")]
+
+
+def test_bucket_stats_and_medians_keep_null_keys(spark):
+    from tidemark.operators import pricing
+    df = spark.createDataFrame([(None, "h", 1.0), (None, "h", 3.0), ("x", "h", 1.0), ("x", "h", 5.0), ("x", "h", 5.0), ("y", "h", None)],
+                               "asset string, hour string, price double")
+    got = pricing.with_bucket_stats(df, ["asset", "hour"], n=F.count("price"))
+    got = pricing.with_bucket_median(got, ["asset", "hour"], "price", "med")
+    assert sorted(((r.asset, r.price, r.n, r.med) for r in got.collect()), key=str) == sorted(
+        [(None, 1.0, 2, 2.0), (None, 3.0, 2, 2.0), ("x", 1.0, 3, 5.0), ("x", 5.0, 3, 5.0), ("x", 5.0, 3, 5.0), ("y", None, 0, None)],
+        key=str)
+
+
+def test_trade_price_thin_hour_uses_swap_shares(spark):
+    from tidemark.operators import pricing
+    h = [dt.datetime(2024, 1, 1, i) for i in range(6)]
+    rows_ = [(h[0], 7, 1.0, 1, 10.0, "A"), (h[0], 7, 1.0, 1, 10.0, "A"), (h[0], 7, 1.0, 1, 16.0, "B"),
+             (h[0], 7, 1.0, 1, 500.0, "B"), (h[3], 7, 2.0, 1, 30.0, "A"), (h[5], 7, 1.0, 1, 99.0, "A")]
+    df = spark.createDataFrame(rows_, "hour timestamp_ntz, from_asset long, from_amount double, to_asset long, to_amount double, venue string")
+    got = pricing.price_from_trades(df, [1], 0).orderBy("hour").collect()
+    # 500 is beyond twice the median; shares are by swaps (2 of 4 each); the newest hour is open
+    assert [(r.hour.hour, r.price, r.swaps) for r in got] == [(0, 13.0, 4), (1, 13.0, None), (2, 13.0, None), (3, 15.0, 1)]
+    assert got[0].max_price == 500.0 and got[0].volume == 4.0 * 13.0
+
+
 def test_new_rows_first_run_and_lookback(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, h),) for h in range(10)], "ts timestamp_ntz")
     assert incremental.new_rows(df, "ts", None).count() == 10
@@ -231,13 +337,33 @@ def test_json_recursive_and_presence(spark):
     doc = '{"txn":{"type":"appl"},"dt":{"itx":[{"txn":{"type":"pay"}},{"txn":{"type":"axfer"},' \
           '"dt":{"itx":[{"txn":{"type":"pay"}}]}}]},"close":null}'
     df = spark.createDataFrame([(1, doc)], "id int, j string").select("id", F.parse_json("j").alias("v"))
-    nodes = jsonx.explode_recursive(df, "v", ["id"])
-    assert sorted(r.path for r in nodes.collect()) == ["", "dt.itx[0]", "dt.itx[1]", "dt.itx[1].dt.itx[0]"]
+    nodes = jsonx.explode_recursive(df, "v", ["id"], {"kind": ("$.txn.type", "string")})
+    assert sorted((r.path, r.kind) for r in nodes.collect()) == [
+        ("", "appl"), ("dt.itx[0]", "pay"), ("dt.itx[1]", "axfer"), ("dt.itx[1].dt.itx[0]", "pay")]
     r = df.select(jsonx.present("v", "$.close").alias("p"), jsonx.is_json_null("v", "$.close").alias("n"),
                   jsonx.present("v", "$.nope").alias("q")).first()
     assert (r.p, r.n, r.q) == (True, True, False)
 
 
+def test_json_recursive_has_no_depth_or_row_bound(spark):
+    deep = '{"n":0}'
+    for i in range(1, 20):
+        deep = f'{{"n":{i},"dt":{{"itx":[{deep}]}}}}'
+    df = spark.createDataFrame([(1, deep)], "id int, j string").select("id", F.parse_json("j").alias("v"))
+    nodes = jsonx.explode_recursive(df, "v", ["id"], {"n": ("$.n", "int")}).collect()
+    assert sorted(r.n for r in nodes) == list(range(20)) and max(r.path.count("itx") for r in nodes) == 19
+    wide = spark.range(510_000).select("id", F.parse_json(F.lit('{"n":1,"dt":{"itx":[{"n":2},{"n":3}]}}')).alias("v"))
+    assert jsonx.explode_recursive(wide, "v", ["id"], {"n": ("$.n", "int")}).count() == 3 * 510_000
+
+
+def test_bad_address_keys_are_null(spark):
+    df = spark.createDataFrame([("zz",), ("00",), ("00" * 33,), ("0" * 63,), (None,)], "pk string")
+    assert [r.addr for r in address.encode_addresses(df, "pk", "addr").collect()] == [None] * 5
+    good = address.encode_one(bytes(range(32)))
+    assert address.decode_one(good) == bytes(range(32)).hex().upper()
+    assert address.decode_one(good[:-1] + "A") is None and address.decode_one("!") is None and address.decode_one(None) is None
+
+
 def test_address_encoding_known_vector():
     # public fact of the address format: the all-zero key encodes to this 58-char text
     assert address.encode_one(bytes(32)) == "AAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAAY5HFKQ"
@@ -261,7 +387,7 @@ def test_encode_addresses_from_base64_keys(spark):
 
 def test_sequence_gaps_null_partition_key_is_a_group(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), (None, 9), ("a", 1), ("a", 5)], "g string, n long")
-    out = quality.sequence_gaps(df, ["g"], "n", bucket_width=4)
+    out = quality.sequence_gaps(df, ["g"], "n")
     assert rows(out.fillna("<null>", ["g"]), "g", "prev_n", "n") == [("<null>", 2, 9), ("a", 1, 5)]
 
 

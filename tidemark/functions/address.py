@@ -17,30 +17,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..session import ship_package
+
 CHECKSUM_BYTES = 4
 
 
+KEY_BYTES = 32
+
+
 def encode_one(pk: bytes) -> str:
     chk = hashlib.new("sha512_256", pk).digest()[-CHECKSUM_BYTES:]
     return base64.b32encode(pk + chk).decode("ascii").rstrip("=")
 
 
-@F.pandas_udf(StringType())
-def encode_hex_key(hex_keys: pd.Series) -> pd.Series:
-    return hex_keys.map(lambda h: None if h is None else encode_one(bytes.fromhex(h)))
-
-
-@F.pandas_udf(StringType())
-def encode_b64_key(b64_keys: pd.Series) -> pd.Series:
-    def one(s):
-        if s is None:
+def _encoder(decode):
+    """A pandas UDF over ``decode``; text that is no key of 32 bytes gives null."""
+    def one(text):
+        if text is None:
             return None
         try:
-            raw = base64.b64decode(s, validate=True)
+            raw = decode(text)
         except ValueError:
             return None
-        return encode_one(raw) if len(raw) == 32 else None
-    return b64_keys.map(one)
+        return encode_one(raw) if len(raw) == KEY_BYTES else None
+
+    @F.pandas_udf(StringType())
+    def encode(keys: pd.Series) -> pd.Series:
+        return keys.map(one)
+    return encode
+
+
+encode_hex_key = _encoder(bytes.fromhex)
+encode_b64_key = _encoder(lambda s: base64.b64decode(s, validate=True))
+
+
+def decode_one(address: str | None) -> str | None:
+    """The key inside an address as upper-case hex; null for text that is no address."""
+    if address is None:
+        return None
+    try:
+        raw = base64.b32decode(address + "=" * (-len(address) % 8))
+    except ValueError:
+        return None
+    pk = raw[:KEY_BYTES]
+    return pk.hex().upper() if len(raw) == KEY_BYTES + CHECKSUM_BYTES and encode_one(pk) == address else None
+
+
+@F.pandas_udf(StringType())
+def decode_address(addresses: pd.Series) -> pd.Series:
+    return addresses.map(decode_one)
 
 
 def encode_addresses(df: DataFrame, key_col: str, out_col: str, kind: str = "hex") -> DataFrame:
@@ -51,6 +76,7 @@ def encode_addresses(df: DataFrame, key_col: str, out_col: str, kind: str = "hex
 def encode_address_columns(df: DataFrame, cols: dict[str, str], kind: str = "hex") -> DataFrame:
     """Encode several key columns (e.g. sender and receiver) with one UDF pass over the
     distinct keys of all of them, then join the text back once per column."""
+    ship_package(df.sparkSession)
     udf = encode_hex_key if kind == "hex" else encode_b64_key
     keys = None
     for c in cols:

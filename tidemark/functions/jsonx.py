@@ -3,8 +3,7 @@
 Payloads stay JSON text in storage; they are parsed once (``try_parse_json``) and typed
 columns are pulled with ``try_variant_get``.  FLATTEN maps to the ``variant_explode``
 table function through a lateral join; the recursive FLATTEN of nested inner
-transactions is a recursive CTE bounded by the protocol's nesting depth; each level only
-carries rows that still have children.
+transactions walks the tree level by level, each level written before the next.
 """
 
 from __future__ import annotations
@@ -12,9 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: inner transactions nest at most 8 levels deep on the reference chain.
-MAX_INNER_DEPTH = 8
-
+from ..session import scratch_path
 
 def get(v, path: str, type_: str = "string") -> Column:
     """``v:a.b::TYPE`` -> ``try_variant_get(v, '$.a.b', type)`` (null on missing or bad cast)."""
@@ -39,25 +36,34 @@ def explode(df: DataFrame, array_col: str, outer: bool = False) -> DataFrame:
     return df.lateralJoin(tvf(F.col(array_col).outer()), how="left" if outer else "inner")
 
 
-def explode_recursive(df: DataFrame, payload: str, id_cols: list[str], child_path: str = "$.dt.itx",
-                      child_label: str = "dt.itx", max_depth: int = MAX_INNER_DEPTH) -> DataFrame:
-    """Every node of a tree of nested arrays with its path text:
-    root path '' and children ``dt.itx[i]``, ``dt.itx[i].dt.itx[j]`` ...
-
-    A recursive CTE: each iteration explodes only the nodes of the previous level that
-    have children, the engine stops at the first empty level, and ``max_depth`` (the
-    protocol bound) guards against malformed input."""
-    ids = ", ".join(f"`{c}`" for c in id_cols)
-    nids = ", ".join(f"n.`{c}`" for c in id_cols)
-    src = df.select(*id_cols, F.col(payload).alias("__payload"))
-    return df.sparkSession.sql(f"""
-        WITH RECURSIVE nodes AS (
-          SELECT {ids}, '' AS path, __payload AS node, 0 AS depth FROM {{src}}
-          UNION ALL
-          SELECT {nids},
-                 concat(n.path, CASE WHEN n.path = '' THEN '' ELSE '.' END,
-                        '{child_label}[', CAST(e.pos AS STRING), ']') AS path,
-                 e.value AS node, n.depth + 1 AS depth
-          FROM nodes n, LATERAL variant_explode(variant_get(n.node, '{child_path}', 'variant')) e
-          WHERE n.depth < {int(max_depth)})
-        SELECT {ids}, path, node FROM nodes""", src=src)
+def explode_recursive(df: DataFrame, payload: str, id_cols: list[str], fields: dict[str, tuple[str, str]],
+                      child_path: str = "$.dt.itx", child_label: str = "dt.itx") -> DataFrame:
+    """Every node of a tree of nested arrays, with its path text and the named ``fields``
+    (name -> (variant path, type)): root path '' and children ``dt.itx[i]``,
+    ``dt.itx[i].dt.itx[j]`` ... at any depth.
+
+    Level by level: each level is made from the written one before and carries only the
+    typed fields and its own child arrays.  A level is written below ``spark.checkpoint.dir``
+    (a lost executor re-reads it), and the first empty level ends the walk, so neither the
+    depth nor the number of nodes is bounded.
+    """
+    def level(nodes: DataFrame) -> DataFrame:
+        typed = [get("node", p, t).alias(n) for n, (p, t) in fields.items()]
+        return nodes.select(*id_cols, "path", *typed, F.variant_get("node", child_path, "variant").alias("__kids"))
+
+    spark = df.sparkSession
+    now = level(df.select(*id_cols, F.lit("").alias("path"), F.col(payload).alias("node")))
+    columns = [*id_cols, "path", *fields]
+    out = now.select(*columns)
+    while True:
+        kids = now.where(F.col("__kids").isNotNull()).select(*id_cols, "path", "__kids")
+        below = kids.lateralJoin(spark.tvf.variant_explode(F.col("__kids").outer())).select(
+            *id_cols, F.concat("path", F.when(F.col("path") == "", "").otherwise("."),
+                               F.lit(f"{child_label}["), F.col("pos").cast("string"), F.lit("]")).alias("path"),
+            F.col("value").alias("node"))
+        path = scratch_path(spark, "flatten-level")
+        level(below).write.parquet(path)
+        now = spark.read.parquet(path)
+        if now.isEmpty():
+            return out
+        out = out.unionByName(now.select(*columns))

@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .relational import broadcast_if_bounded
 
 
 def pattern_match(legs: DataFrame, group: str, pos: str, is_call: Column,
@@ -70,11 +69,10 @@ def two_pass_match(legs: DataFrame, group: str, learn_col: str, legs_in_shape: i
 
 
 def direction_tag(transfers: DataFrame, custodians: DataFrame, sender: str = "sender",
-                  receiver: str = "receiver", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                  receiver: str = "receiver") -> DataFrame:
     """Tag transfers that touch a custodian: to a custodian = 'inbound', from one =
     'outbound' (a transfer between two custodians counts as inbound)."""
-    cust = broadcast_if_bounded(custodians.select(F.col("address").alias("__c")).distinct(),
-                                max_broadcast_rows)
+    cust = custodians.select(F.col("address").alias("__c")).where("__c IS NOT NULL").distinct()
     to_c = transfers.join(cust, F.col(receiver) == F.col("__c"), "left") \
                     .withColumnRenamed("__c", "__to")
     both = to_c.join(cust, F.col(sender) == F.col("__c"), "left").withColumnRenamed("__c", "__from")

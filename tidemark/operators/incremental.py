@@ -10,9 +10,12 @@ lineage (a lost executor re-reads parquet, not the whole chain).
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import scratch_path
 
@@ -38,17 +41,26 @@ def new_rows(source: DataFrame, col: str, hwm, lookback: str | None = None) -> D
 
 
 def dedup_batch(batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Keep the newest row per key inside one batch (the merge source must be unique)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
+    """Keep the newest row per key inside one batch (the merge source must be unique).  What
+    ``order`` leaves equal is settled by the other columns, so replays pick the same row."""
+    rest = [F.col(c).desc_nulls_last() for c in sorted(batch.columns) if c not in keys]
+    w = Window.partitionBy(*keys).orderBy(*order, *rest)
     return batch.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
+def same_key(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Null-safe equality on the key columns."""
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
 def merge(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """MERGE: matched keys take the batch row (update all columns), others are inserted.
 
     Anti join of the target against the batch keys, union the batch: both sides shuffle
-    on the key once; running it twice with the same batch gives the same table."""
-    keep = target.join(batch.select(*keys).distinct(), keys, "left_anti")
+    on the key once; running it twice with the same batch gives the same table.  Null keys
+    match null keys."""
+    seen = batch.select(*keys).distinct()
+    keep = target.join(seen, same_key(target, seen, keys), "left_anti")
     return keep.unionByName(batch.select(*target.columns))
 
 
@@ -69,29 +81,53 @@ def merge_into_path(spark: SparkSession, target_path: str, batch: DataFrame, key
     return write_version(merge(target, batch, keys), spark, name)
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The parquet table at ``path`` in its declared types (partition values included: text
+    such as ``007`` stays text); an empty frame when nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def merge_partitions(spark: SparkSession, target_path: str, batch: DataFrame, keys: list[str],
                      part_col: str) -> None:
     """Merge ``batch`` into a table partitioned by ``part_col``, rewriting only the
-    partitions the batch touches (cost ~ batch, not ~ table).
+    partitions that the batch's rows go to or that held its keys before.
 
-    The partition value must follow from the key (e.g. the event date of an event id).
-    The touched values are few (one batch spans a few dates) and are collected to the
-    driver to prune the target read; the merged partitions go to a staging folder first,
-    then replace the target's partitions with a dynamic partition overwrite.  Replaying
-    the same batch gives the same table (merge is idempotent).
+    Null keys and null partition values are values like any other.  A key whose partition
+    value changed leaves its old partition; partitions that end up empty are removed.
+    Nothing but the folders of emptied partitions comes to the driver.  The merged
+    partitions go to a staging folder first, then replace the target's by a dynamic
+    partition overwrite; replaying the same batch gives the same table.
     """
-    touched = [r[0] for r in batch.select(part_col).distinct().collect()]
+    current = read_table(spark, target_path, batch.schema)
+    seen = batch.select(*keys).distinct()
+    held = current.join(seen, same_key(current, seen, keys), "left_semi").select(part_col)
+    touched = held.unionByName(batch.select(part_col)).distinct()
+    affected = current.join(touched, current[part_col].eqNullSafe(touched[part_col]), "left_semi")
     staging = scratch_path(spark, "merge-staging")
-    try:
-        current = spark.read.parquet(target_path).where(F.col(part_col).isin(touched))
-        merged = merge(current, batch.select(*current.columns), keys)
-    except Exception as e:  # first batch: no target yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        merged = batch
-    merged.write.mode("overwrite").partitionBy(part_col).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target_path))
+    merge(affected, batch, keys).write.partitionBy(part_col).parquet(staging)
+    staged = spark.read.schema(batch.schema).parquet(staging).select(*batch.columns)
+    full = staged.select(part_col).distinct()
+    left = held.distinct().join(full, held[part_col].eqNullSafe(full[part_col]), "left_anti")
+    emptied = []
+    if not left.isEmpty():
+        files = spark.read.schema(batch.schema).parquet(target_path)
+        files = files.select(part_col, F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1).alias("folder"))
+        emptied = [r.folder for r in files.join(left, files[part_col].eqNullSafe(left[part_col]), "left_semi")
+                   .select("folder").distinct().collect()]
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(part_col).parquet(target_path))
+    for folder in [*emptied, staging]:
+        delete_folder(spark, folder)
 
 
 def clustered_write(df: DataFrame, spark: SparkSession, name: str, partition_col: str,
@@ -105,5 +141,7 @@ def clustered_write(df: DataFrame, spark: SparkSession, name: str, partition_col
 
 
 def append_stamped(df: DataFrame, path: str, stamp_col: str = "_inserted_timestamp") -> None:
-    """INSERT ... SELECT with the load time (``current_timestamp`` is fixed per query)."""
-    df.withColumn(stamp_col, F.localtimestamp()).write.mode("append").parquet(path)
+    """INSERT ... SELECT with the load time in UTC, whatever the session's time zone
+    (``current_timestamp`` is fixed per query)."""
+    utc = F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
+    df.withColumn(stamp_col, utc).write.mode("append").parquet(path)

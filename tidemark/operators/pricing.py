@@ -15,96 +15,118 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import safe_div
+from .relational import null_safe_join
 
 
 @dataclass(frozen=True)
 class TradePriceParams:
-    # Fixed values of the reference rules: 2 sigma trim, median rule abs(p - m) > 2 m,
-    # fall back to current-bucket shares under 20 swaps or under 4 venues the day before.
+    # Fixed values of the reference rules: trim of the native coin beyond 2 sigma, median
+    # rule abs(p - m) > 2 m, current-hour shares under 20 swaps or 4 venues in the hour.
     sigmas: float = 2.0
     median_factor: float = 2.0
-    min_prev_swaps: int = 20
-    min_prev_venues: int = 4
-    renormalise: bool = False   # reference: weights are not re-normalised
-    drop_open_bucket: bool = True   # reference: the newest bucket is still filling; skip it
+    min_swaps: int = 20
+    min_venues: int = 4
 
 
-def trim_outliers(trades: DataFrame, keys: list[str], p: TradePriceParams) -> DataFrame:
-    """Drop trades beyond ``sigmas`` sample std-devs of the bucket mean (a null std-dev,
-    i.e. a single trade, keeps the row), then those with abs(price - median) >
-    ``median_factor`` * median.
+def with_bucket_stats(df: DataFrame, keys: list[str], **stats: Column) -> DataFrame:
+    """``df`` with aggregates of its (keys) bucket on every row, as ``agg() OVER (PARTITION BY
+    keys)`` has them: aggregated (partially map-side) and joined back null-safe, so a hot
+    bucket is split by the skew-aware join where a window would hold it in one task."""
+    table = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    return null_safe_join(df, table.hint("shuffle_hash"), keys)
 
-    Bucket statistics are aggregates joined back on the bucket key, not windows: the
-    mean/std-dev aggregate combines partially before the shuffle, and a hot bucket in
-    the join is split by AQE's skew handling, where a window would hold it in one task.
+
+def with_bucket_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """``df`` with the exact median of its bucket: equal values are counted first (map-side
+    sums), so what one group gathers is its distinct values, not its rows."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    table = counted.groupBy(*keys).agg(F.percentile(value, 0.5, F.col("__n")).alias(out))
+    return null_safe_join(df, table.hint("shuffle_hash"), keys, "left")
+
+
+def anchored_legs(swaps: DataFrame, anchors: list, native, p: TradePriceParams) -> DataFrame:
+    """(hour, asset, price, venue, amount): a swap's legs priced in the anchor currency.
+
+    ``swaps``: hour, from_asset, from_amount, to_asset, to_amount, venue.  A leg whose other
+    side is an anchor asset (worth 1) costs the other amount over its own; a leg whose other
+    side is the native coin costs that times the native coin's hourly price, the mean of its
+    anchored prices within ``sigmas`` sample std-devs (a lone price has no std-dev and
+    stays).  An anchor asset itself costs 1.  A swap can give two legs, or none.
     """
-    # The per-bucket tables have about one row per bucket - as large as the trades
-    # themselves - so they are joined by shuffle-hash on the bucket key, never broadcast:
-    # the trades are shuffled once, the statistics keep their aggregation partitioning,
-    # and the median join needs no further exchange.
-    stats = trades.groupBy(*keys).agg(F.avg("price").alias("__avg"), F.stddev_samp("price").alias("__sd"))
-    x = trades.join(stats.hint("shuffle_hash"), keys, "inner")
-    x = x.where(F.col("__sd").isNull() | (F.abs(F.col("price") - F.col("__avg")) <= p.sigmas * F.col("__sd")))
-    med = x.groupBy(*keys).agg(F.median("price").alias("__med"))
-    x = x.join(med.hint("shuffle_hash"), keys, "inner")
-    x = x.where(~(F.abs(F.col("price") - F.col("__med")) > p.median_factor * F.col("__med")))
-    return x.drop("__avg", "__sd", "__med")
-
-
-def venue_stats(trades: DataFrame, asset: str, bucket: str, venue: str) -> DataFrame:
-    return trades.groupBy(asset, bucket, venue).agg(
-        F.avg("price").alias("venue_price"), F.sum("qty").alias("venue_volume"),
-        F.count(F.lit(1)).alias("venue_swaps"), F.min("price").alias("venue_min"),
-        F.max("price").alias("venue_max"))
-
-
-def weighted_price(stats: DataFrame, asset: str, bucket: str, venue: str,
-                   p: TradePriceParams) -> DataFrame:
-    """Per (asset, bucket): venue prices weighted by the venue's volume share of the
-    previous day, or by its current-bucket share when the previous day is thin.
-
-    One chain of windows over the per-(asset, bucket, venue) statistics - no self-join,
-    so the trimmed-trade subtree is computed once.  "The previous day" is a RANGE frame
-    of exactly one day on the day number, per (asset, venue): it finds the values of
-    day - 1 when the venue traded then, and nothing otherwise.
+    def legs(df: DataFrame, rate: Column, others: Column) -> DataFrame:
+        side = [F.struct(F.col(f"{x}_asset").alias("asset"), F.col(f"{x}_amount").alias("amount"),
+                         F.col(f"{y}_asset").alias("other"), F.col(f"{y}_amount").alias("other_amount"))
+                for x, y in (("from", "to"), ("to", "from"))]
+        both = df.select("hour", "venue", rate.alias("__rate"), F.inline(F.array(*side))).where(others)
+        price = F.when(F.col("asset").isin(*anchors), F.lit(1.0)).otherwise(
+            safe_div(F.col("other_amount") * F.col("__rate"), F.col("amount")))
+        return both.select("hour", "asset", price.alias("price"), "venue", "amount")
+
+    direct = legs(swaps, F.lit(1.0), F.col("other").isin(*anchors))
+    coin = with_bucket_stats(direct.where(F.col("asset") == native), ["hour"],
+                             __avg=F.avg("price"), __sd=F.stddev_samp("price"))
+    far = F.coalesce(F.abs(F.col("price") - F.col("__avg")) > p.sigmas * F.col("__sd"), F.lit(False))
+    rate = coin.groupBy("hour").agg(F.avg(F.when(~far, F.col("price"))).alias("__coin"))
+    crossed = null_safe_join(swaps.where((F.col("from_asset") == native) != (F.col("to_asset") == native)),
+                             rate, ["hour"], "left")
+    return direct.unionByName(legs(crossed, F.col("__coin"), F.col("other") == native))
+
+
+def venue_stats(legs: DataFrame, p: TradePriceParams) -> DataFrame:
+    """Per (hour, asset, venue): mean price, count and amount of the legs that the median rule
+    keeps; lowest, highest, count and amount of all legs."""
+    x = with_bucket_median(legs, ["asset", "hour"], "price", "__med")
+    kept = ~F.coalesce(F.abs(F.col("price") - F.col("__med")) > p.median_factor * F.col("__med"), F.lit(False))
+    return x.groupBy("hour", "asset", "venue").agg(
+        F.avg(F.when(kept, F.col("price"))).alias("kept_price"),
+        F.sum(F.when(kept, F.lit(1))).alias("kept_swaps"), F.sum(F.when(kept, F.col("amount"))).alias("kept_amount"),
+        F.min("price").alias("low"), F.max("price").alias("high"),
+        F.count(F.lit(1)).alias("swaps"), F.sum("amount").alias("amount"))
+
+
+def price_from_trades(swaps: DataFrame, anchors: list, native, params: TradePriceParams = TradePriceParams()) -> DataFrame:
+    """(hour, asset, price, min_price, max_price, volatility, swaps, volume): hourly price of
+    every asset on the dense hours from its first price to the last closed hour.
+
+    The newest hour is still filling and is left out.  Venues are weighted by their share of
+    the asset's kept volume on the day before, or, when the hour itself is thin (fewer than
+    ``min_swaps`` swaps or ``min_venues`` venues), by their share of the hour's swaps; the
+    weights are not scaled up again.  Hours without swaps carry the last price.  Rows here
+    are one per (hour, asset, venue), so the per-asset fill is bounded by the calendar.
     """
-    day = F.to_date(bucket)
-    # Every window below partitions by the asset (plus more keys), so one hash exchange
-    # on the asset serves them all and the final group-by; rows here are already
-    # aggregated per (asset, bucket, venue), i.e. bounded per asset by the calendar.
-    stats = stats.repartition(asset)
-    w_dv = Window.partitionBy(asset, "__day", venue)
-    w_d = Window.partitionBy(asset, "__day")
-    x = (stats.withColumn("__day", day).withColumn("__dayn", F.unix_date(day))
-              .withColumn("__share_d", safe_div(F.sum("venue_volume").over(w_dv), F.sum("venue_volume").over(w_d)))
-              .withColumn("__swaps_d", F.sum("venue_swaps").over(w_d))
-              .withColumn("__venues_d", F.size(F.collect_set(venue).over(w_d))))
-    w_prev = Window.partitionBy(asset, venue).orderBy("__dayn").rangeBetween(-1, -1)
-    x = (x.withColumn("prev_share", F.max("__share_d").over(w_prev))
-          .withColumn("prev_swaps", F.max("__swaps_d").over(w_prev))
-          .withColumn("prev_venues", F.max("__venues_d").over(w_prev)))
-    wb = Window.partitionBy(asset, bucket)
-    x = x.withColumn("cur_share", safe_div(F.col("venue_volume"), F.sum("venue_volume").over(wb)))
-    thin = (F.coalesce(F.max("prev_swaps").over(wb), F.lit(0)) < p.min_prev_swaps) | \
-           (F.coalesce(F.max("prev_venues").over(wb), F.lit(0)) < p.min_prev_venues)
-    x = x.withColumn("weight", F.when(thin, F.col("cur_share")).otherwise(F.col("prev_share")))
-    agg = x.groupBy(asset, bucket).agg(
-        F.sum(F.col("venue_price") * F.col("weight")).alias("price"),
-        F.sum("weight").alias("weight_sum"),
-        F.min("venue_min").alias("min_price"), F.max("venue_max").alias("max_price"),
-        F.sum("venue_swaps").alias("swaps"), F.sum("venue_volume").alias("volume"))
-    if p.renormalise:
-        agg = agg.withColumn("price", safe_div(F.col("price"), F.col("weight_sum")))
-    return agg.withColumn("volatility", F.col("max_price") - F.col("min_price")).drop("weight_sum")
-
-
-def price_from_trades(trades: DataFrame, asset: str = "asset_id", bucket: str = "hour",
-                      venue: str = "program", params: TradePriceParams = TradePriceParams()) -> DataFrame:
-    if params.drop_open_bucket:
-        # ``bucket < (SELECT max(bucket))``: a scalar subquery, not a global RANK() window
-        trades = trades.where(F.col(bucket) < trades.select(F.max(bucket)).scalar())
-    kept = trim_outliers(trades, [asset, bucket], params)
-    return weighted_price(venue_stats(kept, asset, bucket, venue), asset, bucket, venue, params)
+    good = swaps.where((F.col("from_amount") > 0) & (F.col("to_amount") > 0))
+    # ``hour < (SELECT max(hour))``: a scalar subquery, not a RANK() over the whole table
+    closed = good.where(F.col("hour") < good.select(F.max("hour")).scalar())
+    stats = venue_stats(anchored_legs(closed, anchors, native, params), params)
+    stats = stats.withColumn("day", F.to_date("hour"))
+    days = stats.groupBy("asset", "venue", "day").agg(F.sum("kept_amount").alias("day_amount"))
+    days = with_bucket_stats(days, ["asset", "day"], whole=F.sum("day_amount"))
+    days = days.select("asset", "venue", F.date_add("day", 1).alias("day"),
+                       safe_div(F.col("day_amount"), F.col("whole")).alias("day_share"))
+    x = null_safe_join(stats, days, ["asset", "venue", "day"], "left")
+    x = with_bucket_stats(x, ["hour", "asset"], hour_swaps=F.sum("swaps"), venues=F.count(F.lit(1)))
+    thin = (F.col("hour_swaps") < params.min_swaps) | (F.col("venues") < params.min_venues)
+    weight = F.when(thin, F.col("swaps") / F.col("hour_swaps")).otherwise(F.col("day_share"))
+    hourly = x.groupBy("hour", "asset").agg(
+        F.sum(F.col("kept_price") * weight).alias("price"), F.min("low").alias("min_price"),
+        F.max("high").alias("max_price"), F.sum("swaps").alias("swaps"), F.sum("amount").alias("volume"))
+    return fill_hours(hourly.withColumn("volatility", F.col("max_price") - F.col("min_price"))
+                      .withColumn("volume", F.col("volume") * F.col("price")),
+                      closed.select(F.max("hour")).scalar())
+
+
+def fill_hours(hourly: DataFrame, last: Column) -> DataFrame:
+    """One row per asset and hour from the asset's first price to ``last``: hours without one
+    take the last price before, their other columns are null.  A row that changes nothing
+    stays; each row expands itself up to the next, so there is no grid to join."""
+    w = Window.partitionBy("asset").orderBy("hour")
+    x = hourly.withColumn("filled", F.last("price", ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("next", F.lead("hour").over(w))
+    hour = F.expr("INTERVAL 1 HOUR")
+    x = x.withColumn("at", F.explode(F.sequence("hour", F.coalesce(F.col("next") - hour, last), hour)))
+    own = F.col("at") == F.col("hour")
+    kept = [F.when(own, F.col(c)).alias(c) for c in hourly.columns if c not in ("hour", "asset", "price")]
+    return x.where(F.col("filled").isNotNull()).select(F.col("at").alias("hour"), "asset", F.col("filled").alias("price"), *kept)
 
 
 def reserve_price(balances: DataFrame, pool: str, period: str, asset: str, base_asset: str,

@@ -1,12 +1,8 @@
 """Data-quality checks as queries: each returns the failing rows (no rows = pass).
 
 Gap checks need "the previous value in order".  With no partition key (or a hot key
-holding a third of the table) a plain ``lag`` window would put everything in one task.
-Instead the order column is cut into buckets: ``lag`` runs per (keys, bucket), and the
-first row of each bucket takes the last value of the nearest earlier non-empty bucket,
-found with a window over the per-bucket summary (one row per bucket - small).
-Buckets should be dense: for a sequence (block heights, intra positions) a width of
-2^16 keeps the summary at range / 65,536 rows; a sparse key needs a wider bucket.
+holding a third of the table) a plain ``lag`` window would put everything in one task;
+:func:`ordered_lag` range-partitions the rows instead and carries one row per partition.
 """
 
 from __future__ import annotations
@@ -17,62 +13,53 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .relational import broadcast_if_bounded
+from ..session import scratch_path
 
 
-def ordered_lag(df: DataFrame, keys: list[str], col: str, bucket: Column,
-                carry_cols: tuple[str, ...] = ()) -> DataFrame:
+def ordered_lag(df: DataFrame, keys: list[str], col: str, carry_cols: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``prev_<col>`` (and ``prev_<c>`` for each carry column): the values of the
-    previous row ordered by ``col`` within ``keys``, computed bucket-wise."""
-    x = df.where(F.col(col).isNotNull()).withColumn("__b", bucket)
-    w = Window.partitionBy(*keys, "__b").orderBy(col)
-    x = x.withColumn(f"prev_{col}", F.lag(col).over(w))
-    x = x.withColumn("__first", F.col(f"prev_{col}").isNull())
-    for c in carry_cols:
-        x = x.withColumn(f"prev_{c}", F.lag(c).over(w))
-    last = F.max_by(F.struct(col, *carry_cols), F.col(col))
-    summary = x.groupBy(*keys, "__b").agg(last.alias("__last"))
-    wb = Window.partitionBy(*keys).orderBy("__b")
-    summary = summary.withColumn("__carry", F.lag("__last").over(wb)) \
-                     .select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__b").alias("__kb"), "__carry")
-    # null-safe on the partition keys: PARTITION BY puts null keys in one group too
-    cond = [x[k].eqNullSafe(summary[f"__k_{k}"]) for k in keys] + [x["__b"] == summary["__kb"]]
-    x = x.join(summary, reduce(lambda a, b: a & b, cond), "left") \
-         .drop(*[f"__k_{k}" for k in keys], "__kb")
-    x = x.withColumn(f"prev_{col}", F.coalesce(F.col(f"prev_{col}"), F.col(f"__carry.{col}")))
-    for c in carry_cols:
-        x = x.withColumn(f"prev_{c}", F.when(F.col("__first"), F.col(f"__carry.{c}"))
-                                       .otherwise(F.col(f"prev_{c}")))
-    return x.drop("__b", "__carry", "__first")
-
-
-def int_bucket(col: str, width: int = 1 << 16) -> Column:
-    return F.floor(F.col(col) / F.lit(width))
-
-
-def month_bucket(col: str) -> Column:
-    return F.trunc(F.col(col).cast("date"), "month")
-
-
-def sequence_gaps(df: DataFrame, partition_by: list[str], column: str,
-                  bucket_width: int = 1 << 16) -> DataFrame:
+    previous row ordered by ``col`` within ``keys`` (null keys are one key).
+
+    Rows are range-partitioned by (keys, col), so neither a table without keys nor a hot key
+    meets in one task.  ``lag`` runs inside each partition (the window's partition is the
+    Spark partition, whose rows are already there); each partition's first row takes the
+    last row of the nearest partition before it from a summary of one row per partition.
+    """
+    x = df.where(F.col(col).isNotNull()).repartitionByRange(*[F.col(k) for k in keys], F.col(col))
+    path = scratch_path(df.sparkSession, "ordered")
+    x.withColumn("__p", F.spark_partition_id()).write.parquet(path)  # the numbers must not change on a retry
+    x = df.sparkSession.read.parquet(path)
+    row = F.struct(*keys, col, *carry_cols)
+    w = Window.partitionBy("__p").orderBy(*keys, col)
+    x = x.withColumn("__prev", F.lag(row).over(w))
+    ends = x.groupBy("__p").agg(F.max_by(row, F.struct(*keys, col)).alias("__last"))
+    ends = ends.withColumn("__before", F.lag("__last").over(Window.orderBy("__p"))).select("__p", "__before")
+    x = x.join(ends, "__p")
+    x = x.withColumn("__prev", F.coalesce("__prev", "__before"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__prev.{k}")) for k in keys], F.lit(True))
+    for c in (col, *carry_cols):
+        x = x.withColumn(f"prev_{c}", F.when(same, F.col(f"__prev.{c}")))
+    return x.drop("__p", "__prev", "__before")
+
+
+def sequence_gaps(df: DataFrame, partition_by: list[str], column: str) -> DataFrame:
     """Rows where ``column - previous column <> 1``; ``gap = column - prev - 1``."""
-    x = ordered_lag(df.select(*partition_by, column), partition_by, column, int_bucket(column, bucket_width))
+    x = ordered_lag(df.select(*partition_by, column), partition_by, column)
     prev = F.col(f"prev_{column}")
     return x.where(F.col(column) - prev != 1).select(
         *partition_by, prev, column, (F.col(column) - prev - 1).alias("gap"))
 
 
-def sequence_distinct_gaps(df: DataFrame, column: str, bucket_width: int = 1 << 16) -> DataFrame:
-    return sequence_gaps(df.select(column).distinct(), [], column, bucket_width)
+def sequence_distinct_gaps(df: DataFrame, column: str) -> DataFrame:
+    return sequence_gaps(df.select(column).distinct(), [], column)
 
 
 def sequence_gaps_buffered(df: DataFrame, partition_by: list[str], column: str, delayed_column: str,
-                           delayed_period: str, bucket_width: int = 1 << 16) -> DataFrame:
+                           delayed_period: str) -> DataFrame:
     """Gaps whose previous row's ``delayed_column`` is older than MAX(delayed) - period,
     so rows still arriving do not raise false gaps.  MAX comes from the input itself."""
     x = ordered_lag(df.select(*partition_by, column, delayed_column), partition_by, column,
-                    int_bucket(column, bucket_width), (delayed_column,))
+                    (delayed_column,))
     mx = df.select(F.max(delayed_column)).scalar()
     prev = F.col(f"prev_{column}")
     return x.where((F.col(column) - prev != 1)
@@ -84,7 +71,7 @@ def date_gaps(df: DataFrame, partition_by: list[str], column: str,
               excluded: list[tuple[str, str]] = ()) -> DataFrame:
     """Consecutive dates more than one day apart; ``gap`` = days missing.  Rows whose date
     falls in an excluded span are not reported (anti join on a generated span table)."""
-    x = ordered_lag(df.select(*partition_by, column), partition_by, column, month_bucket(column))
+    x = ordered_lag(df.select(*partition_by, column), partition_by, column)
     prev = F.col(f"prev_{column}")
     out = x.where(F.datediff(F.col(column), prev) > 1).select(
         *partition_by, prev, column, (F.datediff(F.col(column), prev) - 1).cast("long").alias("gap"))
@@ -93,7 +80,7 @@ def date_gaps(df: DataFrame, partition_by: list[str], column: str,
         spans = reduce(lambda a, b: a.unionByName(b), [
             spark.range(1).select(F.explode(F.sequence(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
                                   .alias("__d")) for lo, hi in excluded])
-        out = out.join(broadcast_if_bounded(spans, 100_000), F.col(column).cast("date") == F.col("__d"),
+        out = out.join(spans, F.col(column).cast("date") == F.col("__d"),
                        "left_anti")
     return out
 
@@ -134,18 +121,10 @@ def foreign_key(child: DataFrame, column: str, parent: DataFrame, parent_column:
 
 
 def missing_columns(spark: SparkSession, df: DataFrame, expected: list[str]) -> DataFrame:
-    """``expect_column_to_exist``: one row per expected column the schema lacks, plus
-    columns that exist but hold no value at all (one aggregate pass over the table)."""
-    have = [c for c in expected if c in df.columns]
-    absent = spark.createDataFrame([(c, "missing") for c in expected if c not in df.columns],
-                                   "column_name string, problem string")
-    if not have:
-        return absent
-    counts = df.agg(*[F.count(c).alias(c) for c in have])
-    stacked = counts.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in have])).alias("s"))
-    empty = stacked.where(F.col("s.n") == 0).select("s.column_name", F.lit("empty").alias("problem"))
-    return absent.unionByName(empty)
+    """``expect_column_to_exist``: one row per expected column that the schema lacks.  Read
+    from the schema alone."""
+    return spark.createDataFrame([(c, "missing") for c in expected if c not in df.columns],
+                                 "column_name string, problem string")
 
 
 @dataclass(frozen=True)

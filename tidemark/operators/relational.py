@@ -1,4 +1,4 @@
-"""Relational helpers used across the jobs: checked broadcast, null-aware NOT IN,
+"""Relational helpers used across the jobs: null-aware NOT IN,
 latest-per-key, tagged unions, disjunctive joins, neighbour joins.
 """
 
@@ -10,15 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``df`` only when it is proven small: a bounded count (limit + count stops
-    after ``max_rows + 1`` rows).  Otherwise return it unchanged and let AQE choose
-    (sort-merge, or broadcast at runtime under ``autoBroadcastJoinThreshold``)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def not_in(df: DataFrame, col: str, other: DataFrame, other_col: str) -> DataFrame:
     """``col NOT IN (SELECT other_col FROM other)`` with SQL null semantics.
 
@@ -46,20 +37,25 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
 
 def count_distinct_many(df: DataFrame, group: list[str], cols: list[str],
                         names: list[str] | None = None) -> DataFrame:
-    """Several exact ``COUNT(DISTINCT c)`` per group.
+    """Several exact ``COUNT(DISTINCT c)`` per group, in one scan.
 
-    Spark plans multiple distinct aggregates with an ``Expand`` that copies every input
-    row once per distinct column before the shuffle.  Here each column is its own
-    two-phase aggregation - (group, c) is de-duplicated map-side, then counted per
-    group - and the per-group results are joined on the group key.  Nulls are not
-    counted, as in SQL.
+    Every row becomes one (group, column number, value) row for each column; those are made
+    distinct (partially map-side) and counted per group.  Nulls are not counted, as in SQL;
+    a null group key is a group like any other, and groups of nulls alone count 0.
     """
     names = names or [f"n_{c}" for c in cols]
-    parts = [df.where(F.col(c).isNotNull()).select(*group, c).distinct()
-               .groupBy(*group).agg(F.count(F.lit(1)).alias(n)) for c, n in zip(cols, names)]
-    groups = df.select(*group).distinct()
-    out = reduce(lambda a, b: a.join(b, group, "left"), parts, groups)
-    return out.fillna(0, subset=names)
+    values = [F.struct(F.lit(i).alias("n"), F.col(c).cast("string").alias("v")) for i, c in enumerate(cols)]
+    rows = df.select(*group, F.explode(F.array(*values)).alias("__x")).select(*group, "__x.n", "__x.v").distinct()
+    return rows.groupBy(*group).agg(*[F.count(F.when(F.col("n") == i, F.col("v"))).alias(name)
+                                      for i, name in enumerate(names)])
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match, as rows of one ``PARTITION BY`` group do; the
+    left side's keys stay."""
+    other = right.withColumnsRenamed({k: f"__rk_{k}" for k in keys})
+    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(other[f"__rk_{k}"]) for k in keys])
+    return left.join(other, cond, how).drop(*[f"__rk_{k}" for k in keys])
 
 
 def tagged_union(parts: dict[str, DataFrame], tag: str) -> DataFrame:
@@ -69,21 +65,32 @@ def tagged_union(parts: dict[str, DataFrame], tag: str) -> DataFrame:
 
 
 def or_join(left: DataFrame, right: DataFrame, shared: list[tuple[str, str]],
-            alternatives: list[tuple[str, str]], how: str = "inner") -> DataFrame:
-    """``ON shared equalities AND (alt1 OR alt2 OR ...)`` as a UNION ALL of equi-joins.
-
-    Branch *i* joins on (shared, alt_i) - a hashable key, so no nested loop - and keeps
-    only pairs for which no earlier alternative is true (``A OR B = A + (B AND NOT A)``,
-    with null treated as false).  Each matching pair therefore appears exactly once, as in
-    the OR join, without a de-duplication shuffle and without needing a row id.
+            alternatives: list[tuple], prefix: str = "r_") -> DataFrame:
+    """``ON shared equalities AND (alt1 OR alt2 OR ...)`` as a UNION ALL of equi-joins (inner).
+
+    An alternative is (left column, right column) or (left column, right column, condition),
+    where ``condition(l, r)`` gets two functions from a column name to the left or right
+    column and returns what must hold on that branch besides the equality.  Branch *i* joins
+    on (shared, alt_i) - a hashable key, so no nested loop - and keeps only pairs for which
+    no earlier alternative is true (``A OR B = A + (B AND NOT A)``, with null treated as
+    false).  Each matching pair appears exactly once, without a de-duplication shuffle.
+    Right columns whose name the left side has too come out with ``prefix``.
     """
+    own = {c: f"__r{i}" for i, c in enumerate(right.columns)}
+    other = right.select(*[F.col(c).alias(n) for c, n in own.items()])
+    l, r = (lambda c: left[c]), (lambda c: other[own[c]])  # noqa: E741
+
+    def holds(alt) -> Column:
+        c = l(alt[0]) == r(alt[1])
+        return c & alt[2](l, r) if len(alt) > 2 else c
+
     outs = []
-    for i, (la, ra) in enumerate(alternatives):
-        cond = [left[lc] == right[rc] for lc, rc in shared] + [left[la] == right[ra]]
-        for pla, pra in alternatives[:i]:
-            cond.append(~F.coalesce(left[pla] == right[pra], F.lit(False)))
-        outs.append(left.join(right, reduce(lambda a, b: a & b, cond), how))
-    return reduce(lambda a, b: a.unionByName(b), outs)
+    for i, alt in enumerate(alternatives):
+        cond = [l(a) == r(b) for a, b in shared] + [holds(alt)]
+        cond += [~F.coalesce(holds(x), F.lit(False)) for x in alternatives[:i]]
+        outs.append(left.join(other, reduce(lambda a, b: a & b, cond), "inner"))
+    names = {n: f"{prefix}{c}" if c in left.columns else c for c, n in own.items()}
+    return reduce(lambda a, b: a.unionByName(b), outs).withColumnsRenamed(names)
 
 
 def neighbour(df: DataFrame, group: str, pos: str, offset: int, cols: list[str],

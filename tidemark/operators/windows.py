@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .relational import broadcast_if_bounded
-
-
-def forward_fill_global(df: DataFrame, order: str, value: str, chunk: Column,
-                        max_chunks: int = 1_000_000) -> DataFrame:
+def forward_fill_global(df: DataFrame, order: str, value: str, chunk: Column) -> DataFrame:
     """``LAST_VALUE(value IGNORE NULLS) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING)``
     with no partition key, without moving the whole table into one task.
 
@@ -28,7 +24,7 @@ def forward_fill_global(df: DataFrame, order: str, value: str, chunk: Column,
     w_c = Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = chunks.withColumn("__carry", F.last("__chunk_last", ignorenulls=True).over(w_c)) \
                   .select("__chunk", "__carry")
-    out = x.join(broadcast_if_bounded(carry, max_chunks), "__chunk", "left")
+    out = x.join(carry, "__chunk", "left")
     return out.withColumn(value, F.coalesce("__fill", "__carry")).drop("__chunk", "__fill", "__carry")
 
 

@@ -61,7 +61,8 @@ def agg_conditional(spark, sf_dir):
          .alias("avg_final_disc"))
     accepted = li.select("l_partkey", F.when(F.col("l_returnflag") == "A", F.col("l_orderkey")).alias("acc"))
     distinct = R.count_distinct_many(accepted, ["l_partkey"], ["acc"], ["accepted_orders"])
-    return plain.join(distinct, "l_partkey", "inner")
+    distinct = distinct.withColumnRenamed("l_partkey", "__k")
+    return plain.join(distinct, plain["l_partkey"].eqNullSafe(distinct["__k"])).drop("__k")
 
 
 @register("agg_having_shape", """

@@ -67,6 +67,31 @@ def trades(t: Tables) -> DataFrame:
     )
 
 
+#: Assets of the swap stand-in: the anchor currency and the native coin (fixed values).
+ANCHOR, NATIVE, ASSETS = 31566704, 0, 9
+
+
+def swaps(t: Tables) -> DataFrame:
+    """Order lines as swaps: goods (or the native coin) for the anchor currency or the coin."""
+    coin = F.col("l_partkey") % 5 == 0
+    return t.lineitem.select(
+        S.trunc_ts("hour", "l_shipdate").alias("hour"),
+        F.when(coin, F.lit(NATIVE)).otherwise(F.col("l_partkey") % ASSETS + 1).cast("long").alias("from_asset"),
+        F.col("l_quantity").alias("from_amount"),
+        F.when(coin | (F.col("l_linenumber") % 2 == 0), F.lit(ANCHOR)).otherwise(F.lit(NATIVE)).cast("long").alias("to_asset"),
+        (F.col("l_extendedprice") / 1000).alias("to_amount"),
+        F.concat("l_returnflag", "l_linestatus").alias("venue"))
+
+
+SWAPS_SQL = f"""
+swaps AS (
+  SELECT date_trunc('hour', l_shipdate) AS block_hour,
+         CASE WHEN l_partkey % 5 = 0 THEN {NATIVE} ELSE l_partkey % {ASSETS} + 1 END AS from_asset,
+         l_quantity AS from_amt,
+         CASE WHEN l_partkey % 5 = 0 OR l_linenumber % 2 = 0 THEN {ANCHOR} ELSE {NATIVE} END AS to_asset,
+         l_extendedprice / 1000 AS to_amt, l_returnflag || l_linestatus AS dex
+  FROM lineitem)"""
+
 TRADES_SQL = """
 trades AS (
   SELECT l_partkey AS asset_id, l_returnflag AS program, l_orderkey AS tx_id,

@@ -142,14 +142,20 @@ WITH nodes AS (
   UNION ALL
   SELECT o_orderkey, 'dt.itx[1]', 'axfer', NULL FROM orders WHERE o_orderstatus = 'F'
   UNION ALL
-  SELECT o_orderkey, 'dt.itx[1].dt.itx[0]', 'pay', CAST(o_custkey AS DOUBLE) FROM orders WHERE o_orderstatus = 'F')
+  SELECT o_orderkey, 'dt.itx[1].dt.itx[0]', 'pay', CAST(o_custkey AS DOUBLE) FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL
+  SELECT o_orderkey, substr(repeat('.dt.itx[0]', CAST(k AS INTEGER)), 2),
+         CASE WHEN k < 1 + o_custkey % 13 THEN 'axfer' ELSE 'pay' END,
+         CASE WHEN k < 1 + o_custkey % 13 THEN NULL ELSE CAST(k AS DOUBLE) END
+  FROM orders, unnest(generate_series(1, 1 + o_custkey % 13)) AS s(k) WHERE o_orderstatus = 'P')
 SELECT tx_id, path, tx_type, amount, path <> '' AS inner_tx,
        row_number() OVER (PARTITION BY tx_id ORDER BY path) - 1 AS intra_offset
 FROM nodes
 """)
 def json_explode_recursive(spark, sf_dir):
     """Outer transaction plus every nested inner transaction, numbered by path text
-    (reference order: 'dt.itx[10]' sorts before 'dt.itx[2]')."""
+    (reference order: 'dt.itx[10]' sorts before 'dt.itx[2]').  Orders of status P hold a
+    chain of 1 to 13 transactions, one inside the other."""
     o = T(spark, sf_dir).orders
 
     def txn(kind, amt=None):
@@ -163,11 +169,17 @@ def json_explode_recursive(spark, sf_dir):
     kids = F.when(F.col("o_orderstatus") == "F", F.array(leaf_pay, axfer)) \
             .when(F.col("o_orderstatus") == "O", F.array(leaf_pay))
     root = F.struct(txn("appl"), F.when(kids.isNotNull(), F.struct(kids.alias("itx"))).alias("dt"))
-    text = F.to_json(root)   # null fields are left out of the JSON text
+    links = (F.col("o_custkey") % 13).cast("int")
+    chain = F.concat(F.repeat(F.lit('{"txn":{"type":"axfer"},"dt":{"itx":['), links),
+                     F.lit('{"txn":{"type":"pay","amt":'), (links + 1).cast("string"), F.lit("}}"),
+                     F.repeat(F.lit("]}}"), links))
+    # null fields are left out of the JSON text
+    text = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit('{"txn":{"type":"appl"},"dt":{"itx":['), chain, F.lit("]}}"))) \
+            .otherwise(F.to_json(root))
     v = o.select(F.col("o_orderkey").alias("tx_id"), F.parse_json(text).alias("v"))
-    nodes = J.explode_recursive(v, "v", ["tx_id"])
-    typed = nodes.select("tx_id", "path", J.get("node", "$.txn.type").alias("tx_type"),
-                         J.get("node", "$.txn.amt", "double").alias("amount")).where(F.col("tx_type").isNotNull())
+    nodes = J.explode_recursive(v, "v", ["tx_id"], {"tx_type": ("$.txn.type", "string"),
+                                                    "amount": ("$.txn.amt", "double")})
+    typed = nodes.where(F.col("tx_type").isNotNull())
     w = Window.partitionBy("tx_id").orderBy("path")
     return typed.select("tx_id", "path", "tx_type", "amount", (F.col("path") != "").alias("inner_tx"),
                         (F.row_number().over(w) - 1).cast("long").alias("intra_offset"))

@@ -8,7 +8,7 @@ from ..functions import scalars as S
 from ..operators import ledger
 from ..operators import pricing as P
 from . import register
-from .common import TRADES_SQL, T, trades
+from .common import ANCHOR, NATIVE, SWAPS_SQL, TRADES_SQL, T, swaps, trades
 
 
 def _hu(expr: str, d: int = 4) -> str:
@@ -17,58 +17,89 @@ def _hu(expr: str, d: int = 4) -> str:
 
 
 def _trade_price_sql(min_swaps: int, min_venues: int) -> str:
+    """The reference's chain of steps, one CTE for each of its own."""
     return f"""
-WITH {TRADES_SQL},
-closed AS (SELECT * FROM trades WHERE hour < (SELECT max(hour) FROM trades)),
-s1 AS (SELECT *, avg(price) OVER (PARTITION BY asset_id, hour) AS a,
-              stddev_samp(price) OVER (PARTITION BY asset_id, hour) AS sd FROM closed),
-k1 AS (SELECT * FROM s1 WHERE sd IS NULL OR abs(price - a) <= 2.0 * sd),
-s2 AS (SELECT *, median(price) OVER (PARTITION BY asset_id, hour) AS med FROM k1),
-kept AS (SELECT * FROM s2 WHERE NOT (abs(price - med) > 2.0 * med)),
-vs AS (SELECT asset_id, hour, program, avg(price) AS venue_price, sum(qty) AS venue_volume,
-              count(*) AS venue_swaps, min(price) AS venue_min, max(price) AS venue_max
-       FROM kept GROUP BY 1, 2, 3),
-dayv AS (SELECT asset_id, CAST(hour AS DATE) AS d, program, sum(venue_volume) AS dv,
-                sum(venue_swaps) AS ds FROM vs GROUP BY 1, 2, 3),
-dayw AS (SELECT asset_id, d, program, dv / NULLIF(sum(dv) OVER (PARTITION BY asset_id, d), 0) AS prev_share,
-                sum(ds) OVER (PARTITION BY asset_id, d) AS prev_swaps,
-                count(*) OVER (PARTITION BY asset_id, d) AS prev_venues FROM dayv),
-cur AS (SELECT vs.*, venue_volume / NULLIF(sum(venue_volume) OVER (PARTITION BY asset_id, hour), 0) AS cur_share,
-               CAST(hour AS DATE) AS d FROM vs),
-j AS (SELECT cur.*, p.prev_share, p.prev_swaps, p.prev_venues FROM cur LEFT JOIN dayw p
-        ON cur.asset_id = p.asset_id AND cur.program = p.program AND cur.d = p.d + 1),
-jw AS (SELECT *, CASE WHEN COALESCE(max(prev_swaps) OVER (PARTITION BY asset_id, hour), 0) < {min_swaps}
-                        OR COALESCE(max(prev_venues) OVER (PARTITION BY asset_id, hour), 0) < {min_venues}
-                      THEN cur_share ELSE prev_share END AS weight FROM j)
-SELECT asset_id, hour, {_hu('sum(venue_price * weight)')} AS price,
-       {_hu('min(venue_min)')} AS min_price, {_hu('max(venue_max)')} AS max_price,
-       {_hu('max(venue_max) - min(venue_min)')} AS volatility,
-       CAST(sum(venue_swaps) AS BIGINT) AS swaps, sum(venue_volume) AS volume
-FROM jw GROUP BY 1, 2
+WITH {SWAPS_SQL},
+good AS (SELECT * FROM swaps WHERE from_amt > 0 AND to_amt > 0),
+closed AS (SELECT * FROM good QUALIFY rank() OVER (ORDER BY block_hour DESC) <> 1),
+legs AS (
+  SELECT block_hour, dex, from_asset AS asset, from_amt AS amt, to_asset AS other, to_amt AS other_amt FROM closed
+  UNION ALL SELECT block_hour, dex, to_asset, to_amt, from_asset, from_amt FROM closed),
+direct AS (
+  SELECT block_hour, asset, CASE WHEN asset = {ANCHOR} THEN 1 ELSE other_amt / NULLIF(amt, 0) END AS price, dex, amt
+  FROM legs WHERE other = {ANCHOR}),
+coin AS (
+  SELECT block_hour, price, stddev(price) OVER (PARTITION BY block_hour) AS sd,
+         avg(price) OVER (PARTITION BY block_hour) AS mean
+  FROM direct WHERE asset = {NATIVE}),
+coin_hour AS (
+  SELECT block_hour, avg(CASE WHEN CASE WHEN abs(price - mean) > sd * 2 THEN 1 ELSE 0 END = 0 THEN price END) AS price
+  FROM coin GROUP BY 1),
+crossed AS (
+  SELECT l.block_hour, l.asset,
+         CASE WHEN l.asset = {ANCHOR} THEN 1 ELSE l.other_amt * c.price / NULLIF(l.amt, 0) END AS price, l.dex, l.amt
+  FROM legs l LEFT JOIN coin_hour c ON l.block_hour = c.block_hour
+  WHERE l.other = {NATIVE} AND l.asset <> {NATIVE}),
+combo AS (SELECT * FROM direct UNION ALL SELECT * FROM crossed),
+flagged AS (
+  SELECT *, CASE WHEN abs(price - median(price) OVER (PARTITION BY asset, block_hour))
+                      > median(price) OVER (PARTITION BY asset, block_hour) * 2 THEN 1 ELSE 0 END AS excluded
+  FROM combo),
+final_dex AS (
+  SELECT block_hour, CAST(block_hour AS DATE) AS block_date, asset, dex,
+         avg(CASE WHEN excluded = 0 THEN price END) AS avg_price, min(price) AS low, max(price) AS high,
+         sum(CASE WHEN excluded = 0 THEN amt END) AS kept_amt, count(*) AS swaps, sum(amt) AS amt
+  FROM flagged GROUP BY 1, 2, 3, 4),
+weights AS (
+  SELECT dex, asset, block_date, kept / sum(kept) OVER (PARTITION BY asset, block_date) AS vol_weight
+  FROM (SELECT dex, asset, block_date, sum(kept_amt) AS kept FROM final_dex GROUP BY 1, 2, 3)),
+thin AS (
+  SELECT block_hour, asset FROM final_dex GROUP BY 1, 2
+  HAVING sum(swaps) < {min_swaps} OR count(DISTINCT dex) < {min_venues}),
+shares AS (SELECT *, swaps * 1.00 / sum(swaps) OVER (PARTITION BY block_hour, asset) AS hour_weight FROM final_dex),
+priced AS (
+  SELECT a.block_hour, a.asset, min(low) AS low, max(high) AS high, sum(swaps) AS swaps, sum(amt) AS volume,
+         sum(avg_price * CASE WHEN c.asset IS NULL THEN vol_weight ELSE hour_weight END) AS price
+  FROM shares a
+  LEFT JOIN weights b ON a.asset = b.asset AND a.dex = b.dex AND a.block_date - 1 = b.block_date
+  LEFT JOIN thin c ON a.asset = c.asset AND a.block_hour = c.block_hour
+  GROUP BY a.block_hour, a.asset),
+grid AS (
+  SELECT h.hour, a.asset
+  FROM (SELECT unnest(generate_series((SELECT min(block_hour) FROM closed), (SELECT max(block_hour) FROM closed),
+                                      INTERVAL 1 HOUR)) AS hour) h
+  CROSS JOIN (SELECT DISTINCT asset FROM priced) a),
+filled AS (
+  SELECT g.hour, g.asset, LAST_VALUE(p.price IGNORE NULLS) OVER (
+           PARTITION BY g.asset ORDER BY g.hour ROWS UNBOUNDED PRECEDING) AS price_usd,
+         p.low, p.high, p.swaps, p.volume * p.price AS volume
+  FROM grid g LEFT JOIN priced p ON g.hour = p.block_hour AND g.asset = p.asset)
+SELECT asset AS asset_id, hour, {_hu('price_usd')} AS price, {_hu('low')} AS min_price, {_hu('high')} AS max_price,
+       {_hu('high - low')} AS volatility, CAST(swaps AS DOUBLE) AS swaps, {_hu('volume', 2)} AS volume
+FROM filled WHERE price_usd IS NOT NULL
 """
 
 
 def _trade_price(spark, sf_dir, params):
-    out = P.price_from_trades(trades(T(spark, sf_dir)), params=params)
-    return out.select("asset_id", "hour", S.round_half_up("price", 4).alias("price"),
+    out = P.price_from_trades(swaps(T(spark, sf_dir)), [ANCHOR], NATIVE, params)
+    return out.select(F.col("asset").alias("asset_id"), "hour", S.round_half_up("price", 4).alias("price"),
                       S.round_half_up("min_price", 4).alias("min_price"),
                       S.round_half_up("max_price", 4).alias("max_price"),
                       S.round_half_up("volatility", 4).alias("volatility"),
-                      F.col("swaps").cast("long").alias("swaps"), "volume")
+                      F.col("swaps").cast("double").alias("swaps"), S.round_half_up("volume", 2).alias("volume"))
 
 
-@register("price_from_trades", _trade_price_sql(20, 4), bench=True)
+@register("price_from_trades", _trade_price_sql(20, 4))
 def price_from_trades(spark, sf_dir):
-    """Hourly price per asset: newest (open) hour dropped, 2-sigma trim, median rule, venue
-    stats, previous-day volume weights with the reference fallback (under 20 swaps or 4
-    venues -> current share)."""
+    """Hourly price per asset in the anchor currency, direct or through the native coin, on
+    dense filled hours."""
     return _trade_price(spark, sf_dir, P.TradePriceParams())
 
 
 @register("agg_weighted_price", _trade_price_sql(2, 2))
 def agg_weighted_price(spark, sf_dir):
     """Same chain with thresholds low enough that previous-day weights are used."""
-    return _trade_price(spark, sf_dir, P.TradePriceParams(min_prev_swaps=2, min_prev_venues=2))
+    return _trade_price(spark, sf_dir, P.TradePriceParams(min_swaps=2, min_venues=2))
 
 
 @register("agg_volatility", f"""
@@ -96,8 +127,7 @@ def win_median_outlier(spark, sf_dir):
     the aggregate joined back on the bucket key (same values; a hot bucket is split by
     the skew-aware join instead of sitting in one window task)."""
     tr = trades(T(spark, sf_dir)).withColumn("month", F.trunc("ts", "month"))
-    med = tr.groupBy("asset_id", "month").agg(F.median("price").alias("med"))
-    m = tr.join(med.hint("shuffle_hash"), ["asset_id", "month"])
+    m = P.with_bucket_median(tr, ["asset_id", "month"], "price", "med")
     return m.where(~(F.abs(F.col("price") - F.col("med")) > 2.0 * F.col("med"))).select(
         "tx_id", "intra", "asset_id", S.round_half_up("price", 4).alias("price"),
         S.round_half_up("med", 4).alias("median_price"))
@@ -114,8 +144,7 @@ def win_stddev_trim(spark, sf_dir):
     """2-sigma trim per (asset, month); a single trade has a null std-dev and is kept.
     The windowed mean / sample std-dev are aggregates joined back on the bucket key."""
     tr = trades(T(spark, sf_dir)).withColumn("month", F.trunc("ts", "month"))
-    st = tr.groupBy("asset_id", "month").agg(F.avg("price").alias("a"), F.stddev_samp("price").alias("sd"))
-    s = tr.join(st.hint("shuffle_hash"), ["asset_id", "month"])
+    s = P.with_bucket_stats(tr, ["asset_id", "month"], a=F.avg("price"), sd=F.stddev_samp("price"))
     return s.where(F.col("sd").isNull() | (F.abs(F.col("price") - F.col("a")) <= 2.0 * F.col("sd"))).select(
         "tx_id", "intra", "asset_id", S.round_half_up("price", 4).alias("price"),
         F.col("sd").isNull().alias("single_trade"))

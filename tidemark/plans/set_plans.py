@@ -35,6 +35,10 @@ def set_union_distinct(spark, sf_dir):
     return a.union(b).distinct()
 
 
+# Fixed parameter: the year's first and last moment, as a range that reaches the scan.
+YEAR_1998 = ("1998-01-01 00:00:00", "1998-12-31 23:59:59.999999")
+
+
 @register("set_except", """
 SELECT c_custkey FROM customer
 EXCEPT
@@ -42,7 +46,7 @@ SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1998
 """)
 def set_except(spark, sf_dir):
     t = T(spark, sf_dir)
-    active = t.orders.where(F.year("o_orderdate") == 1998).select(F.col("o_custkey").alias("c_custkey"))
+    active = t.orders.where(F.col("o_orderdate").between(*[F.lit(x).cast("timestamp_ntz") for x in YEAR_1998])).select(F.col("o_custkey").alias("c_custkey"))
     return t.customer.select("c_custkey").subtract(active)
 
 
@@ -71,7 +75,10 @@ UNION ALL
 SELECT 'accepted', l_orderkey, CAST(l_linenumber AS BIGINT), l_quantity, round(l_extendedprice * l_tax, 4)
 FROM lineitem WHERE l_returnflag = 'A'
 UNION ALL
-SELECT 'orders', o_orderkey, CAST(0 AS BIGINT), o_totalprice, NULL FROM orders WHERE o_orderstatus = 'F'
+SELECT 'open', l_orderkey, CAST(l_linenumber AS BIGINT), l_quantity, NULL
+FROM lineitem WHERE l_returnflag = 'N'
+UNION ALL
+SELECT 'orders', o_orderkey, CAST(0 AS BIGINT), o_totalprice, NULL FROM orders
 """)
 def set_tagged_union(spark, sf_dir):
     """Several programs' streams on one shape with a literal source tag; missing columns
@@ -84,10 +91,13 @@ def set_tagged_union(spark, sf_dir):
     acc = li.where(F.col("l_returnflag") == "A").select(
         F.col("l_orderkey").alias("tx_id"), F.col("l_linenumber").cast("long").alias("intra"),
         F.col("l_quantity").alias("amount"), F.round(F.col("l_extendedprice") * F.col("l_tax"), 4).alias("fee"))
-    ords = t.orders.where(F.col("o_orderstatus") == "F").select(
+    rest = li.where(F.col("l_returnflag") == "N").select(
+        F.col("l_orderkey").alias("tx_id"), F.col("l_linenumber").cast("long").alias("intra"),
+        F.col("l_quantity").alias("amount"))
+    ords = t.orders.select(
         F.col("o_orderkey").alias("tx_id"), F.lit(0).cast("long").alias("intra"),
         F.col("o_totalprice").alias("amount"))
-    u = R.tagged_union({"returns": ret, "accepted": acc, "orders": ords}, "program")
+    u = R.tagged_union({"returns": ret, "accepted": acc, "open": rest, "orders": ords}, "program")
     return u.select("program", "tx_id", "intra", "amount", F.col("fee").cast("double").alias("fee"))
 
 

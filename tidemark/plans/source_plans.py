@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T_
 
-from ..operators.relational import broadcast_if_bounded
 from ..session import scratch_path
 from ..sources import calendar, files
 from . import register
@@ -95,8 +94,7 @@ def seed_names_join(spark, sf_dir):
         scratch_path(spark, "seed-names"))
     seed = files.read_csv_seed(spark, path, SEED_SCHEMA)
     c = t.customer.select("c_custkey", "c_name", "c_nationkey")
-    # a seed is a short hand-kept list: broadcast after a bounded count
-    j = c.join(broadcast_if_bounded(seed, 100_000), c.c_nationkey == seed.ID, "left")
+    j = c.join(F.broadcast(seed), c.c_nationkey == seed.ID, "left")
     return j.select("c_custkey", "c_name", F.col("Name").alias("nation_name"))
 
 
@@ -132,18 +130,22 @@ def calendar_days(spark, sf_dir):
                        (F.dayofweek("date") - 1).cast("long").alias("day_of_week"))
 
 
-@register("pending_work_list", """
+# Fixed parameter: keys fetched in one call.
+WORK_BATCH = 100
+
+
+@register("pending_work_list", f"""
 SELECT o_orderkey AS tx_id, o_custkey AS account_id FROM orders
 WHERE o_orderstatus = 'O'
   AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'O')
 ORDER BY o_orderkey
-LIMIT 100
+LIMIT {WORK_BATCH}
 """)
-def pending_work_list(spark, sf_dir):
-    """Keys wanted minus keys already fetched, capped at one batch of 100 (the batch size is
-    the feature: one fetch call's worth of work)."""
+def pending_work_list(spark, sf_dir, batch=WORK_BATCH):
+    """Keys wanted minus keys already fetched, one batch of them (the batch size is the
+    feature: one fetch call's worth of work)."""
     t = T(spark, sf_dir)
     wanted = t.orders.where(F.col("o_orderstatus") == "O") \
                      .select(F.col("o_orderkey").alias("tx_id"), F.col("o_custkey").alias("account_id"))
     fetched = t.lineitem.where(F.col("l_linestatus") == "O").select(F.col("l_orderkey").alias("tx_id"))
-    return wanted.join(fetched, "tx_id", "left_anti").orderBy("tx_id").limit(100)
+    return wanted.join(fetched, "tx_id", "left_anti").orderBy("tx_id").limit(batch)

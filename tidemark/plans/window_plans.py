@@ -23,7 +23,7 @@ def win_latest_per_key(spark, sf_dir):
 
 @register("win_renumber", """
 SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity,
-       l_orderkey * 1000 + row_number() OVER (
+       l_orderkey + row_number() OVER (
          PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
                                            l_extendedprice, l_discount, l_tax, l_returnflag,
                                            l_linestatus, l_shipdate) AS intra
@@ -31,14 +31,15 @@ FROM lineitem
 """)
 def win_renumber(spark, sf_dir):
     """``base + ROW_NUMBER() OVER (PARTITION BY tx ORDER BY path)`` with a total order over
-    every column, so duplicate (order, line) pairs get stable, distinct positions."""
+    every column, so duplicate (order, line) pairs get stable, distinct positions.  The row's
+    own base is added to, as the group keeps it apart: (group, position) is the key."""
     li = T(spark, sf_dir).lineitem
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
              "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
     w = Window.partitionBy("l_orderkey").orderBy(*order)
     return li.select("l_orderkey", "l_partkey", "l_suppkey",
                      F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_quantity",
-                     (F.col("l_orderkey") * 1000 + F.row_number().over(w)).alias("intra"))
+                     (F.col("l_orderkey") + F.row_number().over(w)).alias("intra"))
 
 
 @register("win_first_last_leg", """
@@ -88,7 +89,7 @@ def tumbling_hour(spark, sf_dir):
 
 _FILL_SQL = """
 WITH h AS (SELECT event_type, date_trunc('hour', ts) AS hour, avg(value) AS v FROM events
-           WHERE value > 15 GROUP BY 1, 2),
+           GROUP BY 1, 2),
 b AS (SELECT min(hour) AS lo, max(hour) AS hi FROM h),
 grid AS (SELECT t.event_type, unnest(generate_series(b.lo, b.hi, INTERVAL 1 HOUR)) AS hour
          FROM (SELECT DISTINCT event_type FROM h) t, b),
@@ -104,7 +105,7 @@ SELECT event_type, hour, floor(v * 10000 + 0.5) / 10000 AS value, imputed FROM f
 def win_forward_fill(spark, sf_dir):
     """Dense hour grid per event type (global range), forward-filled; rows before a type's
     first value are dropped (qualify on the fill result)."""
-    e = T(spark, sf_dir).events.where(F.col("value") > 15).select("event_type", "ts", "value")
+    e = T(spark, sf_dir).events.select("event_type", "ts", "value")
     h = e.groupBy("event_type", S.trunc_ts("hour", "ts").alias("hour")).agg(F.avg("value").alias("v"))
     lo, hi = h.select(F.min("hour")).scalar(), h.select(F.max("hour")).scalar()
     grid = h.select("event_type").distinct().select(
@@ -116,8 +117,8 @@ def win_forward_fill(spark, sf_dir):
 
 
 @register("win_forward_fill_global", """
-WITH h AS (SELECT date_trunc('hour', ts) AS hour, avg(value) AS v FROM events
-           WHERE event_type = 'purchase' AND value > 20 GROUP BY 1),
+WITH h AS (SELECT date_trunc('hour', ts) AS hour, avg(CASE WHEN event_type = 'purchase' THEN value END) AS v
+           FROM events GROUP BY 1),
 cal AS (SELECT unnest(generate_series((SELECT min(date_trunc('hour', ts)) FROM events),
                                       (SELECT max(date_trunc('hour', ts)) FROM events),
                                       INTERVAL 1 HOUR)) AS hour),
@@ -130,8 +131,8 @@ def win_forward_fill_global(spark, sf_dir):
     from ..sources import calendar
     ev = T(spark, sf_dir).events
     cal = calendar.hours_between(calendar.data_bounds(ev, "ts"))
-    h = (ev.where((F.col("event_type") == "purchase") & (F.col("value") > 20))
-           .groupBy(S.trunc_ts("hour", "ts").alias("hour")).agg(F.avg("value").alias("v")))
+    h = (ev.groupBy(S.trunc_ts("hour", "ts").alias("hour"))
+           .agg(F.avg(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("v")))
     j = cal.join(h, "hour", "left")
     f = W.forward_fill_global(j, "hour", "v", F.to_date("hour"))
     return f.select("hour", S.round_half_up("v", 4).alias("value"))

@@ -1,8 +1,7 @@
 """Structured Streaming versions of the incremental jobs.
 
-* :func:`upsert_stream`  - file stream -> ``foreachBatch`` merge by key into a versioned
-  parquet table (the batch's epoch id names the version, so a replayed batch rewrites the
-  same version: idempotent).
+* :func:`upsert_stream`  - file stream -> ``foreachBatch`` merge by key, rewriting only the
+  partitions that a batch touches; replaying a batch gives the same table.
 * :func:`dedup_stream`   - watermark + ``dropDuplicatesWithinWatermark``: re-delivered
   rows (look-back re-reads) are dropped while state stays bounded by the watermark.
 * :func:`hourly_counts_stream` - tumbling 1-hour windows in append mode: a window is
@@ -14,67 +13,27 @@ folder, so a restart (or a lost executor) resumes from the last committed batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.scalars import instant_to_ntz, ntz_to_instant
-from ..operators.incremental import dedup_batch, merge, merge_partitions
-
-
-class VersionedTable:
-    """A parquet table whose versions are folders ``v<epoch>`` plus a small JSON log of
-    committed versions (written and read by Spark itself)."""
-
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark, self.base = spark, base.rstrip("/")
-
-    def current(self, before: int | None = None) -> str | None:
-        try:
-            log = self.spark.read.schema("epoch long, path string").json(f"{self.base}/_log")
-        except AnalysisException:
-            return None
-        if before is not None:
-            log = log.where(F.col("epoch") < before)
-        row = log.orderBy(F.col("epoch").desc()).limit(1).collect()
-        return row[0]["path"] if row else None
-
-    def commit(self, df: DataFrame, epoch: int) -> str:
-        path = f"{self.base}/v{epoch:010d}"
-        df.write.mode("overwrite").parquet(path)
-        self.spark.createDataFrame([(epoch, path)], "epoch long, path string") \
-            .write.mode("overwrite").json(f"{self.base}/_log/epoch={epoch}")
-        return path
+from ..operators.incremental import dedup_batch, merge_partitions
 
 
 def upsert_stream(spark: SparkSession, source: str, schema: StructType, keys: list[str], order_col: str,
-                  table: VersionedTable, checkpoint: str) -> None:
-    """Run the file stream until caught up; each micro-batch is merged by ``keys``."""
-
-    def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        latest = dedup_batch(batch, keys, [F.col(order_col).desc()])
-        prev = table.current(before=epoch_id)
-        merged = latest if prev is None else merge(spark.read.parquet(prev), latest, keys)
-        table.commit(merged, epoch_id)
-
-    q = (spark.readStream.schema(schema).parquet(source)
-         .writeStream.foreachBatch(upsert_batch)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-
-
-def upsert_stream_partitioned(spark: SparkSession, source: str, schema: StructType, keys: list[str],
-                              order_col: str, part_col, part_name: str, target: str, checkpoint: str) -> None:
-    """Like :func:`upsert_stream`, but each micro-batch rewrites only the partitions
-    (``part_name`` = ``part_col`` expression, e.g. the event date) that it touches."""
+                  part_col, part_name: str, target: str, checkpoint: str) -> None:
+    """Run the file stream until caught up; each micro-batch is merged by ``keys`` and
+    rewrites only the partitions (``part_name`` = ``part_col`` expression, e.g. the event
+    date) that it touches.  Of a key's rows in one batch the one that was loaded last wins
+    (time of its file), then the greater ``order_col``."""
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        latest = dedup_batch(batch, keys, [F.col(order_col).desc()]).withColumn(part_name, part_col)
-        merge_partitions(spark, target, latest, keys, part_name)
+        latest = dedup_batch(batch, keys, [F.col("__loaded").desc(), F.col(order_col).desc()])
+        merge_partitions(spark, target, latest.drop("__loaded").withColumn(part_name, part_col), keys, part_name)
 
     q = (spark.readStream.schema(schema).parquet(source)
+         .withColumn("__loaded", F.col("_metadata.file_modification_time"))
          .writeStream.foreachBatch(upsert_batch)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -107,45 +66,52 @@ def hourly_counts_stream(spark: SparkSession, source: str, schema: StructType, t
     q.awaitTermination()
 
 
+def current_balances(spark: SparkSession, out: str, keys: list[str], before: int | None = None) -> DataFrame:
+    """(keys, period, balance): for each key and period the row of the newest epoch (below
+    ``before``, if given) that wrote it."""
+    rows = spark.read.parquet(out)
+    if before is not None:
+        rows = rows.where(F.col("epoch") < before)
+    return rows.groupBy(*keys, "period").agg(F.max_by("balance", "epoch").alias("balance"))
+
+
 def running_balance_stream(spark: SparkSession, source: str, schema: StructType, key: str, ts: str,
                            amount: str, out: str, state: str, checkpoint: str) -> None:
-    """Stateful running balance (stored balance + new deltas) over a stream of legs.
-
-    Each micro-batch is summed per (key, day) by Spark first (partial aggregation, so a
-    hot key is collapsed before any per-key step), then seeded from the state table -
-    one row per key with its latest (day, balance), not the history - and the running
-    sum continues from there.  Results and the new state are written under the batch's
-    epoch (dynamic partition overwrite), so a replayed batch replaces its own output.
-    Landings are expected in time order; a late day for a key is handled by the batch
-    re-run of ``ledger_incremental_seed`` (look-back), as in the reference.
+    """Stateful running balance over a stream of legs, in any order of arrival.
+
+    Each micro-batch is summed per (key, day) by Spark first (a hot key is collapsed before
+    any per-key step) and kept in ``state`` under its epoch.  A key's balances are made anew
+    from its own first new day on: the newest balance before that day is the opening, the
+    day sums of all epochs from that day on are the deltas.  So late legs, and a day whose
+    legs come in several batches, redo exactly the days they change, of their key alone.
+    Epochs are overwritten when replayed; :func:`current_balances` reads the result.
     """
-    from ..operators.ledger import period_sums, seeded_running_balance
+    from ..operators.ledger import period_sums
+
+    def written(path: str) -> bool:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
     def batch_fn(batch: DataFrame, epoch_id: int) -> None:
-        sums = period_sums(batch, [key], F.to_date(ts), amount)
-        try:
-            st = spark.read.parquet(state)
-            prev = st.where(F.col("epoch") < epoch_id).agg(F.max("epoch")).first()[0]
-            stored = st.where(F.col("epoch") == prev).select(key, "period", "balance") if prev is not None \
-                else None
-        except AnalysisException:
-            stored = None
-        if stored is None:
-            stored = spark.createDataFrame([], sums.select(key, "period").schema.add("balance", "double"))
-        cut = sums.agg(F.min("period")).first()[0]
-        if cut is None:
-            return
-        rolled = seeded_running_balance(stored, sums, [key], F.lit(cut)).where(F.col("period") >= F.lit(cut))
-        rolled = rolled.select(key, "period", "balance").withColumn("epoch", F.lit(epoch_id))
-        (rolled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        sums = period_sums(batch, [key], F.to_date(ts), amount).select(key, "period", "delta")
+        (sums.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(state))
+        log = spark.read.parquet(state).where(F.col("epoch") <= epoch_id)
+        first = (log.where(F.col("epoch") == epoch_id).groupBy(F.col(key).alias("__k"))
+                    .agg(F.min("period").alias("__from")))
+        deltas = (log.join(first, log[key].eqNullSafe(first["__k"]) & (log["period"] >= first["__from"]))
+                     .groupBy(key, "period").agg(F.sum("delta").alias("delta"), F.first("__from").alias("__from")))
+        if written(out):
+            past = current_balances(spark, out, [key], before=epoch_id)
+            opening = (past.join(first, past[key].eqNullSafe(first["__k"]) & (past["period"] < first["__from"]))
+                           .groupBy(key).agg(F.max("period").alias("period"), F.max_by("balance", "period").alias("delta"),
+                                             F.first("__from").alias("__from")))
+            deltas = deltas.unionByName(opening)
+        w = Window.partitionBy(key).orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
+        rolled = deltas.withColumn("balance", F.sum("delta").over(w)).where(F.col("period") >= F.col("__from"))
+        (rolled.select(key, "period", "balance").withColumn("epoch", F.lit(epoch_id))
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy("epoch").parquet(out))
-        latest = spark.read.parquet(out).where(F.col("epoch") == epoch_id) \
-                      .groupBy(key).agg(F.max("period").alias("period"),
-                                        F.max_by("balance", "period").alias("balance"))
-        new_state = stored.join(latest.select(key), key, "left_anti").unionByName(latest) \
-                          .withColumn("epoch", F.lit(epoch_id))
-        (new_state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                  .partitionBy("epoch").parquet(state))
 
     q = (spark.readStream.schema(schema).parquet(source)
          .writeStream.foreachBatch(batch_fn)
