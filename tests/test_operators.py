@@ -126,11 +126,26 @@ def test_daily_balance_dense_and_filled(spark):
 
 
 def test_ledger_legs_one_pass_drop_null_address(spark):
-    tr = spark.createDataFrame([("a", "b", 5.0, dt.datetime(2024, 1, 1)), ("a", None, 1.0, dt.datetime(2024, 1, 1))],
-                               "sender string, receiver string, amount double, ts timestamp_ntz")
+    day = dt.datetime(2024, 1, 1)
+    tr = spark.createDataFrame([("a", "b", "pay", 5.0, 0.25, "z", 2.0, day), ("a", None, "pay", 1.0, None, None, None, day),
+                                ("a", "b", "keyreg", 9.0, None, None, None, day)],
+                               "sender string, receiver string, tx_type string, amount double, reward double, "
+                               "close_to string, close_amount double, ts timestamp_ntz")
     legs = ledger.ledger_legs(tr, ledger.default_legs())
-    assert legs.count() == 5          # 2 out + 2 fee + 1 in (null receiver dropped)
-    assert abs(sum(r.amount for r in legs.collect()) - (-1.0 - 0.002)) < 1e-9
+    kinds = sorted((r.leg, r.address, r.amount) for r in legs.collect())
+    assert kinds == sorted([("out", "a", -5.0), ("out", "a", -1.0), ("fee", "a", -0.001), ("fee", "a", -0.001),
+                            ("fee", "a", -0.001), ("in", "b", 5.0), ("reward", "a", 0.25), ("close", "z", 2.0),
+                            ("close_from", "a", 2.0)])
+
+
+def test_daily_balance_from_opening_to_as_of(spark):
+    legs = spark.createDataFrame([("x", dt.datetime(2024, 1, 3), 5.0), ("stranger", dt.datetime(2024, 1, 3), 1.0)],
+                                 "address string, ts timestamp_ntz, amount double")
+    acc = spark.createDataFrame([("x", dt.date(2024, 1, 2)), ("quiet", dt.date(2024, 1, 4))], "address string, opened date")
+    out = ledger.daily_balance(legs, through=F.lit("2024-01-05").cast("date"), accounts=acc)
+    day = lambda d: dt.date(2024, 1, d)
+    assert rows(out, "address", "date", "balance") == [
+        ("quiet", day(4), 0.0), ("quiet", day(5), 0.0), ("x", day(2), 0.0), ("x", day(3), 5.0), ("x", day(4), 5.0), ("x", day(5), 5.0)]
 
 
 def test_seeded_balance_equals_full_rebuild(spark):

@@ -8,6 +8,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,7 +20,7 @@ def plan(df, mode: str = "simple") -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_no_nested_loop_join(spark, name):
     p = plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p

@@ -82,3 +82,58 @@ def direction_tag(transfers: DataFrame, custodians: DataFrame, sender: str = "se
          .when(F.col("__from").isNotNull(), F.lit("outbound")))
     return tagged.where(F.col("direction").isNotNull()) \
                  .withColumn("bridge_address", F.coalesce("__to", "__from")).drop("__to", "__from")
+
+
+def scaled(amount: str, decimals: str) -> Column:
+    """An integer amount in its asset's unit; no or zero decimals leave it as it is."""
+    return F.when(F.col(decimals) > 0, F.col(amount) / F.pow(F.lit(10.0), F.col(decimals))).otherwise(
+        F.col(amount).cast("double"))
+
+
+def swap_rows(legs: DataFrame, assets: DataFrame, is_swap: Column) -> DataFrame:
+    """One row per swap call: what the caller sent in just before it and what came back.
+
+    ``legs``: group, pos, kind, sender, asset, amount, out_asset, out_amount, pool (the last
+    three of the call's own inner transfer).  ``assets``: asset, decimals.  The leg before the
+    call, of the same sender, is the amount sent: a ``pay`` in the native coin (asset 0, six
+    decimals) or an ``axfer`` of a known asset; without one the amount is 0 and the asset null.
+    Equal legs count once.  Positions are matched by an equi-join on (group, position + 1).
+    """
+    native = F.col("kind") == "pay"
+    known = assets.select(F.col("asset").alias("__a"), F.col("decimals").alias("__d"))
+    sent = (legs.where(F.col("kind").isin("pay", "axfer"))
+            .join(known, F.when(~native, F.col("asset")) == F.col("__a"), "left")
+            .where(native | F.col("__a").isNotNull())
+            .select(F.col("group").alias("__g"), (F.col("pos") + 1).alias("__p"), F.col("sender").alias("swapper"),
+                    F.when(native, F.lit(0)).otherwise(F.col("asset")).cast("long").alias("from_asset"),
+                    F.when(native, F.col("amount") / 1e6).otherwise(scaled("amount", "__d")).alias("from_amount"))
+            .distinct())
+    calls = (legs.where((F.col("kind") == "appl") & is_swap)
+             .join(assets.withColumnRenamed("asset", "__o"), F.col("out_asset") == F.col("__o"))
+             .select("group", "pos", "sender", "pool", F.col("out_asset").alias("to_asset"),
+                     scaled("out_amount", "decimals").alias("to_amount")))
+    j = calls.join(sent, (calls["group"] == sent["__g"]) & (calls["pos"] == sent["__p"])
+                   & (calls["sender"] == sent["swapper"]), "left")
+    return j.select("group", "pos", "swapper", "from_asset", F.coalesce("from_amount", F.lit(0.0)).alias("from_amount"),
+                    "pool", "to_asset", F.coalesce("to_amount", F.lit(0.0)).alias("to_amount"))
+
+
+def sale_rows(legs: DataFrame, assets: DataFrame, most: float = 450.0) -> DataFrame:
+    """One row per asset leg of an atomic sale: groups of two or more legs with exactly one
+    payment, one sender of assets and no application call, whose buyer is the payer.
+
+    ``legs``: group, pos, kind, sender, receiver, asset, amount.  The group test is one
+    aggregation; only the groups that pass meet their legs again.
+    """
+    axfer, pay = F.col("kind") == "axfer", F.col("kind") == "pay"
+    shape = legs.groupBy("group").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(pay, 1)).alias("pays"),
+        F.count_distinct(F.when(axfer & (F.col("amount") > 0), F.col("sender"))).alias("sellers"),
+        F.count(F.when(F.col("kind") == "appl", 1)).alias("calls"),
+        F.max(F.when(pay, F.col("amount"))).alias("paid"), F.max(F.when(pay, F.col("sender"))).alias("payer"))
+    sales = shape.where((F.col("n") >= 2) & (F.col("pays") == 1) & (F.col("sellers") == 1) & (F.col("calls") == 0)
+                        & (F.col("paid") > 0)).select("group", "paid", "payer")
+    items = legs.where(axfer & F.col("amount").between(0, most)).join(sales, "group")
+    items = items.where(F.col("receiver") == F.col("payer")).join(assets, "asset", "left")
+    return items.select("group", "pos", F.col("receiver").alias("purchaser"), "asset",
+                        scaled("amount", "decimals").alias("n_items"), (F.col("paid") / 1e6).alias("total_sales_amount"))

@@ -130,28 +130,49 @@ def fill_hours(hourly: DataFrame, last: Column) -> DataFrame:
 
 
 def reserve_price(balances: DataFrame, pool: str, period: str, asset: str, base_asset: str,
-                  quote_asset: str, base_price: DataFrame | None = None) -> DataFrame:
-    """Pivot the two reserves of each pool to columns (conditional max, not a map, so a
-    duplicate key cannot fail) and price the quote asset as base_reserve / quote_reserve,
-    times the base asset's price when given; a quote reserve that rounds to 0 gives 0."""
-    piv = balances.groupBy(pool, period).agg(
+                  quote_asset: str, base_price: DataFrame, exclude: DataFrame | None = None) -> DataFrame:
+    """(pool, period, base_reserve, quote_reserve, price_in_base, price_usd) from dense reserves.
+
+    The two reserves of each pool become columns (conditional max, not a map, so a duplicate
+    key cannot fail); both must be above 0, and a quote reserve that rounds to 0 prices at 0.
+    ``base_price``: (period, base_price); periods without one are left out.  ``exclude``: a
+    table of pools that are left out.
+    """
+    kept = balances if exclude is None else balances.join(exclude.select(pool).distinct(), pool, "left_anti")
+    piv = kept.groupBy(pool, period).agg(
         F.max(F.when(F.col(asset) == base_asset, F.col("balance"))).alias("base_reserve"),
         F.max(F.when(F.col(asset) == quote_asset, F.col("balance"))).alias("quote_reserve"))
     ratio = F.when(F.round("quote_reserve") == 0, F.lit(0.0)).otherwise(
         safe_div(F.col("base_reserve"), F.col("quote_reserve")))
-    out = piv.withColumn("price_in_base", ratio)
-    if base_price is not None:
-        out = out.join(base_price, period, "left") \
-                 .withColumn("price_usd", F.col("price_in_base") * F.col("base_price"))
-    return out
-
-
-def impute_forward(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
-    """Fill nulls with the last non-null value before (ROWS UNBOUNDED PRECEDING) and flag
-    filled rows as ``imputed``; rows before the first value stay null (caller drops)."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("imputed", F.col(value).isNull()) \
-             .withColumn(value, F.last(value, ignorenulls=True).over(w))
+    both = piv.where((F.col("base_reserve") > 0) & (F.col("quote_reserve") > 0)).withColumn("price_in_base", ratio)
+    return both.join(base_price, period).withColumn("price_usd", F.col("price_in_base") * F.col("base_price"))
+
+
+def impute_on_grid(df: DataFrame, keys: list[str], order: str, value: str, last: Column, step: str) -> DataFrame:
+    """(keys, order, value, imputed) on a grid that all keys share: every period from the key's
+    first value to ``last`` (the end of the shared calendar).
+
+    Periods without a value of their own carry the last one before and are ``imputed``.  Rows
+    are unique per (keys, order); each expands itself up to the next one, so the grid is never
+    joined.
+    """
+    w = Window.partitionBy(*keys).orderBy(order)
+    unit = F.expr(f"INTERVAL {step}")
+    x = df.where(F.col(value).isNotNull()).withColumn("__next", F.lead(order).over(w))
+    at = F.explode(F.sequence(F.col(order), F.coalesce(F.col("__next") - unit, last), unit))
+    x = x.select(*keys, F.col(order).alias("__own"), at.alias("__at"), value)
+    return x.select(*keys, F.col("__at").alias(order), value, (F.col("__at") != F.col("__own")).alias("imputed"))
+
+
+def prefer_observed(first: DataFrame, second: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, value, is_imputed) of two imputed price tables: an observed price of the first,
+    an observed one of the second, an imputed one of the first, an imputed one of the second.
+    Keys that neither has are left out."""
+    a, b = (df.select(*keys, F.struct(value, "imputed").alias(n)) for df, n in ((first, "__a"), (second, "__b")))
+    j = a.join(b, keys, "full")
+    pick = F.coalesce(F.when(~F.col("__a.imputed"), F.col("__a")), F.when(~F.col("__b.imputed"), F.col("__b")),
+                      F.col("__a"), F.col("__b"))
+    return j.select(*keys, pick[value].alias(value), pick["imputed"].alias("is_imputed"))
 
 
 def preference(cols: list[tuple[str, Column]]) -> tuple[Column, Column]:

@@ -21,17 +21,16 @@ class Query:
     name: str
     fn: QueryFn
     oracle: str | None
-    bench: bool = False
 
 
 REGISTRY: dict[str, Query] = {}
 
 
-def register(name: str, oracle: str | None, bench: bool = False):
+def register(name: str, oracle: str | None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
             raise ValueError(f"query {name!r} registered twice")
-        REGISTRY[name] = Query(name, fn, oracle.strip() if oracle else None, bench)
+        REGISTRY[name] = Query(name, fn, oracle.strip() if oracle else None)
         return fn
     return deco
 

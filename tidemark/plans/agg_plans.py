@@ -18,7 +18,7 @@ SELECT l_returnflag, l_linestatus,
        min(l_extendedprice) AS min_price, max(l_extendedprice) AS max_price,
        floor(avg(l_discount) * 1000000 + 0.5) / 1000000 AS avg_disc, count(*) AS count_order
 FROM lineitem GROUP BY 1, 2
-""", bench=True)
+""")
 def agg_basic(spark, sf_dir):
     li = T(spark, sf_dir).lineitem
     return li.groupBy("l_returnflag", "l_linestatus").agg(

@@ -46,11 +46,57 @@ transfers AS (
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 )"""
 
-LEGS_SQL = TRANSFERS_SQL + """,
+def transactions(t: Tables) -> DataFrame:
+    """Order lines as ledger transactions: most are payments, every third final one only pays
+    its fee; first lines earn a reward, some returned lines close an account out."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_quantity",
+                           "l_returnflag", "l_linestatus")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    closes = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") % 4 == 0)
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("l_orderkey").alias("tx_id"), F.col("l_linenumber").cast("long").alias("intra"),
+        F.when((F.col("l_linestatus") == "F") & (F.col("l_linenumber") % 3 == 0), "keyreg").otherwise("pay").alias("tx_type"),
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("sender"),
+        F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("receiver"),
+        (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("amount"),
+        F.when(F.col("l_linenumber") == 1, F.col("l_tax")).alias("reward"),
+        F.when(closes, F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))).alias("close_to"),
+        F.when(closes, F.col("l_quantity")).alias("close_amount"), F.col("o_orderdate").alias("ts"))
+
+
+def accounts(t: Tables) -> DataFrame:
+    """The account table: customers that owe nothing and all suppliers, opened in January
+    1995.  Other customers are addresses without an account."""
+    def side(df, key, letter):
+        day = (F.col(key) % 28).cast("int")
+        return df.select(F.concat(F.lit(letter), F.col(key).cast("string")).alias("address"),
+                         F.date_add(F.lit("1995-01-01").cast("date"), day).alias("opened"))
+    return side(t.customer.where(F.col("c_acctbal") >= 0), "c_custkey", "c").unionByName(side(t.supplier, "s_suppkey", "s"))
+
+
+ACCOUNTS_SQL = """
+accounts AS (
+  SELECT 'c' || CAST(c_custkey AS VARCHAR) AS address, CAST(DATE '1995-01-01' + CAST(c_custkey % 28 AS INTEGER) AS DATE) AS opened FROM customer WHERE c_acctbal >= 0
+  UNION ALL
+  SELECT 's' || CAST(s_suppkey AS VARCHAR), CAST(DATE '1995-01-01' + CAST(s_suppkey % 28 AS INTEGER) AS DATE) FROM supplier
+)"""
+
+LEGS_SQL = """
+txns AS (
+  SELECT l.l_orderkey AS tx_id, CAST(l.l_linenumber AS BIGINT) AS intra,
+         CASE WHEN l_linestatus = 'F' AND l_linenumber % 3 = 0 THEN 'keyreg' ELSE 'pay' END AS tx_type,
+         'c' || CAST(o.o_custkey AS VARCHAR) AS sender, 's' || CAST(l.l_suppkey AS VARCHAR) AS receiver,
+         l.l_extendedprice * (1.0 - l.l_discount) AS amount, o.o_orderdate AS ts,
+         CASE WHEN l_linenumber = 1 THEN l_tax END AS reward,
+         l_returnflag = 'R' AND l_linenumber % 4 = 0 AS closes, l_quantity AS close_amount
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 legs AS (
-  SELECT sender AS address, 'out' AS leg, ts, -amount AS amount, tx_id, intra FROM transfers
-  UNION ALL SELECT sender, 'fee', ts, CAST(-0.001 AS DOUBLE), tx_id, intra FROM transfers
-  UNION ALL SELECT receiver, 'in', ts, amount, tx_id, intra FROM transfers
+  SELECT sender AS address, 'out' AS leg, ts, -amount AS amount, tx_id, intra FROM txns WHERE tx_type = 'pay'
+  UNION ALL SELECT sender, 'fee', ts, CAST(-0.001 AS DOUBLE), tx_id, intra FROM txns
+  UNION ALL SELECT receiver, 'in', ts, amount, tx_id, intra FROM txns WHERE tx_type = 'pay'
+  UNION ALL SELECT sender, 'reward', ts, reward, tx_id, intra FROM txns WHERE reward IS NOT NULL
+  UNION ALL SELECT receiver, 'close', ts, close_amount, tx_id, intra FROM txns WHERE closes
+  UNION ALL SELECT sender, 'close_from', ts, close_amount, tx_id, intra FROM txns WHERE closes
 )"""
 
 

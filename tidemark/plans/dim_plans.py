@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from ..operators import dims as D
 from ..operators import groups as G
 from . import register
@@ -180,3 +181,86 @@ def group_pattern_match(spark, sf_dir):
     m = G.pattern_match(c, "conv_id", "turn", F.col("role") == "assistant",
                         F.col("prev_role") == "user", F.col("next_role").isNotNull(), ["role", "chars"])
     return m.select("conv_id", "turn", F.col("prev_chars"), "next_role")
+
+
+_GROUP_LEGS_SQL = """
+legs AS (
+  SELECT l_orderkey AS tx, CAST(l_linenumber AS BIGINT) AS pos,
+         CASE l_returnflag WHEN 'A' THEN 'pay' WHEN 'N' THEN 'axfer' ELSE 'appl' END AS kind,
+         CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 's' || CAST(l_suppkey AS VARCHAR)
+              ELSE 'c' || CAST(o_custkey AS VARCHAR) END AS sender,
+         'c' || CAST(o_custkey AS VARCHAR) AS receiver, l_partkey AS asset,
+         CASE WHEN l_returnflag = 'A' THEN round(l_extendedprice) ELSE l_quantity END AS amount,
+         l_partkey AS out_asset, l_quantity AS out_amount, 's' || CAST(l_suppkey AS VARCHAR) AS pool
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+assets AS (SELECT p_partkey AS asset, p_partkey % 4 AS decimals FROM part)"""
+
+
+def _group_legs(t):
+    """Orders as transaction groups: returned lines call a program, accepted ones pay, the rest
+    move an asset (from the supplier or between the customer's own accounts)."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_suppkey", "l_partkey",
+                           "l_extendedprice", "l_quantity")
+    o = t.orders.select("o_orderkey", "o_custkey")
+    buyer = F.concat(F.lit("c"), F.col("o_custkey").cast("string"))
+    shop = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
+    kind = F.when(F.col("l_returnflag") == "A", "pay").when(F.col("l_returnflag") == "N", "axfer").otherwise("appl")
+    legs = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("l_orderkey").alias("group"), F.col("l_linenumber").cast("long").alias("pos"), kind.alias("kind"),
+        F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), shop).otherwise(buyer).alias("sender"),
+        buyer.alias("receiver"), F.col("l_partkey").alias("asset"),
+        F.when(F.col("l_returnflag") == "A", F.round("l_extendedprice")).otherwise(F.col("l_quantity")).alias("amount"),
+        F.col("l_partkey").alias("out_asset"), F.col("l_quantity").alias("out_amount"), shop.alias("pool"))
+    assets = t.part.select(F.col("p_partkey").alias("asset"), (F.col("p_partkey") % 4).alias("decimals"))
+    return legs, assets
+
+
+_SCALED = "CASE WHEN {d} > 0 THEN {a} / pow(10, {d}) ELSE CAST({a} AS DOUBLE) END"
+
+
+@register("group_swap_rows", f"""
+WITH {_GROUP_LEGS_SQL},
+sent AS (
+  SELECT tx, pos, sender, CAST(0 AS BIGINT) AS from_asset, amount / 1e6 AS from_amount FROM legs WHERE kind = 'pay'
+  UNION
+  SELECT l.tx, l.pos, l.sender, l.asset, {_SCALED.format(a='l.amount', d='a.decimals')}
+  FROM legs l JOIN assets a ON l.asset = a.asset WHERE l.kind = 'axfer'),
+calls AS (
+  SELECT l.tx, l.pos, l.sender, l.pool, l.out_asset AS to_asset, {_SCALED.format(a='l.out_amount', d='a.decimals')} AS to_amount
+  FROM legs l JOIN assets a ON l.out_asset = a.asset WHERE l.kind = 'appl')
+SELECT c.tx, c.pos, s.sender AS swapper, CAST(s.from_asset AS DOUBLE) AS from_asset,
+       floor(COALESCE(s.from_amount, 0) * 1000000 + 0.5) / 1000000 AS from_amount, c.pool, c.to_asset,
+       floor(COALESCE(c.to_amount, 0) * 1000000 + 0.5) / 1000000 AS to_amount
+FROM calls c LEFT JOIN sent s ON c.tx = s.tx AND c.pos - 1 = s.pos AND c.sender = s.sender
+""")
+def group_swap_rows(spark, sf_dir):
+    """From group legs to swap rows: both amounts in their assets' units (M27)."""
+    legs, assets = _group_legs(T(spark, sf_dir))
+    out = G.swap_rows(legs, assets, F.lit(True))
+    return out.select(F.col("group").alias("tx"), "pos", "swapper", F.col("from_asset").cast("double").alias("from_asset"),
+                      S.round_half_up("from_amount", 6).alias("from_amount"), "pool", "to_asset",
+                      S.round_half_up("to_amount", 6).alias("to_amount"))
+
+
+@register("group_sale_rows", f"""
+WITH {_GROUP_LEGS_SQL},
+atomic AS (
+  SELECT tx, count(*) AS n, sum(CASE WHEN kind = 'pay' THEN 1 ELSE 0 END) AS pays,
+         count(DISTINCT CASE WHEN kind = 'axfer' AND amount > 0 THEN sender END) AS sellers
+  FROM legs GROUP BY 1 HAVING n >= 2 AND pays = 1 AND sellers = 1)
+SELECT x.tx, x.pos, x.receiver AS purchaser, x.asset,
+       floor(({_SCALED.format(a='x.amount', d='a.decimals')}) * 1000000 + 0.5) / 1000000 AS n_items,
+       floor(p.amount / 1e6 / t.sellers * 1000000 + 0.5) / 1000000 AS total_sales_amount
+FROM atomic t
+JOIN legs x ON t.tx = x.tx AND x.kind = 'axfer'
+JOIN legs p ON t.tx = p.tx AND p.kind = 'pay' AND x.receiver = p.sender
+LEFT JOIN assets a ON x.asset = a.asset
+LEFT JOIN (SELECT DISTINCT tx FROM legs WHERE kind = 'appl') e ON t.tx = e.tx
+WHERE x.amount BETWEEN 0 AND 450 AND p.amount > 0 AND e.tx IS NULL
+""")
+def group_sale_rows(spark, sf_dir):
+    """From group legs to sale rows: buyer, items and what was paid (M37)."""
+    legs, assets = _group_legs(T(spark, sf_dir))
+    out = G.sale_rows(legs, assets)
+    return out.select(F.col("group").alias("tx"), "pos", "purchaser", "asset", S.round_half_up("n_items", 6).alias("n_items"),
+                      S.round_half_up("total_sales_amount", 6).alias("total_sales_amount"))

@@ -132,18 +132,24 @@ def join_theta_residual(spark, sf_dir):
 
 
 @register("join_disjunctive", """
-SELECT l.l_orderkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.l_partkey, l.l_suppkey, o.o_custkey
-FROM lineitem l JOIN orders o
-  ON l.l_orderkey = o.o_orderkey AND (l.l_suppkey = o.o_custkey OR l.l_partkey = o.o_custkey)
+SELECT l.l_orderkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, l.l_partkey, l.l_suppkey, o.tx_key, o.side
+FROM lineitem l
+JOIN (SELECT o_orderkey AS l_orderkey, o_custkey % 50 AS tx_key, CASE WHEN o_orderstatus = 'F' THEN 'in' ELSE 'out' END AS side
+      FROM orders) o
+  ON l.l_orderkey = o.l_orderkey
+ AND ((l.l_suppkey % 50 = o.tx_key AND o.side = 'in') OR (l.l_partkey % 50 = o.tx_key AND l.l_returnflag <> 'N'))
 """)
 def join_disjunctive(spark, sf_dir):
+    """Each alternative has its own condition, and both sides name the group key alike."""
     t = T(spark, sf_dir)
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    o = t.orders.select("o_orderkey", "o_custkey")
-    j = R.or_join(li, o, [("l_orderkey", "o_orderkey")], [("l_suppkey", "o_custkey"),
-                                                          ("l_partkey", "o_custkey")])
-    return j.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"),
-                    "l_partkey", "l_suppkey", "o_custkey")
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
+                           (F.col("l_suppkey") % 50).alias("s_key"), (F.col("l_partkey") % 50).alias("p_key"))
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") % 50).alias("tx_key"),
+                        F.when(F.col("o_orderstatus") == "F", "in").otherwise("out").alias("side"))
+    j = R.or_join(li, o, [("l_orderkey", "l_orderkey")], [
+        ("s_key", "tx_key", lambda l, r: r("side") == "in"), ("p_key", "tx_key", lambda l, r: l("l_returnflag") != "N")])
+    return j.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_partkey", "l_suppkey",
+                    "tx_key", "side")
 
 
 @register("join_range_spine", """
@@ -263,30 +269,48 @@ def join_on_date(spark, sf_dir):
                     "block_date")
 
 
-@register("join_preference", """
-WITH p1 AS (SELECT l_partkey AS asset_id, CAST(l_shipdate AS DATE) AS date,
-                   avg(l_extendedprice / l_quantity) AS price
-            FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2),
-p2 AS (SELECT l_partkey AS asset_id, CAST(l_shipdate AS DATE) AS date,
-              avg(l_extendedprice / l_quantity) AS price
-       FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1, 2),
-k AS (SELECT asset_id, date FROM p1 UNION SELECT asset_id, date FROM p2)
-SELECT k.asset_id, k.date,
-       floor(CASE WHEN p1.price IS NOT NULL THEN p1.price ELSE p2.price END * 10000 + 0.5) / 10000 AS price,
-       CASE WHEN p1.price IS NOT NULL THEN 'first' ELSE 'second' END AS provider
-FROM k LEFT JOIN p1 ON k.asset_id = p1.asset_id AND k.date = p1.date
-       LEFT JOIN p2 ON k.asset_id = p2.asset_id AND k.date = p2.date
+# Fixed parameter: the hour to which both providers' prices are carried.
+PRICE_HOUR = "2024-01-31 23:00:00"
+
+
+def _imputed_sql(name: str, odd: int) -> str:
+    return f"""
+{name}_own AS (SELECT event_type AS asset_id, date_trunc('hour', ts) AS hour, avg(value) AS price FROM events
+               WHERE user_id % 2 = {odd} GROUP BY 1, 2),
+{name} AS (
+  SELECT g.asset_id, g.hour, p.price IS NULL AS imputed,
+         LAST_VALUE(p.price IGNORE NULLS) OVER (PARTITION BY g.asset_id ORDER BY g.hour ROWS UNBOUNDED PRECEDING) AS price
+  FROM grid g LEFT JOIN {name}_own p ON g.asset_id = p.asset_id AND g.hour = p.hour)"""
+
+
+@register("join_preference", f"""
+WITH grid AS (
+  SELECT e.event_type AS asset_id, h.hour FROM (SELECT DISTINCT event_type FROM events) e
+  CROSS JOIN (SELECT unnest(generate_series((SELECT date_trunc('hour', min(ts)) FROM events), TIMESTAMP '{PRICE_HOUR}',
+                                            INTERVAL 1 HOUR)) AS hour) h),
+{_imputed_sql('cg', 0)}, {_imputed_sql('cmc', 1)},
+j AS (SELECT g.asset_id, g.hour, a.price AS ap, CASE WHEN a.price IS NOT NULL THEN a.imputed END AS ai,
+             b.price AS bp, CASE WHEN b.price IS NOT NULL THEN b.imputed END AS bi
+      FROM grid g LEFT JOIN cg a ON g.asset_id = a.asset_id AND g.hour = a.hour
+                  LEFT JOIN cmc b ON g.asset_id = b.asset_id AND g.hour = b.hour)
+SELECT asset_id, hour,
+       floor(CASE WHEN ai = FALSE THEN ap WHEN bi = FALSE THEN bp WHEN ai = TRUE THEN ap WHEN bi = TRUE THEN bp END * 10000 + 0.5) / 10000
+         AS price,
+       CASE WHEN ai = FALSE THEN ai WHEN bi = FALSE THEN bi WHEN ai = TRUE THEN ai WHEN bi = TRUE THEN bi END AS is_imputed
+FROM j WHERE COALESCE(ai, bi) IS NOT NULL
 """)
 def join_preference(spark, sf_dir):
-    li = T(spark, sf_dir).lineitem.select("l_partkey", "l_shipdate", "l_quantity", "l_extendedprice",
-                                          "l_returnflag")
-    base = li.select(F.col("l_partkey").alias("asset_id"), F.to_date("l_shipdate").alias("date"),
-                     (F.col("l_extendedprice") / F.col("l_quantity")).alias("p"), "l_returnflag")
-    p1 = base.where(F.col("l_returnflag") == "N").groupBy("asset_id", "date").agg(F.avg("p").alias("p1"))
-    p2 = base.where(F.col("l_returnflag") != "N").groupBy("asset_id", "date").agg(F.avg("p").alias("p2"))
-    j = p1.join(p2, ["asset_id", "date"], "full")   # the key grid is the union of both providers
-    price, provider = P.preference([("first", F.col("p1")), ("second", F.col("p2"))])
-    return j.select("asset_id", "date", S.round_half_up(price, 4).alias("price"), provider.alias("provider"))
+    """Two providers' hourly prices, each carried over its gaps: observed before imputed, the
+    first provider before the second."""
+    e = T(spark, sf_dir).events.select("event_type", "ts", "user_id", "value")
+
+    def provider(odd: int):
+        own = e.where(F.col("user_id") % 2 == odd).groupBy(
+            F.col("event_type").alias("asset_id"), S.trunc_ts("hour", "ts").alias("hour")).agg(F.avg("value").alias("price"))
+        return P.impute_on_grid(own, ["asset_id"], "hour", "price", F.lit(PRICE_HOUR).cast("timestamp_ntz"), "1 HOUR")
+
+    out = P.prefer_observed(provider(0), provider(1), ["asset_id", "hour"], "price")
+    return out.select("asset_id", "hour", S.round_half_up("price", 4).alias("price"), "is_imputed")
 
 
 @register("two_pass_match", """

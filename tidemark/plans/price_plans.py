@@ -150,43 +150,59 @@ def win_stddev_trim(spark, sf_dir):
         F.col("sd").isNull().alias("single_trade"))
 
 
+# Fixed parameter: the as-of day to which reserves and prices are carried.
+AS_OF = "2002-01-31"
+
+
 @register("price_from_reserves", f"""
-WITH li AS (SELECT 's' || CAST(l_suppkey AS VARCHAR) AS pool, CAST(l_shipdate AS DATE) AS date,
+WITH li AS (SELECT 's' || CAST(l_suppkey AS VARCHAR) AS pool, CAST(l_shipdate AS DATE) AS date, l_linenumber,
                    CAST(round(l_extendedprice * (1.0 - l_discount) * 10000) AS BIGINT) AS native_units,
                    l_quantity AS token, l_extendedprice / l_quantity AS unit FROM lineitem),
-d AS (SELECT pool, date, sum(native_units) AS dn, sum(token) AS dt FROM li GROUP BY 1, 2),
-r AS (SELECT pool, date, CAST(sum(dn) OVER (PARTITION BY pool ORDER BY date) AS DOUBLE) / 10000.0 AS base_reserve,
-             sum(dt) OVER (PARTITION BY pool ORDER BY date) AS quote_reserve FROM d),
+legs AS (SELECT pool, date, 'native' AS asset, CAST(native_units AS DOUBLE) AS amount FROM li WHERE l_linenumber % 2 = 0
+         UNION ALL SELECT pool, date, 'token', token FROM li WHERE l_linenumber % 2 = 1),
+d AS (SELECT pool, asset, date, sum(amount) AS delta FROM legs GROUP BY 1, 2, 3),
+r AS (SELECT pool, asset, date, sum(delta) OVER (PARTITION BY pool, asset ORDER BY date) AS balance FROM d),
+spine AS (SELECT pool, asset, CAST(unnest(generate_series(min(date), GREATEST(max(date), DATE '{AS_OF}'), INTERVAL 1 DAY)) AS DATE) AS date
+          FROM d GROUP BY pool, asset),
+dense AS (SELECT s.pool, s.asset, s.date, LAST_VALUE(r.balance IGNORE NULLS) OVER (
+            PARTITION BY s.pool, s.asset ORDER BY s.date ROWS UNBOUNDED PRECEDING) AS balance
+          FROM spine s LEFT JOIN r ON s.pool = r.pool AND s.asset = r.asset AND s.date = r.date),
+piv AS (SELECT pool, date, max(CASE WHEN asset = 'native' THEN balance END) / 10000.0 AS base_reserve,
+               max(CASE WHEN asset = 'token' THEN balance END) AS quote_reserve
+        FROM dense WHERE pool NOT IN (SELECT 's' || CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal < 0) GROUP BY 1, 2),
 bp AS (SELECT date, avg(unit) / 1000.0 AS base_price FROM li GROUP BY 1),
-p AS (SELECT r.*, CASE WHEN round(quote_reserve) = 0 THEN 0.0
-                       ELSE base_reserve / NULLIF(quote_reserve, 0) END AS price_in_base, bp.base_price
-      FROM r LEFT JOIN bp ON r.date = bp.date)
+p AS (SELECT piv.*, CASE WHEN round(quote_reserve) = 0 THEN 0.0 ELSE base_reserve / NULLIF(quote_reserve, 0) END AS price_in_base,
+             bp.base_price
+      FROM piv JOIN bp ON piv.date = bp.date WHERE base_reserve > 0 AND quote_reserve > 0)
 SELECT pool, date, base_reserve, quote_reserve,
        {_hu('price_in_base', 6)} AS price_in_base, {_hu('price_in_base * base_price', 4)} AS price_usd
 FROM p
 """)
 def price_from_reserves(spark, sf_dir):
-    """Pool = supplier; its two reserves are the native amount received and the goods
-    quantity shipped (running sums from the ledger job); price = ratio x base price.
+    """Pool = supplier; its reserves are the native amount received on even lines and the goods
+    quantity shipped on odd ones, so most days move one of them alone: both are dense daily
+    balances up to the as-of day.  Suppliers in debt are the excluded pools.
 
     Amounts are carried in integer ten-thousandths, so reserve sums are exact whatever
     the summation order (a ratio can sit exactly on a rounding tie)."""
-    li = T(spark, sf_dir).lineitem.select("l_suppkey", "l_shipdate", "l_extendedprice", "l_discount",
-                                          "l_quantity")
-    pool = F.concat(F.lit("s"), F.col("l_suppkey").cast("string"))
-    units = F.round(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) * 10000).cast("long")
-    legs = li.select(pool.alias("address"), F.col("l_shipdate").alias("ts"),
-                     F.inline(F.array(
-                         F.struct(F.lit("native").alias("asset"), units.cast("double").alias("amount")),
-                         F.struct(F.lit("token").alias("asset"), F.col("l_quantity").alias("amount")))))
-    sums = ledger.period_sums(legs, ["address", "asset"], F.to_date("ts"))
-    bal = ledger.running_balance(sums, ["address", "asset"]).withColumnRenamed("period", "date") \
-                .withColumn("balance", F.when(F.col("asset") == "native", F.col("balance") / 10000.0)
-                                        .otherwise(F.col("balance")))
+    t = T(spark, sf_dir)
+    li = t.lineitem.select("l_suppkey", "l_shipdate", "l_linenumber", "l_extendedprice", "l_discount", "l_quantity")
+    name = lambda c: F.concat(F.lit("s"), F.col(c).cast("string"))
+    units = F.round(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) * 10000)
+    native = F.col("l_linenumber") % 2 == 0
+    legs = li.select(name("l_suppkey").alias("pool"), F.col("l_shipdate").alias("ts"),
+                     F.when(native, "native").otherwise("token").alias("asset"),
+                     F.when(native, units).otherwise(F.col("l_quantity")).alias("amount"))
+    sums = ledger.period_sums(legs, ["pool", "asset"], F.to_date("ts"))
+    dense = ledger.densify(ledger.running_balance(sums, ["pool", "asset"]), ["pool", "asset"], "day",
+                           F.lit(AS_OF).cast("date"))
+    bal = dense.withColumn("balance", F.when(F.col("asset") == "native", F.col("balance") / 10000.0)
+                                       .otherwise(F.col("balance")))
     base = li.groupBy(F.to_date("l_shipdate").alias("date")).agg(
         (F.avg(F.col("l_extendedprice") / F.col("l_quantity")) / 1000.0).alias("base_price"))
-    out = P.reserve_price(bal, "address", "date", "asset", "native", "token", base)
-    return out.select(F.col("address").alias("pool"), "date", "base_reserve", "quote_reserve",
+    debt = t.supplier.where(F.col("s_acctbal") < 0).select(name("s_suppkey").alias("pool"))
+    out = P.reserve_price(bal, "pool", "date", "asset", "native", "token", base, debt)
+    return out.select("pool", "date", "base_reserve", "quote_reserve",
                       S.round_half_up("price_in_base", 6).alias("price_in_base"),
                       S.round_half_up("price_usd", 4).alias("price_usd"))
 
@@ -195,25 +211,22 @@ def price_from_reserves(spark, sf_dir):
 WITH t AS (SELECT p.p_brand AS brand, CAST(l.l_shipdate AS DATE) AS date,
                   avg(l.l_extendedprice / l.l_quantity) AS price
            FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1, 2),
-r AS (SELECT brand, min(date) AS lo, max(date) AS hi FROM t GROUP BY 1),
-g AS (SELECT brand, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM r),
-j AS (SELECT g.brand, g.date, t.price FROM g LEFT JOIN t ON g.brand = t.brand AND g.date = t.date)
-SELECT brand, date,
-       {_hu('LAST_VALUE(price IGNORE NULLS) OVER (PARTITION BY brand ORDER BY date ROWS UNBOUNDED PRECEDING)')}
-         AS price,
-       price IS NULL AS imputed
-FROM j
+g AS (SELECT brand, CAST(unnest(generate_series((SELECT min(date) FROM t), DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE) AS date
+      FROM (SELECT DISTINCT brand FROM t)),
+j AS (SELECT g.brand, g.date, t.price FROM g LEFT JOIN t ON g.brand = t.brand AND g.date = t.date),
+f AS (SELECT brand, date, price IS NULL AS imputed,
+             LAST_VALUE(price IGNORE NULLS) OVER (PARTITION BY brand ORDER BY date ROWS UNBOUNDED PRECEDING) AS price
+      FROM j)
+SELECT brand, date, {_hu('price')} AS price, imputed FROM f WHERE price IS NOT NULL
 """)
 def price_impute(spark, sf_dir):
-    """Daily price per brand on its dense day grid; gaps carry the last price, flagged."""
+    """Daily price per brand on the calendar that all brands share; gaps carry the last price,
+    flagged."""
     t = T(spark, sf_dir)
     li = t.lineitem.select("l_partkey", "l_shipdate", "l_extendedprice", "l_quantity")
     p = t.part.select("p_partkey", "p_brand")
     daily = li.join(p, li.l_partkey == p.p_partkey).groupBy(
         F.col("p_brand").alias("brand"), F.to_date("l_shipdate").alias("date")).agg(
         F.avg(F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
-    r = daily.groupBy("brand").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    grid = r.select("brand", F.explode(F.sequence("lo", "hi")).alias("date"))
-    j = grid.join(daily, ["brand", "date"], "left")
-    filled = P.impute_forward(j, ["brand"], "date", "price")
+    filled = P.impute_on_grid(daily, ["brand"], "date", "price", F.lit(AS_OF).cast("date"), "1 DAY")
     return filled.select("brand", "date", S.round_half_up("price", 4).alias("price"), "imputed")

@@ -53,14 +53,19 @@ def scan_path_partition(spark, sf_dir):
     return raw.select("event_id", files.path_date().alias("path_date"))
 
 
-@register("scan_file_metadata", None)
+@register("scan_file_metadata", """
+SELECT event_id, CAST(ts AS DATE) AS file_date, true AS has_arrival_time FROM events
+""")
 def scan_file_metadata(spark, sf_dir):
     """Arrival time per record = its file's modification time; newest file wins."""
     raw = files.read_json_folder(spark, event_json_folder(spark, sf_dir), EVENT_JSON_SCHEMA)
     m = files.with_file_metadata(raw)
-    return (m.groupBy("event_id")
-             .agg(F.max_by("_file_path", F.struct("_file_modified", "_file_path")).alias("file_path"),
-                  F.max("_file_modified").alias("_inserted_timestamp")))
+    newest = m.groupBy("event_id").agg(
+        F.max_by("_file_path", F.struct("_file_modified", "_file_path")).alias("file_path"),
+        F.max("_file_modified").alias("_inserted_timestamp"))
+    part = [F.regexp_extract("file_path", f"/{n}=([0-9]+)/", 1).cast("int") for n in ("year", "month", "day")]
+    return newest.select("event_id", F.make_date(*part).alias("file_date"),
+                         F.col("_inserted_timestamp").isNotNull().alias("has_arrival_time"))
 
 
 @register("scan_partition_pruned", """

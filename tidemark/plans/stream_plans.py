@@ -8,7 +8,7 @@ from ..functions.address import decode_address, encode_address_columns
 from ..session import scratch_path
 from ..streaming import jobs
 from . import register
-from .common import LEGS_SQL, TRANSFERS_SQL, T, transfers
+from .common import LEGS_SQL, TRANSFERS_SQL, T, transactions, transfers
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
 # Fixed parameters: first landing = events before the cut (with stale values), second
@@ -88,7 +88,7 @@ def stream_running_balance(spark, sf_dir):
     amount and time); each address's balances are redone from its first new day on.  Equals
     the batch rebuild."""
     from ..operators import ledger
-    legs = ledger.ledger_legs(transfers(T(spark, sf_dir)), ledger.default_legs()) \
+    legs = ledger.ledger_legs(transactions(T(spark, sf_dir)), ledger.default_legs()) \
                  .select("address", "ts", "amount")
     landing, ckpt = scratch_path(spark, "landing-legs"), scratch_path(spark, "ckpt-balance")
     out, state = scratch_path(spark, "balances"), scratch_path(spark, "balance-state")
