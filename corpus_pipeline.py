@@ -35,8 +35,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids under merge-dropout; ``text`` is what the ids decode to."""
     ship_package(spark)
-    coded = pieces.encode(docs, column="ids").drop("text")
-    return pieces.decode(coded, column="ids", into="text").withColumn("n_ids", F.size("ids"))
+    return pieces.recode(docs, column="ids").withColumn("n_ids", F.size("ids"))
 
 
 STAGES = [("toxicity", drop_toxic), ("simhash_near_dedup", drop_near_duplicates),

@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ SEED = 17
 #: Segmentations that one chunk can have under one seed; a text's hash picks its variant.
 VARIANTS = 4
 #: Chunks that a task remembers, at most.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Longer chunks are merged one by one with a heap.
 IN_STEP = 40
 _SPACE, _CHUNK = "▁", re.compile(r" *[^ \n]+| +|\n")
@@ -222,34 +223,42 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: list[dict[str, int]] = [{} for _ in range(self.variants)]
-        self.flat, self.starts, self.lens = [], [], []
-        self.used = 0
-
-    def _learn(self, variant: int, chunks: list[str]) -> None:
-        own = self.known[variant]
-        keys = np.array([xxhash.xxh64_intdigest(c.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant)
-                         for c in chunks], np.uint64)
-        lens = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        out: list[list[int]] = [[]] * len(chunks)
-        short = np.flatnonzero(lens <= IN_STEP)
-        for n in np.unique(lens[short]):
-            rows = short[lens[short] == n]
-            joined = "".join([chunks[i] for i in rows])
-            chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(rows), n)
-            for own_rows, sym in segment_in_step(self.vocab, chars, keys[rows], self.dropout):
-                plain = (sym < self.vocab.size).all(1)
-                for r, s, p in zip(rows[own_rows].tolist(), sym.tolist(), plain.tolist()):
-                    out[r] = s if p else [x for y in s for x in self.vocab.bytes_of(y)]
-        for r in np.flatnonzero(lens > IN_STEP).tolist():
-            out[r] = [x for y in segment_one(self.vocab, chunks[r], keys[r], self.dropout)
-                      for x in self.vocab.bytes_of(y)]
-        at = len(self.lens)
-        own.update(zip(chunks, range(at, at + len(chunks))))
-        self.lens += map(len, out)
-        for ids in out:
-            self.starts.append(self.used)
-            self.used += len(ids)
-            self.flat += ids
+        self.flat, self.starts, self.lens = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, new: list[list[str]]) -> None:
+        """Segment chunks that are not known yet, given for each variant."""
+        size, at = self.vocab.size, len(self.lens)
+        chunks = [c for own in new for c in own]
+        keys = np.array([xxhash.xxh64_intdigest(c.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + v)
+                         for v, own in enumerate(new) for c in own], np.uint64)
+        chars = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        found: list[tuple[np.ndarray, np.ndarray]] = []  # chunk numbers, their ids (one length)
+        odd: list[tuple[int, list[int]]] = []            # chunk number, symbols with unknown characters
+        for n in np.unique(chars[chars <= IN_STEP]):
+            rows = np.flatnonzero(chars == n)
+            joined = "".join([chunks[i] for i in rows.tolist()])
+            points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(rows), n)
+            for own, sym in segment_in_step(self.vocab, points, keys[rows], self.dropout):
+                plain = (sym < size).all(1)
+                found.append((rows[own[plain]], sym[plain]))
+                odd += zip(rows[own[~plain]].tolist(), sym[~plain].tolist())
+        odd += [(r, segment_one(self.vocab, chunks[r], keys[r], self.dropout))
+                for r in np.flatnonzero(chars > IN_STEP).tolist()]
+        for r, sym in odd:
+            ids = [x for y in sym for x in self.vocab.bytes_of(y)]
+            found.append((np.array([r]), np.array([ids])))
+        lens = np.zeros(len(chunks), np.int64)
+        for rows, ids in found:
+            lens[rows] = ids.shape[1]
+        starts = np.cumsum(lens) - lens
+        flat = np.empty(int(lens.sum()), np.int32)
+        for rows, ids in found:
+            flat[starts[rows][:, None] + np.arange(ids.shape[1])] = ids
+        for v, own in enumerate(new):
+            self.known[v].update(zip(own, range(at, at + len(own))))
+            at += len(own)
+        self.starts = np.concatenate([self.starts, starts + len(self.flat)])
+        self.flat, self.lens = np.concatenate([self.flat, flat]), np.concatenate([self.lens, lens])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): text i has ids[offsets[i]:offsets[i + 1]]."""
@@ -265,18 +274,26 @@ class Encoder:
             if again or len(self.lens) + sum(map(len, new)) <= REMEMBERED:
                 break
             self._forget()
-        for v, chunks in enumerate(new):
-            if chunks:
-                self._learn(v, sorted(chunks))
-        flat, starts, lens = np.array(self.flat, np.int32), np.array(self.starts, np.int64), np.array(self.lens, np.int64)
-        offsets, parts = [0], []
-        for chunks, v in zip(cut, pick):
-            at = np.fromiter(map(self.known[v].__getitem__, chunks), np.int64, len(chunks))
-            n = lens[at]
-            total = int(n.sum())
-            parts.append(flat[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(total)])
-            offsets.append(offsets[-1] + total)
-        return np.array(offsets, np.int32), np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        if any(new):
+            self._learn([list(s) for s in new])
+        at = np.fromiter((i for chunks, v in zip(cut, pick) for i in map(self.known[v].__getitem__, chunks)),
+                         np.int64, sum(map(len, cut)))
+        n = self.lens[at]
+        ends = np.cumsum(n)
+        ids = self.flat[np.repeat(self.starts[at] - (ends - n), n) + np.arange(int(n.sum()))]
+        words = np.cumsum([0, *map(len, cut)])
+        return np.r_[0, ends][words].astype(np.int32), ids
+
+
+@lru_cache(maxsize=2)
+def encoder_for(path: str, dropout: float, seed: int, variants: int) -> Encoder:
+    """The worker's own encoder: later tasks go on with what it remembers."""
+    return Encoder(path, dropout, seed, variants)
+
+
+@lru_cache(maxsize=2)
+def surface_of(path: str) -> list[bytes]:
+    return Vocabulary(path).surface
 
 
 def decode_ids(surface: list[bytes], ids: list[int]) -> str:
@@ -285,7 +302,7 @@ def decode_ids(surface: list[bytes], ids: list[int]) -> str:
     return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
@@ -303,9 +320,8 @@ def encode(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: i
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encoder = encoder_for(path, dropout, seed, variants)
         for b in _slices(batches):
-            encoder = encoder or Encoder(path, dropout, seed, variants)
             offsets, ids = encoder.encode(b.column(at).to_pylist())
             out = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
             yield pa.RecordBatch.from_arrays([*b.columns, out], names=[*b.schema.names, column])
@@ -321,23 +337,46 @@ def decode(encoded: DataFrame, path: str = MODEL, column: str = "ids", into: str
     at = encoded.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        surface = None
+        surface = surface_of(path)
         for b in _slices(batches):
-            surface = surface or Vocabulary(path).surface
             texts = [None if x is None else decode_ids(surface, x) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, into])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(into, T.StringType())]))
 
 
+def recode(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED,
+           variants: int = VARIANTS, column: str = "ids") -> DataFrame:
+    """``docs`` with the piece ids of its text, and ``text`` replaced by what they decode to.
+
+    :func:`encode` and :func:`decode` in one pass, so a task needs one Python worker.  Null
+    and empty texts have no ids and come out empty.
+    """
+    if column in docs.columns:
+        raise ValueError(f"docs has a column {column!r} already")
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_for(path, dropout, seed, variants)
+        for b in _slices(batches):
+            offsets, ids = encoder.encode(b.column(at).to_pylist())
+            listed = ids.tolist()
+            texts = pa.array([decode_ids(encoder.vocab.surface, listed[i:j]) for i, j in zip(offsets, offsets[1:])], pa.string())
+            columns = [texts if i == at else c for i, c in enumerate(b.columns)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))],
+                                             names=[*b.schema.names, column])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.ArrayType(T.IntegerType()))])
+    return docs.mapInArrow(run, schema)
+
+
 def encoded_documents(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, ids, n_ids, decoded_sha256, lossless) for every row of ``docs``.
 
     lossless: the text decoded from the ids has the digest of the text itself (null: empty).
     """
-    own = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ids = encode(own, **options).select("doc_id", "ids", F.sha2("text", 256).alias("sha256"))
-    path = {k: v for k, v in options.items() if k == "path"}
-    return (decode(ids, **path).select("doc_id", "ids", F.size("ids").alias("n_ids"),
-                                       F.sha2("decoded", 256).alias("decoded_sha256"), "sha256")
-            .select("doc_id", "ids", "n_ids", "decoded_sha256", (F.col("sha256") == F.col("decoded_sha256")).alias("lossless")))
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    own = own.withColumn("sha256", F.sha2("text", 256))
+    decoded = F.sha2("text", 256)
+    return recode(own, **options).select("doc_id", "ids", F.size("ids").alias("n_ids"), decoded.alias("decoded_sha256"),
+                                         (F.col("sha256") == decoded).alias("lossless"))
