@@ -70,8 +70,6 @@ QUERIES = {
 }
 
 ORACLES = {
-    "op6_licenses": license_scan,
-    "op7_fingerprints": prefix_fingerprints,
     "op8_url_filter": r"""
 WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
