@@ -4,6 +4,7 @@ land in one task."""
 
 import contextlib
 import io
+import re
 
 import pytest
 
@@ -27,10 +28,14 @@ def test_no_nested_loop_join(spark, name):
 
 
 def test_ledger_aggregates_before_the_key_shuffle(spark):
-    p = plan(E.queries()["ledger_daily_balance"](spark, SF))
+    p = plan(E.queries()["ledger_running_balance"](spark, SF))
     # partial sums per (address, day) happen below the first exchange
     first_exchange = p.rindex("Exchange hashpartitioning")
     assert "partial_sum" in p[first_exchange:]
+    # and the account table only meets what was summed already
+    p = plan(E.queries()["ledger_daily_balance"](spark, SF))
+    assert re.search(r"Exchange hashpartitioning\(address#\d+, period#\d+.*?partial_sum", p, re.S)
+    assert p.index("LeftSemi") < p.index("partial_sum")
 
 
 def test_filters_and_columns_reach_the_scan(spark):
