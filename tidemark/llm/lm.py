@@ -29,11 +29,13 @@ shuffled; only rare words and sums by document are.
 from __future__ import annotations
 
 import base64
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -51,12 +53,14 @@ HEAVY, KEEP = 20, 20
 SCORED, CONTEXT = 48, 16
 WINDOW = SCORED + CONTEXT
 DIMS, CLASSES, LANDMARKS = 16, 48, 64
+#: Words of a training window.
+BLOCK = 24
 EVERY, ROUNDS, BATCH, RATE = 8, 4, 16, 0.02
 #: Off each distinct word's count, off each kept step's count, and onto each id's count.
 RECALL_DISCOUNT, DISCOUNT, SMOOTH = 0.75, 0.8, 0.02
 #: Weight of copying a word that the document had before.
 COPY = 0.1
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 
 
 def is_held_out(doc_id: int | None, modulus: int, remainder: int) -> bool:
@@ -69,11 +73,24 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.Re
             yield b.slice(at, rows)
 
 
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(codes, ends, distinct) of a batch: text i has the words distinct[codes[ends[i - 1]:ends[i]]].
+
+    The same words as :func:`words_of` gives, without an object for each.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten()
+    full = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    ends = np.r_[0, np.cumsum(full)][lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
+    coded = words.filter(pa.array(full)).dictionary_encode()
+    return coded.indices.to_numpy(), ends, coded.dictionary.cast(pa.binary())
+
+
 class Subwords:
     """Words (UTF-8 bytes) to byte-level BPE ids; remembers a bounded number of words.
 
-    With a base distribution it also remembers each word's log probability of being spelled
-    and its recalled share (NaN for words that are not broadcast).
+    With a base distribution it also remembers each word's probability of being spelled, and
+    its recalled share and base score (NaN and 0 for words that are not broadcast).
     """
 
     def __init__(self, path: str = RANKS, base: Base | None = None):
@@ -89,25 +106,33 @@ class Subwords:
     def forget(self) -> None:
         self.place: dict[bytes, int] = {}
         self.ids, self.starts, self.lens = (np.zeros(0, np.int64) for _ in range(3))
-        self.spell, self.recall = np.zeros(0), np.zeros(0)
+        self.spelled, self.recall, self.unigram = np.zeros(0), np.zeros(0), np.zeros(0)
 
-    def places(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        """For each text, its words' places among the remembered words."""
-        new = set().union(*texts).difference(self.place) if texts else set()
-        if len(self.place) + len(new) > REMEMBERED:
+    def look_up(self, words: list[bytes]) -> np.ndarray:
+        """The places of distinct words among the remembered ones; new ones are learned."""
+        new = [w for w in words if w not in self.place]
+        if new and len(self.place) + len(new) > REMEMBERED:
             self.forget()
-            new = set().union(*texts)
+            new = words
         if new:
             coded = [self.encode(" " + w.decode("utf-8", "replace")) for w in new]
             lens = np.fromiter(map(len, coded), np.int64, len(coded))
             ids = np.fromiter((i for c in coded for i in c), np.int64, int(lens.sum()))
             starts = np.cumsum(lens) - lens
             if self.base:
-                self.spell = np.r_[self.spell, self.base.spell(ids, starts, lens)]
-                self.recall = np.r_[self.recall, self.base.words.share(list(new))]
+                shares = self.base.words
+                n = shares.count(new)
+                self.spelled = np.r_[self.spelled, shares.spelled * np.exp(self.base.spell(ids, starts, lens))]
+                self.recall = np.r_[self.recall, np.where(n > 0, (n - RECALL_DISCOUNT) / max(shares.tokens, 1), np.nan)]
+                self.unigram = np.r_[self.unigram, np.where(n > 0, np.log10((n + 1) / shares.space), 0)]
             self.place.update(zip(new, range(len(self.lens), len(self.lens) + len(new))))
             self.starts = np.r_[self.starts, starts + len(self.ids)]
             self.ids, self.lens = np.r_[self.ids, ids], np.r_[self.lens, lens]
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+    def places(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """For each text, its words' places among the remembered words."""
+        self.look_up(list(set().union(*texts)) if texts else [])
         get = self.place.__getitem__
         return [np.fromiter(map(get, ws), np.int64, len(ws)) for ws in texts]
 
@@ -151,17 +176,15 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 def word_counts(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
     """(word, n) over the training documents; the null word counts the texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 4096):
-            counts: dict[bytes | None, int] = {}
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if not is_held_out(d, modulus, remainder):
-                    counts[None] = counts.get(None, 0) + 1
-                    for w in words_of(t or ""):
-                        counts[w] = counts.get(w, 0) + 1
-            yield pa.record_batch([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
+        for b in slices(batches, 2048):
+            used = b.filter(pa.array([not is_held_out(d, modulus, remainder) for d in b.column(0).to_pylist()], pa.bool_()))
+            codes, _, distinct = split_words(used.column(1))
+            yield pa.record_batch([pa.concat_arrays([distinct, pa.nulls(1, pa.binary())]),
+                                   pa.array(np.r_[np.bincount(codes, minlength=len(distinct)), used.num_rows].astype(np.int64))],
                                   names=["word", "n"])
 
-    return docs.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = docs.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return counts.where("n > 0")
 
 
 class WordShares:
@@ -195,9 +218,10 @@ class WordShares:
         out[hit] = self.n[at[hit]]
         return out
 
-    def share(self, words: list[bytes]) -> np.ndarray:
-        n = self.count(words)
-        return np.where(n > 0, (n - RECALL_DISCOUNT) / max(self.tokens, 1), np.nan)
+    @property
+    def space(self) -> int:
+        """The base score's denominator."""
+        return self.tokens + self.distinct + 1
 
 
 def hashes(words: list[bytes], seed: int) -> np.ndarray:
@@ -306,24 +330,36 @@ class Base:
 # --- vectors and classes of ids ---------------------------------------------------------
 
 def train_windows(docs: DataFrame, modulus: int, remainder: int, path: str) -> DataFrame:
-    """(ids, begins, nth): windows of the training documents, one of ``EVERY`` by hash; begins:
-    whether a word or the end begins at the step (1) or a word goes on (0)."""
+    """(ids, begins, nth): windows of the training documents, one of ``EVERY`` by hash.
+
+    A window is ``BLOCK`` words (cut after WINDOW steps) behind one word of context, or END at
+    the text's start; the last one ends with END.  begins: whether a word or the end begins at
+    the step (1), or a word goes on or is context (0).
+    """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = Subwords(path)
-        for b in slices(batches):
-            texts = [words_of(t or "") for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                     if not is_held_out(d, modulus, remainder)]
-            out = [[], [], []]
-            for ws, at in zip(texts, sub.places(texts)):
+        for b in slices(batches, 512):
+            picked_, parts = [], []
+            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if is_held_out(d, modulus, remainder):
+                    continue
+                ws = words_of(t or "")
                 seed = zlib.crc32(b" ".join(ws[:64]))
-                ids, steps = sub.text(at)
-                begins = np.zeros(len(ids) - 1, np.int64)
-                begins[steps] = 1
-                for i in range(0, len(begins), WINDOW):
+                for i in range(0, max(1, len(ws)), BLOCK):
                     h = zlib.crc32(b"%d %d" % (seed, i))
                     if h % EVERY == 0:
-                        for column, x in zip(out, (ids[i:i + WINDOW + 1], begins[i:i + WINDOW], h // EVERY % ROUNDS)):
-                            column.append(x)
+                        parts.append(ws[max(0, i - 1):i + BLOCK])
+                        picked_.append((i, i + BLOCK >= len(ws), h // EVERY % ROUNDS))
+            out = [[], [], []]
+            for at, (i, last, nth) in zip(sub.places(parts), picked_):
+                ids, steps = sub.text(at)
+                context = sub.lens[at[0]] if i else 0      # the word before is not predicted
+                begins = np.zeros(len(ids) - 1, np.int64)
+                begins[steps[(steps >= context) & (last | (steps < len(ids) - 2))]] = 1
+                ids = ids if last else ids[:-1]
+                low = 1 if i else 0
+                for column, x in zip(out, (ids[low:low + WINDOW + 1], begins[low:len(ids) - 1][:WINDOW], nth)):
+                    column.append(x)
             kinds = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], names=["ids", "begins", "nth"])
 
@@ -394,7 +430,7 @@ def vectors_and_classes(counts: np.ndarray, frequency: np.ndarray, starts: np.nd
 
 # --- the attention layer ----------------------------------------------------------------
 
-SHAPES = {"q": (DIMS, DIMS), "k": (DIMS, DIMS), "v": (DIMS, DIMS), "r": (WINDOW,), "o": (2 * DIMS + 1, CLASSES)}
+SHAPES = {"q": (DIMS, DIMS), "k": (DIMS, DIMS), "v": (DIMS, DIMS), "o": (2 * DIMS + 1, CLASSES)}
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 
 
@@ -406,6 +442,10 @@ def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+#: _CAUSAL[t, s]: 1 where step t may see the id before step s.
+_CAUSAL = np.tri(WINDOW, dtype=np.float32)
+
+
 def first_weights() -> np.ndarray:
     rng, flat = np.random.default_rng(3), np.zeros(SIZE, np.float32)
     w = unpack(flat)
@@ -427,17 +467,17 @@ class Layer:
     def attend(self, ids: np.ndarray, valid: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
         """What the steps ``at`` of each window see; ids[:, t] precedes step t."""
         w, x = self.w, self.vectors[ids]
-        own = np.take_along_axis(x, at[:, :, None], 1)
-        gap = at[:, :, None] - np.arange(ids.shape[1])
+        own = x[np.arange(len(ids))[:, None], at]
         q, k, v = own @ (w["q"] * np.float32(DIMS ** -0.5)), x @ w["k"], x @ w["v"]
         a = q @ k.transpose(0, 2, 1)
-        a += w["r"][np.maximum(gap, 0)]
-        np.clip(a, -15, 15, out=a)
+        np.minimum(a, 15, out=a)
         np.exp(a, out=a)
-        a *= (gap >= 0) & valid[:, None, :]
-        a /= a.sum(2, keepdims=True) + np.float32(1e-9)
-        h = np.concatenate([a @ v, own, np.ones((*own.shape[:2], 1), np.float32)], 2)
-        return {"x": x, "own": own, "gap": gap, "q": q, "k": k, "v": v, "a": a, "h": h}
+        a *= _CAUSAL[at]
+        if not valid.all():
+            a *= valid[:, None, :]
+        a *= 1 / (a.sum(2, keepdims=True) + np.float32(1e-9))
+        h = np.concatenate([a @ v, own, np.ones((*own.shape[:2], 1), own.dtype)], 2)
+        return {"x": x, "own": own, "q": q, "k": k, "v": v, "a": a, "h": h}
 
     def classed(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(s, masses times exp(s), their sum) by class for rows of ``h``."""
@@ -467,7 +507,6 @@ class Layer:
         dv = f["a"].transpose(0, 2, 1) @ do
         da = do @ f["v"].transpose(0, 2, 1)
         da = f["a"] * (da - (da * f["a"]).sum(2, keepdims=True))
-        g["r"][:] = np.bincount(np.maximum(f["gap"], 0).ravel(), da.ravel(), WINDOW)
         g["q"][:] = np.tensordot(f["own"], da @ f["k"], ((0, 1), (0, 1))) * DIMS ** -0.5
         g["k"][:] = np.tensordot(f["x"], da.transpose(0, 2, 1) @ f["q"], ((0, 1), (0, 1)))  # q is scaled
         g["v"][:] = np.tensordot(f["x"], dv, ((0, 1), (0, 1)))
@@ -483,13 +522,17 @@ def picked(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def padded(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     """(ids, valid, at, targets, used) of a batch of windows of up to WINDOW + 1 ids."""
-    ids, targets = (np.full((b.num_rows, WINDOW), END, np.int64) for _ in range(2))
-    valid, wanted = (np.zeros((b.num_rows, WINDOW), bool) for _ in range(2))
-    for i, (x, begins) in enumerate(zip(b.column("ids").to_pylist(), b.column("begins").to_pylist())):
-        n = len(begins)
-        ids[i, :n], targets[i, :n], valid[i, :n], wanted[i, :n] = x[:-1], x[1:], True, begins
+    flat, begins = b.column("ids").flatten().to_numpy(), b.column("begins").flatten().to_numpy()
+    starts, marks = (b.column(c).offsets.to_numpy() for c in ("ids", "begins"))
+    starts, marks = starts - starts[0], marks - marks[0]
+    valid = np.arange(WINDOW) < np.diff(marks)[:, None]
+    step = np.where(valid, np.arange(WINDOW), 0)
+    place = starts[:-1, None] + step
+    wanted = np.zeros(valid.shape, bool)
+    wanted[valid] = begins > 0
     at, used = picked(wanted)
-    return ids, valid, at, np.take_along_axis(targets, at, 1), used
+    ids = np.where(valid, flat[place], END)
+    return ids, valid, at, np.take_along_axis(np.where(valid, flat[place + valid], END), at, 1), used
 
 
 def train(windows: DataFrame, vectors: np.ndarray, mass: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -525,11 +568,7 @@ class Model:
 
     def __init__(self, base: Base, flat, vectors, mass, classes):
         self.base, self.flat, self.vectors, self.mass, self.classes = base, flat, vectors, mass, classes
-
-    @property
-    def space(self) -> int:
-        """The base score's denominator."""
-        return self.base.words.tokens + self.base.words.distinct + 1
+        self.token = uuid.uuid4().hex  # tells models apart in workers
 
 
 class Scorer:
@@ -542,13 +581,17 @@ class Scorer:
     def scores(self, texts: list[list[bytes]]) -> Iterator[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
         """For each text: the log probability of its end and its broadcast words; its words'
         recalled shares r; and a and b, with p = a r + b for every word."""
-        base, places = self.model.base, self.sub.places(texts)
+        return self.scored(self.sub.places(texts))
+
+    def scored(self, places: list[np.ndarray]) -> Iterator[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
+        """:func:`scores` of texts whose words' places are known."""
+        base = self.model.base
         for at, gain in zip(places, self._gains([self.sub.text(at) for at in places])):
             r, own = self.sub.recall[at], np.exp(gain[:-1])
             copied = earlier(at) / np.maximum(np.arange(len(at)), 1)
             keep = np.where(np.arange(len(at)) > 0, 1 - COPY, 1.0)
             a = keep * own
-            b = a * base.words.spelled * np.exp(self.sub.spell[at]) + COPY * copied
+            b = a * self.sub.spelled[at] + COPY * copied
             known = ~np.isnan(r)
             last = gain[-1] + base.log_end + (np.log1p(-COPY) if len(at) else 0.0)
             yield float(last + np.log(a[known] * r[known] + b[known]).sum()), r, a, b
@@ -566,6 +609,10 @@ class Scorer:
         windows = -(-sizes // SCORED)
         owner = np.repeat(np.arange(len(sizes)), windows)
         first = before[owner] + SCORED * (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows))
+        # Windows that ask about equally many steps go together: little is padded.
+        asked = np.r_[0, np.cumsum(wanted)]
+        order = np.argsort(asked[np.minimum(first + SCORED, ends[owner])] - asked[first], kind="stable")
+        first, owner = first[order], owner[order]
         for g in range(0, len(first), 128):
             own = owner[g:g + 128]
             step = first[g:g + 128, None] - CONTEXT + np.arange(WINDOW)
@@ -581,6 +628,17 @@ class Scorer:
         return np.split(gains[steps], np.cumsum([len(s) for _, s in parts])[:-1])
 
 
+_SCORER: list = [None, None]
+
+
+def scorer_of(shared, path: str) -> Scorer:
+    """The worker's own scorer of a broadcast model: later tasks go on with the words it knows."""
+    model = shared.value
+    if _SCORER[0] != (model.token, path):
+        _SCORER[:] = [(model.token, path), Scorer(model, path)]
+    return _SCORER[1]
+
+
 def earlier(at: np.ndarray) -> np.ndarray:
     """How often each entry occurred before."""
     order = np.argsort(at, kind="stable")
@@ -622,21 +680,27 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, path:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, nth = shared.value, TaskContext.get().partitionId() << 40
-        scorer, shares = Scorer(model, path), model.base.words
-        for b in slices(batches, 64):
-            texts, out = [words_of(t or "") for t in b.column(1).to_pylist()], []
-            for d, words, (s, r, a, c) in zip(b.column(0).to_pylist(), texts, scorer.scores(texts)):
+        scorer, shares = scorer_of(shared, path), model.base.words
+        end = float(np.log10((shares.texts + 1) / shares.space))
+        for b in slices(batches, 128):
+            codes, ends, distinct = split_words(b.column(1))
+            at = np.split(scorer.sub.look_up(distinct.to_pylist())[codes], ends[:-1])
+            out, rares, one, two = [], [], [], []
+            for d, own, places, (s, r, a, c) in zip(b.column(0).to_pylist(), np.split(codes, ends[:-1]), at, scorer.scored(at)):
                 rare = np.flatnonzero(np.isnan(r))
-                common = np.r_[r[~np.isnan(r)] * shares.tokens + RECALL_DISCOUNT, shares.texts]
-                out.append((nth, d, is_held_out(d, modulus, remainder), len(words) + 1,
-                            len(common) - 1 + (shares.texts > 0), float(np.log10((np.rint(common) + 1) / model.space).sum()),
-                            s, [words[i] for i in rare], np.log(a[rare]).astype(np.float32), np.log(c[rare]).astype(np.float32)))
+                out.append((nth, d, is_held_out(d, modulus, remainder), len(own) + 1,
+                            len(own) - len(rare) + (shares.texts > 0), float(scorer.sub.unigram[places].sum()) + end, s))
+                rares.append(own[rare])
+                one.append(np.log(a[rare]).astype(np.float32))
+                two.append(np.log(c[rare]).astype(np.float32))
                 nth += 1
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+            offsets = pa.array(np.cumsum([0, *map(len, rares)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, x) for x in (
+                distinct.take(pa.array(np.concatenate(rares))), pa.array(np.concatenate(one)), pa.array(np.concatenate(two)))]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*out), kinds)), *lists], names=names)
 
     names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "a", "b"]
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-             pa.list_(pa.binary()), pa.list_(pa.float32()), pa.list_(pa.float32())]
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
     scored = materialise(own.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, n_known long, "
                                         "base_score double, score double, rare array<binary>, a array<float>, b array<float>"), "lm-scores")
     # A rare word holds less than 2 ** -HEAVY of the tokens: no key of this join is frequent.
@@ -646,7 +710,7 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, path:
     parts = (scored.select("row", F.explode(F.arrays_zip(F.col("rare").alias("word"), "a", "b")).alias("x"))
              .select("row", "x.word", "x.a", "x.b").join(shares.few(counts), "word", "left")
              .groupBy("row").agg(F.count("n").alias("more_known"),
-                                 F.sum(F.log10((n + 1) / F.lit(float(model.space)))).alias("more_base"),
+                                 F.sum(F.log10((n + 1) / F.lit(float(model.base.words.space)))).alias("more_base"),
                                  F.sum(F.log(F.exp(F.col("a").cast("double")) * recalled + F.exp(F.col("b").cast("double")))).alias("more")))
     return (scored.drop("rare", "a", "b").join(parts, "row", "left")
             .select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
