@@ -80,12 +80,13 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, total, found = Terms(), 0, np.zeros(SLOTS, np.int64)
         for b in blocks_of(batches):
+            held = [np.zeros(0, np.int64)]
             for text in b.column(0).to_pylist():
                 slots = slots_of(terms.of(text))
                 if len(slots):
-                    pairs = np.unique(np.arange(len(slots)) // HALF * SLOTS + slots)
-                    found += np.bincount(pairs % SLOTS, minlength=SLOTS)
+                    held.append(np.unique(np.arange(len(slots)) // HALF * SLOTS + slots) % SLOTS)
                     total += -(-len(slots) // HALF)
+            found += np.bincount(np.concatenate(held), minlength=SLOTS)
         at = np.flatnonzero(found)
         yield pa.record_batch([pa.array(np.r_[at, -1].astype(np.int32)), pa.array(np.r_[found[at], total])],
                               names=["slot", "n"])
