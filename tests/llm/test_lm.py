@@ -132,3 +132,22 @@ def test_nulls_empties_long_and_repeats(spark):
     assert math.isclose(by[103][0].score, by[103][1].score, rel_tol=1e-6)  # single precision inside
     assert all(math.isfinite(r.score) for r in got)
     assert lm.score_documents(df.limit(0)).count() == 0
+
+
+def test_training_sees_every_id_once(spark):
+    rows = [(i, " ".join(f"word{i} unpronounceable{j}x{'abc' * (j % 40)}" for j in range(i * 7 % 90)) or None) for i in range(60)]
+    rows += [(100, "https://example.org/" + "q1w2e3" * 400 + " tail"), (None, "no id")]
+    got = lm.train_windows(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 7, 2, lm.RANKS).collect()
+    sub = lm.Subwords()
+    texts = [(t or "").encode().lower().split() for d, t in rows if not lm.is_held_out(d, 7, 2)]
+    want = Counter()
+    for at in sub.places(texts):
+        want.update(sub.text(at)[0][1:].tolist())
+    seen = Counter()
+    for r in got:
+        assert len(r.ids) == len(r.begins) + 1 <= lm.WINDOW + 1 and 0 <= r.nth < lm.ROUNDS
+        new = len(r.begins) if r.ids[0] == lm.END else len(r.begins) - lm.CONTEXT
+        assert sum(r.begins[:len(r.begins) - new]) == 0
+        seen.update(r.ids[-new:])
+    assert seen == want
+    assert sum(sum(r.begins) for r in got) == sum(len(t) + 1 for t in texts)

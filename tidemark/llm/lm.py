@@ -17,9 +17,9 @@ enter the layer as vectors from their co-occurrence with frequent ids (a Spark j
 A second head copies: with weight ``COPY`` (0.1) it looks at all words of the document
 before, evenly, and gives its weight to the words found there.
 
-Training.  Of every training document, one window of ``EVERY`` (8) is learned from, picked
-by hash, so what is learned from grows with the corpus.  Each task makes its own steps
-from the shared weights; their mean, weighted by windows, is the next round's start.
+Training.  All windows of all training documents are learned from, each in the round that
+its hash picks.  Each task makes its own steps from the shared weights; their mean, weighted
+by windows, is the next round's start.
 
 Scoring.  Windows of 64 ids overlap by 16 that are context only, so every id is scored
 once; a batch of windows goes through the masked attention together.  Documents are never
@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, words_of
+from .common import materialise, words_of  # noqa: F401
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -53,9 +53,7 @@ HEAVY, KEEP = 20, 20
 SCORED, CONTEXT = 48, 16
 WINDOW = SCORED + CONTEXT
 DIMS, CLASSES, LANDMARKS = 16, 48, 64
-#: Words of a training window.
-BLOCK = 24
-EVERY, ROUNDS, BATCH, RATE = 8, 4, 16, 0.02
+ROUNDS, BATCH, RATE = 4, 16, 0.02
 #: Off each distinct word's count, off each kept step's count, and onto each id's count.
 RECALL_DISCOUNT, DISCOUNT, SMOOTH = 0.75, 0.8, 0.02
 #: Weight of copying a word that the document had before.
@@ -330,38 +328,38 @@ class Base:
 # --- vectors and classes of ids ---------------------------------------------------------
 
 def train_windows(docs: DataFrame, modulus: int, remainder: int, path: str) -> DataFrame:
-    """(ids, begins, nth): windows of the training documents, one of ``EVERY`` by hash.
+    """(ids, begins, nth): the training documents in windows, each step of a text in one of them.
 
-    A window is ``BLOCK`` words (cut after WINDOW steps) behind one word of context, or END at
-    the text's start; the last one ends with END.  begins: whether a word or the end begins at
-    the step (1), or a word goes on or is context (0).
+    As in scoring, a window is SCORED steps behind CONTEXT steps that are context only, and the
+    ids before and after them; a text's first id and its last are END.  begins: whether a word
+    or the end begins at the step (1), or a word goes on or is context (0).  nth: the round
+    that learns from the window, by hash.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = Subwords(path)
-        for b in slices(batches, 512):
-            picked_, parts = [], []
-            for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if is_held_out(d, modulus, remainder):
-                    continue
-                ws = words_of(t or "")
-                seed = zlib.crc32(b" ".join(ws[:64]))
-                for i in range(0, max(1, len(ws)), BLOCK):
-                    h = zlib.crc32(b"%d %d" % (seed, i))
-                    if h % EVERY == 0:
-                        parts.append(ws[max(0, i - 1):i + BLOCK])
-                        picked_.append((i, i + BLOCK >= len(ws), h // EVERY % ROUNDS))
-            out = [[], [], []]
-            for at, (i, last, nth) in zip(sub.places(parts), picked_):
-                ids, steps = sub.text(at)
-                context = sub.lens[at[0]] if i else 0      # the word before is not predicted
-                begins = np.zeros(len(ids) - 1, np.int64)
-                begins[steps[(steps >= context) & (last | (steps < len(ids) - 2))]] = 1
-                ids = ids if last else ids[:-1]
-                low = 1 if i else 0
-                for column, x in zip(out, (ids[low:low + WINDOW + 1], begins[low:len(ids) - 1][:WINDOW], nth)):
-                    column.append(x)
-            kinds = [pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32()]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(out, kinds)], names=["ids", "begins", "nth"])
+        for b in slices(batches):
+            used = b.filter(pa.array([not is_held_out(d, modulus, remainder) for d in b.column(0).to_pylist()], pa.bool_()))
+            if not used.num_rows:
+                continue
+            codes, ends, distinct = split_words(used.column(1))
+            parts = [sub.text(at) for at in np.split(sub.look_up(distinct.to_pylist())[codes], ends[:-1])]
+            sizes = np.array([len(ids) - 1 for ids, _ in parts])
+            before = np.cumsum(sizes + 1) - (sizes + 1)
+            seeds = np.array([zlib.crc32(ids[:WINDOW].tobytes()) for ids, _ in parts], np.uint64)
+            ids = np.concatenate([x for x, _ in parts])
+            begins = np.zeros(len(ids), np.int64)
+            begins[np.concatenate([steps + f for (_, steps), f in zip(parts, before)])] = 1
+            windows = -(-sizes // SCORED)
+            owner = np.repeat(np.arange(len(sizes)), windows)
+            k = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+            low = np.maximum(SCORED * k - CONTEXT, 0)
+            lens = np.minimum(SCORED * (k + 1), sizes[owner]) - low
+            step = ragged(before[owner] + low, lens)
+            marks = np.where(step >= np.repeat(before[owner] + SCORED * k, lens), begins[step], 0)
+            lists = [pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(x)) for n, x in (
+                (lens + 1, ids[ragged(before[owner] + low, lens + 1)]), (lens, marks))]
+            nth = (mix(seeds[owner] + (k.astype(np.uint64) << np.uint64(32))) % np.uint64(ROUNDS)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*lists, pa.array(nth)], names=["ids", "begins", "nth"])
 
     return docs.mapInArrow(cut, "ids array<long>, begins array<long>, nth int")
 
@@ -372,7 +370,7 @@ def cooccurrence(windows: DataFrame, landmarks: np.ndarray) -> np.ndarray:
     place[landmarks] = np.arange(len(landmarks))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((VOCAB, len(landmarks)), np.float32)
+        out = np.zeros((VOCAB, len(landmarks)))
         for b in slices(batches, 1024):
             ids = b.column(0).flatten().to_numpy()
             owner = np.repeat(np.arange(b.num_rows), np.diff(b.column(0).offsets.to_numpy()))
