@@ -73,3 +73,43 @@ def test_spans_and_extensions():
 def test_leading_zero_code_points_count():
     a, b = (P.PrefixHash.of(P.code_points(t)) for t in ("\0", "\0\0"))
     assert a.fingerprint() != b.fingerprint() and a.at[0][1] != b.at[0][2]
+
+
+def brute_shared(a, b):
+    def covered(x, y):
+        m = min(len(x), len(y))
+        p = next((k for k in range(m) if x[k] != y[k]), m)
+        s = min(next((k for k in range(m) if x[-1 - k] != y[-1 - k]), m), m - p)
+        has = {y[j:j + P.SPAN] for j in range(len(y) - P.SPAN + 1)}
+        inside = set(range(p)) | set(range(len(x) - s, len(x)))
+        for i in range(len(x) - P.SPAN + 1):
+            if x[i:i + P.SPAN] in has:
+                inside.update(range(i, i + P.SPAN))
+        return len(inside)
+    return min(covered(a, b), covered(b, a)) / max(len(a), len(b)) if a or b else 1.0
+
+
+def test_shared_part_resumes_after_differences():
+    rnd = random.Random(3)
+    hashed = lambda t: P.PrefixHash.of(P.code_points(t))
+    words = [f"w{i}é" for i in range(300)]
+    base = " ".join(rnd.choice(words) for _ in range(200))
+    near, shared = hashed(base).compare(hashed("#" + base[1:-1] + "#"))
+    assert near == 0 and shared > 0.99
+    for _ in range(60):
+        other = list(base)
+        for _ in range(rnd.randrange(12)):
+            at = rnd.randrange(len(other))
+            other[at:at + rnd.randrange(3)] = rnd.choice(["", "x", "yz"])
+        other = "".join(other)
+        x, y = hashed(base), hashed(other)
+        assert x.compare(y) == (x.likeness(y), brute_shared(base, other)) and y.compare(x) == x.compare(y)
+    for a, b in [("", ""), ("", "abc"), ("x" * 16, "x" * 1000), ("ab" * 40, "b" + "ab" * 30), ("q" * 15, "r" + "q" * 14), (base, base * 2)]:
+        assert hashed(a).compare(hashed(b))[1] == brute_shared(a, b)
+
+
+def test_near_next_copies_with_two_edits_are_shared(spark):
+    text = " ".join(f"word{i}" for i in range(400))
+    docs = spark.createDataFrame([(2, text), (1, "A" + text[1:900] + "?" + text[901:-1] + "Z")], "doc_id long, text string")
+    got = {r.doc_id: r for r in P.fingerprint_documents(docs).collect()}
+    assert got[2].near_next == 0 and got[2].shared_next > 0.98 and got[1].shared_next == got[2].shared_next

@@ -5,7 +5,8 @@ points modulo two primes.  Two look-ups and a shift by a power of the base compa
 spans, of one text or of two; a binary search over such comparisons gives the longest
 common extension at any pair of places.  The fingerprint is the hash of the whole with the
 length; the likeness of two fingerprinted texts is the share of the longer one that their
-longest common prefix and suffix cover.
+longest common prefix and suffix cover.  The shared part resumes after each difference: it
+also counts every code point in a span of ``SPAN`` that the other text has as well.
 
 To pair every document with the next one (descending doc_id, the last with the first),
 rows are dealt to ranges of doc_id whose split points are approximate quantiles (a bounded
@@ -30,17 +31,19 @@ PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 #: Ranges of doc_id for each shuffle partition; their number is never above MOST_RANGES.
 RANGES_EACH, MOST_RANGES = 4, 8192
+#: Code points of the shortest span between differences that counts as shared.
+SPAN = 16
 
 
 class Powers:
     """Powers of the bases, as far as a task has needed them."""
 
-    def __init__(self):
-        self.of = [np.ones(1, np.int64) for _ in PRIMES]
+    def __init__(self, bases: tuple[int, ...] = BASES):
+        self.bases, self.of = bases, [np.ones(1, np.int64) for _ in PRIMES]
 
     def upto(self, n: int) -> list[np.ndarray]:
         while len(self.of[0]) <= n:
-            for k, (p, b) in enumerate(zip(PRIMES, BASES)):
+            for k, (p, b) in enumerate(zip(PRIMES, self.bases)):
                 have = self.of[k]
                 step = pow(b, len(have), p)
                 self.of[k] = np.concatenate([have, have * step % p])
@@ -48,6 +51,7 @@ class Powers:
 
 
 _POWERS = Powers()
+_INVERSES = Powers(tuple(pow(b, -1, p) for p, b in zip(PRIMES, BASES)))
 
 
 def code_points(text: str) -> np.ndarray:
@@ -59,6 +63,7 @@ class PrefixHash:
 
     def __init__(self, at: list[np.ndarray]):
         self.at, self.n = at, len(at[0]) - 1
+        self._spans: tuple[np.ndarray, np.ndarray] | None = None
 
     @classmethod
     def of(cls, points: np.ndarray) -> PrefixHash:
@@ -98,22 +103,60 @@ class PrefixHash:
             low, high = (mid, high) if self.same(self.n - mid, other, other.n - mid, mid) else (low, mid - 1)
         return low
 
+    def ends(self, other: PrefixHash) -> tuple[int, int]:
+        """Lengths of the common prefix and of the common suffix behind it."""
+        head = self.common_extension(0, other, 0)
+        return head, min(self.common_suffix(other), min(self.n, other.n) - head)
+
     def likeness(self, other: PrefixHash) -> float:
         """Share of the longer text in the common prefix and suffix; two empty texts: 1."""
-        longer = max(self.n, other.n)
+        return sum(self.ends(other)) / max(self.n, other.n) if max(self.n, other.n) else 1.0
+
+    def spans(self) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, starts) of all spans of ``SPAN`` code points, ordered by hash."""
+        if self._spans is None:
+            n, keys = max(0, self.n - SPAN + 1), np.int64(0)
+            inverses = _INVERSES.upto(n)
+            for a, p, inverse in zip(self.at, PRIMES, inverses):
+                keys = (keys << 31) + (a[SPAN:] - a[:n]) % p * inverse[:n] % p if n else np.zeros(0, np.int64)
+            order = np.argsort(keys)
+            self._spans = keys[order], order
+        return self._spans
+
+    def covered(self, other: PrefixHash, head: int, tail: int) -> int:
+        """Code points here in the first ``head``, the last ``tail`` or a span that ``other`` has."""
+        (keys, starts), (theirs, _) = self.spans(), other.spans()
+        if len(theirs):
+            starts = starts[theirs[np.searchsorted(theirs, keys).clip(max=len(theirs) - 1)] == keys]
+        else:
+            starts = starts[:0]
+        change = np.zeros(self.n + 1, np.int64)
+        change[starts] += 1
+        change[starts + SPAN] -= 1
+        inside = np.cumsum(change)[:self.n] > 0
+        inside[:head] = inside[self.n - tail:] = True
+        return int(inside.sum())
+
+    def compare(self, other: PrefixHash) -> tuple[float, float]:
+        """(likeness, shared part): shared is what spans, prefix and suffix cover, in the text
+        of which they cover less, as a share of the longer text; two empty texts: 1."""
+        short, longer = sorted((self.n, other.n))
         if not longer:
-            return 1.0
-        head = self.common_extension(0, other, 0)
-        return min(head + self.common_suffix(other), min(self.n, other.n)) / longer
+            return 1.0, 1.0
+        head, tail = self.ends(other)
+        if head + tail == short:
+            return short / longer, short / longer
+        both = min(self.covered(other, head, tail), other.covered(self, head, tail))
+        return (head + tail) / longer, both / longer
 
     def fingerprint(self) -> str:
         return f"{self.n:x}-" + "".join(f"{int(a[-1]):08x}" for a in self.at)
 
 
 _OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double")
+        "near_edited double, near_next double, shared_edited double, shared_next double")
 _NAMES = [c.split()[0] for c in _OUT.split(", ")]
-_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
 
 
 def _compare(doc_id, text: str, points: np.ndarray, own: PrefixHash, next_text: str, next_hash: PrefixHash) -> tuple:
@@ -121,8 +164,9 @@ def _compare(doc_id, text: str, points: np.ndarray, own: PrefixHash, next_text:
     kept, given = text[:len(points) - half], next_text[:half]
     edited = own.extended(len(points) - half, code_points(given))
     digest = hashlib.sha256((kept + given).encode("utf-8", "surrogatepass")).hexdigest()
+    (near_edited, shared_edited), (near_next, shared_next) = own.compare(edited), own.compare(next_hash)
     return (doc_id, len(points), digest, own.fingerprint(), edited.fingerprint(),
-            own.likeness(edited), own.likeness(next_hash))
+            near_edited, near_next, shared_edited, shared_next)
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +188,8 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next).
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    shared_edited, shared_next).
 
     The edited text: the last floor(n / 2) code points replaced by the first as many (or
     all) of the next document in descending doc_id; after the last comes the first, and a
