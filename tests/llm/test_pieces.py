@@ -73,3 +73,28 @@ def test_documents(spark):
         pieces.encode(docs, column="n_ids")
     back = pieces.decode(spark.createDataFrame([(None,), ([],)], "ids array<int>")).collect()
     assert [r.decoded for r in back] == [None, ""]
+
+
+def test_every_occurrence_has_its_own_dropout(monkeypatch):
+    """One word repeated in one text is segmented in many ways, each as merging it alone gives."""
+    monkeypatch.setattr(pieces, "TOGETHER", 37)
+    enc, plain = pieces.Encoder(), pieces.Encoder(dropout=0)
+    word = "internationalisation"
+    ids = ids_of(enc, [" ".join([word] * 400)])[0]
+    assert pieces.decode_ids(enc.vocab.surface, ids) == " ".join([word] * 400)
+    ways, now = set(), []
+    for i in [*ids, None]:
+        if i is None or now and enc.vocab.surface[i][:1] == b" ":
+            ways.add(tuple(now))
+            now = []
+        now.append(i)
+    assert len(ways) > 20 and tuple(ids_of(plain, [word])[0]) in ways
+    chunks, keys = [" the", " standard", " measures", " a", " ñé"] * 50, np.arange(250, dtype=np.uint64) * np.uint64(7919)
+    enc._learn(sorted(set(chunks) - set(enc.known)))
+    at = np.array([enc.known[c] for c in chunks])
+    other = enc._differs(at, keys, np.array([len(c) for c in chunks]))
+    assert 0 < other.sum() < len(other)
+    for c, k, a, o in zip(chunks, keys, at, other):
+        if not o:
+            own = [x for y in pieces.segment_one(enc.vocab, c, k, enc.dropout) for x in enc.vocab.bytes_of(y)]
+            assert own == enc.flat[enc.starts[a]:enc.starts[a] + enc.lens[a]].tolist()

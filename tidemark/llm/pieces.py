@@ -3,15 +3,16 @@
 A text is cut where no piece of the vocabulary can reach: before a run of spaces and at
 line ends.  Each chunk starts as single characters (characters without a piece of their
 own as bytes) and is merged by an agenda, best score first, the left one of equals.  A
-candidate merge is skipped when a hash keyed by seed, text variant, chunk and the
-candidate's place falls below the dropout rate; a skipped candidate never returns, though
+candidate merge is skipped when a hash keyed by seed, text, the chunk's place in the text and
+the candidate's place falls below the dropout rate; a skipped candidate never returns, though
 later merges may make others of its parts.  With dropout 0 the result is the tokenizer's
 own segmentation.
 
 A candidate's fate depends on its identity alone, so popping it from the agenda and
 skipping it is the same as never entering it.  That lets all chunks of one length be
 merged in step in numpy: one best candidate for every chunk a round.  Each task remembers
-chunks it has merged (bounded).  The tokenizer file is read on the executors by its path.
+(bounded) the undropped merge of a chunk and the candidates that it meets; it holds for every
+occurrence that skips none of them, all other occurrences are merged on their own.  The tokenizer file is read on the executors by its path.
 """
 
 from __future__ import annotations
@@ -31,12 +32,12 @@ from pyspark.sql import types as T
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 17
-#: Segmentations that one chunk can have under one seed; a text's hash picks its variant.
-VARIANTS = 4
 #: Chunks that a task remembers, at most.
 REMEMBERED = 250_000
 #: Longer chunks are merged one by one with a heap.
 IN_STEP = 40
+#: Occurrences whose dropout is looked at together, at most.
+TOGETHER = 1 << 17
 _SPACE, _CHUNK = "▁", re.compile(r" *[^ \n]+| +|\n")
 _NONE = np.int64(1) << 62
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -128,23 +129,36 @@ class Vocabulary:
         return [self.byte[b] for b in chr(symbol - self.size).encode("utf-8", "surrogatepass")]
 
 
-def dropped(keys: np.ndarray, start, mid, end, dropout: float) -> np.ndarray:
-    """Whether the candidate merge of [start, mid) and [mid, end) is skipped, by keyed hash."""
-    place = (np.asarray(start, np.uint64) << np.uint64(42)) ^ (np.asarray(mid, np.uint64) << np.uint64(21)) \
+def place_of(start, mid, end) -> np.ndarray:
+    return (np.asarray(start, np.uint64) << np.uint64(42)) ^ (np.asarray(mid, np.uint64) << np.uint64(21)) \
         ^ np.asarray(end, np.uint64)
+
+
+def dropped_at(keys: np.ndarray, place: np.ndarray, dropout: float) -> np.ndarray:
     h = _mix(_mix(np.atleast_1d(keys ^ (np.atleast_1d(place) * _ODD))) + _ODD)
     return (h >> np.uint64(11)).astype(float) < dropout * float(1 << 53)
 
 
-def segment_in_step(vocab: Vocabulary, chars: np.ndarray, keys: np.ndarray, dropout: float
-                    ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Merge rows of equal length together: [(row numbers, their symbols)]."""
+def dropped(keys: np.ndarray, start, mid, end, dropout: float) -> np.ndarray:
+    """Whether the candidate merge of [start, mid) and [mid, end) is skipped, by keyed hash."""
+    return dropped_at(keys, place_of(start, mid, end), dropout)
+
+
+def segment_in_step(vocab: Vocabulary, chars: np.ndarray, keys: np.ndarray, dropout: float,
+                    seen: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Merge rows of equal length together: [(row numbers, their symbols)].
+
+    ``seen`` gets the (row numbers, places) of the candidates that were met.
+    """
     rows, n = np.arange(len(chars)), chars.shape[1]
     sym = vocab.first[chars]
     start = np.broadcast_to(np.arange(n + 1), (len(rows), n + 1))
 
-    def candidates(a, b, key, s, m, e):
+    def candidates(a, b, row, key, s, m, e):
         ids, rank = vocab.merge(a, b)
+        if seen is not None:
+            live = rank < _NONE
+            seen.append((row[live], place_of(s, m, e)[live]))
         if dropout:
             rank = np.where((rank < _NONE) & dropped(key, s, m, e, dropout), _NONE, rank)
         return ids, rank
@@ -152,7 +166,7 @@ def segment_in_step(vocab: Vocabulary, chars: np.ndarray, keys: np.ndarray, drop
     done = []
     if n == 1:
         return [(rows, sym)]
-    into, rank = candidates(sym[:, :-1].ravel(), sym[:, 1:].ravel(), np.repeat(keys, n - 1),
+    into, rank = candidates(sym[:, :-1].ravel(), sym[:, 1:].ravel(), np.repeat(rows, n - 1), np.repeat(keys, n - 1),
                             start[:, :-2].ravel(), start[:, 1:-1].ravel(), start[:, 2:].ravel())
     into, rank = into.reshape(-1, n - 1), rank.reshape(-1, n - 1)
     while True:
@@ -176,7 +190,7 @@ def segment_in_step(vocab: Vocabulary, chars: np.ndarray, keys: np.ndarray, drop
         for at in (j - 1, j):
             ok = np.flatnonzero((at >= 0) & (at < width - 2))
             k = at[ok]
-            into[ok, k], rank[ok, k] = candidates(sym[ok, k], sym[ok, k + 1], keys[ok], start[ok, k],
+            into[ok, k], rank[ok, k] = candidates(sym[ok, k], sym[ok, k + 1], rows[ok], keys[ok], start[ok, k],
                                                   start[ok, k + 1], start[ok, k + 2])
 
 
@@ -214,23 +228,22 @@ def segment_one(vocab: Vocabulary, chunk: str, key: np.uint64, dropout: float) -
 
 
 class Encoder:
-    """Encodes texts; remembers chunks (with variant) it has merged."""
+    """Encodes texts; remembers the undropped merge of chunks and the candidates it meets."""
 
-    def __init__(self, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED):
         self.vocab, self.dropout, self.seed = Vocabulary(path), dropout, seed
-        self.variants = variants if dropout else 1
         self._forget()
 
     def _forget(self) -> None:
-        self.known: list[dict[str, int]] = [{} for _ in range(self.variants)]
+        self.known: dict[str, int] = {}
         self.flat, self.starts, self.lens = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        #: Places of the candidates that chunk i meets: places[first[i]:first[i] + met[i]].
+        self.places, self.first, self.met = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, new: list[list[str]]) -> None:
-        """Segment chunks that are not known yet, given for each variant."""
-        size, at = self.vocab.size, len(self.lens)
-        chunks = [c for own in new for c in own]
-        keys = np.array([xxhash.xxh64_intdigest(c.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + v)
-                         for v, own in enumerate(new) for c in own], np.uint64)
+    def _segment(self, chunks: list[str], keys: np.ndarray, dropout: float, seen: list | None = None
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, lens) of chunks with their keys."""
+        size = self.vocab.size
         chars = np.fromiter(map(len, chunks), np.int64, len(chunks))
         found: list[tuple[np.ndarray, np.ndarray]] = []  # chunk numbers, their ids (one length)
         odd: list[tuple[int, list[int]]] = []            # chunk number, symbols with unknown characters
@@ -238,11 +251,14 @@ class Encoder:
             rows = np.flatnonzero(chars == n)
             joined = "".join([chunks[i] for i in rows.tolist()])
             points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(rows), n)
-            for own, sym in segment_in_step(self.vocab, points, keys[rows], self.dropout):
+            met: list | None = None if seen is None else []
+            for own, sym in segment_in_step(self.vocab, points, keys[rows], dropout, met):
                 plain = (sym < size).all(1)
                 found.append((rows[own[plain]], sym[plain]))
                 odd += zip(rows[own[~plain]].tolist(), sym[~plain].tolist())
-        odd += [(r, segment_one(self.vocab, chunks[r], keys[r], self.dropout))
+            if seen is not None:
+                seen += [(rows[own], place) for own, place in met]
+        odd += [(r, segment_one(self.vocab, chunks[r], keys[r], dropout))
                 for r in np.flatnonzero(chars > IN_STEP).tolist()]
         for r, sym in odd:
             ids = [x for y in sym for x in self.vocab.bytes_of(y)]
@@ -254,41 +270,65 @@ class Encoder:
         flat = np.empty(int(lens.sum()), np.int32)
         for rows, ids in found:
             flat[starts[rows][:, None] + np.arange(ids.shape[1])] = ids
-        for v, own in enumerate(new):
-            self.known[v].update(zip(own, range(at, at + len(own))))
-            at += len(own)
+        return flat, starts, lens
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Merge chunks that are not known yet without dropout."""
+        seen: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+        flat, starts, lens = self._segment(chunks, np.zeros(len(chunks), np.uint64), 0, seen)
+        rows, places = (np.concatenate(x) for x in zip(*seen))
+        met = np.bincount(rows, minlength=len(chunks))
+        self.known.update(zip(chunks, range(len(self.lens), len(self.lens) + len(chunks))))
+        self.first = np.r_[self.first, np.cumsum(met) - met + len(self.places)]
+        self.places, self.met = np.r_[self.places, places[np.argsort(rows, kind="stable")]], np.r_[self.met, met]
         self.starts = np.concatenate([self.starts, starts + len(self.flat)])
         self.flat, self.lens = np.concatenate([self.flat, flat]), np.concatenate([self.lens, lens])
 
+    def _differs(self, at: np.ndarray, keys: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """Whether occurrences of known chunks skip a candidate of the undropped merge (or are long)."""
+        out = chars > IN_STEP
+        for i in range(0, len(at), TOGETHER):
+            own = at[i:i + TOGETHER]
+            met = self.met[own]
+            pick = np.repeat(self.first[own] - (np.cumsum(met) - met), met) + np.arange(int(met.sum()))
+            owner = np.repeat(np.arange(i, i + len(own)), met)
+            out[owner[dropped_at(keys[owner], self.places[pick], self.dropout)]] = True
+        return out
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): text i has ids[offsets[i]:offsets[i + 1]]."""
         # One space goes before a text, as the tokenizer adds it; decoding takes it off.
         cut = [_CHUNK.findall(" " + t) if t else [] for t in texts]
-        pick = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), self.seed) % self.variants if t else 0
-                for t in texts]
-        for again in (False, True):
-            new: list[set[str]] = [set() for _ in range(self.variants)]
-            for chunks, v in zip(cut, pick):
-                new[v].update(chunks)
-            new = [s.difference(self.known[v]) for v, s in enumerate(new)]
-            if again or len(self.lens) + sum(map(len, new)) <= REMEMBERED:
-                break
+        words = np.cumsum([0, *map(len, cut)])
+        chunks = [c for own in cut for c in own]
+        new = set(chunks).difference(self.known)
+        if len(self.lens) + len(new) > REMEMBERED:
             self._forget()
-        if any(new):
-            self._learn([list(s) for s in new])
-        at = np.fromiter((i for chunks, v in zip(cut, pick) for i in map(self.known[v].__getitem__, chunks)),
-                         np.int64, sum(map(len, cut)))
-        n = self.lens[at]
+            new = set(chunks)
+        if new:
+            self._learn(list(new))
+        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        flat, starts, n = self.flat, self.starts[at], self.lens[at]
+        if self.dropout and chunks:
+            own = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), self.seed) if t else 0
+                            for t in texts], np.uint64)
+            nth = np.arange(len(chunks)) - np.repeat(words[:-1], np.diff(words))
+            keys = _mix(np.repeat(own, np.diff(words)) + nth.astype(np.uint64) * _ODD)
+            other = np.flatnonzero(self._differs(at, keys, np.fromiter(map(len, chunks), np.int64, len(chunks))))
+            for i in range(0, len(other), TOGETHER):
+                part = other[i:i + TOGETHER]
+                ids, begin, size = self._segment([chunks[j] for j in part.tolist()], keys[part], self.dropout)
+                starts[part], n[part] = begin + len(flat), size
+                flat = np.concatenate([flat, ids])
         ends = np.cumsum(n)
-        ids = self.flat[np.repeat(self.starts[at] - (ends - n), n) + np.arange(int(n.sum()))]
-        words = np.cumsum([0, *map(len, cut)])
+        ids = flat[np.repeat(starts - (ends - n), n) + np.arange(int(n.sum()))]
         return np.r_[0, ends][words].astype(np.int32), ids
 
 
 @lru_cache(maxsize=2)
-def encoder_for(path: str, dropout: float, seed: int, variants: int) -> Encoder:
+def encoder_for(path: str, dropout: float, seed: int) -> Encoder:
     """The worker's own encoder: later tasks go on with what it remembers."""
-    return Encoder(path, dropout, seed, variants)
+    return Encoder(path, dropout, seed)
 
 
 @lru_cache(maxsize=2)
@@ -309,7 +349,7 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
 
 
 def encode(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED,
-           variants: int = VARIANTS, column: str = "ids") -> DataFrame:
+           column: str = "ids") -> DataFrame:
     """``docs`` with an array column of piece ids of its text.
 
     Null and empty texts have no ids.  Equal texts have equal ids under one seed; other
@@ -320,7 +360,7 @@ def encode(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: i
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_for(path, dropout, seed, variants)
+        encoder = encoder_for(path, dropout, seed)
         for b in _slices(batches):
             offsets, ids = encoder.encode(b.column(at).to_pylist())
             out = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
@@ -346,7 +386,7 @@ def decode(encoded: DataFrame, path: str = MODEL, column: str = "ids", into: str
 
 
 def recode(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED,
-           variants: int = VARIANTS, column: str = "ids") -> DataFrame:
+           column: str = "ids") -> DataFrame:
     """``docs`` with the piece ids of its text, and ``text`` replaced by what they decode to.
 
     :func:`encode` and :func:`decode` in one pass, so a task needs one Python worker.  Null
@@ -357,7 +397,7 @@ def recode(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: i
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_for(path, dropout, seed, variants)
+        encoder = encoder_for(path, dropout, seed)
         for b in _slices(batches):
             offsets, ids = encoder.encode(b.column(at).to_pylist())
             listed = ids.tolist()
