@@ -38,12 +38,14 @@ def register(name: str, oracle: str | None):
 def _load_all() -> None:
     from . import (  # noqa: F401
         agg_plans,
+        asset_plans,
         dim_plans,
         filter_plans,
         incremental_plans,
         json_plans,
         join_plans,
         ledger_plans,
+        market_plans,
         price_plans,
         quality_plans,
         scalar_plans,
