@@ -44,7 +44,7 @@ COMMON = 1 << 20
 #: A pair's key is its A id above its B id in so many bits.
 LOW = (1 << 32) - 1
 #: Pieces that a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 MARK = "▁"
 #: How a byte-level vocabulary cuts a text before it merges (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -89,25 +89,31 @@ def _shown(ids: np.ndarray, end: str) -> np.ndarray:
     return have[ids]
 
 
-def _linked(t: Tokens) -> np.ndarray:
+def _ends(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """(all ends, the ends that both have), in order; two sorted runs merge in one stable sort."""
+    both = np.sort(np.concatenate([t.a_ends, t.b_ends]), kind="stable")
+    twice = both[1:] == both[:-1]
+    return both[np.concatenate([[True], ~twice])[:len(both)]], both[1:][twice]
+
+
+def _linked(t: Tokens, ends: np.ndarray) -> np.ndarray:
     """A key (A id, B id) for every pair of tokens whose byte ranges overlap.
 
     Between two neighbouring ends lies exactly one token of each; every step over an end
     changes the pair, so these stretches are the links.
     """
-    ends = np.union1d(t.a_ends, t.b_ends)
     return t.a[np.searchsorted(t.a_ends, ends)] << 32 | t.b[np.searchsorted(t.b_ends, ends)]
 
 
-def _group_texts(t: Tokens, cuts: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Strings that join to ``a1,a2|b1;a3|b2;`` and every token's place among them."""
+def _group_texts(t: Tokens, cuts: np.ndarray) -> list[str]:
+    """Strings that join to ``a1,a2|b1;a3|b2;``, one for each token."""
     of_a, of_b = np.searchsorted(cuts, t.a_ends), np.searchsorted(cuts, t.b_ends)
     at_a = np.arange(len(t.a)) + np.searchsorted(of_b, of_a, side="left")
     at_b = np.arange(len(t.b)) + np.searchsorted(of_a, of_b, side="right")
     out = np.empty(len(t.a) + len(t.b), object)
     out[at_a] = np.where(cuts[of_a] == t.a_ends, _shown(t.a, "|"), _shown(t.a, ","))
     out[at_b] = np.where(cuts[of_b] == t.b_ends, _shown(t.b, ";"), _shown(t.b, ","))
-    return out.tolist(), at_a, at_b
+    return out.tolist()
 
 
 @dataclass
@@ -125,7 +131,8 @@ class Closed:
         """The groups of tokens that begin at a cut and end at the last of ``cuts``."""
         if not len(cuts):
             return Closed()
-        return Closed(len(tokens.a), len(tokens.b), len(cuts), ["".join(_group_texts(tokens, cuts)[0])], [_linked(tokens)])
+        return Closed(len(tokens.a), len(tokens.b), len(cuts), ["".join(_group_texts(tokens, cuts))],
+                      [_linked(tokens, _ends(tokens)[0])])
 
     def __add__(self, other: Closed) -> Closed:
         return Closed(self.n_a + other.n_a, self.n_b + other.n_b, self.n_groups + other.n_groups,
@@ -151,7 +158,7 @@ class Fragment:
     @staticmethod
     def of(tokens: Tokens, ok: bool = True) -> Fragment:
         """The fragment of some consecutive tokens."""
-        cuts = np.intersect1d(tokens.a_ends, tokens.b_ends, assume_unique=True)
+        cuts = _ends(tokens)[1]
         if not len(cuts):
             return Fragment(tokens, ok=ok)
         a0, a1 = np.searchsorted(tokens.a_ends, cuts[[0, -1]], side="right")
@@ -325,14 +332,14 @@ class Pieces:
         n_a, n_b = (np.fromiter(map(len, x), np.int64, len(parts)) for x in (ids_a, ids_b))
         tokens = t.tokens(list(chain.from_iterable(ids_a)), list(chain.from_iterable(ids_b)))
         ends = np.concatenate([[0], tokens.a_ends])[np.cumsum(n_a)]  # of the pieces, in bytes
-        cuts = np.intersect1d(tokens.a_ends, tokens.b_ends, assume_unique=True)
-        keys, every = _linked(tokens), np.union1d(tokens.a_ends, tokens.b_ends)
+        every, cuts = _ends(tokens)
+        keys = _linked(tokens, every)
 
         def each(sorted_ends: np.ndarray) -> np.ndarray:
             return np.diff(np.searchsorted(sorted_ends, ends, side="right"), prepend=0)
 
         n_links = each(every)
-        texts, low = _group_texts(tokens, cuts)[0], 0
+        texts, low = _group_texts(tokens, cuts), 0
         for size in (n_a + n_b).tolist():
             self.texts.append("".join(texts[low:low + size])[:-1])
             low += size
