@@ -16,6 +16,7 @@ exactly once.  Counts themselves are kept by phrase text and are exact.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -155,10 +156,10 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     while step < shards or step <= last_new + shards:
         if step == UNSET:
             raise RuntimeError(f"no end after {UNSET} steps")
-        known = spark.sparkContext.broadcast(reached)
+        known = spark.sparkContext.broadcast(zlib.compress(reached, 1))  # mostly unset as long as it is of use
 
         def scan(batches: Iterator[pa.RecordBatch], known=known, step=step) -> Iterator[pa.RecordBatch]:
-            return Scan(step, known.value, shards, longest).run(batches)
+            return Scan(step, np.frombuffer(zlib.decompress(known.value), np.uint8), shards, longest).run(batches)
 
         part = cut.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(scan, _COUNTS)
         counted = materialise(part.groupBy("lang", "k", "phrase", "slot", "act", "open").agg(F.sum("n").alias("n")), "phrase-step")
@@ -177,7 +178,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
             reached[new] = step
             last_new = step
         waiting = so_far.where((F.col("n") < least) & (F.col("act") + shards > step + 1))
-        known.unpersist()
+        known.destroy()  # the step's counts are written
         step += 1
     every = steps[0].drop("open")
     for s in steps[1:]:
