@@ -7,11 +7,11 @@ is counted from there on and is complete when it has met every shard once.  So s
 counted in one scan, and the scans end when no phrase is under way.  No phrase that occurs
 ``least`` times can be missed: its subphrases occur at least as often.
 
-What has reached the threshold is told to the tasks by an array of fixed size: one byte for each of
-``slots`` hash slots, the step in which a phrase of that slot reached it.  Bytes never
-change once set, so every task derives the same first step for a phrase; two phrases that
-share a slot can only activate a phrase too early, which still meets every shard
-exactly once.  Counts themselves are kept by phrase text and are exact.
+While the cycle runs, phrases are counted by hash slot: an array of fixed size, which tasks add up in
+memory and hand on in blocks.  A slot's count is at least that of any phrase in it, so a phrase
+can become active too early, never too late; when it has, all tasks know its first step from the
+array of steps in which slots reached the threshold.  After the last cycle, phrases of slots below the threshold
+are known to be too rare; one more scan counts all others by their text, which is exact.
 """
 
 from __future__ import annotations
@@ -29,9 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import scratch_path
-from .common import UPPER, materialise
+from .common import UPPER, materialise, shuffle_partitions
 
-LEAST, LONGEST, SHARDS, SLOTS = 30, 4, 4, 1 << 24
+LEAST, LONGEST, SHARDS = 30, 4, 4
+#: Hash slots: one for so many bytes of text, a power of two between these bounds (they set the cost, not the result).
+SLOT_BYTES, FEWEST, MOST = 32, 1 << 20, 1 << 26
+#: Slots of a block of counts.
+SPAN = 1 << 16
 #: A longer phrase that holds so many of 100 occurrences replaces a candidate; best phrases a language.
 COVERED, BEST = 80, 2000
 #: Bytes of text whose phrases a task counts in memory before it hands them on.
@@ -44,7 +48,8 @@ _CUTS = bytes(b".,;:!?\x0a\x0b\x0c\x0d")
 #: A-Z to lower case, every cut to a full stop, tab to space.
 _TABLE = bytes.maketrans(UPPER.encode() + _CUTS + b"\t", UPPER.lower().encode() + b"." * len(_CUTS) + b" ")
 
-_COUNTS = "lang string, k int, phrase string, slot int, act int, open boolean, n long"
+_COUNTS = "lang string, k int, phrase string, n long"
+_SKETCH = "block int, counts binary"
 
 
 def words_and_cuts(text: bytes) -> list[bytes]:
@@ -60,17 +65,24 @@ def _mixed(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
 
 
 class Scan:
-    """Counts one shard's phrases in one step of the cycle."""
+    """Phrases of one shard in one step of the cycle, counted by slot; without a step, of
+    all texts, counted by text."""
 
-    def __init__(self, step: int, reached: np.ndarray, shards: int, longest: int):
-        self.step, self.reached, self.shards, self.longest = step, reached, shards, longest
+    def __init__(self, step: int | None, reached: np.ndarray, shards: int, longest: int, least: int):
+        self.step, self.reached, self.shards, self.longest, self.least = step, reached, shards, longest, least
+        self.counts = np.zeros(len(reached), np.uint16) if step is not None else None
 
     def state(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         slots = (hashes >> np.uint64(64 - (len(self.reached) - 1).bit_length())).astype(np.int64)
         return slots, self.reached[slots].astype(np.int32)
 
+    def add(self, slots: np.ndarray, counts: np.ndarray) -> None:
+        # No more than ``least`` is of interest, which keeps the sums within 16 bits.
+        np.add.at(self.counts, slots, np.minimum(counts, self.least).astype(np.uint16))
+
     def count(self, lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        """Counts of the active, incomplete phrases of some texts of one language."""
+        """Some texts of one language: added to the slots, or counts of the phrases whose slots reached
+        the threshold (and, as k = 0, of all words)."""
         words = words_and_cuts(b".".join(texts) + b".")
         number: dict[bytes, int] = defaultdict()
         number.default_factory = number.__len__
@@ -79,40 +91,53 @@ class Scan:
         prefix = lang.encode() + b"\0"
         hashes = np.fromiter((xxhash.xxh64_intdigest(prefix + w) for w in number), np.uint64, len(number))
         slots, reached = self.state(hashes)
+        reached[0] = UNSET
         counts = np.bincount(at, minlength=len(number))
-        if self.step < self.shards and len(number) > 1:
-            yield self.batch(lang, 1, list(number)[1:], slots[1:], np.zeros(len(number) - 1, np.int32), reached[1:], counts[1:])
+        if self.step is None:
+            yield self.batch(lang, 0, [b""], counts[1:].sum(keepdims=True))
+            often = np.flatnonzero(reached != UNSET)
+            yield self.batch(lang, 1, list(map(list(number).__getitem__, often.tolist())), counts[often])
+        elif self.step < self.shards:
+            self.add(slots[1:], counts[1:])
         # here[i]: number of the phrase of k - 1 words that begins at word i, if it has reached the threshold
-        here = np.where((at > 0) & (reached[at] != UNSET), at, -1)
+        here = np.where(reached[at] != UNSET, at, -1)
         for k in range(2, self.longest + 1):
             places = np.flatnonzero((here[:-1] >= 0) & (here[1:] >= 0))
             if not len(places):
                 return
             code, own = pd.factorize(here[places] * np.int64(len(hashes)) + here[places + 1])
-            first = np.empty(len(own), np.int64)
-            first[code[::-1]] = places[::-1]
             left, right = own // len(hashes), own % len(hashes)
             act = 1 + np.maximum(reached[left], reached[right])
             hashes = _mixed(hashes[left], hashes[right], k)
             slots, reached = self.state(hashes)
-            counting = np.flatnonzero((act <= self.step) & (self.step < act + self.shards))
-            if len(counting):
-                counts = np.bincount(code, minlength=len(own))
-                texts_of = [b" ".join(words[i:i + k]) for i in first[counting].tolist()]
-                yield self.batch(lang, k, texts_of, slots[counting], act[counting], reached[counting], counts[counting])
+            counts = np.bincount(code, minlength=len(own))
+            if self.step is None:
+                often = np.flatnonzero(reached != UNSET)
+                first = np.empty(len(own), np.int64)
+                first[code[::-1]] = places[::-1]
+                yield self.batch(lang, k, [b" ".join(words[i:i + k]) for i in first[often].tolist()], counts[often])
+            else:
+                counting = (act <= self.step) & (self.step < act + self.shards)
+                self.add(slots[counting], counts[counting])
             here = np.full(len(at), -1, np.int64)
             here[places] = np.where(reached[code] != UNSET, code, -1)
 
-    def batch(self, lang, k, phrases, slots, act, reached, counts) -> pa.RecordBatch:
+    def batch(self, lang: str, k: int, phrases: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
         n = len(phrases)
         return pa.record_batch([
             pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int32))), pa.array(np.full(n, k, np.int32)),
-            pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(slots.astype(np.int32)),
-            pa.array(act.astype(np.int32)), pa.array(reached == UNSET), pa.array(counts.astype(np.int64))],
+            pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts.astype(np.int64))],
             names=[c.split()[0] for c in _COUNTS.split(", ")])
 
     def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = defaultdict(list), 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for one in list(held):
+                yield from self.count(one, held.pop(one))
+            if self.counts is not None:
+                np.minimum(self.counts, self.least, out=self.counts)
+
         for b in batches:
             for start in range(0, b.num_rows, 256):
                 part = b.slice(start, 256)
@@ -120,28 +145,57 @@ class Scan:
                     held[lang].append(text)
                     size += len(text) + 1
                     if size >= BLOCK:
-                        for one in list(held):
-                            yield from self.count(one, held.pop(one))
+                        yield from flush()
                         size = 0
-        for one, texts in held.items():
-            yield from self.count(one, texts)
+        yield from flush()
+        if self.counts is not None:
+            for block in range(len(self.counts) // SPAN):
+                part = self.counts[block * SPAN:(block + 1) * SPAN]
+                if part.any():
+                    yield _block(block, part)
+
 
+def _block(block: int, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([block], pa.int32()), pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())],
+                           names=["block", "counts"])
 
-def _newly_reached(reached: DataFrame, slots: int) -> np.ndarray:
-    """Slots of the given phrases, gathered as bitmaps: at most ``slots`` bits come to the driver."""
-    bits = (reached.select(F.bitmap_bucket_number("slot").alias("bucket"), F.bitmap_bit_position("slot").alias("bit"))
-            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
-    out = []
-    for r in bits:
-        on = np.unpackbits(np.frombuffer(bytes(r.bits), np.uint8), bitorder="little")
-        # bucket 1 holds slots 1 to 32,768; slot 0 is in bucket 0
-        out.append(np.flatnonzero(on) + (r.bucket - 1) * 32768 + 1 if r.bucket else np.zeros(1, np.int64))
-    found = np.concatenate(out) if out else np.zeros(0, np.int64)
-    return found[found < slots]
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw), np.uint16)
+
+
+def _added(least: int):
+    """Blocks of one number, which come one after the other, added up (to ``least`` at most)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, None
+        for b in batches:
+            for block, raw in zip(b.column("block").to_pylist(), b.column("counts")):
+                if block != at:
+                    if at is not None:
+                        yield _block(at, total)
+                    at, total = block, np.zeros(SPAN, np.uint16)
+                total = np.minimum(total + _unpacked(raw.as_py()), least).astype(np.uint16)
+        if at is not None:
+            yield _block(at, total)
+    return run
+
+
+def _full(least: int):
+    """For each block a bit for every slot that has reached ``least``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bits = [zlib.compress(np.packbits(_unpacked(r.as_py()) >= least).tobytes(), 1) for r in b.column("counts")]
+            yield pa.record_batch([b.column("block"), pa.array(bits, pa.binary())], names=["block", "counts"])
+    return run
+
+
+def slots_for(size: int) -> int:
+    """Slots for so many bytes of text."""
+    return min(MOST, max(FEWEST, 1 << (size // SLOT_BYTES).bit_length()))
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS,
-                  slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+                  slots: int | None = None) -> tuple[DataFrame, DataFrame]:
     """((lang, k, phrase, n) of all phrases of up to ``longest`` words that occur ``least`` times,
     (lang, n) with all word occurrences)."""
     spark = docs.sparkSession
@@ -151,41 +205,38 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
                  F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"))
      .write.partitionBy("shard").parquet(path))
     cut = spark.read.schema("lang string, text binary, shard int").parquet(path)
+    slots = slots or slots_for(cut.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     reached = np.full(slots, UNSET, np.uint8)
-    steps, waiting, step, last_new = [], None, 0, -1
+
+    def scanned(part: DataFrame, step: int | None, schema: str, known) -> DataFrame:
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            array = np.frombuffer(zlib.decompress(known.value), np.uint8)
+            return Scan(step, array, shards, longest, least).run(batches)
+        return part.select("lang", "text").mapInArrow(scan, schema)
+
+    so_far, step, last_new = None, 0, -1
     while step < shards or step <= last_new + shards:
         if step == UNSET:
             raise RuntimeError(f"no end after {UNSET} steps")
-        known = spark.sparkContext.broadcast(zlib.compress(reached, 1))  # mostly unset as long as it is of use
-
-        def scan(batches: Iterator[pa.RecordBatch], known=known, step=step) -> Iterator[pa.RecordBatch]:
-            return Scan(step, np.frombuffer(zlib.decompress(known.value), np.uint8), shards, longest).run(batches)
-
-        part = cut.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(scan, _COUNTS)
-        counted = materialise(part.groupBy("lang", "k", "phrase", "slot", "act", "open").agg(F.sum("n").alias("n")), "phrase-step")
-        steps.append(counted)
-        # Phrases short enough to be subphrases that have not reached the threshold yet, counted so far.
-        keep = ["lang", "k", "phrase", "slot", "act", "n"]
-        fresh_rows = counted.where(F.col("open") & (F.col("k") < longest)).select(keep)
-        if waiting is not None:
-            fresh_rows = (waiting.unionByName(fresh_rows).groupBy("lang", "k", "phrase", "slot", "act")
-                          .agg(F.sum("n").alias("n")))
-        so_far = materialise(fresh_rows, "phrase-waiting")
-        new = _newly_reached(so_far.where(F.col("n") >= least), slots)
-        new = new[reached[new] == UNSET]
-        if len(new):
-            reached = reached.copy()
-            reached[new] = step
-            last_new = step
-        waiting = so_far.where((F.col("n") < least) & (F.col("act") + shards > step + 1))
+        known = spark.sparkContext.broadcast(zlib.compress(reached, 1))
+        counted = scanned(cut.where(F.col("shard") == step % shards), step, _SKETCH, known)
+        both = counted if so_far is None else so_far.unionByName(counted)
+        dealt = both.repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block")
+        so_far = materialise(dealt.mapInArrow(_added(least), _SKETCH), "phrase-slots")
         known.destroy()  # the step's counts are written
+        reached = reached.copy()
+        for r in so_far.mapInArrow(_full(least), _SKETCH).collect():  # a bit a slot at most
+            own = reached[r.block * SPAN:(r.block + 1) * SPAN]
+            new = (np.unpackbits(np.frombuffer(zlib.decompress(bytes(r.counts)), np.uint8)) > 0) & (own == UNSET)
+            if new.any():
+                own[new] = step
+                last_new = step
         step += 1
-    every = steps[0].drop("open")
-    for s in steps[1:]:
-        every = every.unionByName(s.drop("open"))
-    often = every.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    words = every.where("k = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    return materialise(often, "phrases"), words
+    known = spark.sparkContext.broadcast(zlib.compress(reached, 1))
+    every = materialise(scanned(cut, None, _COUNTS, known).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+                        .where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+    known.destroy()
+    return every.where("k > 0"), every.where("k = 0").select("lang", "n")
 
 
 def _exact(c: Column) -> Column:
@@ -227,7 +278,7 @@ def covered(often: DataFrame) -> DataFrame:
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS,
-                 slots: int = SLOTS, best: int = BEST, share: int = COVERED) -> DataFrame:
+                 slots: int | None = None, best: int = BEST, share: int = COVERED) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases of 2 to ``longest`` words.
 
     Texts are lower-cased (A-Z), cut into pieces at ``.,;:!?`` and 0x0A-0x0D and into words at
