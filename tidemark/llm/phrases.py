@@ -1,6 +1,6 @@
 """Phrase collocations by dynamic itemset counting.
 
-The corpus is cut once into ``shards`` parts, which are scanned in a cycle.  Words are
+The corpus is cut once into ``shards`` parts of numbered words, which are scanned in a cycle.  Words are
 counted from the first step on; a longer phrase becomes active in the step after both its
 subphrases (without its last, without its first word) have been seen ``least`` times so far,
 is counted from there on and is complete when it has met every shard once.  So several lengths are
@@ -19,11 +19,13 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,8 +40,8 @@ SLOT_BYTES, FEWEST, MOST = 32, 1 << 20, 1 << 26
 SPAN = 1 << 16
 #: A longer phrase that holds so many of 100 occurrences replaces a candidate; best phrases a language.
 COVERED, BEST = 80, 2000
-#: Bytes of text whose phrases a task counts in memory before it hands them on.
-BLOCK = 8 << 20
+#: Bytes of text that are numbered and counted at a time.
+BLOCK = 2 << 20
 #: Parts that a hot word's row is copied to, and into which each language is ranked first.
 SALTS = 16
 UNSET = 255
@@ -64,104 +66,145 @@ def _mixed(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
         return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-class Scan:
-    """Phrases of one shard in one step of the cycle, counted by slot; without a step, of
-    all texts, counted by text."""
-
-    def __init__(self, step: int | None, reached: np.ndarray, shards: int, longest: int, least: int):
-        self.step, self.reached, self.shards, self.longest, self.least = step, reached, shards, longest, least
-        self.counts = np.zeros(len(reached), np.uint16) if step is not None else None
-
-    def state(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        slots = (hashes >> np.uint64(64 - (len(self.reached) - 1).bit_length())).astype(np.int64)
-        return slots, self.reached[slots].astype(np.int32)
-
-    def add(self, slots: np.ndarray, counts: np.ndarray) -> None:
-        # No more than ``least`` is of interest, which keeps the sums within 16 bits.
-        np.add.at(self.counts, slots, np.minimum(counts, self.least).astype(np.uint16))
-
-    def count(self, lang: str, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        """Some texts of one language: added to the slots, or counts of the phrases whose slots reached
-        the threshold (and, as k = 0, of all words)."""
-        words = words_and_cuts(b".".join(texts) + b".")
-        number: dict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        number[b"."]  # the cut is number 0
-        at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-        prefix = lang.encode() + b"\0"
-        hashes = np.fromiter((xxhash.xxh64_intdigest(prefix + w) for w in number), np.uint64, len(number))
-        slots, reached = self.state(hashes)
-        reached[0] = UNSET
-        counts = np.bincount(at, minlength=len(number))
-        if self.step is None:
-            yield self.batch(lang, 0, [b""], counts[1:].sum(keepdims=True))
-            often = np.flatnonzero(reached != UNSET)
-            yield self.batch(lang, 1, list(map(list(number).__getitem__, often.tolist())), counts[often])
-        elif self.step < self.shards:
-            self.add(slots[1:], counts[1:])
-        # here[i]: number of the phrase of k - 1 words that begins at word i, if it has reached the threshold
-        here = np.where(reached[at] != UNSET, at, -1)
-        for k in range(2, self.longest + 1):
-            places = np.flatnonzero((here[:-1] >= 0) & (here[1:] >= 0))
-            if not len(places):
-                return
-            code, own = pd.factorize(here[places] * np.int64(len(hashes)) + here[places + 1])
-            left, right = own // len(hashes), own % len(hashes)
-            act = 1 + np.maximum(reached[left], reached[right])
-            hashes = _mixed(hashes[left], hashes[right], k)
-            slots, reached = self.state(hashes)
-            counts = np.bincount(code, minlength=len(own))
-            if self.step is None:
-                often = np.flatnonzero(reached != UNSET)
-                first = np.empty(len(own), np.int64)
-                first[code[::-1]] = places[::-1]
-                yield self.batch(lang, k, [b" ".join(words[i:i + k]) for i in first[often].tolist()], counts[often])
-            else:
-                counting = (act <= self.step) & (self.step < act + self.shards)
-                self.add(slots[counting], counts[counting])
-            here = np.full(len(at), -1, np.int64)
-            here[places] = np.where(reached[code] != UNSET, code, -1)
-
-    def batch(self, lang: str, k: int, phrases: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
+def numbered(lang: str, texts: list[bytes]) -> tuple[list[bytes], list[bytes], np.ndarray, np.ndarray]:
+    """(words and cuts, distinct ones, each one's number, hashes by number); the cut is number 0."""
+    words = words_and_cuts(b".".join(texts) + b".")
+    number: dict[bytes, int] = defaultdict()
+    number.default_factory = number.__len__
+    number[b"."]
+    at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    prefix = lang.encode() + b"\0"
+    hashes = np.fromiter((xxhash.xxh64_intdigest(prefix + w) for w in number), np.uint64, len(number))
+    return words, list(number), at, hashes
+
+
+def by_language(batches: Iterator[pa.RecordBatch], most: int = BLOCK) -> Iterator[tuple[str, list[bytes]]]:
+    """Texts of one language at a time, about ``most`` bytes of all languages together."""
+    held, size = defaultdict(list), 0
+    for b in batches:
+        for start in range(0, b.num_rows, 256):
+            part = b.slice(start, 256)
+            for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                held[lang].append(text)
+                size += len(text) + 1
+                if size >= most:
+                    yield from held.items()
+                    held, size = defaultdict(list), 0
+    yield from held.items()
+
+
+def _cut(shards: int):
+    """Texts as numbered words, dealt to shards block by block; a part of a table always gives the same blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for n, (lang, texts) in enumerate(by_language(batches)):
+            _, _, at, hashes = numbered(lang, texts)
+            yield pa.record_batch([pa.array([(part + n) % shards], pa.int32()), pa.array([hashes.tobytes()], pa.binary()),
+                                   pa.array([at.astype(np.int32).tobytes()], pa.binary())], names=["shard", "hashes", "words"])
+    return run
+
+
+class Level(NamedTuple):
+    """The distinct phrases of one length in a block: slot, step in which that was reached, first
+    step, count and first place of each."""
+
+    k: int
+    slots: np.ndarray
+    reached: np.ndarray
+    act: np.ndarray
+    counts: np.ndarray
+    first: np.ndarray
+
+
+def levels(at: np.ndarray, hashes: np.ndarray, reached: np.ndarray, longest: int) -> Iterator[Level]:
+    """Phrases of numbered words whose subphrases have reached the threshold, length by length."""
+    shift = np.uint64(65 - (len(reached) - 1).bit_length())
+
+    def state(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        # Phrases that can't be subphrases have a half of the slots for themselves.
+        slots = (hashes >> shift).astype(np.int64) + (k == longest) * (len(reached) // 2)
+        return slots, reached[slots].astype(np.int32)
+
+    slots, steps = state(hashes, 1)
+    steps[0] = UNSET  # the cut
+    yield Level(1, slots, steps, np.zeros(len(slots), np.int32), np.bincount(at, minlength=len(hashes)), np.zeros(0, np.int64))
+    # here[i]: number of the phrase of k - 1 words that begins at word i, if it has reached the threshold
+    here = np.where(steps[at] != UNSET, at, -1)
+    for k in range(2, longest + 1):
+        places = np.flatnonzero((here[:-1] >= 0) & (here[1:] >= 0))
+        if not len(places):
+            return
+        code, own = pd.factorize(here[places] * np.int64(len(hashes)) + here[places + 1])
+        left, right = own // len(hashes), own % len(hashes)
+        act = 1 + np.maximum(steps[left], steps[right])
+        hashes = _mixed(hashes[left], hashes[right], k)
+        slots, steps = state(hashes, k)
+        first = np.empty(len(own), np.int64)
+        first[code[::-1]] = places[::-1]
+        yield Level(k, slots, steps, act, np.bincount(code, minlength=len(own)), first)
+        here = np.full(len(at), -1, np.int64)
+        here[places] = np.where(steps[code] != UNSET, code, -1)
+
+
+def _sketch(step: int, known, shards: int, longest: int, least: int):
+    """Counts by slot of the active, incomplete phrases of one shard."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached = np.frombuffer(zlib.decompress(known.value), np.uint8)
+        total = np.zeros(len(reached), np.uint16)
+        for b in batches:
+            for hashes, words in zip(b.column("hashes"), b.column("words")):
+                at = np.frombuffer(words.as_py(), np.int32).astype(np.int64)
+                for x in levels(at, np.frombuffer(hashes.as_py(), np.uint64), reached, longest):
+                    counting = (x.act <= step) & (step < x.act + shards)
+                    if x.k == 1:
+                        counting[0] = False  # the cut
+                    # No more than ``least`` is of interest, which keeps the sums within 16 bits.
+                    np.add.at(total, x.slots[counting], np.minimum(x.counts[counting], least).astype(np.uint16))
+                np.minimum(total, least, out=total)
+        used = np.flatnonzero(total)
+        cuts = np.searchsorted(used, np.arange(0, len(total) + 1, SPAN))
+        for block in np.flatnonzero(np.diff(cuts)).tolist():
+            yield _block(block, used[cuts[block]:cuts[block + 1]] % SPAN, total[block * SPAN:(block + 1) * SPAN])
+    return run
+
+
+def _texts(known, longest: int):
+    """Counts by text of the phrases whose slots have reached the threshold and, as k = 0, of all words."""
+    def rows(lang: str, k: int, phrases: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
         n = len(phrases)
         return pa.record_batch([
             pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int32))), pa.array(np.full(n, k, np.int32)),
             pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts.astype(np.int64))],
             names=[c.split()[0] for c in _COUNTS.split(", ")])
 
-    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = defaultdict(list), 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for one in list(held):
-                yield from self.count(one, held.pop(one))
-            if self.counts is not None:
-                np.minimum(self.counts, self.least, out=self.counts)
-
-        for b in batches:
-            for start in range(0, b.num_rows, 256):
-                part = b.slice(start, 256)
-                for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
-                    held[lang].append(text)
-                    size += len(text) + 1
-                    if size >= BLOCK:
-                        yield from flush()
-                        size = 0
-        yield from flush()
-        if self.counts is not None:
-            for block in range(len(self.counts) // SPAN):
-                part = self.counts[block * SPAN:(block + 1) * SPAN]
-                if part.any():
-                    yield _block(block, part)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached = np.frombuffer(zlib.decompress(known.value), np.uint8)
+        for lang, texts in by_language(batches, 4 * BLOCK):
+            words, distinct, at, hashes = numbered(lang, texts)
+            for x in levels(at, hashes, reached, longest):
+                often = np.flatnonzero(x.reached != UNSET)
+                if x.k == 1:
+                    yield rows(lang, 0, [b""], x.counts[1:].sum(keepdims=True))
+                    yield rows(lang, 1, [distinct[i] for i in often.tolist()], x.counts[often])
+                else:
+                    yield rows(lang, x.k, [b" ".join(words[i:i + x.k]) for i in x.first[often].tolist()], x.counts[often])
+    return run
 
 
-def _block(block: int, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array([block], pa.int32()), pa.array([zlib.compress(counts.tobytes(), 1)], pa.binary())],
-                           names=["block", "counts"])
+def _block(block: int, used: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """A block's counts: all of them, or places and counts of the ``used`` ones where that is shorter
+    (Spark compresses what it shuffles and writes)."""
+    few = 2 * len(used) < len(counts)
+    raw = used.astype(np.uint16).tobytes() + counts[used].tobytes() if few else counts.tobytes()
+    return pa.record_batch([pa.array([block], pa.int32()), pa.array([raw], pa.binary())], names=["block", "counts"])
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), np.uint16)
+def _add_to(total: np.ndarray, raw: bytes) -> None:
+    part = np.frombuffer(raw, np.uint16)
+    if len(part) == len(total):
+        total += part
+    else:
+        total[part[:len(part) // 2]] += part[len(part) // 2:]
 
 
 def _added(least: int):
@@ -172,11 +215,12 @@ def _added(least: int):
             for block, raw in zip(b.column("block").to_pylist(), b.column("counts")):
                 if block != at:
                     if at is not None:
-                        yield _block(at, total)
+                        yield _block(at, np.flatnonzero(total), total)
                     at, total = block, np.zeros(SPAN, np.uint16)
-                total = np.minimum(total + _unpacked(raw.as_py()), least).astype(np.uint16)
+                _add_to(total, raw.as_py())
+                np.minimum(total, least, out=total)
         if at is not None:
-            yield _block(at, total)
+            yield _block(at, np.flatnonzero(total), total)
     return run
 
 
@@ -184,7 +228,11 @@ def _full(least: int):
     """For each block a bit for every slot that has reached ``least``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bits = [zlib.compress(np.packbits(_unpacked(r.as_py()) >= least).tobytes(), 1) for r in b.column("counts")]
+            bits = []
+            for raw in b.column("counts"):
+                total = np.zeros(SPAN, np.uint16)
+                _add_to(total, raw.as_py())
+                bits.append(zlib.compress(np.packbits(total >= least).tobytes(), 1))
             yield pa.record_batch([b.column("block"), pa.array(bits, pa.binary())], names=["block", "counts"])
     return run
 
@@ -199,27 +247,21 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     """((lang, k, phrase, n) of all phrases of up to ``longest`` words that occur ``least`` times,
     (lang, n) with all word occurrences)."""
     spark = docs.sparkSession
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text.alias("text"))
     path = scratch_path(spark, "phrase-shards")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    (docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text.cast("binary").alias("text"),
-                 F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"))
-     .write.partitionBy("shard").parquet(path))
-    cut = spark.read.schema("lang string, text binary, shard int").parquet(path)
-    slots = slots or slots_for(cut.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    docs.mapInArrow(_cut(shards), "shard int, hashes binary, words binary").write.partitionBy("shard").parquet(path)
+    cut = spark.read.schema("hashes binary, words binary, shard int").parquet(path)
+    slots = slots or slots_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     reached = np.full(slots, UNSET, np.uint8)
 
-    def scanned(part: DataFrame, step: int | None, schema: str, known) -> DataFrame:
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            array = np.frombuffer(zlib.decompress(known.value), np.uint8)
-            return Scan(step, array, shards, longest, least).run(batches)
-        return part.select("lang", "text").mapInArrow(scan, schema)
-
     so_far, step, last_new = None, 0, -1
     while step < shards or step <= last_new + shards:
         if step == UNSET:
             raise RuntimeError(f"no end after {UNSET} steps")
         known = spark.sparkContext.broadcast(zlib.compress(reached, 1))
-        counted = scanned(cut.where(F.col("shard") == step % shards), step, _SKETCH, known)
+        shard = cut.where(F.col("shard") == step % shards).select("hashes", "words")
+        counted = shard.mapInArrow(_sketch(step, known, shards, longest, least), _SKETCH)
         both = counted if so_far is None else so_far.unionByName(counted)
         dealt = both.repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block")
         so_far = materialise(dealt.mapInArrow(_added(least), _SKETCH), "phrase-slots")
@@ -228,12 +270,12 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
         for r in so_far.mapInArrow(_full(least), _SKETCH).collect():  # a bit a slot at most
             own = reached[r.block * SPAN:(r.block + 1) * SPAN]
             new = (np.unpackbits(np.frombuffer(zlib.decompress(bytes(r.counts)), np.uint8)) > 0) & (own == UNSET)
-            if new.any():
-                own[new] = step
+            own[new] = step
+            if new.any() and 2 * r.block * SPAN < slots:  # phrases that can be subphrases
                 last_new = step
         step += 1
     known = spark.sparkContext.broadcast(zlib.compress(reached, 1))
-    every = materialise(scanned(cut, None, _COUNTS, known).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    every = materialise(docs.mapInArrow(_texts(known, longest), _COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
                         .where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
     known.destroy()
     return every.where("k > 0"), every.where("k = 0").select("lang", "n")
