@@ -25,8 +25,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import scratch_path
 from .common import fresh, materialise, shuffle_partitions
@@ -35,6 +36,8 @@ from .common import fresh, materialise, shuffle_partitions
 LEAST = 1000
 #: Groups of equal payloads that are looked up by broadcast: the largest, at most so many.
 HOT_GROUPS = 1024
+#: Parts in which rows that share a group's largest page_id are numbered.
+PARTS = 256
 #: Uncompressed bytes after which a task begins its next archive; bytes of a reading range.
 ROLL, RANGE = 64 << 20, 16 << 20
 #: Bytes that one step inflates at most.
@@ -50,13 +53,8 @@ RECORDS = ("page_id long, payload_bytes long, payload_digest string, record_type
            "refers_to long, target_uri string")
 
 
-def record_id(page_id: int | None, row: int) -> str:
-    """A record's name; ``row`` keeps repeated and missing page ids apart."""
-    return f"<urn:page:{'' if page_id is None else page_id}:{row}>"
-
-
 def page_of(name: str) -> int | None:
-    """The page id in a record's name."""
+    """The page id in a record's name ``<urn:page:ID:TAG>``; the tag keeps repeated and missing ids apart."""
     digits = name.strip("<>").split(":")[2]
     return int(digits) if digits else None
 
@@ -153,36 +151,46 @@ def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
 
 
 def equal_payloads(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """The pages as records to write: (row, page_id, url, payload, digest, record_type, refers_to,
-    refers_row).
+    """The pages as records to write: (name, page_id, url, payload, digest, record_type, refers_to).
 
     Of rows with equal payloads of at least ``least`` bytes the one with the largest page_id
-    (null is smallest; of a page_id's rows the last read) is the response, all others revisit
-    it.  Groups are aggregated before they are shuffled.  The largest groups, a bounded
+    (null is smallest; of rows that share it any one) is the response, all others revisit it
+    (refers_to: its name).  Groups are aggregated before they are shuffled.  The largest groups, a bounded
     number, meet their rows by broadcast; the rows of all others are joined by digest, and
-    rows that need no partner are spread by their own number.
+    rows that need no partner are spread.  Rows that share the largest page_id are numbered in parts first.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    rows = (pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                         payload.alias("payload"))
-            .withColumn("row", F.monotonically_increasing_id()))
-    key = F.when(F.octet_length("payload") >= least, F.sha2("payload", 256))
-    first = F.max(F.struct("page_id", "row")).alias("first")
-    groups = materialise(rows.select("page_id", "row", key.alias("same")).where(F.col("same").isNotNull())
-                         .groupBy("same").agg(F.count("*").alias("n"), first).where("n > 1"), "warc-groups")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
+    rows = rows.withColumn("same", F.when(F.octet_length("payload") >= least, F.sha2("payload", 256)))
+    groups = materialise(rows.where(F.col("same").isNotNull()).groupBy("same", "page_id").agg(F.count("*").alias("n"))
+                         .groupBy("same").agg(F.sum("n").alias("n"), F.max(F.struct("page_id", "n")).alias("first")).where("n > 1"),
+                         "warc-groups")
     hot = groups.orderBy(F.desc("n"), "same").limit(HOT_GROUPS)
     cold = groups.join(F.broadcast(hot.select("same")), "same", "left_anti").select("same", F.col("first").alias("cold"))
-    found = (rows.withColumn("same", key)
-             .join(F.broadcast(hot.select("same", F.col("first").alias("hot"))), "same", "left")
-             .withColumn("same", F.when(F.col("hot").isNull() & F.col("same").isNotNull(), F.col("same"))
-                         .otherwise(F.col("row").cast("string")))
-             .join(cold, "same", "left")
+    spread = F.monotonically_increasing_id().cast("string")
+    found = (rows.join(F.broadcast(hot.select("same", F.col("first").alias("hot"))), "same", "left")
+             .withColumn("key", F.when(F.col("hot").isNull() & F.col("same").isNotNull(), F.col("same")).otherwise(spread))
+             .join(cold.withColumnRenamed("same", "key"), "key", "left")
              .withColumn("first", F.coalesce("hot", "cold")))
-    revisit = F.col("first").isNotNull() & (F.col("first.row") != F.col("row"))
-    return found.select("row", "page_id", "url", "payload", F.sha1("payload").alias("digest"),
-                        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-                        F.when(revisit, F.col("first.page_id")).alias("refers_to"),
-                        F.when(revisit, F.col("first.row")).alias("refers_row"))
+    top = F.col("first").isNotNull() & F.col("page_id").eqNullSafe(F.col("first.page_id"))
+    twin = F.coalesce(top & (F.col("first.n") > 1), F.lit(False))
+    judged = found.where(~twin).withColumn("response", F.col("first").isNull() | top)
+    if not groups.where("first.n > 1").isEmpty():
+        part = Window.partitionBy("same", F.pmod(F.monotonically_increasing_id(), F.lit(PARTS))).orderBy(F.lit(0))
+        twins = found.where(twin).withColumn("nth", F.row_number().over(part))
+        one = Window.partitionBy("same").orderBy(F.lit(0))
+        firsts = twins.where("nth = 1").withColumn("response", F.row_number().over(one) == 1)
+        judged = judged.unionByName(firsts.drop("nth")).unionByName(
+            twins.where("nth > 1").withColumn("response", F.lit(False)).drop("nth"))
+
+    def name(page_id: Column, tag: Column) -> Column:
+        return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(":"), tag, F.lit(">"))
+
+    own = F.when(F.col("response") & F.col("first").isNotNull(), F.col("same")).otherwise(F.monotonically_increasing_id().cast("string"))
+    return judged.select(
+        name(F.col("page_id"), own).alias("name"), "page_id", "url", "payload", F.sha1("payload").alias("digest"),
+        F.when(F.col("response"), "response").otherwise("revisit").alias("record_type"),
+        F.when(~F.col("response"), name(F.col("first.page_id"), F.col("same"))).alias("refers_to"))
 
 
 def write_monolithic(records: DataFrame, folder: str, date: str = "2020-01-01T00:00:00Z", roll: int = ROLL) -> DataFrame:
@@ -204,9 +212,7 @@ def write_monolithic(records: DataFrame, folder: str, date: str = "2020-01-01T00
                         files.create_dir(name.rsplit("/", 1)[0])
                         out = {"path": path, "file": files.open_output_stream(name, compression=None),
                                "gzip": zlib.compressobj(6, zlib.DEFLATED, GZIP), "bytes": 0, "records": 0}
-                    refers = record_id(r["refers_to"], r["refers_row"]) if r["record_type"] == "revisit" else None
-                    raw = build_record(record_id(r["page_id"], r["row"]), r["record_type"], r["url"], date,
-                                       r["payload"], r["digest"], refers)
+                    raw = build_record(r["name"], r["record_type"], r["url"], date, r["payload"], r["digest"], r["refers_to"])
                     out["file"].write(out["gzip"].compress(raw))
                     out["records"] += 1
                     out["bytes"] += len(raw)
