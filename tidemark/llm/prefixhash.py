@@ -31,6 +31,8 @@ PRIMES = (2147483647, 2147483629)
 BASES = (911382323, 972663749)
 #: Ranges of doc_id for each shuffle partition; their number is never above MOST_RANGES.
 RANGES_EACH, MOST_RANGES = 4, 8192
+#: Parts of a range that one id, or rows without an id, fill (by the top four bits of the text's hash).
+SALTS = 16
 #: Code points of the shortest span between differences that counts as shared.
 SPAN = 16
 
@@ -154,9 +156,9 @@ class PrefixHash:
 
 
 _OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-        "near_edited double, near_next double, shared_edited double, shared_next double")
+        "near_edited double, near_next double")
 _NAMES = [c.split()[0] for c in _OUT.split(", ")]
-_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
+_KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
 
 def _compare(doc_id, text: str, points: np.ndarray, own: PrefixHash, next_text: str, next_hash: PrefixHash) -> tuple:
@@ -164,9 +166,8 @@ def _compare(doc_id, text: str, points: np.ndarray, own: PrefixHash, next_text:
     kept, given = text[:len(points) - half], next_text[:half]
     edited = own.extended(len(points) - half, code_points(given))
     digest = hashlib.sha256((kept + given).encode("utf-8", "surrogatepass")).hexdigest()
-    (near_edited, shared_edited), (near_next, shared_next) = own.compare(edited), own.compare(next_hash)
     return (doc_id, len(points), digest, own.fingerprint(), edited.fingerprint(),
-            near_edited, near_next, shared_edited, shared_next)
+            own.compare(edited)[1], own.compare(next_hash)[1])
 
 
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,8 +189,8 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
-    shared_edited, shared_next).
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next); near:
+    the shared part, which goes on behind each difference.
 
     The edited text: the last floor(n / 2) code points replaced by the first as many (or
     all) of the next document in descending doc_id; after the last comes the first, and a
@@ -198,32 +199,40 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     are ignored; an empty table gives an empty table.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
+    # Ids stay integers: pandas would turn a column with a null in it into floats.
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("id", F.coalesce("doc_id", F.lit(0)))
     ranges = min(MOST_RANGES, RANGES_EACH * shuffle_partitions(docs.sparkSession))
     probes = [i / ranges for i in range(1, ranges)]
-    splits = sorted(set(docs.select(F.col("doc_id").cast("double")).approxQuantile("doc_id", probes, 0.5 / ranges)))
+    found = [int(x) for x in docs.select(F.col("doc_id").cast("double")).approxQuantile("doc_id", probes, 0.5 / ranges)]
+    splits = np.array(sorted(set(found)), np.int64)
+    hot = np.array([found.count(x) > 1 for x in splits.tolist()], bool)
 
     @F.pandas_udf("int")
-    def bucket_of(doc_id: pd.Series) -> pd.Series:
-        at = np.searchsorted(np.array(splits), doc_id.to_numpy(float), side="right")
-        return pd.Series(np.where(doc_id.isna(), len(splits) + 1, len(splits) - at)).astype("int32")
-
-    own = rows.withColumn("bucket", bucket_of("doc_id"))
+    def bucket_of(id_: pd.Series, tie: pd.Series) -> pd.Series:
+        """Ranges in descending order of id; an id that fills whole ranges has one of its own,
+        cut by the text's hash."""
+        ids, part = id_.to_numpy(np.int64), (tie.to_numpy(np.int64) >> 60) + SALTS // 2
+        at = np.searchsorted(splits, ids, side="right")
+        own = (at > 0) & (hot[at - 1] & (splits[at - 1] == ids) if len(splits) else False)
+        return pd.Series((2 * (len(splits) - at) + own) * SALTS + np.where(own, part, 0)).astype("int32")
+
+    last = (2 * len(splits) + 2) * SALTS + SALTS // 2 + F.shiftright("tie", 60)
+    own = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), last.cast("int")).otherwise(bucket_of("id", "tie")))
     # One row for each range: the first in sweep order.
-    order = F.struct(F.coalesce(-F.col("doc_id"), F.lit(0)), F.col("tie"))
-    firsts = sorted((r.bucket, r.doc_id, r.tie) for r in own.groupBy("bucket").agg(
-        F.min_by("doc_id", order).alias("doc_id"), F.min_by("tie", order).alias("tie")).collect())
+    order = F.struct(F.col("doc_id").isNull(), F.bitwise_not("id"), F.col("tie"))
+    firsts = sorted(((r.bucket, r.doc_id, r.tie) for r in own.groupBy("bucket").agg(
+        F.min_by("doc_id", order).alias("doc_id"), F.min_by("tie", order).alias("tie")).collect()), key=lambda r: r[0])
     if not firsts:
         return docs.sparkSession.createDataFrame([], _OUT)
-    targets = {(d, t): firsts[i - 1][0] for i, (_, d, t) in enumerate(firsts)}
+    targets = {(d is None, d or 0, t): firsts[i - 1][0] for i, (_, d, t) in enumerate(firsts)}
     known = docs.sparkSession.sparkContext.broadcast(targets)
 
     @F.pandas_udf("int")
-    def guest_of(doc_id: pd.Series, tie: pd.Series) -> pd.Series:
-        ids = [None if pd.isna(d) else int(d) for d in doc_id]
-        return pd.Series([known.value.get((d, t)) for d, t in zip(ids, tie)], dtype="Int32")
+    def guest_of(none: pd.Series, id_: pd.Series, tie: pd.Series) -> pd.Series:
+        keys = zip(none.tolist(), id_.tolist(), tie.tolist())
+        return pd.Series([known.value.get(k) for k in keys], dtype="Int32")
 
-    both = own.withColumn("target", guest_of("doc_id", "tie")).withColumn("to", F.explode(F.when(
+    both = own.withColumn("target", guest_of(F.col("doc_id").isNull(), "id", "tie")).withColumn("to", F.explode(F.when(
         F.col("target").isNull(), F.array(F.struct(F.col("bucket"), F.lit(0).alias("guest")))).otherwise(
         F.array(F.struct(F.col("bucket"), F.lit(0).alias("guest")), F.struct(F.col("target").alias("bucket"), F.lit(1).alias("guest"))))))
     dealt = (both.select("to.bucket", "to.guest", "doc_id", "tie", "text")
