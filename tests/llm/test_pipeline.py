@@ -42,3 +42,11 @@ def test_keep_one_with_nulls_and_repeats(spark):
     got = {(r.doc_id, r.text) for r in simhash.keep_one(docs).collect()}
     assert got == {(3, "a b c d e"), (2, None), (None, "lone text of its own"), (9, "other words here now")}
     assert simhash.keep_one(docs).count() == 4
+
+
+def test_stages_with_clashing_columns(spark):
+    rows = [(i, f"one two three four five {i // 2}", "en", "s", 9, "own", 7, 3.5, [1]) for i in range(8)]
+    names = "doc_id long, text string, lang string, source string, n_chars int, id string, kept_fp int, score double, keep array<int>"
+    docs = spark.createDataFrame(rows, names)
+    got = simhash.keep_one(docs).collect()
+    assert len(got) < 8 and all((r.id, r.kept_fp, r.score, r.keep) == ("own", 7, 3.5, [1]) for r in got)

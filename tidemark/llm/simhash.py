@@ -191,11 +191,11 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, blocks: int =
     """
     own = materialise(fingerprints(docs, shingle), "simhash-fp")
     rooted = _rooted(own, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")), max_bits, blocks)
+    fp, nth, kept_id, kept_fp = fresh("fp"), fresh("nth"), fresh("id"), fresh("kept")
     kept = (rooted.groupBy("root").agg(F.min(F.struct("low", "fp")).alias("m"))
-            .select(F.col("m.low.doc_id").alias("id"), F.col("m.fp").alias("kept_fp")))
-    fp, nth = fresh("fp"), fresh("nth")
+            .select(F.col("m.low.doc_id").alias(kept_id), F.col("m.fp").alias(kept_fp)))
     rows = with_fingerprint(docs, fp, shingle)
-    rows = rows.join(kept, F.expr(f"doc_id <=> id AND `{fp}` = kept_fp"), "left_semi")
+    rows = rows.join(kept, F.expr(f"doc_id <=> `{kept_id}` AND `{fp}` = `{kept_fp}`"), "left_semi")
     once = Window.partitionBy("doc_id", fp).orderBy(F.lit(0))
     return rows.withColumn(nth, F.row_number().over(once)).where(F.col(nth) == 1).select(*docs.columns)
 
