@@ -52,6 +52,7 @@ _TABLE = bytes.maketrans(UPPER.encode() + _CUTS + b"\t", UPPER.lower().encode()
 
 _COUNTS = "lang string, k int, phrase string, n long"
 _SKETCH = "block int, counts binary"
+_BLOCKS = "shard int, lang string, vocabulary binary, hashes binary, words binary"
 
 
 def words_and_cuts(text: bytes) -> list[bytes]:
@@ -66,8 +67,8 @@ def _mixed(a: np.ndarray, b: np.ndarray, k: int) -> np.ndarray:
         return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
 
 
-def numbered(lang: str, texts: list[bytes]) -> tuple[list[bytes], list[bytes], np.ndarray, np.ndarray]:
-    """(words and cuts, distinct ones, each one's number, hashes by number); the cut is number 0."""
+def numbered(lang: str, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct words, the number of each word or cut in turn, hashes by number); the cut is number 0."""
     words = words_and_cuts(b".".join(texts) + b".")
     number: dict[bytes, int] = defaultdict()
     number.default_factory = number.__len__
@@ -75,11 +76,11 @@ def numbered(lang: str, texts: list[bytes]) -> tuple[list[bytes], list[bytes], n
     at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
     prefix = lang.encode() + b"\0"
     hashes = np.fromiter((xxhash.xxh64_intdigest(prefix + w) for w in number), np.uint64, len(number))
-    return words, list(number), at, hashes
+    return list(number), at, hashes
 
 
-def by_language(batches: Iterator[pa.RecordBatch], most: int = BLOCK) -> Iterator[tuple[str, list[bytes]]]:
-    """Texts of one language at a time, about ``most`` bytes of all languages together."""
+def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+    """Texts of one language at a time, about ``BLOCK`` bytes of all languages together."""
     held, size = defaultdict(list), 0
     for b in batches:
         for start in range(0, b.num_rows, 256):
@@ -87,7 +88,7 @@ def by_language(batches: Iterator[pa.RecordBatch], most: int = BLOCK) -> Iterato
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                 held[lang].append(text)
                 size += len(text) + 1
-                if size >= most:
+                if size >= BLOCK:
                     yield from held.items()
                     held, size = defaultdict(list), 0
     yield from held.items()
@@ -98,9 +99,11 @@ def _cut(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         for n, (lang, texts) in enumerate(by_language(batches)):
-            _, _, at, hashes = numbered(lang, texts)
-            yield pa.record_batch([pa.array([(part + n) % shards], pa.int32()), pa.array([hashes.tobytes()], pa.binary()),
-                                   pa.array([at.astype(np.int32).tobytes()], pa.binary())], names=["shard", "hashes", "words"])
+            distinct, at, hashes = numbered(lang, texts)
+            yield pa.record_batch([
+                pa.array([(part + n) % shards], pa.int32()), pa.array([lang], pa.string()), pa.array([b" ".join(distinct)], pa.binary()),
+                pa.array([hashes.tobytes()], pa.binary()), pa.array([at.astype(np.int32).tobytes()], pa.binary())],
+                names=[c.split()[0] for c in _BLOCKS.split(", ")])
     return run
 
 
@@ -179,15 +182,18 @@ def _texts(known, longest: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = np.frombuffer(zlib.decompress(known.value), np.uint8)
-        for lang, texts in by_language(batches, 4 * BLOCK):
-            words, distinct, at, hashes = numbered(lang, texts)
-            for x in levels(at, hashes, reached, longest):
-                often = np.flatnonzero(x.reached != UNSET)
-                if x.k == 1:
-                    yield rows(lang, 0, [b""], x.counts[1:].sum(keepdims=True))
-                    yield rows(lang, 1, [distinct[i] for i in often.tolist()], x.counts[often])
-                else:
-                    yield rows(lang, x.k, [b" ".join(words[i:i + x.k]) for i in x.first[often].tolist()], x.counts[often])
+        for b in batches:
+            for lang, distinct, hashes, words in zip(*(b.column(c) for c in ("lang", "vocabulary", "hashes", "words"))):
+                lang, distinct = lang.as_py(), distinct.as_py().split(b" ")
+                at = np.frombuffer(words.as_py(), np.int32).astype(np.int64)
+                for x in levels(at, np.frombuffer(hashes.as_py(), np.uint64), reached, longest):
+                    often = np.flatnonzero(x.reached != UNSET)
+                    if x.k == 1:
+                        yield rows(lang, 0, [b""], x.counts[1:].sum(keepdims=True))
+                        yield rows(lang, 1, [distinct[i] for i in often.tolist()], x.counts[often])
+                    else:
+                        parts = [map(distinct.__getitem__, at[x.first[often] + i].tolist()) for i in range(x.k)]
+                        yield rows(lang, x.k, list(map(b" ".join, zip(*parts))), x.counts[often])
     return run
 
 
@@ -250,8 +256,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text.alias("text"))
     path = scratch_path(spark, "phrase-shards")
-    docs.mapInArrow(_cut(shards), "shard int, hashes binary, words binary").write.partitionBy("shard").parquet(path)
-    cut = spark.read.schema("hashes binary, words binary, shard int").parquet(path)
+    docs.mapInArrow(_cut(shards), _BLOCKS).write.partitionBy("shard").parquet(path)
+    cut = spark.read.schema(_BLOCKS).parquet(path)
     slots = slots or slots_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     reached = np.full(slots, UNSET, np.uint8)
 
@@ -275,7 +281,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
                 last_new = step
         step += 1
     known = spark.sparkContext.broadcast(zlib.compress(reached, 1))
-    every = materialise(docs.mapInArrow(_texts(known, longest), _COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    every = materialise(cut.mapInArrow(_texts(known, longest), _COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
                         .where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
     known.destroy()
     return every.where("k > 0"), every.where("k = 0").select("lang", "n")
