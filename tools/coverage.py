@@ -14,13 +14,12 @@ from tidemark.plans import REGISTRY  # noqa: E402
 
 
 # Streaming forms registered beside the batch query the survey names for the row.
-ALSO = {"O119": ["ledger_balance_intervals"], "O121": ["group_swap_rows"], "O122": ["group_sale_rows"], "O147": ["stream_running_balance"],
+ALSO = {"O130": ["title_mining"], "O119": ["ledger_balance_intervals"], "O121": ["group_swap_rows"], "O122": ["group_sale_rows"], "O147": ["stream_running_balance"],
         "O148": ["stream_tumbling_hour"]}
 
 
 # Rows whose query does less than the operator or the job.
-PARTIAL = {"O130": "partial: slices of a title, a language and a page number only",
-           "M39": "partial: rarity tiers only"}
+PARTIAL: dict[str, str] = {}
 
 
 def main() -> None:
@@ -55,18 +54,18 @@ def main() -> None:
 # composed as jobs, only their operators are.
 MODELS = {
     **{f"M{i}": ["scan_project", "fn_epoch_millis"] for i in range(1, 8)},
-    "M9": ["join_left"], "M11": ["seed_names_join", "append_stamped"], "M13": ["agg_then_window"],
+    "M9": ["join_left"], "M11": ["seed_names_join", "append_stamped"], "M12": ["asset_master"], "M13": ["agg_then_window"],
     "M14": ["fn_calendar_parts", "json_path"], "M15": ["json_explode_recursive", "win_renumber"],
     "M17": ["set_union_distinct"], "M18": ["unpivot_legs"], "M19": ["scan_json_props", "scan_file_metadata"],
     "M20": ["pending_work_list"], "M22": ["ledger_legs", "ledger_daily_balance", "ledger_incremental_seed"],
     "M23": ["ledger_hourly_balance"], "M24": ["group_pattern_match"], "M25": ["two_pass_match"],
     "M26": ["join_disjunctive"], "M27": ["group_swap_rows"], "M28": ["join_theta_residual"],
     "M30": ["set_tagged_union"], "M32": ["price_from_trades"], "M33": ["price_from_reserves"],
-    "M35": ["price_impute"], "M36": ["price_impute", "fn_try_cast"], "M37": ["group_sale_rows"],
-    "M39": ["tier_classify"], "M44": ["win_even_split"], "M46": ["json_explode_object"],
+    "M34": ["catalogue_merge"], "M35": ["price_impute"], "M36": ["price_impute", "fn_try_cast"], "M37": ["group_sale_rows"],
+    "M39": ["title_mining"], "M41": ["sales_auction"], "M42": ["sales_creator"], "M43": ["sales_names"], "M44": ["win_even_split"], "M46": ["sales_state_delta"],
     "M47": ["direction_tag"], "M51": ["agg_listagg"], "M53": ["set_tagged_union"],
     "M54": ["dim_sentinels"], "M56": ["dim_sentinels", "dim_inferred_members"], "M57": ["calendar_days"],
-    "M61": ["late_key_repair"], "M66": ["fact_with_sentinels", "join_role_playing"], "M81": ["join_preference"],
+    "M61": ["late_key_repair"], "M66": ["fact_with_sentinels", "join_role_playing"], "M81": ["join_preference"], "M82": ["sales_all_markets"],
 }
 
 
