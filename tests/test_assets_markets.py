@@ -156,3 +156,12 @@ def test_name_sales_are_disjoint(spark):
     assert {r.type for r in rows} == {"primary", "curated", "secondary and transfers"}
     moved = {(r.tx_group_id, r.nft_asset_id) for r in rows if r.type == "curated"}
     assert not moved & {(r.tx_group_id, r.nft_asset_id) for r in rows if r.type == "secondary and transfers"}
+
+
+def test_broken_arguments_are_null(spark):
+    from tidemark.operators import bridges as B
+    rows = [(1, '["aGk=", "%%", "/w=="]'), (2, "[]"), (3, "no json"), (4, None), (5, '{"0": "aGk="}')]
+    got = B.decoded_args(spark.createDataFrame(rows, "n int, args string"), "args", {"a": 0, "b": 1, "c": 2}).orderBy("n").collect()
+    assert [(r.a, r.b, r.c) for r in got] == [("hi", None, None)] + [(None, None, None)] * 4
+    ends = spark.createDataFrame([("x deposit",), ("deposit x",), (None,)], "t string").select(B.by_suffix(F.col("t"), {"deposit": "outbound"}))
+    assert [r[0] for r in ends.collect()] == ["outbound", None, None]

@@ -39,6 +39,7 @@ def _load_all() -> None:
     from . import (  # noqa: F401
         agg_plans,
         asset_plans,
+        bridge_plans,
         dim_plans,
         filter_plans,
         incremental_plans,

@@ -63,7 +63,7 @@ MODELS = {
     "M30": ["set_tagged_union"], "M32": ["price_from_trades"], "M33": ["price_from_reserves"],
     "M34": ["catalogue_merge"], "M35": ["price_impute"], "M36": ["price_impute", "fn_try_cast"], "M37": ["group_sale_rows"],
     "M39": ["title_mining"], "M41": ["sales_auction"], "M42": ["sales_creator"], "M43": ["sales_names"], "M44": ["win_even_split"], "M46": ["sales_state_delta"],
-    "M47": ["direction_tag"], "M51": ["agg_listagg"], "M53": ["set_tagged_union"],
+    "M47": ["direction_tag"], "M48": ["bridge_calls"], "M50": ["bridge_notes"], "M51": ["agg_listagg"], "M53": ["set_tagged_union"],
     "M54": ["dim_sentinels"], "M56": ["dim_sentinels", "dim_inferred_members"], "M57": ["calendar_days"],
     "M61": ["late_key_repair"], "M66": ["fact_with_sentinels", "join_role_playing"], "M81": ["join_preference"], "M82": ["sales_all_markets"],
 }
