@@ -12,15 +12,18 @@ A candidate's fate depends on its identity alone, so popping it from the agenda
 skipping it is the same as never entering it.  That lets all chunks of one length be
 merged in step in numpy: one best candidate for every chunk a round.  Each task remembers
 (bounded) the undropped merge of a chunk and the candidates that it meets; it holds for every
-occurrence that skips none of them, all other occurrences are merged on their own.  The tokenizer file is read on the executors by its path.
+occurrence that skips none of them.  All other occurrences, and chunks that a batch of rows holds
+once, are merged on their own.  The tokenizer file is read on the executors by its path.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,7 @@ IN_STEP = 40
 #: Occurrences whose dropout is looked at together, at most.
 TOGETHER = 1 << 17
 _SPACE, _CHUNK = "▁", re.compile(r" *[^ \n]+| +|\n")
-_NONE = np.int64(1) << 62
+_NONE = 1 << 30
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,7 +70,7 @@ class Vocabulary:
         self.surface = [p.replace(_SPACE, " ").encode() for p in pieces]
         for b, i in enumerate(self.byte):
             self.surface[i] = bytes([b])
-        self.first = np.arange(0x110000, dtype=np.int64) + n  # unknown characters: n + code point
+        self.first = np.arange(0x110000, dtype=np.int32) + np.int32(n)  # unknown characters: n + code point
         for p, i in plain.items():
             if len(p) == 1:
                 self.first[ord(p)] = i
@@ -82,14 +85,14 @@ class Vocabulary:
                     ids.append(i)
         self.score = np.array([sp.get_score(i) for i in range(n)])
         order = np.argsort(-self.score, kind="stable")
-        self.rank = np.empty(n, np.int64)
+        self.rank = np.full(n + 1, _NONE, np.int32)  # the last one is found under piece -1
         self.rank[order] = np.unique(-self.score[order], return_inverse=True)[1]
         self._hash(np.array(keys, np.int64), np.array(ids, np.int64))
 
     def _hash(self, keys: np.ndarray, ids: np.ndarray) -> None:
-        bits = max(10, int(np.ceil(np.log2(len(keys) + 1))) + 3)
+        bits = max(10, int(np.ceil(np.log2(len(keys) + 1))) + 2)
         self.shift, mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.ids = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        self.keys, self.ids = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
         left, at = np.arange(len(keys)), self._home(keys)
         self.probes = 0
         while len(left):
@@ -107,11 +110,13 @@ class Vocabulary:
 
     def merge(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(piece, rank) of the merge of two symbols; rank ``_NONE`` when there is none."""
-        keys = a * (1 << 22) + b
+        keys = (a.astype(np.int64) << 22) + b
         at = self._home(keys)
         got = self.keys[at]
-        ids = np.where(got == keys, self.ids[at], -1)
-        open_ = np.flatnonzero((got != keys) & (got >= 0))
+        miss = np.flatnonzero(got != keys)
+        ids = self.ids[at]
+        ids[miss] = -1
+        open_ = miss[got[miss] >= 0]
         for _ in range(self.probes):
             if not len(open_):
                 break
@@ -120,7 +125,7 @@ class Vocabulary:
             hit = got == keys[open_]
             ids[open_[hit]] = self.ids[at[open_[hit]]]
             open_ = open_[(got >= 0) & ~hit]
-        return ids, np.where(ids >= 0, self.rank[ids], _NONE)
+        return ids, self.rank[ids]
 
     def bytes_of(self, symbol: int) -> list[int]:
         """Output ids of one symbol: itself, or the bytes of an unknown character."""
@@ -151,47 +156,65 @@ def segment_in_step(vocab: Vocabulary, chars: np.ndarray, keys: np.ndarray, drop
     ``seen`` gets the (row numbers, places) of the candidates that were met.
     """
     rows, n = np.arange(len(chars)), chars.shape[1]
-    sym = vocab.first[chars]
-    start = np.broadcast_to(np.arange(n + 1), (len(rows), n + 1))
+    if n == 1:
+        return [(rows, vocab.first[chars])]
 
-    def candidates(a, b, row, key, s, m, e):
+    def candidates(a, b, row, s, m, e):
+        """(piece, rank and place as one number) of merges of [s, m) and [m, e)."""
         ids, rank = vocab.merge(a, b)
-        if seen is not None:
-            live = rank < _NONE
-            seen.append((row[live], place_of(s, m, e)[live]))
-        if dropout:
-            rank = np.where((rank < _NONE) & dropped(key, s, m, e, dropout), _NONE, rank)
-        return ids, rank
-
-    done = []
-    if n == 1:
-        return [(rows, sym)]
-    into, rank = candidates(sym[:, :-1].ravel(), sym[:, 1:].ravel(), np.repeat(rows, n - 1), np.repeat(keys, n - 1),
-                            start[:, :-2].ravel(), start[:, 1:-1].ravel(), start[:, 2:].ravel())
-    into, rank = into.reshape(-1, n - 1), rank.reshape(-1, n - 1)
+        live = np.flatnonzero(rank < _NONE)
+        best = np.full(len(ids), _NONE, np.int32)
+        if seen is not None or dropout:
+            own, place = row[live], place_of(s[live], m[live], e[live])
+            if seen is not None:
+                seen.append((own, place))
+            if dropout:
+                live = live[~dropped_at(keys[own], place, dropout)]
+        best[live] = rank[live] << 6 | s[live]
+        return ids, best
+
+    # Place by row: a symbol stands where it starts, -1 where none starts any more.
+    wide = len(rows)
+    out = sym = np.ascontiguousarray(vocab.first[chars].T)
+    after = np.repeat(np.arange(1, n + 1, dtype=np.int32), wide).reshape(n, wide)
+    before = np.repeat(np.arange(-1, n, dtype=np.int32), wide).reshape(n + 1, wide)
+    into, best = np.zeros((n, wide), np.int32), np.full((n, wide), _NONE, np.int32)
+    s = after[:-1].ravel() - 1
+    pairs = candidates(sym[:-1].ravel(), sym[1:].ravel(), np.tile(rows, n - 1), s, s + 1, s + 2)
+    into[:-1], best[:-1] = (x.reshape(n - 1, wide) for x in pairs)
     while True:
-        j = rank.argmin(1)
-        go = rank[np.arange(len(rows)), j] < _NONE
-        if not go.all():
-            done.append((rows[~go], sym[~go]))
-            rows, sym, start, into, rank, keys, j = (x[go] for x in (rows, sym, start, into, rank, keys, j))
-        if not len(rows):
-            return done
-        i, width = np.arange(len(rows)), sym.shape[1]
-        sym[i, j] = into[i, j]
-        gone = np.arange(width)[None, :] != (j + 1)[:, None]
-        sym = sym[gone].reshape(-1, width - 1)
-        start = start[np.concatenate([gone, np.ones((len(rows), 1), bool)], 1)].reshape(-1, width)
-        if width == 2:
-            done.append((rows, sym))
-            return done
-        pair = np.arange(width - 1)[None, :] != j[:, None]
-        into, rank = into[pair].reshape(-1, width - 2), rank[pair].reshape(-1, width - 2)
-        for at in (j - 1, j):
-            ok = np.flatnonzero((at >= 0) & (at < width - 2))
-            k = at[ok]
-            into[ok, k], rank[ok, k] = candidates(sym[ok, k], sym[ok, k + 1], rows[ok], keys[ok], start[ok, k],
-                                                  start[ok, k + 1], start[ok, k + 2])
+        top = best.min(0)
+        go = np.flatnonzero(top < _NONE)
+        if len(go) < wide // 2 or not len(go):
+            if sym is not out:
+                out[:, rows] = sym
+            if not len(go):
+                break
+            rows, top, sym, after, before, into, best = (np.take(x, go, -1) for x in (rows, top, sym, after, before, into, best))
+            wide, go = len(rows), np.arange(len(rows))
+        flat_sym, flat_after, flat_before, flat_into, flat_best = (x.reshape(-1) for x in (sym, after, before, into, best))
+        j = top[go] & 63
+        left = j * wide + go
+        mid = flat_after[left] * wide + go
+        end = flat_after[mid]
+        flat_sym[left], flat_sym[mid] = flat_into[left], -1
+        flat_best[left] = flat_best[mid] = _NONE
+        flat_after[left] = end
+        flat_before[end * wide + go] = j
+        prev = flat_before[left]
+        one, two = np.flatnonzero(prev >= 0), np.flatnonzero(end < n)
+        col = np.concatenate([go[one], go[two]])
+        s, m = np.concatenate([prev[one], j[two]]), np.concatenate([j[one], end[two]])
+        at, right = s * wide + col, m * wide + col
+        flat_into[at], flat_best[at] = candidates(flat_sym[at], flat_sym[right], rows[col], s, m, flat_after[right])
+    stand = out >= 0
+    width = stand.sum(0)
+    done = []
+    for w in np.unique(width):
+        own = np.flatnonzero(width == w)
+        part = out[:, own].T
+        done.append((own, part[part >= 0].reshape(-1, w)))
+    return done
 
 
 def segment_one(vocab: Vocabulary, chunk: str, key: np.uint64, dropout: float) -> list[int]:
@@ -295,26 +318,40 @@ class Encoder:
             out[owner[dropped_at(keys[owner], self.places[pick], self.dropout)]] = True
         return out
 
+    def _recall(self, chunks: list[str]) -> np.ndarray:
+        """Numbers of the chunks that are remembered, after learning those met twice here (-1: met once)."""
+        at = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        strange = np.flatnonzero(at < 0).tolist()
+        least = 2 if self.dropout else 1
+        new = [c for c, n in Counter([chunks[i] for i in strange]).items() if n >= least]
+        if len(self.lens) + len(new) > REMEMBERED:
+            self._forget()
+            strange = range(len(chunks))
+            new = [c for c, n in Counter(chunks).items() if n >= least]
+        if new:
+            self._learn(new)
+            at[strange] = [self.known.get(chunks[i], -1) for i in strange]
+        return at
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): text i has ids[offsets[i]:offsets[i + 1]]."""
         # One space goes before a text, as the tokenizer adds it; decoding takes it off.
         cut = [_CHUNK.findall(" " + t) if t else [] for t in texts]
         words = np.cumsum([0, *map(len, cut)])
         chunks = [c for own in cut for c in own]
-        new = set(chunks).difference(self.known)
-        if len(self.lens) + len(new) > REMEMBERED:
-            self._forget()
-            new = set(chunks)
-        if new:
-            self._learn(list(new))
-        at = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
-        flat, starts, n = self.flat, self.starts[at], self.lens[at]
+        at = self._recall(chunks)
+        flat, starts, n = self.flat, np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        known = np.flatnonzero(at >= 0)
+        starts[known], n[known] = self.starts[at[known]], self.lens[at[known]]
         if self.dropout and chunks:
             own = np.array([xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), self.seed) if t else 0
                             for t in texts], np.uint64)
             nth = np.arange(len(chunks)) - np.repeat(words[:-1], np.diff(words))
             keys = _mix(np.repeat(own, np.diff(words)) + nth.astype(np.uint64) * _ODD)
-            other = np.flatnonzero(self._differs(at, keys, np.fromiter(map(len, chunks), np.int64, len(chunks))))
+            alone = at < 0
+            chars = np.fromiter(map(len, chunks), np.int64, len(chunks))
+            alone[known] = self._differs(at[known], keys[known], chars[known])
+            other = np.flatnonzero(alone)
             for i in range(0, len(other), TOGETHER):
                 part = other[i:i + TOGETHER]
                 ids, begin, size = self._segment([chunks[j] for j in part.tolist()], keys[part], self.dropout)
