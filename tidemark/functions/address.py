@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..session import ship_package
+from ..session import scratch_path, ship_package
 
 CHECKSUM_BYTES = 4
 
@@ -73,17 +73,33 @@ def encode_addresses(df: DataFrame, key_col: str, out_col: str, kind: str = "hex
     return encode_address_columns(df, {key_col: out_col}, kind)
 
 
+def address_table(df: DataFrame, cols: list[str], kind: str = "hex") -> DataFrame:
+    """(key, address) of the distinct keys of all columns: one scan, each key encoded once."""
+    ship_package(df.sparkSession)
+    udf = encode_hex_key if kind == "hex" else encode_b64_key
+    keys = df.select(F.explode(F.array(*cols)).alias("key")).where("key IS NOT NULL").distinct()
+    return keys.select("key", udf("key").alias("address"))
+
+
+def written(table: DataFrame) -> DataFrame:
+    """The table written to the shared work folder once, so that several joins don't make it anew."""
+    path = scratch_path(table.sparkSession, "addresses")
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def look_up(df: DataFrame, table: DataFrame, key_col: str, out: dict[str, str]) -> DataFrame:
+    """``df`` with columns of the table's row for ``key_col`` (``out``: table column -> new column)."""
+    own = table.select(F.col("key").alias("__key"), *(F.col(c).alias(o) for c, o in out.items()))
+    return df.join(own, df[key_col] == F.col("__key"), "left").drop("__key")
+
+
 def encode_address_columns(df: DataFrame, cols: dict[str, str], kind: str = "hex") -> DataFrame:
     """Encode several key columns (e.g. sender and receiver) with one UDF pass over the
     distinct keys of all of them, then join the text back once per column."""
-    ship_package(df.sparkSession)
-    udf = encode_hex_key if kind == "hex" else encode_b64_key
-    keys = None
-    for c in cols:
-        k = df.select(F.col(c).alias("__key")).where(F.col("__key").isNotNull())
-        keys = k if keys is None else keys.unionByName(k)
-    coded = keys.distinct().select("__key", udf(F.col("__key")).alias("__addr"))
-    out = df
+    table = address_table(df, list(cols), kind)
+    if len(cols) > 1:
+        table = written(table)
     for c, o in cols.items():
-        out = out.join(coded.withColumnRenamed("__key", c).withColumnRenamed("__addr", o), c, "left")
-    return out
+        df = look_up(df, table, c, {"address": o})
+    return df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.address import decode_address, encode_address_columns
+from ..functions.address import address_table, decode_address, look_up, written
 from ..session import scratch_path
 from ..streaming import jobs
 from . import register
@@ -109,13 +109,15 @@ SELECT tx_id, intra, upper(sha256(sender)) AS sender_key, 58 AS sender_length,
 FROM transfers
 """)
 def encode_addresses_q(spark, sf_dir):
-    """Public key per address (SHA-256 of the address text stands in for the key), encoded
-    once per distinct key and joined back to both legs of every transfer."""
+    """Public key per address (SHA-256 of the address text stands in for the key).  Each
+    distinct key is encoded, and its address decoded back to the key, checksum included,
+    once; the written table is joined to both legs of every transfer."""
     tr = transfers(T(spark, sf_dir)).select("tx_id", "intra", "sender", "receiver")
-    keyed = tr.withColumn("sender_pk", F.sha2("sender", 256)).withColumn("receiver_pk", F.sha2("receiver", 256))
-    b = encode_address_columns(keyed, {"sender_pk": "sender_address", "receiver_pk": "receiver_address"})
-    # Each address decodes back to its key, checksum included.
-    return b.select("tx_id", "intra",
-                    decode_address("sender_address").alias("sender_key"), F.length("sender_address").alias("sender_length"),
-                    decode_address("receiver_address").alias("receiver_key"),
-                    F.length("receiver_address").alias("receiver_length"))
+    keyed = tr.select("tx_id", "intra", F.sha2("sender", 256).alias("sender_pk"),
+                      F.sha2("receiver", 256).alias("receiver_pk"))
+    table = address_table(keyed, ["sender_pk", "receiver_pk"])
+    table = written(table.withColumn("decoded", decode_address("address")))
+    for leg in ("sender", "receiver"):
+        keyed = look_up(keyed, table, f"{leg}_pk", {"decoded": f"{leg}_key", "address": f"{leg}_address"})
+    return keyed.select("tx_id", "intra", "sender_key", F.length("sender_address").alias("sender_length"),
+                        "receiver_key", F.length("receiver_address").alias("receiver_length"))
