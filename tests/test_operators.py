@@ -279,6 +279,43 @@ def test_stream_balance_split_days_and_late_rows(spark, tmp_path):
                           (None, "2024-01-02", 7.0)], key=str)
 
 
+def test_stream_balance_cost_does_not_follow_the_history(spark, tmp_path):
+    from tidemark.streaming import jobs
+    landings = [[("a", f"2023-{m:02d}-10", 1.0), ("b", f"2023-{m:02d}-11", 2.0)] for m in range(1, 6)]
+    got = stream_balances(spark, tmp_path, [*landings, [("a", "2023-05-10", 0.5), ("c", "2023-06-01", 9.0)],
+                                            [("b", "2023-04-01", 7.0)], [("a", "2023-12-01", 1.0)]])
+    assert got == sorted([("a", "2023-01-10", 1.0), ("a", "2023-02-10", 2.0), ("a", "2023-03-10", 3.0), ("a", "2023-04-10", 4.0),
+                          ("a", "2023-05-10", 5.5), ("a", "2023-12-01", 6.5),
+                          ("b", "2023-01-11", 2.0), ("b", "2023-02-11", 4.0), ("b", "2023-03-11", 6.0), ("b", "2023-04-01", 13.0),
+                          ("b", "2023-04-11", 15.0), ("b", "2023-05-11", 17.0), ("c", "2023-06-01", 9.0)], key=str)
+    # months before a batch's first day keep the version they had; superseded versions are gone
+    epochs = {part: epoch for part, (epoch, _) in jobs.newest_parts(spark, f"{tmp_path}/out").items()}
+    assert epochs == {"202301": 0, "202302": 1, "202303": 2, "202304": 6, "202305": 6, "202306": 5, "202312": 7}
+    kept = {p.parent.name for p in (tmp_path / "out").glob("epoch=*/part=202305")}
+    assert kept == {"epoch=5", "epoch=6"}
+
+
+def test_stream_balance_replayed_epoch_counts_once(spark, tmp_path):
+    from tidemark.streaming import jobs
+    parts = [[("a", "2024-01-01", 10.0)], [("a", "2024-01-01", 5.0), ("a", "2024-02-01", 1.0), ("z", None, 3.0)]]
+    stream_balances(spark, tmp_path, parts)
+    # lose the commit of the last epoch: it is run again
+    for p in (tmp_path / "ckpt" / "commits").glob("*1*"):
+        p.unlink()
+    stream_balances(spark, tmp_path, [])
+    got = jobs.current_balances(spark, f"{tmp_path}/out", ["key"]).collect()
+    assert sorted((r.key, str(r.period), r.balance) for r in got) == [("a", "2024-01-01", 15.0), ("a", "2024-02-01", 16.0)]
+
+
+def test_json_recursive_levels_nulls_and_empty_arrays(spark):
+    doc = '{"n":1,"dt":{"itx":[{"n":2,"dt":{"itx":[]}},null,{"dt":{"itx":[{"n":4}]}},7]}}'
+    df = spark.createDataFrame([(1, doc), (2, None), (3, '{"n":5,"dt":{"itx":3}}')], "id int, j string")
+    nodes = jsonx.explode_recursive(df.select("id", F.try_parse_json("j").alias("v")), "v", ["id"], {"n": ("$.n", "int")})
+    assert sorted(((r.id, r.path, r.n) for r in nodes.collect()), key=str) == sorted([
+        (1, "", 1), (1, "dt.itx[0]", 2), (1, "dt.itx[1]", None), (1, "dt.itx[2]", None), (1, "dt.itx[2].dt.itx[0]", 4),
+        (1, "dt.itx[3]", None), (2, "", None), (3, "", 5)], key=str)
+
+
 def test_missing_columns_reads_the_schema_only(spark):
     df = spark.createDataFrame([], "a int, b int")
     assert rows(quality.missing_columns(spark, df, ["a", "c"]), "column_name", "problem") == [("c", "missing")]

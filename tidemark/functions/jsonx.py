@@ -3,16 +3,19 @@
 Payloads stay JSON text in storage; they are parsed once (``try_parse_json``) and typed
 columns are pulled with ``try_variant_get``.  FLATTEN maps to the ``variant_explode``
 table function through a lateral join; the recursive FLATTEN of nested inner
-transactions walks the tree level by level, each level written before the next.
+transactions opens a few levels in one pass and writes them before the next pass.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+
 def get(v, path: str, type_: str = "string") -> Column:
     """``v:a.b::TYPE`` -> ``try_variant_get(v, '$.a.b', type)`` (null on missing or bad cast)."""
     return F.try_variant_get(v if isinstance(v, Column) else F.col(v), path, type_)
@@ -36,34 +39,56 @@ def explode(df: DataFrame, array_col: str, outer: bool = False) -> DataFrame:
     return df.lateralJoin(tvf(F.col(array_col).outer()), how="left" if outer else "inner")
 
 
+#: Levels of a tree that one pass flattens before its rows are written.
+LEVELS = 4
+
+
 def explode_recursive(df: DataFrame, payload: str, id_cols: list[str], fields: dict[str, tuple[str, str]],
                       child_path: str = "$.dt.itx", child_label: str = "dt.itx") -> DataFrame:
     """Every node of a tree of nested arrays, with its path text and the named ``fields``
     (name -> (variant path, type)): root path '' and children ``dt.itx[i]``,
     ``dt.itx[i].dt.itx[j]`` ... at any depth.
 
-    Level by level: each level is made from the written one before and carries only the
-    typed fields and its own child arrays.  A level is written below ``spark.checkpoint.dir``
-    (a lost executor re-reads it), and the first empty level ends the walk, so neither the
-    depth nor the number of nodes is bounded.
+    A row is either a finished node (its typed fields) or an open one (its child array, still
+    to be exploded).  One pass opens ``LEVELS`` levels without a shuffle and is written below
+    ``spark.checkpoint.dir`` (a lost executor re-reads it); the next pass reads the open rows
+    alone, and a pass that leaves none ends the walk.  So the payload is parsed once, a tree
+    of depth d takes about d / ``LEVELS`` passes, and neither depth nor node count is bounded.
     """
-    def level(nodes: DataFrame) -> DataFrame:
-        typed = [get("node", p, t).alias(n) for n, (p, t) in fields.items()]
-        return nodes.select(*id_cols, "path", *typed, F.variant_get("node", child_path, "variant").alias("__kids"))
-
     spark = df.sparkSession
-    now = level(df.select(*id_cols, F.lit("").alias("path"), F.col(payload).alias("node")))
-    columns = [*id_cols, "path", *fields]
-    out = now.select(*columns)
+    typed = [get("__node", p, t).alias(n) for n, (p, t) in fields.items()]
+    kids = F.variant_get("__node", child_path, "variant")
+
+    def emit(nodes: DataFrame) -> DataFrame:
+        """Finished rows stay; a node gives its finished row and, if it has children, an open one."""
+        x = nodes.withColumn("__below", F.when(F.col("__node").isNotNull(), kids))
+        done = F.struct(F.lit(False).alias("__open"), *[F.coalesce(F.col(f"__{n}"), c).alias(n) for n, c in zip(fields, typed)],
+                        F.lit(None).cast("variant").alias("__kids"))
+        more = F.struct(F.lit(True).alias("__open"), *[F.lit(None).cast(t).alias(n) for n, (_, t) in fields.items()],
+                        F.col("__below").alias("__kids"))
+        rows = F.when(F.col("__below").isNotNull(), F.array(done, more)).otherwise(F.array(done))
+        return x.select(*id_cols, "path", F.inline(rows))
+
+    def step(rows: DataFrame) -> DataFrame:
+        x = rows.withColumnsRenamed({n: f"__{n}" for n in fields})
+        x = x.lateralJoin(spark.tvf.variant_explode_outer(F.col("__kids").outer()))
+        child = F.concat("path", F.when(F.col("path") == "", "").otherwise("."), F.lit(f"{child_label}["),
+                         F.col("pos").cast("string"), F.lit("]"))
+        # an open row without elements ends here
+        x = x.where(~F.col("__open") | F.col("pos").isNotNull())
+        return emit(x.select(*id_cols, F.when(F.col("__open"), child).otherwise(F.col("path")).alias("path"),
+                             *[f"__{n}" for n in fields], F.when(F.col("__open"), F.col("value")).alias("__node")))
+
+    none = [F.lit(None).cast(t).alias(f"__{n}") for n, (_, t) in fields.items()]
+    now = emit(df.select(*id_cols, F.lit("").alias("path"), *none, F.col(payload).alias("__node")))
+    parts = []
     while True:
-        kids = now.where(F.col("__kids").isNotNull()).select(*id_cols, "path", "__kids")
-        below = kids.lateralJoin(spark.tvf.variant_explode(F.col("__kids").outer())).select(
-            *id_cols, F.concat("path", F.when(F.col("path") == "", "").otherwise("."),
-                               F.lit(f"{child_label}["), F.col("pos").cast("string"), F.lit("]")).alias("path"),
-            F.col("value").alias("node"))
-        path = scratch_path(spark, "flatten-level")
-        level(below).write.parquet(path)
-        now = spark.read.parquet(path)
+        for _ in range(LEVELS):
+            now = step(now)
+        path = scratch_path(spark, "flatten-levels")
+        now.write.parquet(path)
+        now = spark.read.schema(now.schema).parquet(path)
+        parts.append(now.where(~F.col("__open")).select(*id_cols, "path", *fields))
+        now = now.where("__open")
         if now.isEmpty():
-            return out
-        out = out.unionByName(now.select(*columns))
+            return reduce(DataFrame.unionByName, parts)

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 
 
 def pattern_match(legs: DataFrame, group: str, pos: str, is_call: Column,
@@ -60,12 +61,20 @@ def shape_filter(legs: DataFrame, group: str, kind: str, exact: dict[str, int],
 def two_pass_match(legs: DataFrame, group: str, learn_col: str, legs_in_shape: int) -> DataFrame:
     """Pass 1: groups with exactly ``legs_in_shape`` legs; their ``learn_col`` values are
     learned.  Pass 2: legs of the other groups whose ``learn_col`` was learned."""
+    spark = legs.sparkSession
     shape = legs.groupBy(group).agg(F.count(F.lit(1)).alias("n")) \
-                .where(F.col("n") == legs_in_shape).select(group)
-    pass1 = legs.join(shape, group, "left_semi")
-    learned = pass1.select(learn_col).distinct()
-    pass2 = legs.join(shape, group, "left_anti").join(learned, learn_col, "left_semi")
-    return pass1.withColumn("pass", F.lit("pass1")).unionByName(pass2.withColumn("pass", F.lit("pass2")))
+                .where(F.col("n") == legs_in_shape).select(F.col(group).alias("__g"))
+    # flagged once and written: learning and matching read that table, not the legs again
+    flagged = legs.join(shape, legs[group] == F.col("__g"), "left") \
+                  .withColumn("__shape", F.col("__g").isNotNull()).drop("__g")
+    path = scratch_path(spark, "two-pass")
+    flagged.write.parquet(path)
+    flagged = spark.read.schema(flagged.schema).parquet(path)
+    learned = flagged.where("__shape").select(F.col(learn_col).alias("__learned")).distinct()
+    x = flagged.join(learned, flagged[learn_col] == F.col("__learned"), "left")
+    return x.where(F.col("__shape") | F.col("__learned").isNotNull()) \
+            .withColumn("pass", F.when(F.col("__shape"), F.lit("pass1")).otherwise(F.lit("pass2"))) \
+            .drop("__shape", "__learned")
 
 
 def direction_tag(transfers: DataFrame, custodians: DataFrame, sender: str = "sender",

@@ -74,13 +74,6 @@ def write_version(df: DataFrame, spark: SparkSession, name: str,
     return path
 
 
-def merge_into_path(spark: SparkSession, target_path: str, batch: DataFrame, keys: list[str],
-                    name: str = "merged") -> str:
-    """Merge ``batch`` into the parquet table at ``target_path``; returns the new version."""
-    target = spark.read.parquet(target_path)
-    return write_version(merge(target, batch, keys), spark, name)
-
-
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The parquet table at ``path`` in its declared types (partition values included: text
     such as ``007`` stays text); an empty frame when nothing has been written yet."""

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import safe_div
+from ..session import scratch_path
 from .relational import null_safe_join
 
 
@@ -33,7 +34,7 @@ def with_bucket_stats(df: DataFrame, keys: list[str], **stats: Column) -> DataFr
     keys)`` has them: aggregated (partially map-side) and joined back null-safe, so a hot
     bucket is split by the skew-aware join where a window would hold it in one task."""
     table = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    return null_safe_join(df, table.hint("shuffle_hash"), keys)
+    return null_safe_join(df, table, keys)
 
 
 def with_bucket_median(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -41,7 +42,15 @@ def with_bucket_median(df: DataFrame, keys: list[str], value: str, out: str) ->
     sums), so what one group gathers is its distinct values, not its rows."""
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     table = counted.groupBy(*keys).agg(F.percentile(value, 0.5, F.col("__n")).alias(out))
-    return null_safe_join(df, table.hint("shuffle_hash"), keys, "left")
+    return null_safe_join(df, table, keys, "left")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the shared work folder, made once for all that read it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def anchored_legs(swaps: DataFrame, anchors: list, native, p: TradePriceParams) -> DataFrame:
@@ -52,24 +61,30 @@ def anchored_legs(swaps: DataFrame, anchors: list, native, p: TradePriceParams)
     side is the native coin costs that times the native coin's hourly price, the mean of its
     anchored prices within ``sigmas`` sample std-devs (a lone price has no std-dev and
     stays).  An anchor asset itself costs 1.  A swap can give two legs, or none.
+
+    The legs are made in one pass over the swaps and written; the native coin's hourly price
+    (one row an hour) is taken from them and joined back.
     """
-    def legs(df: DataFrame, rate: Column, others: Column) -> DataFrame:
-        side = [F.struct(F.col(f"{x}_asset").alias("asset"), F.col(f"{x}_amount").alias("amount"),
-                         F.col(f"{y}_asset").alias("other"), F.col(f"{y}_amount").alias("other_amount"))
-                for x, y in (("from", "to"), ("to", "from"))]
-        both = df.select("hour", "venue", rate.alias("__rate"), F.inline(F.array(*side))).where(others)
-        price = F.when(F.col("asset").isin(*anchors), F.lit(1.0)).otherwise(
-            safe_div(F.col("other_amount") * F.col("__rate"), F.col("amount")))
-        return both.select("hour", "asset", price.alias("price"), "venue", "amount")
-
-    direct = legs(swaps, F.lit(1.0), F.col("other").isin(*anchors))
-    coin = with_bucket_stats(direct.where(F.col("asset") == native), ["hour"],
-                             __avg=F.avg("price"), __sd=F.stddev_samp("price"))
+    side = [F.struct(F.col(f"{x}_asset").alias("asset"), F.col(f"{x}_amount").alias("amount"),
+                     F.col(f"{y}_asset").alias("other"), F.col(f"{y}_amount").alias("other_amount"))
+            for x, y in (("from", "to"), ("to", "from"))]
+    direct = F.col("other").isin(*anchors)
+    crossed = (F.col("other") == native) & (F.col("asset") != native)
+    legs = swaps.select("hour", "venue", F.inline(F.array(*side))).where(direct | crossed)
+    legs = _written(legs.select("hour", "asset", "venue", "amount", "other_amount",
+                                F.coalesce(direct, F.lit(False)).alias("direct")), "price-legs")
+
+    def price(rate: Column) -> Column:
+        return F.when(F.col("asset").isin(*anchors), F.lit(1.0)).otherwise(
+            safe_div(F.col("other_amount") * rate, F.col("amount")))
+
+    coin = legs.where(F.col("direct") & (F.col("asset") == native)).select("hour", price(F.lit(1.0)).alias("price"))
+    coin = with_bucket_stats(coin, ["hour"], __avg=F.avg("price"), __sd=F.stddev_samp("price"))
     far = F.coalesce(F.abs(F.col("price") - F.col("__avg")) > p.sigmas * F.col("__sd"), F.lit(False))
     rate = coin.groupBy("hour").agg(F.avg(F.when(~far, F.col("price"))).alias("__coin"))
-    crossed = null_safe_join(swaps.where((F.col("from_asset") == native) != (F.col("to_asset") == native)),
-                             rate, ["hour"], "left")
-    return direct.unionByName(legs(crossed, F.col("__coin"), F.col("other") == native))
+    x = null_safe_join(legs, rate, ["hour"], "left")
+    return x.select("hour", "asset", price(F.when(F.col("direct"), F.lit(1.0)).otherwise(F.col("__coin"))).alias("price"),
+                    "venue", "amount")
 
 
 def venue_stats(legs: DataFrame, p: TradePriceParams) -> DataFrame:
@@ -95,9 +110,13 @@ def price_from_trades(swaps: DataFrame, anchors: list, native, params: TradePric
     are one per (hour, asset, venue), so the per-asset fill is bounded by the calendar.
     """
     good = swaps.where((F.col("from_amount") > 0) & (F.col("to_amount") > 0))
-    # ``hour < (SELECT max(hour))``: a scalar subquery, not a RANK() over the whole table
-    closed = good.where(F.col("hour") < good.select(F.max("hour")).scalar())
-    stats = venue_stats(anchored_legs(closed, anchors, native, params), params)
+    # the two newest hours come to the driver and are pushed as literals: the newest is left
+    # out, the one before ends the calendar
+    newest = [r["hour"] for r in good.where(F.col("hour").isNotNull()).select(F.col("hour").cast("string").alias("hour"))
+              .distinct().orderBy(F.desc("hour")).limit(2).collect()] + [None, None]
+    open_hour, last = (F.lit(h).cast(swaps.schema["hour"].dataType) for h in newest[:2])
+    closed = good.where(F.col("hour") < open_hour)
+    stats = _written(venue_stats(anchored_legs(closed, anchors, native, params), params), "price-venues")
     stats = stats.withColumn("day", F.to_date("hour"))
     days = stats.groupBy("asset", "venue", "day").agg(F.sum("kept_amount").alias("day_amount"))
     days = with_bucket_stats(days, ["asset", "day"], whole=F.sum("day_amount"))
@@ -111,8 +130,7 @@ def price_from_trades(swaps: DataFrame, anchors: list, native, params: TradePric
         F.sum(F.col("kept_price") * weight).alias("price"), F.min("low").alias("min_price"),
         F.max("high").alias("max_price"), F.sum("swaps").alias("swaps"), F.sum("amount").alias("volume"))
     return fill_hours(hourly.withColumn("volatility", F.col("max_price") - F.col("min_price"))
-                      .withColumn("volume", F.col("volume") * F.col("price")),
-                      closed.select(F.max("hour")).scalar())
+                      .withColumn("volume", F.col("volume") * F.col("price")), last)
 
 
 def fill_hours(hourly: DataFrame, last: Column) -> DataFrame:

@@ -48,11 +48,14 @@ WHERE b.event_id IS NULL
 UNION ALL SELECT * FROM batch
 """)
 def upsert_composite(spark, sf_dir):
-    e = T(spark, sf_dir).events
-    target = e.where(F.col("ts") < _ts(EVENTS_CUT)).select("user_id", "event_id", F.lit(0.0).alias("value"))
-    stored = I.write_version(target, spark, "events-stored")
-    batch = e.where(F.col("ts") >= _ts(EVENTS_BATCH)).select("user_id", "event_id", "value")
-    return spark.read.parquet(I.merge_into_path(spark, stored, batch, ["user_id", "event_id"], "events-merged"))
+    """Merge by (user, event) into a table partitioned by event date: only the dates that the
+    batch touches are rewritten."""
+    e = T(spark, sf_dir).events.withColumn("event_date", F.to_date("ts"))
+    target = e.where(F.col("ts") < _ts(EVENTS_CUT)).select("user_id", "event_id", F.lit(0.0).alias("value"), "event_date")
+    stored = I.write_version(target, spark, "events-stored", partition_by=["event_date"])
+    batch = e.where(F.col("ts") >= _ts(EVENTS_BATCH)).select("user_id", "event_id", "value", "event_date")
+    I.merge_partitions(spark, stored, batch, ["user_id", "event_id"], "event_date")
+    return spark.read.parquet(stored).select("user_id", "event_id", "value")
 
 
 @register("incremental_hwm", f"""

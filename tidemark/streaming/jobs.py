@@ -66,52 +66,132 @@ def hourly_counts_stream(spark: SparkSession, source: str, schema: StructType, t
     q.awaitTermination()
 
 
-def current_balances(spark: SparkSession, out: str, keys: list[str], before: int | None = None) -> DataFrame:
-    """(keys, period, balance): for each key and period the row of the newest epoch (below
-    ``before``, if given) that wrote it."""
-    rows = spark.read.parquet(out)
-    if before is not None:
-        rows = rows.where(F.col("epoch") < before)
-    return rows.groupBy(*keys, "period").agg(F.max_by("balance", "epoch").alias("balance"))
+def newest_parts(spark: SparkSession, root: str, before: int | None = None) -> dict[str, tuple[int, str]]:
+    """Part -> (epoch, folder) of the newest finished epoch (below ``before``, if given) that
+    wrote it, from the folder names ``epoch=N/part=P`` alone.  Parts are months or hash
+    buckets, so this list follows the calendar, not the data."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root_path = hadoop.Path(root)
+    fs = root_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root_path):
+        return {}
+    out: dict[str, tuple[int, str]] = {}
+    for run in fs.listStatus(root_path):
+        name = run.getPath().getName()
+        if not name.startswith("epoch="):
+            continue
+        epoch = int(name[len("epoch="):])
+        if (before is not None and epoch >= before) or not fs.exists(hadoop.Path(run.getPath(), "_SUCCESS")):
+            continue
+        for part in fs.listStatus(run.getPath()):
+            folder = part.getPath().getName()
+            if folder.startswith("part="):
+                key = folder[len("part="):]
+                if key not in out or out[key][0] < epoch:
+                    out[key] = (epoch, part.getPath().toString())
+    return out
+
+
+def read_parts(spark: SparkSession, parts: dict[str, tuple[int, str]], schema: StructType) -> DataFrame:
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[folder for _, folder in parts.values()])
+
+
+def write_parts(spark: SparkSession, df: DataFrame, root: str, epoch_id: int) -> None:
+    """Write ``df`` (with ``part``) as ``epoch_id`` and delete what no run can need again: of
+    each part written, all epochs but this one and the one a replay of this one starts from."""
+    from ..operators.incremental import delete_folder
+    before = newest_parts(spark, root, epoch_id)
+    df.write.mode("overwrite").partitionBy("part").parquet(f"{root}/epoch={epoch_id}")
+    now = newest_parts(spark, root, epoch_id + 1)
+    for part, (epoch, _) in before.items():
+        if now[part][0] == epoch_id:
+            older = newest_parts(spark, root, epoch).get(part)
+            while older:
+                delete_folder(spark, older[1])
+                older = newest_parts(spark, root, older[0]).get(part)
+
+
+def current_balances(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """(keys, period, balance): the newest version of every month."""
+    parts = newest_parts(spark, out)
+    if not parts:
+        raise ValueError(f"no balances in {out}")
+    any_folder = next(iter(parts.values()))[1]
+    return read_parts(spark, parts, spark.read.parquet(any_folder).schema).select(*keys, "period", "balance")
+
+
+#: Hash buckets of the table of newest balances (fixed: stored state depends on it).
+HEAD_BUCKETS = 64
 
 
 def running_balance_stream(spark: SparkSession, source: str, schema: StructType, key: str, ts: str,
                            amount: str, out: str, state: str, checkpoint: str) -> None:
     """Stateful running balance over a stream of legs, in any order of arrival.
 
-    Each micro-batch is summed per (key, day) by Spark first (a hot key is collapsed before
-    any per-key step) and kept in ``state`` under its epoch.  A key's balances are made anew
-    from its own first new day on: the newest balance before that day is the opening, the
-    day sums of all epochs from that day on are the deltas.  So late legs, and a day whose
-    legs come in several batches, redo exactly the days they change, of their key alone.
-    Epochs are overwritten when replayed; :func:`current_balances` reads the result.
+    Two tables, each kept as versions by epoch: ``out`` holds one row per key and day (delta,
+    the balance before it and after it) in parts by month, ``state`` the newest day and balance
+    of each key in parts by hash bucket.  Each micro-batch is summed per (key, day) by Spark
+    first (a hot key is collapsed before any per-key step).  A key's rows are made anew from
+    its own first new day on; its opening is the balance before its next stored day, or its
+    newest balance if it has none from there on.  So a batch reads and rewrites the months from
+    its first day on and the buckets of its keys, never the months before: late legs and days
+    split over batches redo exactly the days they change, and legs in order cost the same
+    however long the history is.  Replaying an epoch starts from the versions before it and
+    overwrites its own; older versions are removed.  Null keys are a key; legs without a time
+    belong to no day and are left out.
     """
+    from ..operators.incremental import delete_folder
     from ..operators.ledger import period_sums
+    from ..session import scratch_path
 
-    def written(path: str) -> bool:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    key_type = schema[key].dataType if isinstance(schema, StructType) else StructType.fromDDL(schema)[key].dataType
+    day_rows = (StructType().add(key, key_type).add("period", "date").add("delta", "double")
+                .add("opening", "double").add("balance", "double"))
+    head_rows = StructType().add(key, key_type).add("period", "date").add("balance", "double")
+    month = F.date_format("period", "yyyyMM").alias("part")
+    bucket = F.pmod(F.xxhash64(key), F.lit(HEAD_BUCKETS)).cast("string").alias("part")
+
+    def same(left: DataFrame, right: DataFrame):
+        return left[key].eqNullSafe(right["__k"])
 
     def batch_fn(batch: DataFrame, epoch_id: int) -> None:
-        sums = period_sums(batch, [key], F.to_date(ts), amount).select(key, "period", "delta")
-        (sums.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(state))
-        log = spark.read.parquet(state).where(F.col("epoch") <= epoch_id)
-        first = (log.where(F.col("epoch") == epoch_id).groupBy(F.col(key).alias("__k"))
-                    .agg(F.min("period").alias("__from")))
-        deltas = (log.join(first, log[key].eqNullSafe(first["__k"]) & (log["period"] >= first["__from"]))
-                     .groupBy(key, "period").agg(F.sum("delta").alias("delta"), F.first("__from").alias("__from")))
-        if written(out):
-            past = current_balances(spark, out, [key], before=epoch_id)
-            opening = (past.join(first, past[key].eqNullSafe(first["__k"]) & (past["period"] < first["__from"]))
-                           .groupBy(key).agg(F.max("period").alias("period"), F.max_by("balance", "period").alias("delta"),
-                                             F.first("__from").alias("__from")))
-            deltas = deltas.unionByName(opening)
-        w = Window.partitionBy(key).orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
-        rolled = deltas.withColumn("balance", F.sum("delta").over(w)).where(F.col("period") >= F.col("__from"))
-        (rolled.select(key, "period", "balance").withColumn("epoch", F.lit(epoch_id))
-               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("epoch").parquet(out))
+        sums_path, rolled_path = scratch_path(spark, "stream-sums"), scratch_path(spark, "stream-rolled")
+        dated = batch.where(F.col(ts).isNotNull())
+        period_sums(dated, [key], F.to_date(ts), amount).select(key, "period", "delta").write.parquet(sums_path)
+        sums = spark.read.parquet(sums_path)
+        lo = sums.agg(F.min(F.date_format("period", "yyyyMM"))).first()[0]
+        if lo is not None:
+            first = sums.groupBy(F.col(key).alias("__k")).agg(F.min("period").alias("__from"))
+            months = {p: v for p, v in newest_parts(spark, out, epoch_id).items() if p >= lo}
+            stored = read_parts(spark, months, day_rows)
+            mine = stored.join(first, same(stored, first) & (stored["period"] >= first["__from"])).drop("__k", "__from")
+            buckets = newest_parts(spark, state, epoch_id)
+            touched = [r.part for r in sums.select(bucket).distinct().collect()]
+            heads = read_parts(spark, {p: v for p, v in buckets.items() if p in touched}, head_rows)
+            # the balance before a key's first new day: before its next stored day, else its newest
+            begin = (mine.groupBy(key).agg(F.min_by("opening", "period").alias("base"))
+                     .unionByName(heads.join(first, same(heads, first) & (heads["period"] < first["__from"]))
+                                  .select(key, F.col("balance").alias("base")))
+                     .withColumnRenamed(key, "__k"))
+            days = sums.unionByName(mine.select(key, "period", "delta")).groupBy(key, "period").agg(F.sum("delta").alias("delta"))
+            days = days.join(begin, same(days, begin), "left").drop("__k").withColumn("base", F.coalesce("base", F.lit(0.0)))
+            w = Window.partitionBy(key).orderBy("period")
+            till = F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, -1))
+            upto = F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, 0))
+            (days.select(key, "period", "delta", (F.col("base") + F.coalesce(till, F.lit(0.0))).alias("opening"),
+                         (F.col("base") + upto).alias("balance")).write.parquet(rolled_path))
+            rolled = spark.read.schema(day_rows).parquet(rolled_path)
+            changed = {r.part for r in rolled.select(month).distinct().collect()}
+            kept = read_parts(spark, {p: v for p, v in months.items() if p in changed}, day_rows)
+            kept = kept.join(first, same(kept, first) & (kept["period"] >= first["__from"]), "left_anti")
+            write_parts(spark, kept.unionByName(rolled).select("*", month), out, epoch_id)
+            tops = rolled.groupBy(key).agg(F.max("period").alias("period"), F.max_by("balance", "period").alias("balance"))
+            rest = heads.join(first, same(heads, first), "left_anti")
+            write_parts(spark, rest.unionByName(tops).select("*", bucket), state, epoch_id)
+            delete_folder(spark, rolled_path)
+        delete_folder(spark, sums_path)
 
     q = (spark.readStream.schema(schema).parquet(source)
          .writeStream.foreachBatch(batch_fn)
