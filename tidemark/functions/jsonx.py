@@ -59,25 +59,25 @@ def explode_recursive(df: DataFrame, payload: str, id_cols: list[str], fields: d
     typed = [get("__node", p, t).alias(n) for n, (p, t) in fields.items()]
     kids = F.variant_get("__node", child_path, "variant")
 
+    done = F.struct(F.lit(False).alias("__open"), *[F.coalesce(F.col(f"__{n}"), c).alias(n) for n, c in zip(fields, typed)],
+                    F.lit(None).cast("variant").alias("__kids"))
+    more = F.struct(F.lit(True).alias("__open"), *[F.lit(None).cast(t).alias(n) for n, (_, t) in fields.items()],
+                    F.col("__below").alias("__kids"))
+    rows = F.inline(F.when(F.col("__below").isNotNull(), F.array(done, more)).otherwise(F.array(done)))
+    is_open, carried = F.col("__open"), [F.col(n).alias(f"__{n}") for n in fields]
+    child = F.concat("path", F.when(F.col("path") == "", "").otherwise("."), F.lit(f"{child_label}["),
+                     F.col("pos").cast("string"), F.lit("]"))
+    path_, node = F.when(is_open, child).otherwise(F.col("path")).alias("path"), F.when(is_open, F.col("value")).alias("__node")
+    kids_or_none = spark.tvf.variant_explode_outer(F.col("__kids").outer())
+    # an open row without elements ends here
+    lives = ~is_open | F.col("pos").isNotNull()
+
     def emit(nodes: DataFrame) -> DataFrame:
         """Finished rows stay; a node gives its finished row and, if it has children, an open one."""
-        x = nodes.withColumn("__below", F.when(F.col("__node").isNotNull(), kids))
-        done = F.struct(F.lit(False).alias("__open"), *[F.coalesce(F.col(f"__{n}"), c).alias(n) for n, c in zip(fields, typed)],
-                        F.lit(None).cast("variant").alias("__kids"))
-        more = F.struct(F.lit(True).alias("__open"), *[F.lit(None).cast(t).alias(n) for n, (_, t) in fields.items()],
-                        F.col("__below").alias("__kids"))
-        rows = F.when(F.col("__below").isNotNull(), F.array(done, more)).otherwise(F.array(done))
-        return x.select(*id_cols, "path", F.inline(rows))
-
-    def step(rows: DataFrame) -> DataFrame:
-        x = rows.withColumnsRenamed({n: f"__{n}" for n in fields})
-        x = x.lateralJoin(spark.tvf.variant_explode_outer(F.col("__kids").outer()))
-        child = F.concat("path", F.when(F.col("path") == "", "").otherwise("."), F.lit(f"{child_label}["),
-                         F.col("pos").cast("string"), F.lit("]"))
-        # an open row without elements ends here
-        x = x.where(~F.col("__open") | F.col("pos").isNotNull())
-        return emit(x.select(*id_cols, F.when(F.col("__open"), child).otherwise(F.col("path")).alias("path"),
-                             *[f"__{n}" for n in fields], F.when(F.col("__open"), F.col("value")).alias("__node")))
+        return nodes.select("*", kids.alias("__below")).select(*id_cols, "path", rows)
+
+    def step(now: DataFrame) -> DataFrame:
+        return emit(now.lateralJoin(kids_or_none).where(lives).select(*id_cols, path_, *carried, node))
 
     none = [F.lit(None).cast(t).alias(f"__{n}") for n, (_, t) in fields.items()]
     now = emit(df.select(*id_cols, F.lit("").alias("path"), *none, F.col(payload).alias("__node")))

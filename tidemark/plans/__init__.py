@@ -47,6 +47,7 @@ def _load_all() -> None:
         join_plans,
         ledger_plans,
         market_plans,
+        movement_plans,
         price_plans,
         quality_plans,
         scalar_plans,

@@ -54,7 +54,8 @@ def main() -> None:
 # composed as jobs, only their operators are.
 MODELS = {
     **{f"M{i}": ["scan_project", "fn_epoch_millis"] for i in range(1, 8)},
-    "M9": ["join_left"], "M11": ["seed_names_join", "append_stamped"], "M12": ["asset_master"], "M13": ["agg_then_window"],
+    "M9": ["join_left"], "M16": ["close_outs"], "M21": ["asset_flow"], "M31": ["pool_labels"], "M49": ["bridge_groups"], "M52": ["bridge_inner"],
+    "M62": ["holdings_fact"], "M64": ["block_fact"], "M11": ["seed_names_join", "append_stamped"], "M12": ["asset_master"], "M13": ["agg_then_window"],
     "M14": ["fn_calendar_parts", "json_path"], "M15": ["json_explode_recursive", "win_renumber"],
     "M17": ["set_union_distinct"], "M18": ["unpivot_legs"], "M19": ["scan_json_props", "scan_file_metadata"],
     "M20": ["pending_work_list"], "M22": ["ledger_legs", "ledger_daily_balance", "ledger_incremental_seed"],
