@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tidemark.llm import phrases
@@ -49,6 +50,19 @@ def test_collocations_equal_brute_force(spark, monkeypatch, least, shards, slots
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, least, 4, 25)
 
 
+def test_no_phrase_begins_before_its_subphrases():
+    """Slots of pairs that others filled in step 0, while the words were known in step 5 only."""
+    hashes = np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    at = np.array([1, 2, 3, 0])
+    reached = np.full(1 << 17, phrases.UNSET, np.uint8)
+    reached[next(phrases.levels(at, hashes, reached, 4)).slots[1:]] = 5
+    *_, pairs = phrases.levels(at, hashes, reached, 4)
+    assert (pairs.k, pairs.act.tolist()) == (2, [6, 6])
+    reached[pairs.slots] = 0
+    *_, triples = phrases.levels(at, hashes, reached, 4)
+    assert (triples.k, triples.act.tolist()) == (3, [6])  # was 1: steps 1 to 5 were taken as counted
+
+
 def test_large_numbers_are_exact(spark):
     """Products beyond 64 bits, and a share that is met exactly."""
     big = 6 * 10 ** 13

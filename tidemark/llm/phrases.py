@@ -130,7 +130,8 @@ def levels(at: np.ndarray, hashes: np.ndarray, reached: np.ndarray, longest: int
 
     slots, steps = state(hashes, 1)
     steps[0] = UNSET  # the cut
-    yield Level(1, slots, steps, np.zeros(len(slots), np.int32), np.bincount(at, minlength=len(hashes)), np.zeros(0, np.int64))
+    act = np.zeros(len(slots), np.int32)
+    yield Level(1, slots, steps, act, np.bincount(at, minlength=len(hashes)), np.zeros(0, np.int64))
     # here[i]: number of the phrase of k - 1 words that begins at word i, if it has reached the threshold
     here = np.where(steps[at] != UNSET, at, -1)
     for k in range(2, longest + 1):
@@ -139,7 +140,8 @@ def levels(at: np.ndarray, hashes: np.ndarray, reached: np.ndarray, longest: int
             return
         code, own = pd.factorize(here[places] * np.int64(len(hashes)) + here[places + 1])
         left, right = own // len(hashes), own % len(hashes)
-        act = 1 + np.maximum(steps[left], steps[right])
+        # Others may have filled a subphrase's slot before it was active; no phrase begins before its subphrases.
+        act = np.maximum(1 + np.maximum(steps[left], steps[right]), np.maximum(act[left], act[right]))
         hashes = _mixed(hashes[left], hashes[right], k)
         slots, steps = state(hashes, k)
         first = np.empty(len(own), np.int64)
