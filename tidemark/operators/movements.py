@@ -114,9 +114,11 @@ def pool_labels(swaps: DataFrame, assets: DataFrame, native_name: str) -> DataFr
 
 def _block_role(df: DataFrame, blocks: DataFrame, column: str, key: str, time: str, missing: str) -> DataFrame:
     """Key and time of the block in ``column``; ``missing`` for none.  Rows without a block are salted."""
+    # the blocks' side is always 0, but no constant: the optimiser would take one out of the join key
+    zero = F.pmod(F.xxhash64("block_id"), F.lit(1).cast("long"))
     salt = F.when(F.col(column).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(4096)) + 1).otherwise(F.lit(0))
     d = blocks.select(F.col("block_id").alias("__b"), F.col("dim_block_id").alias("__id"), F.col("block_timestamp").alias(time),
-                      F.lit(0).cast("long").alias("__none"))
+                      zero.alias("__none"))
     x = df.withColumn("__salt", salt.cast("long"))
     x = x.join(d, (x[column] == d["__b"]) & (x["__salt"] == d["__none"]), "left")
     return x.withColumn(key, F.coalesce("__id", F.lit(missing))).drop("__b", "__id", "__none", "__salt")
