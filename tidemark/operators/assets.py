@@ -58,7 +58,9 @@ def mine_titles(uploads: DataFrame) -> DataFrame:
               .withColumn("description", J.get("__v", TITLE_METADATA["description"])))
     order = [F.col(c).asc_nulls_last() for c in ("name", "description", "metadata_url")]
     first = F.row_number().over(Window.partitionBy("asset_id").orderBy(*order))
-    one = parsed.withColumn("__first", first).where(F.col("__first") == 1)
+    # the parsed form stays behind: the chosen upload is parsed again, so rows are sorted and sent with their text alone
+    one = (parsed.drop("__v").withColumn("__first", first).where(F.col("__first") == 1)
+           .withColumn("__v", F.try_parse_json("metadata")))
     for column, path in TITLE_METADATA.items():
         one = one.withColumn(column, J.get("__v", path))
     drop = F.right(F.left("asset_name", F.lit(3)), F.lit(2)).try_cast("int")
