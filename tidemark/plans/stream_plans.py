@@ -112,12 +112,13 @@ def encode_addresses_q(spark, sf_dir):
     """Public key per address (SHA-256 of the address text stands in for the key).  Each
     distinct key is encoded, and its address decoded back to the key, checksum included,
     once; the written table is joined to both legs of every transfer."""
-    tr = transfers(T(spark, sf_dir)).select("tx_id", "intra", "sender", "receiver")
-    keyed = tr.select("tx_id", "intra", F.sha2("sender", 256).alias("sender_pk"),
-                      F.sha2("receiver", 256).alias("receiver_pk"))
-    table = address_table(keyed, ["sender_pk", "receiver_pk"])
-    table = written(table.withColumn("decoded", decode_address("address")))
+    keyed = transfers(T(spark, sf_dir)).select("tx_id", "intra", "sender", "receiver")
+    names = keyed.select(F.explode(F.array("sender", "receiver")).alias("name")).where("name IS NOT NULL").distinct()
+    names = written(names.select("name", F.sha2("name", 256).alias("pk")))
+    table = address_table(names, ["pk"]).withColumn("decoded", decode_address("address"))
+    # transfers meet the table by the short name; of an address its length goes with them
+    table = written(look_up(names, table, "pk", {"decoded": "decoded", "address": "address"})
+                    .select(F.col("name").alias("key"), "decoded", F.length("address").alias("length")))
     for leg in ("sender", "receiver"):
-        keyed = look_up(keyed, table, f"{leg}_pk", {"decoded": f"{leg}_key", "address": f"{leg}_address"})
-    return keyed.select("tx_id", "intra", "sender_key", F.length("sender_address").alias("sender_length"),
-                        "receiver_key", F.length("receiver_address").alias("receiver_length"))
+        keyed = look_up(keyed, table, leg, {"decoded": f"{leg}_key", "length": f"{leg}_length"}).drop(leg)
+    return keyed.select("tx_id", "intra", "sender_key", "sender_length", "receiver_key", "receiver_length")
