@@ -194,6 +194,8 @@ def price_from_reserves(spark, sf_dir):
                      F.when(native, "native").otherwise("token").alias("asset"),
                      F.when(native, units).otherwise(F.col("l_quantity")).alias("amount"))
     sums = ledger.period_sums(legs, ["pool", "asset"], F.to_date("ts"))
+    # dealt by pool: balances, dense days and the two reserves of a day are then made where they are
+    sums = sums.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "pool")
     dense = ledger.densify(ledger.running_balance(sums, ["pool", "asset"]), ["pool", "asset"], "day",
                            F.lit(AS_OF).cast("date"))
     bal = dense.withColumn("balance", F.when(F.col("asset") == "native", F.col("balance") / 10000.0)
