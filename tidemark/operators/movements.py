@@ -14,6 +14,9 @@ from ..functions import jsonx as J
 from ..functions import scalars as S
 from .dims import NOT_APPLICABLE_KEY, UNKNOWN_KEY
 
+#: Copies of the native coin's row that the pairs of pools are dealt to (cost, not result).
+COIN_COPIES = 64
+
 
 def close_outs(tx: DataFrame) -> DataFrame:
     """What an account still held when it was closed, sent to the account that the message names.
@@ -96,9 +99,15 @@ def pool_labels(swaps: DataFrame, assets: DataFrame, native_name: str) -> DataFr
     """
     pairs = swaps.where("from_asset IS NOT NULL AND to_asset IS NOT NULL").select("program", "pool", "from_asset", "to_asset").distinct()
 
+    # the native coin is a side of most pairs: they are dealt to copies of its row, if there is one
+    copies = F.when(F.col("asset_id") == S.NATIVE_ASSET_ID, F.sequence(F.lit(0), F.lit(COIN_COPIES - 1))).otherwise(F.array(F.lit(0)))
+    known = assets.select("asset_id", "asset_name", "created_at", F.explode(copies).alias("copy"))
+    copy = F.pmod(F.xxhash64("pool", "from_asset", "to_asset"), F.lit(COIN_COPIES)).cast("int")
+
     def named(df: DataFrame, side: str) -> DataFrame:
-        a = assets.select(F.col("asset_id").alias(f"{side}_asset"), F.col("asset_name").alias(f"{side}_name"), F.col("created_at").alias(f"{side}_at"))
-        return df.join(a, f"{side}_asset", "left")
+        a = known.select(F.col("asset_id").alias(f"{side}_asset"), "copy", F.col("asset_name").alias(f"{side}_name"), F.col("created_at").alias(f"{side}_at"))
+        own = F.when(F.col(f"{side}_asset") == S.NATIVE_ASSET_ID, copy).otherwise(F.lit(0))
+        return df.withColumn("copy", own).join(a, [f"{side}_asset", "copy"], "left").drop("copy")
 
     def shown(side: str) -> Column:
         own = F.coalesce(f"best.{side}_name", F.col(f"best.{side}_asset").cast("string"))
