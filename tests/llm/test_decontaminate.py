@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tidemark.llm import decontaminate as D
 from tidemark.llm.common import table
@@ -119,3 +120,28 @@ def test_whole_items_of_the_sample_tables_are_found(spark):
     texts, items = ({r[0]: ws(r[1]) for r in df.collect()} for df in (docs, bench))
     exact = {(d, i) for d, t in texts.items() for i, q in items.items() if q in t}
     assert exact <= {(r.doc_id, r.item_id) for r in D.contaminated(docs, bench).collect()}
+
+
+def test_terms_of_a_block_are_those_of_its_texts(monkeypatch):
+    texts = ["A b,\x0bB  «b» Ünder...", None, "", " \t\n", "... , x\x1cy İ! b", "b " * 50, "a1 ÀÉ (a1)"]
+    own, seen = D.Terms(), []
+    found, ends = own.of_all(pa.array(texts))
+    for text, got in zip(texts, np.split(found, ends[:-1]), strict=True):
+        assert got.dtype == np.uint64 and got.tolist() == D.Terms().of(text).tolist()
+    look_up = D.Terms._look_up
+    monkeypatch.setattr(D.Terms, "_look_up", lambda self, words: seen.extend(words) or look_up(self, words))
+    D.Terms().of_all(pa.array(texts * 3))
+    assert len(seen) == len(set(seen)) > 5  # each distinct word once a block
+
+
+def test_inverse_frequencies_equal_brute_force(spark):
+    rnd = random.Random(4)
+    texts = [" ".join(f"w{rnd.randrange(90)}" for _ in range(rnd.choice([0, 1, 31, 32, 33, 64, 200]))) for _ in range(60)] + [None]
+    held, total = np.zeros(D.SLOTS), 0
+    for text in texts:
+        slots = D.slots_of(D.Terms().of(text))
+        for at in range(0, len(slots), D.HALF):
+            held[np.unique(slots[at:at + D.HALF])] += 1
+            total += 1
+    got = D.inverse_frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3))
+    assert np.array_equal(got, np.log1p((total + 1) / (held + 1)))

@@ -23,11 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, words_of
+from .lm import split_words
 
 SLOTS = 1 << 16
 RANK = 128
@@ -55,14 +57,27 @@ class Terms:
         self.known: dict[bytes, int] = {}
 
     def of(self, text: str | None) -> np.ndarray:
-        words = words_of(text or "")
+        return self._look_up(words_of(text or ""))
+
+    def of_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(terms, ends): text i has the terms[ends[i - 1]:ends[i]]; each distinct word is looked up once."""
+        codes, ends, distinct = split_words(texts)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct), b" ")
+        return self._look_up(joined[0].as_py().split())[codes], ends
+
+    def _look_up(self, words: list[bytes]) -> np.ndarray:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        for w in set(words).difference(known):
-            s = w.decode("utf-8", "replace").lower()
-            known[w] = xxhash.xxh64_intdigest((s.strip(_EDGE) or s).encode())
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        found = list(map(known.get, words))
+        for i in [i for i, t in enumerate(found) if t is None]:
+            w = words[i]
+            if w.isalnum():  # ASCII letters and digits, lower case already: nothing to take off
+                known[w] = found[i] = xxhash.xxh64_intdigest(w)
+            else:
+                s = w.decode("utf-8", "replace").lower()
+                known[w] = found[i] = xxhash.xxh64_intdigest((s.strip(_EDGE) or s).encode())
+        return np.fromiter(found, np.uint64, len(found))
 
 
 def slots_of(terms: np.ndarray) -> np.ndarray:
@@ -80,13 +95,18 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, total, found = Terms(), 0, np.zeros(SLOTS, np.int64)
         for b in blocks_of(batches):
-            held = [np.zeros(0, np.int64)]
-            for text in b.column(0).to_pylist():
-                slots = slots_of(terms.of(text))
-                if len(slots):
-                    held.append(np.unique(np.arange(len(slots)) // HALF * SLOTS + slots) % SLOTS)
-                    total += -(-len(slots) // HALF)
-            found += np.bincount(np.concatenate(held), minlength=SLOTS)
+            slots, ends = terms.of_all(b.column(0))
+            slots, lens = slots_of(slots), np.diff(ends, prepend=0)
+            blocks = -(-lens // HALF)
+            # A row for each block; what a text's last block lacks is SLOTS, which is not counted.
+            held = np.full(blocks.sum() * HALF, SLOTS, np.int32)
+            shift = np.cumsum(blocks) * HALF - blocks * HALF - (ends - lens)
+            held[np.arange(len(slots)) + np.repeat(shift, lens)] = slots
+            held = np.sort(held.reshape(-1, HALF), axis=1)
+            new = held < SLOTS
+            new[:, 1:] &= held[:, 1:] != held[:, :-1]
+            found += np.bincount(held[new], minlength=SLOTS)
+            total += int(blocks.sum())
         at = np.flatnonzero(found)
         yield pa.record_batch([pa.array(np.r_[at, -1].astype(np.int32)), pa.array(np.r_[found[at], total])],
                               names=["slot", "n"])
@@ -226,20 +246,30 @@ class Finder:
             if len(sums) > 1:
                 sums = sums[:-1] + sums[1:]
             dots = sums @ self.query.T
-            norms = np.sqrt(np.outer((sums ** 2).sum(1), self.weight)) + 1e-9
-            rows, cols = np.nonzero((dots >= SHARE * self.weight) & (dots >= COSINE * norms))
-            for r, c in zip(rows.tolist(), cols.tolist()):
+            rows, cols = np.nonzero(dots >= SHARE * self.weight)
+            if not len(rows):
+                continue
+            dots, norms = dots[rows, cols], np.sqrt((sums ** 2).sum(1)[rows] * self.weight[cols]) + 1e-9
+            near = np.flatnonzero(dots >= COSINE * norms)
+            for r, c, cosine in zip(rows[near].tolist(), cols[near].tolist(), (dots[near] / norms[near]).tolist()):
                 n, offset = self.owner[c]
-                yield n, base + r * HALF, offset, float(dots[r, c] / norms[r, c])
+                yield n, base + r * HALF, offset, cosine
 
     def verify(self, n: int, at: int, offset: int, terms: np.ndarray) -> tuple[int, int, float, float] | None:
         """(first word, words, LCS share, answer share) when the window holds the item."""
         _, item, answer = self.items[n]
         low = max(0, at - offset - len(item))
         span = terms[low:at + 2 * HALF + len(item)]
-        i, j = np.nonzero(span[:, None] == item[None, :]) if len(item) * len(span) <= 1 << 22 else self._pairs(span, item)
-        if len(i) < LCS * len(item):
-            return None
+        if len(item) * len(span) <= 1 << 22:
+            equal = span[:, None] == item[None, :]
+            # A common subsequence takes each of the item's words once at most.
+            if np.count_nonzero(equal.any(0)) < LCS * len(item):
+                return None
+            i, j = np.nonzero(equal)
+        else:
+            i, j = self._pairs(span, item)
+            if len(i) < LCS * len(item):
+                return None
         slack = max(1, len(item) // 8)
         start = np.bincount(i - j + len(item))
         near = np.convolve(start, np.ones(2 * slack + 1), "same")
@@ -314,7 +344,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], finder=finder) -> Iterator[pa.RecordBatch]:
             terms, find = Terms(), finder.value.find
             for b in blocks_of(batches):
-                rows = [(d, *h) for d, t in zip(*(c.to_pylist() for c in b.columns)) for h in find(terms.of(t))]
+                found, ends = terms.of_all(b.column(1))
+                rows = [(d, *h) for d, t in zip(b.column(0).to_pylist(), np.split(found, ends[:-1])) for h in find(t)]
                 cols = list(zip(*rows)) if rows else [()] * 7
                 kinds = [pa.int64()] * 4 + [pa.float64()] * 3
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)],
@@ -331,7 +362,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch], finder=finder) -> Iterator[pa.RecordBatch]:
             terms, find = Terms(), finder.value.find
             for b in blocks_of(batches):
-                clean = [not find(terms.of(t)) for t in b.column(at).to_pylist()]
+                found, ends = terms.of_all(b.column(at))
+                clean = [not find(t) for t in np.split(found, ends[:-1])]
                 yield b.filter(pa.array(clean, pa.bool_()))
         out = out.mapInArrow(run, docs.schema)
     return out
