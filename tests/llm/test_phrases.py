@@ -63,6 +63,33 @@ def test_no_phrase_begins_before_its_subphrases():
     assert (triples.k, triples.act.tolist()) == (3, [6])  # was 1: steps 1 to 5 were taken as counted
 
 
+@pytest.mark.parametrize("step,longest", [(0, 4), (2, 4), (6, 4), (9, 3), (3, 1)])
+def test_scans_count_what_is_under_way_below_the_threshold(step, longest):
+    """Place by place as phrase by phrase; slots that all tasks know to be full were counted again in every scan."""
+    rnd = np.random.default_rng(step)
+    at = rnd.integers(0, 40, 5000)
+    hashes = rnd.integers(0, 1 << 63, 40, dtype=np.uint64) * np.uint64(2)
+    reached = np.where(rnd.random(1 << 17) < 0.8, rnd.integers(0, max(step, 1), 1 << 17), phrases.UNSET).astype(np.uint8)
+    want, got = np.zeros(len(reached), int), np.zeros(len(reached), int)
+    for x in phrases.levels(at, hashes, reached, longest):
+        counting = (x.act <= step) & (step < x.act + 4) & (reached[x.slots] == phrases.UNSET)
+        counting[0] &= x.k > 1
+        np.add.at(want, x.slots[counting], x.counts[counting])
+    for slots in phrases.under_way(at, hashes, reached, step, 4, longest):
+        np.add.at(got, slots, 1)
+    assert np.array_equal(got, want) and (want.any() or step > 3)
+
+
+@pytest.mark.parametrize("least", [30, 300])
+def test_counts_of_a_block_come_back(least):
+    for n in (0, 5, 60_000):
+        counts = np.zeros(phrases.SPAN, np.uint16)
+        counts[np.random.default_rng(1).permutation(phrases.SPAN)[:n]] = least - 1
+        raw, total = phrases._packed(np.flatnonzero(counts), counts, least), np.ones(phrases.SPAN, np.uint16)
+        phrases._add_to(total, raw, least)
+        assert np.array_equal(total, counts + 1) and len(raw) <= phrases.SPAN * (1 if least < 256 else 2)
+
+
 def test_large_numbers_are_exact(spark):
     """Products beyond 64 bits, and a share that is met exactly."""
     big = 6 * 10 ** 13

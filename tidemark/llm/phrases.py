@@ -8,7 +8,8 @@ counted in one scan, and the scans end when no phrase is under way.  No phrase t
 ``least`` times can be missed: its subphrases occur at least as often.
 
 While the cycle runs, phrases are counted by hash slot: an array of fixed size, which tasks add up in
-memory and hand on in blocks.  A slot's count is at least that of any phrase in it, so a phrase
+memory and hand on in blocks; a slot that has reached the threshold is known to all and counted no
+further.  A slot's count is at least that of any phrase in it, so a phrase
 can become active too early, never too late; when it has, all tasks know its first step from the
 array of steps in which slots reached the threshold.  After the last cycle, phrases of slots below the threshold
 are known to be too rare; one more scan counts all others by their text, which is exact.
@@ -52,6 +53,7 @@ _TABLE = bytes.maketrans(UPPER.encode() + _CUTS + b"\t", UPPER.lower().encode()
 
 _COUNTS = "lang string, k int, phrase string, n long"
 _SKETCH = "block int, counts binary"
+_ADDED = "block int, counts binary, full binary"
 _BLOCKS = "shard int, lang string, vocabulary binary, hashes binary, words binary"
 
 
@@ -119,13 +121,15 @@ class Level(NamedTuple):
     first: np.ndarray
 
 
+def _slots(hashes: np.ndarray, k: int, slots: int, longest: int) -> np.ndarray:
+    """The slots of phrases of k words; those that can't be subphrases have a half for themselves."""
+    return (hashes >> np.uint64(65 - (slots - 1).bit_length())).astype(np.int64) + (k == longest) * (slots // 2)
+
+
 def levels(at: np.ndarray, hashes: np.ndarray, reached: np.ndarray, longest: int) -> Iterator[Level]:
     """Phrases of numbered words whose subphrases have reached the threshold, length by length."""
-    shift = np.uint64(65 - (len(reached) - 1).bit_length())
-
     def state(hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        # Phrases that can't be subphrases have a half of the slots for themselves.
-        slots = (hashes >> shift).astype(np.int64) + (k == longest) * (len(reached) // 2)
+        slots = _slots(hashes, k, len(reached), longest)
         return slots, reached[slots].astype(np.int32)
 
     slots, steps = state(hashes, 1)
@@ -151,25 +155,62 @@ def levels(at: np.ndarray, hashes: np.ndarray, reached: np.ndarray, longest: int
         here[places] = np.where(steps[code] != UNSET, code, -1)
 
 
+def under_way(at: np.ndarray, hashes: np.ndarray, reached: np.ndarray, step: int, shards: int, longest: int
+              ) -> Iterator[np.ndarray]:
+    """Slots below the threshold of the active, incomplete phrases of a block, length by length, one
+    for each occurrence.
+
+    The same phrases as in :func:`levels`, place by place: nothing is grouped.
+    """
+    slots = _slots(hashes, 1, len(reached), longest)
+    steps = reached[slots]
+    if step < shards:
+        few = steps == UNSET
+        few[0] = False  # the cut
+        yield slots[at[few[at]]]
+    steps[0] = UNSET
+    # Places at which a phrase of k - 1 words begins that has reached the threshold, its hash, step and first step.
+    steps = steps[at]
+    place = np.flatnonzero(steps != UNSET)
+    h, steps, act = hashes[at[place]], steps[place], np.zeros(len(place), np.uint8)
+    for k in range(2, longest + 1):
+        left = np.flatnonzero(place[1:] == place[:-1] + 1)
+        right = left + 1
+        # As in levels: no phrase begins before its subphrases.
+        act = np.maximum(1 + np.maximum(steps[left], steps[right]), np.maximum(act[left], act[right]))
+        counting = (act <= step) & (act > step - shards)
+        if k == longest:
+            left, right = left[counting], right[counting]
+            slots = _slots(_mixed(h[left], h[right], k), k, len(reached), longest)
+            yield slots[reached[slots] == UNSET]
+            return
+        h = _mixed(h[left], h[right], k)
+        slots = _slots(h, k, len(reached), longest)
+        steps = reached[slots]
+        yield slots[counting & (steps == UNSET)]
+        kept = np.flatnonzero(steps != UNSET)
+        place, h, steps, act = place[left[kept]], h[kept], steps[kept], act[kept]
+
+
 def _sketch(step: int, known, shards: int, longest: int, least: int):
     """Counts by slot of the active, incomplete phrases of one shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = np.frombuffer(zlib.decompress(known.value), np.uint8)
-        total = np.zeros(len(reached), np.uint16)
+        total, one = np.zeros(len(reached), np.uint16), np.uint16(1)
         for b in batches:
             for hashes, words in zip(b.column("hashes"), b.column("words")):
-                at = np.frombuffer(words.as_py(), np.int32).astype(np.int64)
-                for x in levels(at, np.frombuffer(hashes.as_py(), np.uint64), reached, longest):
-                    counting = (x.act <= step) & (step < x.act + shards)
-                    if x.k == 1:
-                        counting[0] = False  # the cut
+                at = np.frombuffer(words.as_py(), np.int32)
+                for slots in under_way(at, np.frombuffer(hashes.as_py(), np.uint64), reached, step, shards, longest):
                     # No more than ``least`` is of interest, which keeps the sums within 16 bits.
-                    np.add.at(total, x.slots[counting], np.minimum(x.counts[counting], least).astype(np.uint16))
-                np.minimum(total, least, out=total)
+                    for i in range(0, len(slots), 1 << 15):
+                        part = slots[i:i + (1 << 15)]
+                        np.add.at(total, part, one)
+                        total[part] = np.minimum(total[part], least)
         used = np.flatnonzero(total)
         cuts = np.searchsorted(used, np.arange(0, len(total) + 1, SPAN))
         for block in np.flatnonzero(np.diff(cuts)).tolist():
-            yield _block(block, used[cuts[block]:cuts[block + 1]] % SPAN, total[block * SPAN:(block + 1) * SPAN])
+            raw = _packed(used[cuts[block]:cuts[block + 1]] % SPAN, total[block * SPAN:(block + 1) * SPAN], least)
+            yield pa.record_batch([pa.array([block], pa.int32()), pa.array([raw], pa.binary())], names=["block", "counts"])
     return run
 
 
@@ -199,49 +240,50 @@ def _texts(known, longest: int):
     return run
 
 
-def _block(block: int, used: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+def _kind(least: int) -> type:
+    """What holds counts of up to ``least``."""
+    return np.uint8 if least < 1 << 8 else np.uint16
+
+
+def _packed(used: np.ndarray, counts: np.ndarray, least: int) -> bytes:
     """A block's counts: all of them, or places and counts of the ``used`` ones where that is shorter
     (Spark compresses what it shuffles and writes)."""
-    few = 2 * len(used) < len(counts)
-    raw = used.astype(np.uint16).tobytes() + counts[used].tobytes() if few else counts.tobytes()
-    return pa.record_batch([pa.array([block], pa.int32()), pa.array([raw], pa.binary())], names=["block", "counts"])
+    counts = counts.astype(_kind(least))
+    few = len(used) * (2 + counts.itemsize) < counts.nbytes
+    return used.astype(np.uint16).tobytes() + counts[used].tobytes() if few else counts.tobytes()
 
 
-def _add_to(total: np.ndarray, raw: bytes) -> None:
-    part = np.frombuffer(raw, np.uint16)
-    if len(part) == len(total):
-        total += part
+def _add_to(total: np.ndarray, raw: bytes, least: int) -> None:
+    kind = np.dtype(_kind(least))
+    if len(raw) == len(total) * kind.itemsize:
+        total += np.frombuffer(raw, kind)
     else:
-        total[part[:len(part) // 2]] += part[len(part) // 2:]
+        n = len(raw) // (2 + kind.itemsize)
+        total[np.frombuffer(raw, np.uint16, n)] += np.frombuffer(raw, kind, n, 2 * n)
 
 
 def _added(least: int):
-    """Blocks of one number, which come one after the other, added up (to ``least`` at most)."""
+    """Blocks of one number, which come one after the other, added up: the counts below ``least``, and
+    a bit for every slot that has reached it."""
+    def row(block: int, total: np.ndarray) -> pa.RecordBatch:
+        full = total >= least
+        bits = zlib.compress(np.packbits(full).tobytes(), 1)
+        total[full] = 0
+        return pa.record_batch([pa.array([block], pa.int32()), pa.array([_packed(np.flatnonzero(total), total, least)], pa.binary()),
+                                pa.array([bits], pa.binary())], names=["block", "counts", "full"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, total = None, None
         for b in batches:
             for block, raw in zip(b.column("block").to_pylist(), b.column("counts")):
                 if block != at:
                     if at is not None:
-                        yield _block(at, np.flatnonzero(total), total)
+                        yield row(at, total)
                     at, total = block, np.zeros(SPAN, np.uint16)
-                _add_to(total, raw.as_py())
+                _add_to(total, raw.as_py(), least)
                 np.minimum(total, least, out=total)
         if at is not None:
-            yield _block(at, np.flatnonzero(total), total)
-    return run
-
-
-def _full(least: int):
-    """For each block a bit for every slot that has reached ``least``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bits = []
-            for raw in b.column("counts"):
-                total = np.zeros(SPAN, np.uint16)
-                _add_to(total, raw.as_py())
-                bits.append(zlib.compress(np.packbits(total >= least).tobytes(), 1))
-            yield pa.record_batch([b.column("block"), pa.array(bits, pa.binary())], names=["block", "counts"])
+            yield row(at, total)
     return run
 
 
@@ -270,14 +312,14 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
         known = spark.sparkContext.broadcast(zlib.compress(reached, 1))
         shard = cut.where(F.col("shard") == step % shards).select("hashes", "words")
         counted = shard.mapInArrow(_sketch(step, known, shards, longest, least), _SKETCH)
-        both = counted if so_far is None else so_far.unionByName(counted)
+        both = counted if so_far is None else so_far.select("block", "counts").unionByName(counted)
         dealt = both.repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block")
-        so_far = materialise(dealt.mapInArrow(_added(least), _SKETCH), "phrase-slots")
+        so_far = materialise(dealt.mapInArrow(_added(least), _ADDED), "phrase-slots")
         known.destroy()  # the step's counts are written
         reached = reached.copy()
-        for r in so_far.mapInArrow(_full(least), _SKETCH).collect():  # a bit a slot at most
+        for r in so_far.select("block", "full").collect():  # a bit a slot at most
             own = reached[r.block * SPAN:(r.block + 1) * SPAN]
-            new = (np.unpackbits(np.frombuffer(zlib.decompress(bytes(r.counts)), np.uint8)) > 0) & (own == UNSET)
+            new = (np.unpackbits(np.frombuffer(zlib.decompress(bytes(r.full)), np.uint8)) > 0) & (own == UNSET)
             own[new] = step
             if new.any() and 2 * r.block * SPAN < slots:  # phrases that can be subphrases
                 last_new = step
