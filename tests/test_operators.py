@@ -307,6 +307,41 @@ def test_stream_balance_replayed_epoch_counts_once(spark, tmp_path):
     assert sorted((r.key, str(r.period), r.balance) for r in got) == [("a", "2024-01-01", 15.0), ("a", "2024-02-01", 16.0)]
 
 
+def test_stream_balance_any_order_in_many_tasks(spark, tmp_path, monkeypatch):
+    import random
+    from collections import defaultdict
+
+    from tidemark.streaming import jobs
+    monkeypatch.setattr(jobs, "TASK_ROWS", 4)
+    rnd = random.Random(3)
+    legs = [(rnd.choice(["a", "b", "c", None]), str(dt.date(2024, 1, 1) + dt.timedelta(rnd.randrange(150))), float(rnd.randrange(-50, 50)))
+            for _ in range(90)]
+    legs += [("once", "2024-02-02", 5.0), ("a", None, 9.0)]
+    got = stream_balances(spark, tmp_path, [legs[:40], legs[40:75], legs[75:]])
+    days = defaultdict(lambda: defaultdict(float))
+    for key, day, amount in legs:
+        if day:
+            days[key][day] += amount
+    want = [(key, day, sum(v for d, v in own.items() if d <= day)) for key, own in days.items() for day in own]
+    assert got == sorted(want, key=str)
+
+
+def test_stream_balance_legs_are_made_once(spark, tmp_path, monkeypatch):
+    from tidemark.plans import REGISTRY, stream_plans
+    read, land = [], stream_plans._land
+    monkeypatch.setattr(stream_plans, "_land", lambda df, path: (read.append(df.inputFiles()), land(df, path)))
+    orders = [(n, n % 3, dt.datetime(1998, 12, 20) + dt.timedelta(n)) for n in range(30)]
+    lines = [(n, i, (n + i) % 4, 100.0 * n + i, 0.1, 0.01 * i, 3.0, "RNA"[i % 3], "FO"[n % 2]) for n in range(30) for i in range(1, 6)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_suppkey long, l_extendedprice double, l_discount double, l_tax double, "
+                          "l_quantity double, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = REGISTRY["stream_running_balance"].fn(spark, str(tmp_path))
+    days = {(f"c{c}", str(day.date())) for _, c, day in orders} | {
+        (f"s{s}", str(orders[n][2].date())) for n, i, s, *_, flag, status in lines if not (status == "F" and i % 3 == 0) or (flag == "R" and i % 4 == 0)}
+    assert {(r.address, str(r.date)) for r in got.collect()} == days
+    assert len(read) == 3 and all(files and not any("/lineitem.parquet" in f for f in files) for files in read)
+
+
 def test_json_recursive_levels_nulls_and_empty_arrays(spark):
     doc = '{"n":1,"dt":{"itx":[{"n":2,"dt":{"itx":[]}},null,{"dt":{"itx":[{"n":4}]}},7]}}'
     df = spark.createDataFrame([(1, doc), (2, None), (3, '{"n":5,"dt":{"itx":3}}')], "id int, j string")

@@ -86,7 +86,7 @@ FROM daily
 def stream_running_balance(spark, sf_dir):
     """Ledger legs arrive in three landings that split days and come late (by the row's
     amount and time); each address's balances are redone from its first new day on.  Equals
-    the batch rebuild."""
+    the batch rebuild.  The legs are made and written once; landings are read from there."""
     from ..operators import ledger
     legs = ledger.ledger_legs(transactions(T(spark, sf_dir)), ledger.default_legs()) \
                  .select("address", "ts", "amount")
@@ -95,8 +95,10 @@ def stream_running_balance(spark, sf_dir):
     cut = F.lit(LEDGER_CUT).cast("timestamp_ntz")
     schema = "address string, ts timestamp_ntz, amount double"
     late = F.pmod(F.xxhash64("address", "ts", "amount"), F.lit(5)) == 0
-    for part in (legs.where((F.col("ts") < cut) & ~late), legs.where((F.col("ts") >= cut) & ~late), legs.where(late)):
-        _land(part, landing)
+    part = F.when(late, 2).when(F.col("ts") < cut, 0).when(F.col("ts") >= cut, 1)
+    legs = written(legs.withColumn("landing", part))
+    for n in range(3):
+        _land(legs.where(F.col("landing") == n).drop("landing"), landing)
         jobs.running_balance_stream(spark, landing, schema, "address", "ts", "amount", out, state, ckpt)
     return jobs.current_balances(spark, out, ["address"]).select(
         "address", F.col("period").alias("date"), F.round("balance", 4).alias("balance"))

@@ -98,12 +98,10 @@ def read_parts(spark: SparkSession, parts: dict[str, tuple[int, str]], schema: S
     return spark.read.schema(schema).parquet(*[folder for _, folder in parts.values()])
 
 
-def write_parts(spark: SparkSession, df: DataFrame, root: str, epoch_id: int) -> None:
-    """Write ``df`` (with ``part``) as ``epoch_id`` and delete what no run can need again: of
-    each part written, all epochs but this one and the one a replay of this one starts from."""
+def drop_older(spark: SparkSession, root: str, before: dict[str, tuple[int, str]], epoch_id: int) -> None:
+    """Delete what no run can need again after ``epoch_id`` was written over ``before``: of each
+    part written, all epochs but this one and the one a replay of this one starts from."""
     from ..operators.incremental import delete_folder
-    before = newest_parts(spark, root, epoch_id)
-    df.write.mode("overwrite").partitionBy("part").parquet(f"{root}/epoch={epoch_id}")
     now = newest_parts(spark, root, epoch_id + 1)
     for part, (epoch, _) in before.items():
         if now[part][0] == epoch_id:
@@ -124,6 +122,8 @@ def current_balances(spark: SparkSession, out: str, keys: list[str]) -> DataFram
 
 #: Hash buckets of the table of newest balances (fixed: stored state depends on it).
 HEAD_BUCKETS = 64
+#: Rows of a batch and of the days it meets that one task orders by key and day.
+TASK_ROWS = 2_000_000
 
 
 def running_balance_stream(spark: SparkSession, source: str, schema: StructType, key: str, ts: str,
@@ -141,10 +141,12 @@ def running_balance_stream(spark: SparkSession, source: str, schema: StructType,
     however long the history is.  Replaying an epoch starts from the versions before it and
     overwrites its own; older versions are removed.  Null keys are a key; legs without a time
     belong to no day and are left out.
+
+    New days, stored days and newest balances are sent by key once and written once, as a
+    version of the months; those in which no row was made anew are dropped from it.
     """
     from ..operators.incremental import delete_folder
     from ..operators.ledger import period_sums
-    from ..session import scratch_path
 
     key_type = schema[key].dataType if isinstance(schema, StructType) else StructType.fromDDL(schema)[key].dataType
     day_rows = (StructType().add(key, key_type).add("period", "date").add("delta", "double")
@@ -152,46 +154,58 @@ def running_balance_stream(spark: SparkSession, source: str, schema: StructType,
     head_rows = StructType().add(key, key_type).add("period", "date").add("balance", "double")
     month = F.date_format("period", "yyyyMM").alias("part")
     bucket = F.pmod(F.xxhash64(key), F.lit(HEAD_BUCKETS)).cast("string").alias("part")
-
-    def same(left: DataFrame, right: DataFrame):
-        return left[key].eqNullSafe(right["__k"])
+    none = F.lit(None).cast("double")
 
     def batch_fn(batch: DataFrame, epoch_id: int) -> None:
-        sums_path, rolled_path = scratch_path(spark, "stream-sums"), scratch_path(spark, "stream-rolled")
         dated = batch.where(F.col(ts).isNotNull())
-        period_sums(dated, [key], F.to_date(ts), amount).select(key, "period", "delta").write.parquet(sums_path)
-        sums = spark.read.parquet(sums_path)
-        lo = sums.agg(F.min(F.date_format("period", "yyyyMM"))).first()[0]
-        if lo is not None:
-            first = sums.groupBy(F.col(key).alias("__k")).agg(F.min("period").alias("__from"))
-            months = {p: v for p, v in newest_parts(spark, out, epoch_id).items() if p >= lo}
-            stored = read_parts(spark, months, day_rows)
-            mine = stored.join(first, same(stored, first) & (stored["period"] >= first["__from"])).drop("__k", "__from")
-            buckets = newest_parts(spark, state, epoch_id)
-            touched = [r.part for r in sums.select(bucket).distinct().collect()]
-            heads = read_parts(spark, {p: v for p, v in buckets.items() if p in touched}, head_rows)
-            # the balance before a key's first new day: before its next stored day, else its newest
-            begin = (mine.groupBy(key).agg(F.min_by("opening", "period").alias("base"))
-                     .unionByName(heads.join(first, same(heads, first) & (heads["period"] < first["__from"]))
-                                  .select(key, F.col("balance").alias("base")))
-                     .withColumnRenamed(key, "__k"))
-            days = sums.unionByName(mine.select(key, "period", "delta")).groupBy(key, "period").agg(F.sum("delta").alias("delta"))
-            days = days.join(begin, same(days, begin), "left").drop("__k").withColumn("base", F.coalesce("base", F.lit(0.0)))
-            w = Window.partitionBy(key).orderBy("period")
-            till = F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, -1))
-            upto = F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, 0))
-            (days.select(key, "period", "delta", (F.col("base") + F.coalesce(till, F.lit(0.0))).alias("opening"),
-                         (F.col("base") + upto).alias("balance")).write.parquet(rolled_path))
-            rolled = spark.read.schema(day_rows).parquet(rolled_path)
-            changed = {r.part for r in rolled.select(month).distinct().collect()}
-            kept = read_parts(spark, {p: v for p, v in months.items() if p in changed}, day_rows)
-            kept = kept.join(first, same(kept, first) & (kept["period"] >= first["__from"]), "left_anti")
-            write_parts(spark, kept.unionByName(rolled).select("*", month), out, epoch_id)
-            tops = rolled.groupBy(key).agg(F.max("period").alias("period"), F.max_by("balance", "period").alias("balance"))
-            rest = heads.join(first, same(heads, first), "left_anti")
-            write_parts(spark, rest.unionByName(tops).select("*", bucket), state, epoch_id)
-            delete_folder(spark, rolled_path)
-        delete_folder(spark, sums_path)
+        seen = dated.agg(F.date_format(F.min(F.to_date(ts)), "yyyyMM").alias("lo"), F.collect_set(bucket).alias("touched"),
+                         F.count(F.lit(1)).alias("legs")).first()
+        if seen.lo is None:
+            return
+        before, buckets = newest_parts(spark, out, epoch_id), newest_parts(spark, state, epoch_id)
+        stored = read_parts(spark, {p: v for p, v in before.items() if p >= seen.lo}, day_rows)
+        heads = read_parts(spark, {p: v for p, v in buckets.items() if p in seen.touched}, head_rows)
+        sums = period_sums(dated, [key], F.to_date(ts), amount)
+        both = (sums.select(key, "period", "delta", none.alias("opening"), none.alias("balance"), none.alias("head"), F.lit(True).alias("new"))
+                .unionByName(stored.select("*", none.alias("head"), F.lit(False).alias("new")))
+                .unionByName(heads.select(key, "period", none.alias("delta"), none.alias("opening"), none.alias("balance"),
+                                          F.col("balance").alias("head"), F.lit(False).alias("new"))))
+        tasks = (seen.legs + stored.count()) // TASK_ROWS
+        few = tasks <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = both.repartition(key) if few else both.repartition(tasks, key)
+        days = dealt.groupBy(key, "period").agg(F.sum("delta").alias("delta"), F.max("new").alias("new"),
+                                                *[F.max(c).alias(c) for c in ("opening", "balance", "head")])
+        # all windows go over the same order; a day that only the newest balance names is no row
+        w = Window.partitionBy(key).orderBy("period")
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        days = days.withColumn("redone", F.coalesce(F.col("period") >= F.min(F.when(F.col("new"), F.col("period"))).over(whole), F.lit(False)))
+        redone, delta = F.col("redone"), F.when(F.col("redone"), F.col("delta"))
+        # the balance before a key's first new day: before its next stored day, else its newest
+        next_stored = F.min_by("opening", F.when(redone & F.col("opening").isNotNull(), F.col("period"))).over(whole)
+        newest = F.max(F.when(~redone, F.col("head"))).over(whole)
+        days = (days.withColumn("base", F.coalesce(next_stored, newest, F.lit(0.0)))
+                .withColumn("till", F.sum(delta).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+                .withColumn("upto", F.sum(delta).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn("last", F.lead("period").over(w).isNull())
+                .where(F.col("new") | F.col("opening").isNotNull()))
+        days = days.select(key, "period", "delta",
+                           F.when(redone, F.col("base") + F.coalesce("till", F.lit(0.0))).otherwise(F.col("opening")).alias("opening"),
+                           F.when(redone, F.col("base") + F.col("upto")).otherwise(F.col("balance")).alias("balance"),
+                           "redone", (redone & F.col("last")).alias("newest"), month)
+        version = f"{out}/epoch={epoch_id}"
+        days.write.mode("overwrite").partitionBy("part").parquet(version)
+        made = spark.read.schema(days.schema).parquet(version)
+        tops = (heads.withColumn("new", F.lit(False))
+                .unionByName(made.where("newest").select(key, "period", "balance", F.lit(True).alias("new")))
+                .groupBy(key).agg(F.max_by(F.struct("period", "balance"), "new").alias("top")))
+        (tops.select(key, "top.period", "top.balance", bucket)
+         .write.mode("overwrite").partitionBy("part").parquet(f"{state}/epoch={epoch_id}"))
+        changed = {r.part for r in made.where("redone").select("part").distinct().collect()}
+        for part, (epoch, folder) in newest_parts(spark, out, epoch_id + 1).items():
+            if epoch == epoch_id and part not in changed:
+                delete_folder(spark, folder)
+        drop_older(spark, out, before, epoch_id)
+        drop_older(spark, state, buckets, epoch_id)
 
     q = (spark.readStream.schema(schema).parquet(source)
          .writeStream.foreachBatch(batch_fn)
