@@ -50,6 +50,18 @@ def test_collocations_equal_brute_force(spark, monkeypatch, least, shards, slots
     assert sorted(tuple(r) for r in got.collect()) == brute(rows, least, 4, 25)
 
 
+def test_scans_add_up_in_few_tasks(spark, monkeypatch):
+    """Every small file of a shard was a task of its own, which sent all its phrases."""
+    plans, write = [], phrases.materialise
+    monkeypatch.setattr(phrases, "BLOCK", 300)
+    monkeypatch.setattr(phrases, "materialise", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, name))[1])
+    rows = corpus(40, 7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(9)
+    got = phrases.collocations(docs, least=3, best=25)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, 3, 4, 25)
+    assert len(plans) > 4 and all(f"Coalesce {spark.sparkContext.defaultParallelism}" in p for p in plans)
+
+
 def test_no_phrase_begins_before_its_subphrases():
     """Slots of pairs that others filled in step 0, while the words were known in step 5 only."""
     hashes = np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)

@@ -43,6 +43,8 @@ SPAN = 1 << 16
 COVERED, BEST = 80, 2000
 #: Bytes of text that are numbered and counted at a time.
 BLOCK = 2 << 20
+#: Bytes of text that one task scans, unless cores would idle: what it finds more than once it sends once.
+TASK_BYTES = 24 << 20
 #: Parts that a hot word's row is copied to, and into which each language is ranked first.
 SALTS = 16
 UNSET = 255
@@ -292,6 +294,11 @@ def slots_for(size: int) -> int:
     return min(MOST, max(FEWEST, 1 << (size // SLOT_BYTES).bit_length()))
 
 
+def _scan(cut: DataFrame, size: int) -> DataFrame:
+    """A scan of shards with so many bytes of text, in few tasks."""
+    return cut.coalesce(max(cut.sparkSession.sparkContext.defaultParallelism, size // TASK_BYTES))
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shards: int = SHARDS,
                   slots: int | None = None) -> tuple[DataFrame, DataFrame]:
     """((lang, k, phrase, n) of all phrases of up to ``longest`` words that occur ``least`` times,
@@ -302,7 +309,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     path = scratch_path(spark, "phrase-shards")
     docs.mapInArrow(_cut(shards), _BLOCKS).write.partitionBy("shard").parquet(path)
     cut = spark.read.schema(_BLOCKS).parquet(path)
-    slots = slots or slots_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slots = slots or slots_for(size)
     reached = np.full(slots, UNSET, np.uint8)
 
     so_far, step, last_new = None, 0, -1
@@ -311,7 +319,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
             raise RuntimeError(f"no end after {UNSET} steps")
         known = spark.sparkContext.broadcast(zlib.compress(reached, 1))
         shard = cut.where(F.col("shard") == step % shards).select("hashes", "words")
-        counted = shard.mapInArrow(_sketch(step, known, shards, longest, least), _SKETCH)
+        counted = _scan(shard, size // shards).mapInArrow(_sketch(step, known, shards, longest, least), _SKETCH)
         both = counted if so_far is None else so_far.select("block", "counts").unionByName(counted)
         dealt = both.repartition(shuffle_partitions(spark), "block").sortWithinPartitions("block")
         so_far = materialise(dealt.mapInArrow(_added(least), _ADDED), "phrase-slots")
@@ -325,7 +333,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
                 last_new = step
         step += 1
     known = spark.sparkContext.broadcast(zlib.compress(reached, 1))
-    every = materialise(cut.mapInArrow(_texts(known, longest), _COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    every = materialise(_scan(cut, size).mapInArrow(_texts(known, longest), _COUNTS).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
                         .where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
     known.destroy()
     return every.where("k > 0"), every.where("k = 0").select("lang", "n")
