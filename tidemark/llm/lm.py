@@ -31,6 +31,7 @@ from __future__ import annotations
 import base64
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -84,6 +85,10 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return coded.indices.to_numpy(), ends, coded.dictionary.cast(pa.binary())
 
 
+def listed(words: pa.Array) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()  # many times faster than to_pylist
+
+
 class Subwords:
     """Words (UTF-8 bytes) to byte-level BPE ids; remembers a bounded number of words.
 
@@ -96,37 +101,58 @@ class Subwords:
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.encode = tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=ranks,
-                                        special_tokens={}).encode_ordinary
+        self.encoding = tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.spaced = np.zeros(VOCAB, bool)
+        self.spaced[[i for b, i in ranks.items() if b[:1] == b" "]] = True
         self.base = base
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids, self.starts, self.lens = (np.zeros(0, np.int64) for _ in range(3))
+        self.place: defaultdict[bytes, int] = defaultdict()
+        self.place.default_factory = self.place.__len__
+        self.known = self.filled = 0
+        self.ids = np.zeros(0, np.int32)
+        self.starts, self.lens = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.spelled, self.recall, self.unigram = np.zeros(0), np.zeros(0), np.zeros(0)
 
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, lens): the ids of each word behind a space, one word after the other.
+
+        No id reaches over a space, so words without Unicode spaces are encoded as one text, in
+        which each id that begins with a space begins a word.
+        """
+        text = (b" " + b" ".join(words)).decode("utf-8", "replace")
+        if len(text.split()) == len(words):
+            ids = self.encoding.encode_to_numpy(text).astype(np.int32)
+            first = np.flatnonzero(self.spaced[ids])
+            if len(first) == len(words):
+                return ids, np.diff(np.r_[first, len(ids)])
+        coded = [self.encoding.encode_ordinary(" " + w.decode("utf-8", "replace")) for w in words]
+        lens = np.fromiter(map(len, coded), np.int64, len(coded))
+        return np.fromiter((i for c in coded for i in c), np.int32, int(lens.sum())), lens
+
     def look_up(self, words: list[bytes]) -> np.ndarray:
         """The places of distinct words among the remembered ones; new ones are learned."""
-        new = [w for w in words if w not in self.place]
-        if new and len(self.place) + len(new) > REMEMBERED:
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        if len(self.place) > max(REMEMBERED, self.known):
             self.forget()
-            new = words
-        if new:
-            coded = [self.encode(" " + w.decode("utf-8", "replace")) for w in new]
-            lens = np.fromiter(map(len, coded), np.int64, len(coded))
-            ids = np.fromiter((i for c in coded for i in c), np.int64, int(lens.sum()))
-            starts = np.cumsum(lens) - lens
-            if self.base:
-                shares = self.base.words
-                n = shares.count(new)
-                self.spelled = np.r_[self.spelled, shares.spelled * np.exp(self.base.spell(ids, starts, lens))]
-                self.recall = np.r_[self.recall, np.where(n > 0, (n - RECALL_DISCOUNT) / max(shares.tokens, 1), np.nan)]
-                self.unigram = np.r_[self.unigram, np.where(n > 0, np.log10((n + 1) / shares.space), 0)]
-            self.place.update(zip(new, range(len(self.lens), len(self.lens) + len(new))))
-            self.starts = np.r_[self.starts, starts + len(self.ids)]
-            self.ids, self.lens = np.r_[self.ids, ids], np.r_[self.lens, lens]
-        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        if len(self.place) > self.known:
+            self._learn([words[i] for i in np.flatnonzero(at >= self.known)])
+        return at
+
+    def _learn(self, new: list[bytes]) -> None:
+        ids, lens = self.encode(new)
+        starts, known, filled = np.cumsum(lens) - lens, self.known, self.filled
+        self.known, self.filled = known + len(new), filled + len(ids)
+        self.ids = put(self.ids, filled, ids)
+        self.starts, self.lens = put(self.starts, known, starts + filled), put(self.lens, known, lens)
+        if self.base:
+            shares = self.base.words
+            n = shares.count(new)
+            self.spelled = put(self.spelled, known, shares.spelled * np.exp(self.base.spell(ids.astype(np.int64), starts, lens)))
+            self.recall = put(self.recall, known, np.where(n > 0, (n - RECALL_DISCOUNT) / max(shares.tokens, 1), np.nan))
+            self.unigram = put(self.unigram, known, np.where(n > 0, np.log10((n + 1) / shares.space), 0))
 
     def places(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         """For each text, its words' places among the remembered words."""
@@ -140,6 +166,35 @@ class Subwords:
         n = self.lens[at]
         return np.r_[END, self.ids[ragged(self.starts[at], n)], END], np.r_[0, np.cumsum(n)]
 
+    def texts(self, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, sizes, begins) of texts, one after the other; text i has the words at[ends[i - 1]:ends[i]].
+
+        ids: each text's ids with END first and last.  sizes: its steps, one fewer than its ids.
+        begins: whether a word or the end begins at a step.
+        """
+        n = self.lens[at]
+        upto = np.r_[0, np.cumsum(n)]
+        owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+        last = upto[ends] + np.arange(len(ends))  # the step of each text's end
+        sizes = np.diff(last, prepend=-1)
+        begins = np.zeros(upto[-1] + len(ends), bool)
+        begins[upto[:-1] + owner] = True
+        begins[last] = True
+        ids = np.full(upto[-1] + 2 * len(ends), END, np.int32)
+        inside = np.ones(len(ids), bool)
+        close = np.cumsum(sizes + 1) - 1
+        inside[close] = inside[close - sizes] = False
+        ids[inside] = self.ids[ragged(self.starts[at], n)]
+        return ids, sizes, begins
+
+
+def put(kept: np.ndarray, at: int, more: np.ndarray) -> np.ndarray:
+    """``kept`` with ``more`` at ``at``; grows by doubling, so what is kept is seldom copied."""
+    if at + len(more) > len(kept):
+        kept = np.r_[kept[:at], np.zeros(max(at, len(more)), kept.dtype)]
+    kept[at:at + len(more)] = more
+    return kept
+
 
 def beginnings(ids: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """For each id of the words, a 64-bit hash of its word up to and with it."""
@@ -160,8 +215,11 @@ def mix(h: np.ndarray) -> np.ndarray:
 def look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
     if not len(keys):
         return np.full(len(wanted), default)
+    order, out = np.argsort(wanted), np.empty(len(wanted))  # sorted, neighbours are found in the same cache lines
+    wanted = wanted[order]
     at = np.searchsorted(keys, wanted).clip(max=len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], default)
+    out[order] = np.where(keys[at] == wanted, values[at], default)
+    return out
 
 
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -234,7 +292,7 @@ def step_counts(words: DataFrame, path: str) -> DataFrame:
         sub = Subwords(path)
         for b in slices(batches, 50_000):
             sub.forget()
-            (at,) = sub.places([b.column(0).to_pylist()])
+            at = sub.look_up(listed(b.column(0)))
             n = np.repeat(b.column(1).to_numpy(), sub.lens[at])
             pick = ragged(sub.starts[at], sub.lens[at])
             ids, lens = sub.ids[pick], sub.lens[at]
@@ -327,66 +385,94 @@ class Base:
 
 # --- vectors and classes of ids ---------------------------------------------------------
 
-def train_windows(docs: DataFrame, modulus: int, remainder: int, path: str) -> DataFrame:
-    """(ids, begins, nth): the training documents in windows, each step of a text in one of them.
-
-    As in scoring, a window is SCORED steps behind CONTEXT steps that are context only, and the
-    ids before and after them; a text's first id and its last are END.  begins: whether a word
-    or the end begins at the step (1), or a word goes on or is context (0).  nth: the round
-    that learns from the window, by hash.
-    """
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def train_texts(docs: DataFrame, modulus: int, remainder: int, path: str) -> DataFrame:
+    """(ids, sizes, begins, seeds): the training documents as ids, some texts a row, as binary
+    arrays (2 bytes an id, 8 a size, a bit a step, 4 a seed); see :meth:`Subwords.texts`.
+    seeds: what a text's windows are hashed with."""
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = Subwords(path)
         for b in slices(batches):
             used = b.filter(pa.array([not is_held_out(d, modulus, remainder) for d in b.column(0).to_pylist()], pa.bool_()))
             if not used.num_rows:
                 continue
             codes, ends, distinct = split_words(used.column(1))
-            parts = [sub.text(at) for at in np.split(sub.look_up(distinct.to_pylist())[codes], ends[:-1])]
-            sizes = np.array([len(ids) - 1 for ids, _ in parts])
+            ids, sizes, begins = sub.texts(sub.look_up(listed(distinct))[codes], ends)
+            heads = np.cumsum(sizes + 1) - (sizes + 1)
+            seeds = [zlib.crc32(ids[f:f + min(WINDOW, n + 1)].astype(np.int64).tobytes()) for f, n in zip(heads, sizes)]
+            parts = ids.astype(np.uint16), sizes, np.packbits(begins), np.array(seeds, np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts],
+                                             names=["ids", "sizes", "begins", "seeds"])
+
+    return docs.mapInArrow(encode, "ids binary, sizes binary, begins binary, seeds binary")
+
+
+def windows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(ids, begins, first, low, lens, nth) of each row of :func:`train_texts`: the texts' ids and
+    marks of their steps, and the windows.
+
+    As in scoring, a window is SCORED steps behind CONTEXT steps that are context only, and the
+    ids before and after them.  A window's ids are ids[low:low + lens + 1] and its steps
+    follow all but the last of them; the steps from ``first`` on are its own (begins is by the id
+    before the step).  nth: the round that learns from the window, by hash.
+    """
+    for b in batches:
+        for row in zip(*(b.column(c) for c in range(4))):
+            ids, sizes, begins, seeds = (np.frombuffer(x.as_buffer(), t) for x, t in zip(row, (np.uint16, np.int64, np.uint8, np.uint32)))
+            marks = np.zeros(len(ids), bool)
+            inside = np.ones(len(ids), bool)
+            inside[np.cumsum(sizes + 1) - 1] = False
+            marks[inside] = np.unpackbits(begins, count=int(sizes.sum()))
             before = np.cumsum(sizes + 1) - (sizes + 1)
-            seeds = np.array([zlib.crc32(ids[:WINDOW].tobytes()) for ids, _ in parts], np.uint64)
-            ids = np.concatenate([x for x, _ in parts])
-            begins = np.zeros(len(ids), np.int64)
-            begins[np.concatenate([steps + f for (_, steps), f in zip(parts, before)])] = 1
             windows = -(-sizes // SCORED)
             owner = np.repeat(np.arange(len(sizes)), windows)
             k = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
             low = np.maximum(SCORED * k - CONTEXT, 0)
             lens = np.minimum(SCORED * (k + 1), sizes[owner]) - low
-            step = ragged(before[owner] + low, lens)
-            marks = np.where(step >= np.repeat(before[owner] + SCORED * k, lens), begins[step], 0)
-            lists = [pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(x)) for n, x in (
-                (lens + 1, ids[ragged(before[owner] + low, lens + 1)]), (lens, marks))]
-            nth = (mix(seeds[owner] + (k.astype(np.uint64) << np.uint64(32))) % np.uint64(ROUNDS)).astype(np.int32)
+            nth = mix(seeds[owner].astype(np.uint64) + (k.astype(np.uint64) << np.uint64(32))) % np.uint64(ROUNDS)
+            yield ids, marks, before[owner] + SCORED * k, before[owner] + low, lens, nth.astype(np.int32)
+
+
+def train_windows(docs: DataFrame, modulus: int, remainder: int, path: str) -> DataFrame:
+    """(ids, begins, nth): the windows of :func:`train_texts` as rows, each step of a text in one
+    of them.  begins: whether a word or the end begins at the step (1), or a word goes on or is
+    context (0)."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, marks, first, low, lens, nth in windows_of(batches):
+            step = ragged(low, lens)
+            own = np.where(step >= np.repeat(first, lens), marks[step], False)
+            lists = [pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(x.astype(np.int64)))
+                     for n, x in ((lens + 1, ids[ragged(low, lens + 1)]), (lens, own))]
             yield pa.RecordBatch.from_arrays([*lists, pa.array(nth)], names=["ids", "begins", "nth"])
 
-    return docs.mapInArrow(cut, "ids array<long>, begins array<long>, nth int")
+    return train_texts(docs, modulus, remainder, path).mapInArrow(cut, "ids array<long>, begins array<long>, nth int")
 
 
-def cooccurrence(windows: DataFrame, landmarks: np.ndarray) -> np.ndarray:
+def cooccurrence(texts: DataFrame, landmarks: np.ndarray) -> np.ndarray:
     """counts[id, k]: how often the id shares a window with landmark k."""
     place = np.full(VOCAB, -1, np.int64)
     place[landmarks] = np.arange(len(landmarks))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((VOCAB, len(landmarks)))
-        for b in slices(batches, 1024):
-            ids = b.column(0).flatten().to_numpy()
-            owner = np.repeat(np.arange(b.num_rows), np.diff(b.column(0).offsets.to_numpy()))
-            mark = place[ids]
-            seen = np.bincount(owner[mark >= 0] * len(landmarks) + mark[mark >= 0],
-                               minlength=b.num_rows * len(landmarks)).reshape(b.num_rows, -1)
-            order = np.argsort(ids, kind="stable")
-            unique, first = np.unique(ids[order], return_index=True)
-            if len(unique):
-                out[unique] += np.add.reduceat(seen[owner[order]].astype(np.float32), first)
+        out, nth = np.zeros((VOCAB, len(landmarks))), np.zeros(VOCAB, np.int64)
+        for ids, _, _, low, lens, _ in windows_of(batches):
+            for at in range(0, len(low), 256):
+                n = lens[at:at + 256] + 1
+                some, owner = ids[ragged(low[at:at + 256], n)], np.repeat(np.arange(len(n)), n)
+                mark = place[some]
+                hit = np.flatnonzero(mark >= 0)
+                seen = np.bincount(owner[hit] * len(landmarks) + mark[hit], minlength=len(n) * len(landmarks))
+                unique = np.sort(some, kind="stable")  # 2-byte ids: a radix sort
+                unique = unique[np.flatnonzero(np.r_[True, unique[1:] != unique[:-1]])]
+                nth[unique] = np.arange(len(unique))
+                held = np.bincount(nth[some] * len(n) + owner, minlength=len(unique) * len(n))
+                # Counts by id and window times counts by window and landmark.
+                out[unique] += held.reshape(len(unique), -1).astype(np.float32) @ seen.reshape(len(n), -1).astype(np.float32)
         row, k = np.nonzero(out)
         yield pa.record_batch([pa.array(row.astype(np.int32)), pa.array(k.astype(np.int32)),
                                pa.array(out[row, k].astype(np.float64))], names=["id", "k", "v"])
 
     # At most VOCAB * LANDMARKS rows.
-    got = (windows.select("ids").mapInArrow(count, "id int, k int, v double")
+    got = (texts.mapInArrow(count, "id int, k int, v double")
            .groupBy("id", "k").agg(F.sum("v").alias("v")).toArrow())
     counts = np.zeros((VOCAB, len(landmarks)))
     counts[got.column("id").to_numpy(), got.column("k").to_numpy()] = got.column("v").to_numpy()
@@ -464,17 +550,20 @@ class Layer:
 
     def attend(self, ids: np.ndarray, valid: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
         """What the steps ``at`` of each window see; ids[:, t] precedes step t."""
-        w, x = self.w, self.vectors[ids]
-        own = x[np.arange(len(ids))[:, None], at]
-        q, k, v = own @ (w["q"] * np.float32(DIMS ** -0.5)), x @ w["k"], x @ w["v"]
+        w, x = self.w, np.take(self.vectors, ids, 0)
+        n, m = at.shape
+        own = np.take(x.reshape(-1, DIMS), at + ids.shape[1] * np.arange(n)[:, None], 0)
+        q = (own.reshape(-1, DIMS) @ (w["q"] * np.float32(DIMS ** -0.5))).reshape(n, m, DIMS)
+        k, v = ((x.reshape(-1, DIMS) @ w[name]).reshape(x.shape) for name in "kv")
         a = q @ k.transpose(0, 2, 1)
         np.minimum(a, 15, out=a)
         np.exp(a, out=a)
-        a *= _CAUSAL[at]
+        a *= np.take(_CAUSAL, at, 0)
         if not valid.all():
             a *= valid[:, None, :]
         a *= 1 / (a.sum(2, keepdims=True) + np.float32(1e-9))
-        h = np.concatenate([a @ v, own, np.ones((*own.shape[:2], 1), own.dtype)], 2)
+        h = np.ones((n, m, 2 * DIMS + 1), own.dtype)
+        h[..., :DIMS], h[..., DIMS:2 * DIMS] = a @ v, own
         return {"x": x, "own": own, "q": q, "k": k, "v": v, "a": a, "h": h}
 
     def classed(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -493,57 +582,67 @@ class Layer:
                  ) -> np.ndarray:
         """Gradient of the mean negative gain over the ``used`` ones of the steps ``at``."""
         f, w = self.attend(ids, valid, at), self.w
-        _, e, z = self.classed(f["h"])
-        d = e / z[..., None]
-        c = self.classes[targets][..., None]
-        np.put_along_axis(d, c, np.take_along_axis(d, c, 2) - 1, 2)
-        d *= (used / max(used.sum(), 1))[..., None].astype(np.float32)
+        a, rows = f["a"], f["h"].reshape(-1, 2 * DIMS + 1)
+        _, d, z = self.classed(rows)
+        d *= (1 / z)[:, None]
+        d[np.arange(len(d)), self.classes[targets].ravel()] -= 1
+        d *= (used.ravel() / max(used.sum(), 1)).astype(np.float32)[:, None]
         flat = np.zeros(SIZE, np.float32)
         g = unpack(flat)
-        g["o"][:] = np.tensordot(f["h"], d, ((0, 1), (0, 1)))
-        do = (d @ w["o"].T)[..., :DIMS]
-        dv = f["a"].transpose(0, 2, 1) @ do
+        g["o"][:] = rows.T @ d
+        do = (d @ w["o"][:DIMS].T).reshape(f["own"].shape)
         da = do @ f["v"].transpose(0, 2, 1)
-        da = f["a"] * (da - (da * f["a"]).sum(2, keepdims=True))
-        g["q"][:] = np.tensordot(f["own"], da @ f["k"], ((0, 1), (0, 1))) * DIMS ** -0.5
-        g["k"][:] = np.tensordot(f["x"], da.transpose(0, 2, 1) @ f["q"], ((0, 1), (0, 1)))  # q is scaled
-        g["v"][:] = np.tensordot(f["x"], dv, ((0, 1), (0, 1)))
+        da -= (do * f["h"][..., :DIMS]).sum(2, keepdims=True)  # a's mean of da, by way of a @ v
+        da *= a
+        x = f["x"].reshape(-1, DIMS).T
+        g["q"][:] = (f["own"].reshape(-1, DIMS).T @ (da @ f["k"]).reshape(-1, DIMS)) * DIMS ** -0.5
+        g["k"][:] = x @ (da.transpose(0, 2, 1) @ f["q"]).reshape(-1, DIMS)  # q is scaled
+        g["v"][:] = x @ (a.transpose(0, 2, 1) @ do).reshape(-1, DIMS)
         return flat
 
 
 def picked(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(at, used): the wanted columns of each row first, padded to the row that has most."""
-    most = max(1, int(wanted.sum(1).max()))
-    at = np.argsort(~wanted, axis=1, kind="stable")[:, :most]
-    return at, np.take_along_axis(wanted, at, 1)
-
-
-def padded(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-    """(ids, valid, at, targets, used) of a batch of windows of up to WINDOW + 1 ids."""
-    flat, begins = b.column("ids").flatten().to_numpy(), b.column("begins").flatten().to_numpy()
-    starts, marks = (b.column(c).offsets.to_numpy() for c in ("ids", "begins"))
-    starts, marks = starts - starts[0], marks - marks[0]
-    valid = np.arange(WINDOW) < np.diff(marks)[:, None]
-    step = np.where(valid, np.arange(WINDOW), 0)
-    place = starts[:-1, None] + step
-    wanted = np.zeros(valid.shape, bool)
-    wanted[valid] = begins > 0
+    n = wanted.sum(1)
+    used = np.arange(max(1, int(n.max()))) < n[:, None]
+    at = np.zeros(used.shape, np.int64)
+    at[used] = np.nonzero(wanted)[1]
+    return at, used
+
+
+def padded(batches: Iterator[pa.RecordBatch], nth: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(ids, valid, at, targets, used) of BATCH windows of a round each; the last may have fewer."""
+    kept, steps = [], np.arange(WINDOW)
+    for ids, marks, first, low, lens, rounds in windows_of(batches):
+        own = np.flatnonzero(rounds == nth)
+        valid = steps < lens[own, None]
+        place = low[own, None] + np.where(valid, steps, 0)
+        wanted = marks[place] & valid & (place >= first[own, None])
+        parts = np.where(valid, ids[place], END), valid, wanted, np.where(valid, ids[place + valid], END)
+        kept = [np.concatenate(x) for x in zip(kept, parts)] if kept else parts
+        full = len(kept[0]) // BATCH * BATCH
+        yield from (batch(*(x[at:at + BATCH] for x in kept)) for at in range(0, full, BATCH))
+        kept = [x[full:] for x in kept]
+    if kept and len(kept[0]):
+        yield batch(*kept)
+
+
+def batch(ids: np.ndarray, valid: np.ndarray, wanted: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, ...]:
     at, used = picked(wanted)
-    ids = np.where(valid, flat[place], END)
-    return ids, valid, at, np.take_along_axis(np.where(valid, flat[place + valid], END), at, 1), used
+    return ids, valid, at, np.take(targets, at + WINDOW * np.arange(len(ids))[:, None]), used
 
 
-def train(windows: DataFrame, vectors: np.ndarray, mass: np.ndarray, classes: np.ndarray) -> np.ndarray:
+def train(texts: DataFrame, vectors: np.ndarray, mass: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Rounds of local steps in every task, averaged in a shuffle by weight (SIZE rows come back)."""
-    sc = windows.sparkSession.sparkContext
+    sc = texts.sparkSession.sparkContext
     tables, flat = sc.broadcast((vectors, mass, classes)), first_weights()
     for n in range(ROUNDS):
         def steps(batches: Iterator[pa.RecordBatch], start=flat, n=n) -> Iterator[pa.RecordBatch]:
             own, m, v, t, seen = start.copy(), np.zeros(SIZE, np.float32), np.zeros(SIZE, np.float32), 0, 0
             layer, rate = Layer(own, *tables.value), RATE * 0.5 ** n
-            for b in slices(batches, BATCH):
-                g = layer.gradient(*padded(b))
-                t, seen = t + 1, seen + b.num_rows
+            for b in padded(batches, n):
+                g = layer.gradient(*b)
+                t, seen = t + 1, seen + len(b[0])
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 own -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)
@@ -551,7 +650,7 @@ def train(windows: DataFrame, vectors: np.ndarray, mass: np.ndarray, classes: np
                 yield pa.record_batch([pa.array(np.arange(SIZE, dtype=np.int32)), pa.array(own.astype(np.float64) * seen),
                                        pa.array(np.full(SIZE, float(seen)))], names=["i", "w", "n"])
 
-        got = (windows.where(F.col("nth") == n).select("ids", "begins").mapInArrow(steps, "i int, w double, n double")
+        got = (texts.mapInArrow(steps, "i int, w double, n double")
                .groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toArrow())
         if got.num_rows:
             flat = flat.copy()
@@ -579,31 +678,39 @@ class Scorer:
     def scores(self, texts: list[list[bytes]]) -> Iterator[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
         """For each text: the log probability of its end and its broadcast words; its words'
         recalled shares r; and a and b, with p = a r + b for every word."""
-        return self.scored(self.sub.places(texts))
-
-    def scored(self, places: list[np.ndarray]) -> Iterator[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
-        """:func:`scores` of texts whose words' places are known."""
-        base = self.model.base
-        for at, gain in zip(places, self._gains([self.sub.text(at) for at in places])):
-            r, own = self.sub.recall[at], np.exp(gain[:-1])
-            copied = earlier(at) / np.maximum(np.arange(len(at)), 1)
-            keep = np.where(np.arange(len(at)) > 0, 1 - COPY, 1.0)
-            a = keep * own
-            b = a * self.sub.spelled[at] + COPY * copied
-            known = ~np.isnan(r)
-            last = gain[-1] + base.log_end + (np.log1p(-COPY) if len(at) else 0.0)
-            yield float(last + np.log(a[known] * r[known] + b[known]).sum()), r, a, b
+        places = self.sub.places(texts)
+        ends = np.cumsum([len(at) for at in places])
+        s, *words = self.scored(np.concatenate(places), ends)
+        return zip(s.tolist(), *(np.split(x, ends[:-1]) for x in words))
+
+    def scored(self, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """:func:`scores` of texts whose words' places are known, the words of all one after the other."""
+        base, n = self.model.base, np.diff(ends, prepend=0)
+        gain = self._steps(*self.sub.texts(at, ends))
+        last = np.zeros(len(gain), bool)
+        last[ends + np.arange(len(ends))] = True
+        owner, nth = np.repeat(np.arange(len(ends)), n), np.arange(len(at)) - np.repeat(ends - n, n)
+        copied = earlier(owner * (int(at.max(initial=0)) + 1) + at) / np.maximum(nth, 1)
+        r = self.sub.recall[at]
+        a = np.where(nth > 0, 1 - COPY, 1.0) * np.exp(gain[~last])
+        b = a * self.sub.spelled[at] + COPY * copied
+        known = ~np.isnan(r)
+        s = gain[last] + base.log_end + np.where(n > 0, np.log1p(-COPY), 0.0)
+        return s + np.bincount(owner[known], np.log(a[known] * r[known] + b[known]), len(ends)), r, a, b
 
     def _gains(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
         """The gains of each text's words and end: overlapping windows, each step scored in one."""
         sizes = np.array([len(ids) - 1 for ids, _ in parts])
+        begins = np.zeros(sizes.sum(), bool)
+        begins[np.concatenate([steps + b for (_, steps), b in zip(parts, np.cumsum(sizes) - sizes)])] = True
+        gains = self._steps(np.concatenate([x for x, _ in parts]), sizes, begins)
+        return np.split(gains, np.cumsum([len(s) for _, s in parts])[:-1])
+
+    def _steps(self, ids: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """The gains of the wanted steps of all texts; see :meth:`Subwords.texts`."""
         ends = np.cumsum(sizes)
-        before = ends - sizes
+        before, gains = ends - sizes, np.zeros(len(wanted))
         # Step i of all texts together follows id i, plus one for every text before its own.
-        ids = np.concatenate([x for x, _ in parts])
-        steps = np.concatenate([steps + b for (_, steps), b in zip(parts, before)])
-        wanted, gains = np.zeros(ends[-1], bool), np.zeros(ends[-1])
-        wanted[steps] = True
         windows = -(-sizes // SCORED)
         owner = np.repeat(np.arange(len(sizes)), windows)
         first = before[owner] + SCORED * (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows))
@@ -623,7 +730,7 @@ class Scorer:
             h = self.layer.attend(ids[place], valid, at)["h"]
             gains[np.take_along_axis(step, at, 1)[used]] = self.layer.gain(
                 h[used], ids[np.take_along_axis(place, at, 1)[used] + 1])
-        return np.split(gains[steps], np.cumsum([len(s) for _, s in parts])[:-1])
+        return gains[wanted]
 
 
 _SCORER: list = [None, None]
@@ -639,11 +746,11 @@ def scorer_of(shared, path: str) -> Scorer:
 
 def earlier(at: np.ndarray) -> np.ndarray:
     """How often each entry occurred before."""
-    order = np.argsort(at, kind="stable")
-    group = np.r_[True, at[order][1:] != at[order][:-1]] if len(at) else np.zeros(0, bool)
-    run = np.arange(len(at)) - np.maximum.accumulate(np.where(group, np.arange(len(at)), 0)) if len(at) else np.zeros(0)
+    bits = len(at).bit_length()
+    both = np.sort((at.astype(np.int64) << bits) + np.arange(len(at)))  # one sort of numbers, by entry and position
+    order, entry, nth = both & ((1 << bits) - 1), both >> bits, np.arange(len(at))
     out = np.zeros(len(at))
-    out[order] = run
+    out[order] = nth - np.maximum.accumulate(np.where(np.diff(entry, prepend=-1) != 0, nth, 0))
     return out
 
 
@@ -651,15 +758,15 @@ def learn(docs: DataFrame, modulus: int, remainder: int, path: str = RANKS) -> t
     """The model, and the written word counts of the training documents."""
     counts = materialise(word_counts(docs, modulus, remainder), "lm-counts")
     base = Base(materialise(step_counts(counts, path), "lm-steps"), WordShares(counts))
-    windows = materialise(train_windows(docs, modulus, remainder, path), "lm-windows")
+    texts = materialise(train_texts(docs, modulus, remainder, path), "lm-texts")
     landmarks = np.argsort(-base.frequency, kind="stable")[:LANDMARKS]
     starts = np.zeros(VOCAB, bool)
     with open(path, "rb") as f:
         starts[[int(b) for a, b in map(bytes.split, f) if base64.b64decode(a)[:1] == b" "]] = True
     starts[END] = True
-    vectors, classes = vectors_and_classes(cooccurrence(windows, landmarks), base.frequency, starts)
+    vectors, classes = vectors_and_classes(cooccurrence(texts, landmarks), base.frequency, starts)
     mass = base.class_mass(classes)
-    flat = train(windows, vectors, mass, classes)
+    flat = train(texts, vectors, mass, classes)
     return Model(base, flat, vectors, mass, classes), counts
 
 
@@ -682,20 +789,18 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, path:
         end = float(np.log10((shares.texts + 1) / shares.space))
         for b in slices(batches, 128):
             codes, ends, distinct = split_words(b.column(1))
-            at = np.split(scorer.sub.look_up(distinct.to_pylist())[codes], ends[:-1])
-            out, rares, one, two = [], [], [], []
-            for d, own, places, (s, r, a, c) in zip(b.column(0).to_pylist(), np.split(codes, ends[:-1]), at, scorer.scored(at)):
-                rare = np.flatnonzero(np.isnan(r))
-                out.append((nth, d, is_held_out(d, modulus, remainder), len(own) + 1,
-                            len(own) - len(rare) + (shares.texts > 0), float(scorer.sub.unigram[places].sum()) + end, s))
-                rares.append(own[rare])
-                one.append(np.log(a[rare]).astype(np.float32))
-                two.append(np.log(c[rare]).astype(np.float32))
-                nth += 1
-            offsets = pa.array(np.cumsum([0, *map(len, rares)]), pa.int32())
+            places = scorer.sub.look_up(listed(distinct))[codes]
+            s, r, a, c = scorer.scored(places, ends)
+            n, rare = np.diff(ends, prepend=0), np.flatnonzero(np.isnan(r))
+            owner, ids = np.repeat(np.arange(len(ends)), n), b.column(0).to_pylist()
+            rares = np.bincount(owner[rare], minlength=len(ends))
+            out = (np.arange(nth, nth + len(ends)), ids, [is_held_out(d, modulus, remainder) for d in ids], n + 1,
+                   n - rares + (shares.texts > 0), np.bincount(owner, scorer.sub.unigram[places], len(ends)) + end, s)
+            nth += len(ends)
+            offsets = pa.array(np.r_[0, np.cumsum(rares)], pa.int32())
             lists = [pa.ListArray.from_arrays(offsets, x) for x in (
-                distinct.take(pa.array(np.concatenate(rares))), pa.array(np.concatenate(one)), pa.array(np.concatenate(two)))]
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(zip(*out), kinds)), *lists], names=names)
+                distinct.take(pa.array(codes[rare])), *(pa.array(np.log(x[rare]).astype(np.float32)) for x in (a, c)))]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(out, kinds)), *lists], names=names)
 
     names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "a", "b"]
     kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
