@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import lm
@@ -151,3 +152,59 @@ def test_training_sees_every_id_once(spark):
         seen.update(r.ids[-new:])
     assert seen == want
     assert sum(sum(r.begins) for r in got) == sum(len(t) + 1 for t in texts)
+
+
+def test_words_are_encoded_together_as_one_by_one():
+    """One call a batch; words that hold Unicode spaces or marks keep their own ids."""
+    sub, calls = lm.Subwords(), []
+    plain = [w.encode() for w in ("the", "'s", "it's", "é1", "12ab", "--", "x" * 3000, "漢字かな", "áb", "🙂🙂", "<|endoftext|>")]
+    for words in (plain, [*plain, "a b".encode(), "　".encode(), "c ".encode(), b"d\x1ce", "\u0085f".encode()], [b"\xff\xfe", b"z"]):
+        ids, lens = sub.encode(words)
+        want = [sub.encoding.encode_ordinary(" " + w.decode("utf-8", "replace")) for w in words]
+        assert lens.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(self.inner, name)
+
+    sub.encoding = Counted(sub.encoding)
+    sub.look_up([b"word%d" % i for i in range(500)])
+    assert len(calls) == 1
+
+
+def test_remembered_words_are_forgotten_whole(monkeypatch):
+    monkeypatch.setattr(lm, "REMEMBERED", 50)
+    sub = lm.Subwords()
+    for at in range(0, 300, 30):
+        words = [b"w%d" % i for i in range(at, at + 40)]
+        for w, place in zip(words, sub.look_up(words)):
+            got = sub.ids[sub.starts[place]:sub.starts[place] + sub.lens[place]]
+            assert got.tolist() == sub.encoding.encode_ordinary(" " + w.decode())
+
+
+def test_cooccurrence_equals_brute_force_and_ids_are_kept_once(spark):
+    rows = [(i, " ".join(f"w{(i * j) % 23} tail{j % 5}" for j in range(i * 11 % 150)) or None) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = lm.train_texts(docs, 7, 2, lm.RANKS).cache()
+    windows = [r.ids for r in lm.train_windows(docs, 7, 2, lm.RANKS).collect()]
+    landmarks = np.array([i for i, _ in Counter(i for w in windows for i in w).most_common(20)])
+    got = lm.cooccurrence(texts, landmarks)
+    want = np.zeros_like(got)
+    for w in windows:
+        held = Counter(w)
+        for i in held:
+            want[i] += [held[i] * held[k] for k in landmarks.tolist()]
+    assert (got == want).all()
+    steps = sum(np.frombuffer(r.sizes, np.int64).sum() + len(r.sizes) // 8 for r in texts.collect())
+    assert sum(len(r.ids) for r in texts.collect()) == 2 * steps
+
+
+def test_slices_are_bounded_by_bytes():
+    b = pa.record_batch([pa.array(["x" * 1000] * 50 + ["y" * 90_000] + ["z"] * 50)], names=["text"])
+    got = list(lm.slices(iter([b]), 30, 20_000))
+    assert sum((x.column(0).to_pylist() for x in got), []) == b.column(0).to_pylist()
+    assert all(x.num_rows == 1 or (x.num_rows <= 30 and x.nbytes <= 20_000) for x in got)

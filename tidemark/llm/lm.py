@@ -17,7 +17,8 @@ enter the layer as vectors from their co-occurrence with frequent ids (a Spark j
 A second head copies: with weight ``COPY`` (0.1) it looks at all words of the document
 before, evenly, and gives its weight to the words found there.
 
-Training.  All windows of all training documents are learned from, each in the round that
+Training.  The training documents' ids are stored once, 2 bytes each; every pass cuts its windows
+from them.  All windows of all training documents are learned from, each in the round that
 its hash picks.  Each task makes its own steps from the shared weights; their mean, weighted
 by windows, is the next round's start.
 
@@ -66,10 +67,16 @@ def is_held_out(doc_id: int | None, modulus: int, remainder: int) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % modulus == remainder
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 2048, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of up to ``rows`` rows and about ``size`` bytes (a longer row is a slice by itself)."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        at = 0
+        while at < b.num_rows:
+            n = min(rows, b.num_rows - at)
+            while n > 1 and b.slice(at, n).nbytes > size:
+                n //= 2
+            yield b.slice(at, n)
+            at += n
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -232,7 +239,7 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
 def word_counts(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
     """(word, n) over the training documents; the null word counts the texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 2048):
+        for b in slices(batches, 2048, 64 << 20):
             used = b.filter(pa.array([not is_held_out(d, modulus, remainder) for d in b.column(0).to_pylist()], pa.bool_()))
             codes, _, distinct = split_words(used.column(1))
             yield pa.record_batch([pa.concat_arrays([distinct, pa.nulls(1, pa.binary())]),
@@ -290,7 +297,7 @@ def step_counts(words: DataFrame, path: str) -> DataFrame:
     words, tokens their occurrences."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = Subwords(path)
-        for b in slices(batches, 50_000):
+        for b in slices(batches, 50_000, 64 << 20):
             sub.forget()
             at = sub.look_up(listed(b.column(0)))
             n = np.repeat(b.column(1).to_numpy(), sub.lens[at])
@@ -388,7 +395,8 @@ class Base:
 def train_texts(docs: DataFrame, modulus: int, remainder: int, path: str) -> DataFrame:
     """(ids, sizes, begins, seeds): the training documents as ids, some texts a row, as binary
     arrays (2 bytes an id, 8 a size, a bit a step, 4 a seed); see :meth:`Subwords.texts`.
-    seeds: what a text's windows are hashed with."""
+    seeds: what a text's windows are hashed with.  A row begins about 2 ** 16 ids after the one
+    before: rows of 0.5 MB and more are placed apart in the JVM's heap and swell it."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sub = Subwords(path)
         for b in slices(batches):
@@ -397,11 +405,14 @@ def train_texts(docs: DataFrame, modulus: int, remainder: int, path: str) -> Dat
                 continue
             codes, ends, distinct = split_words(used.column(1))
             ids, sizes, begins = sub.texts(sub.look_up(listed(distinct))[codes], ends)
-            heads = np.cumsum(sizes + 1) - (sizes + 1)
-            seeds = [zlib.crc32(ids[f:f + min(WINDOW, n + 1)].astype(np.int64).tobytes()) for f, n in zip(heads, sizes)]
-            parts = ids.astype(np.uint16), sizes, np.packbits(begins), np.array(seeds, np.uint32)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in parts],
-                                             names=["ids", "sizes", "begins", "seeds"])
+            heads, steps = np.r_[0, np.cumsum(sizes + 1)], np.r_[0, np.cumsum(sizes)]
+            seeds = np.array([zlib.crc32(ids[f:f + min(WINDOW, n + 1)].astype(np.int64).tobytes()) for f, n in zip(heads, sizes)], np.uint32)
+            ids, rows = ids.astype(np.uint16), []
+            cuts = [0, *np.flatnonzero(np.diff(heads[:-1] >> 16)) + 1, len(sizes)]
+            for i, j in zip(cuts, cuts[1:]):
+                parts = ids[heads[i]:heads[j]], sizes[i:j], np.packbits(begins[steps[i]:steps[j]]), seeds[i:j]
+                rows.append([x.tobytes() for x in parts])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*rows)], names=["ids", "sizes", "begins", "seeds"])
 
     return docs.mapInArrow(encode, "ids binary, sizes binary, begins binary, seeds binary")
 
@@ -515,15 +526,12 @@ def vectors_and_classes(counts: np.ndarray, frequency: np.ndarray, starts: np.nd
 # --- the attention layer ----------------------------------------------------------------
 
 SHAPES = {"q": (DIMS, DIMS), "k": (DIMS, DIMS), "v": (DIMS, DIMS), "o": (2 * DIMS + 1, CLASSES)}
-SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
+ENDS = np.cumsum([int(np.prod(x)) for x in SHAPES.values()]).tolist()
+SIZE = ENDS[-1]
 
 
 def unpack(flat: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for name, shape in SHAPES.items():
-        n = int(np.prod(shape))
-        out[name], at = flat[at:at + n].reshape(shape), at + n
-    return out
+    return {name: flat[a:b].reshape(shape) for (name, shape), a, b in zip(SHAPES.items(), [0, *ENDS], ENDS)}
 
 
 #: _CAUSAL[t, s]: 1 where step t may see the id before step s.
@@ -543,95 +551,107 @@ class Layer:
     """One masked attention head over id vectors and the class scores it gives.
 
     ``at`` picks, for every window, the steps that are asked about (padded with any step).
+    ``valid`` marks a window's own steps; None: they come first in each row, so the causal mask
+    hides what pads it.  Queries meet the id vectors x themselves: q k' = own (Wq Wk') x' and a v = (a x) Wv, so no window is
+    projected.  Every vector has a one behind it, whose sum is the softmax's denominator.
     """
 
     def __init__(self, flat: np.ndarray, vectors: np.ndarray, mass: np.ndarray, classes: np.ndarray):
-        self.w, self.vectors, self.mass, self.classes = unpack(flat), vectors, mass, classes
+        self.w, self.mass, self.classes = unpack(flat), mass, classes
+        self.vectors = np.concatenate([vectors, np.ones((len(vectors), 1), vectors.dtype)], 1)
 
-    def attend(self, ids: np.ndarray, valid: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+    def attend(self, ids: np.ndarray, valid: np.ndarray | None, at: np.ndarray) -> dict[str, np.ndarray]:
         """What the steps ``at`` of each window see; ids[:, t] precedes step t."""
         w, x = self.w, np.take(self.vectors, ids, 0)
         n, m = at.shape
-        own = np.take(x.reshape(-1, DIMS), at + ids.shape[1] * np.arange(n)[:, None], 0)
-        q = (own.reshape(-1, DIMS) @ (w["q"] * np.float32(DIMS ** -0.5))).reshape(n, m, DIMS)
-        k, v = ((x.reshape(-1, DIMS) @ w[name]).reshape(x.shape) for name in "kv")
-        a = q @ k.transpose(0, 2, 1)
+        own = np.take(x.reshape(-1, DIMS + 1), at + ids.shape[1] * np.arange(n)[:, None], 0)
+        q = np.zeros((DIMS + 1, DIMS + 1), own.dtype)
+        q[:DIMS, :DIMS] = w["q"] @ w["k"].T * np.float32(DIMS ** -0.5)
+        across = np.ascontiguousarray(x.transpose(0, 2, 1))
+        a = (own.reshape(-1, DIMS + 1) @ q).reshape(n, m, DIMS + 1) @ across
         np.minimum(a, 15, out=a)
         np.exp(a, out=a)
         a *= np.take(_CAUSAL, at, 0)
-        if not valid.all():
+        if valid is not None:
             a *= valid[:, None, :]
-        a *= 1 / (a.sum(2, keepdims=True) + np.float32(1e-9))
-        h = np.ones((n, m, 2 * DIMS + 1), own.dtype)
-        h[..., :DIMS], h[..., DIMS:2 * DIMS] = a @ v, own
-        return {"x": x, "own": own, "q": q, "k": k, "v": v, "a": a, "h": h}
+        c = a @ x
+        z = c[..., DIMS:] + np.float32(1e-9)
+        c = c[..., :DIMS] / z
+        h = np.empty((n, m, 2 * DIMS + 1), own.dtype)
+        np.matmul(c.reshape(-1, DIMS), w["v"], out=h.reshape(-1, 2 * DIMS + 1)[:, :DIMS])
+        h[..., DIMS:] = own
+        return {"x": x, "across": across, "own": own, "a": a, "z": z, "c": c, "h": h}
 
     def classed(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(s, masses times exp(s), their sum) by class for rows of ``h``."""
-        s = np.clip(h @ self.w["o"], -12, 12)
+        """(s, exp(s), the sum of masses times exp(s)) by class for rows of ``h``."""
+        s = h @ self.w["o"]
+        np.clip(s, -12, 12, out=s)
         e = np.exp(s)
-        e *= self.mass
-        return s, e, e.sum(-1)
+        return s, e, e @ self.mass
 
     def gain(self, h: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """log p(target's class) less its base, for rows of ``h``."""
         s, _, z = self.classed(h)
         return s[np.arange(len(s)), self.classes[targets]] - np.log(z)
 
-    def gradient(self, ids: np.ndarray, valid: np.ndarray, at: np.ndarray, targets: np.ndarray, used: np.ndarray
+    def gradient(self, ids: np.ndarray, valid: np.ndarray | None, at: np.ndarray, targets: np.ndarray, used: np.ndarray
                  ) -> np.ndarray:
         """Gradient of the mean negative gain over the ``used`` ones of the steps ``at``."""
         f, w = self.attend(ids, valid, at), self.w
-        a, rows = f["a"], f["h"].reshape(-1, 2 * DIMS + 1)
+        x, c, rows = f["x"], f["c"], f["h"].reshape(-1, 2 * DIMS + 1)
         _, d, z = self.classed(rows)
+        d *= self.mass
         d *= (1 / z)[:, None]
         d[np.arange(len(d)), self.classes[targets].ravel()] -= 1
         d *= (used.ravel() / max(used.sum(), 1)).astype(np.float32)[:, None]
         flat = np.zeros(SIZE, np.float32)
         g = unpack(flat)
         g["o"][:] = rows.T @ d
-        do = (d @ w["o"][:DIMS].T).reshape(f["own"].shape)
-        da = do @ f["v"].transpose(0, 2, 1)
-        da -= (do * f["h"][..., :DIMS]).sum(2, keepdims=True)  # a's mean of da, by way of a @ v
-        da *= a
-        x = f["x"].reshape(-1, DIMS).T
-        g["q"][:] = (f["own"].reshape(-1, DIMS).T @ (da @ f["k"]).reshape(-1, DIMS)) * DIMS ** -0.5
-        g["k"][:] = x @ (da.transpose(0, 2, 1) @ f["q"]).reshape(-1, DIMS)  # q is scaled
-        g["v"][:] = x @ (a.transpose(0, 2, 1) @ do).reshape(-1, DIMS)
+        dh = d @ w["o"][:DIMS].T
+        g["v"][:] = c.reshape(-1, DIMS).T @ dh
+        dc = np.empty_like(f["own"])
+        np.divide((dh @ w["v"].T).reshape(c.shape), f["z"], out=dc[..., :DIMS])
+        dc[..., DIMS] = -np.einsum("nmd,nmd->nm", dc[..., :DIMS], c)  # meets the ones: less the mean over what is seen
+        da = dc @ f["across"]
+        da *= f["a"]
+        both = (f["own"].reshape(-1, DIMS + 1).T @ (da @ x).reshape(-1, DIMS + 1))[:DIMS, :DIMS] * DIMS ** -0.5
+        g["q"][:], g["k"][:] = both @ w["k"], both.T @ w["q"]
         return flat
 
 
 def picked(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(at, used): the wanted columns of each row first, padded to the row that has most."""
     n = wanted.sum(1)
-    used = np.arange(max(1, int(n.max()))) < n[:, None]
+    used = np.arange(max(1, int(n.max(initial=0)))) < n[:, None]
     at = np.zeros(used.shape, np.int64)
     at[used] = np.nonzero(wanted)[1]
     return at, used
 
 
 def padded(batches: Iterator[pa.RecordBatch], nth: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(ids, valid, at, targets, used) of BATCH windows of a round each; the last may have fewer."""
+    """(ids, None, at, targets, used) of BATCH windows of a round each; the last may have fewer."""
+    def batch(ids: np.ndarray, n: np.ndarray, at: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray | None, ...]:
+        most = max(1, int(n.max()))
+        return ids, None, at[:, :most], targets[:, :most], steps[:most] < n[:, None]
+
     kept, steps = [], np.arange(WINDOW)
     for ids, marks, first, low, lens, rounds in windows_of(batches):
         own = np.flatnonzero(rounds == nth)
         valid = steps < lens[own, None]
         place = low[own, None] + np.where(valid, steps, 0)
         wanted = marks[place] & valid & (place >= first[own, None])
-        parts = np.where(valid, ids[place], END), valid, wanted, np.where(valid, ids[place + valid], END)
+        at, used = (np.pad(x, ((0, 0), (0, WINDOW - x.shape[1]))) for x in picked(wanted))
+        targets = np.full(wanted.shape, END)
+        targets[used] = ids[place[wanted] + 1]
+        parts = np.where(valid, ids[place], END), wanted.sum(1), at, targets
         kept = [np.concatenate(x) for x in zip(kept, parts)] if kept else parts
         full = len(kept[0]) // BATCH * BATCH
-        yield from (batch(*(x[at:at + BATCH] for x in kept)) for at in range(0, full, BATCH))
+        yield from (batch(*(x[i:i + BATCH] for x in kept)) for i in range(0, full, BATCH))
         kept = [x[full:] for x in kept]
     if kept and len(kept[0]):
         yield batch(*kept)
 
 
-def batch(ids: np.ndarray, valid: np.ndarray, wanted: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, ...]:
-    at, used = picked(wanted)
-    return ids, valid, at, np.take(targets, at + WINDOW * np.arange(len(ids))[:, None]), used
-
-
 def train(texts: DataFrame, vectors: np.ndarray, mass: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Rounds of local steps in every task, averaged in a shuffle by weight (SIZE rows come back)."""
     sc = texts.sparkSession.sparkContext
@@ -709,28 +729,27 @@ class Scorer:
     def _steps(self, ids: np.ndarray, sizes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """The gains of the wanted steps of all texts; see :meth:`Subwords.texts`."""
         ends = np.cumsum(sizes)
-        before, gains = ends - sizes, np.zeros(len(wanted))
+        before = ends - sizes
         # Step i of all texts together follows id i, plus one for every text before its own.
         windows = -(-sizes // SCORED)
         owner = np.repeat(np.arange(len(sizes)), windows)
         first = before[owner] + SCORED * (np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows))
+        # The wanted steps of a window follow each other: asked[i] of them from nth[i] on.
+        wanted, upto = np.flatnonzero(wanted), np.r_[0, np.cumsum(wanted)]
+        nth, asked = upto[first], upto[np.minimum(first + SCORED, ends[owner])] - upto[first]
+        low = np.maximum(first - CONTEXT, before[owner])
         # Windows that ask about equally many steps go together: little is padded.
-        asked = np.r_[0, np.cumsum(wanted)]
-        order = np.argsort(asked[np.minimum(first + SCORED, ends[owner])] - asked[first], kind="stable")
-        first, owner = first[order], owner[order]
-        for g in range(0, len(first), 128):
-            own = owner[g:g + 128]
-            step = first[g:g + 128, None] - CONTEXT + np.arange(WINDOW)
-            valid = (step >= before[own, None]) & (step < ends[own, None])
-            step = np.where(valid, step, before[own, None])
-            asked = valid & wanted[step]
-            asked[:, :CONTEXT] = False
-            at, used = picked(asked)
-            place = step + own[:, None]
-            h = self.layer.attend(ids[place], valid, at)["h"]
-            gains[np.take_along_axis(step, at, 1)[used]] = self.layer.gain(
-                h[used], ids[np.take_along_axis(place, at, 1)[used] + 1])
-        return gains[wanted]
+        order = np.argsort(asked, kind="stable")
+        gains = np.zeros(len(wanted))
+        for g in range(0, len(order), 128):
+            some = order[g:g + 128]
+            used = np.arange(max(1, int(asked[some[-1]]))) < asked[some, None]
+            step = np.where(used, nth[some, None] + np.arange(used.shape[1]), nth[some, None].clip(max=len(wanted) - 1))
+            place = (low + owner)[some, None]
+            at = np.where(used, wanted[step] - low[some, None], 0)
+            h = self.layer.attend(ids[np.minimum(place + np.arange(WINDOW), len(ids) - 1)], None, at)["h"]
+            gains[step[used]] = self.layer.gain(h[used], ids[(place + at)[used] + 1])
+        return gains
 
 
 _SCORER: list = [None, None]
@@ -787,7 +806,7 @@ def score_documents(docs: DataFrame, modulus: int = 7, remainder: int = 2, path:
         model, nth = shared.value, TaskContext.get().partitionId() << 40
         scorer, shares = scorer_of(shared, path), model.base.words
         end = float(np.log10((shares.texts + 1) / shares.space))
-        for b in slices(batches, 128):
+        for b in slices(batches):
             codes, ends, distinct = split_words(b.column(1))
             places = scorer.sub.look_up(listed(distinct))[codes]
             s, r, a, c = scorer.scored(places, ends)
