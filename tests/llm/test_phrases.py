@@ -102,6 +102,47 @@ def test_counts_of_a_block_come_back(least):
         assert np.array_equal(total, counts + 1) and len(raw) <= phrases.SPAN * (1 if least < 256 else 2)
 
 
+def test_slots_follow_the_text(spark):
+    """Above 2 GB of text a slot held many rare phrases and the last scan sent nearly all of them; more slots
+    were an array of all of them in each task."""
+    text = 10 << 30  # of 6 GB of files
+    assert phrases.slots_for(text) * 32 >= text
+    rows = corpus(40, 5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = phrases.collocations(docs, least=3, slots=phrases.slots_for(text), best=25)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, 3, 4, 25)
+
+
+def test_no_known_slot_is_missed_or_moved():
+    rnd = np.random.default_rng(3)
+    known, slots = phrases.Known(1 << 20), rnd.permutation(1 << 20)[:60_000]
+    seen = np.full(len(slots), phrases.UNSET, np.uint8)
+    for step, part in enumerate(np.array_split(np.arange(len(slots)), 6)):
+        assert known.add(slots[part], step) and not known.add(slots[part], step + 1)
+        now = phrases.Known(1 << 20, known.packed())[slots]
+        assert (now[part] <= step).all() and np.array_equal(now[seen != phrases.UNSET], seen[seen != phrases.UNSET])
+        seen = now
+    known = phrases.Known(1 << 20)
+    assert not known.add(np.array([(1 << 20) - 1]), 0) and known[np.array([(1 << 20) - 1, 5])].tolist() == [0, phrases.UNSET]
+
+
+@pytest.mark.parametrize("least", [30, 300])
+def test_tallies_come_back_from_their_blocks(least):
+    rnd = np.random.default_rng(least)
+    parts = [rnd.integers(0, 1 << 31, 500), np.array([0, 254, 255, 510, 511, phrases.SPAN - 1, phrases.SPAN, (1 << 31) - 1]),
+             rnd.integers(0, 2 * phrases.SPAN, 400_000), np.full(400, 7)]
+    want = Counter(np.concatenate(parts).tolist())
+    tallies = [phrases._tallied([p.astype(np.uint32) for p in half], None, least) for half in (parts[:2], parts[2:])]
+    got, totals = {}, {}
+    for block, raw in phrases._blocks(*phrases._tallied(*map(list, zip(*tallies)), least), least):
+        assert block not in totals
+        phrases._add_to(totals.setdefault(block, np.zeros(phrases.SPAN, np.uint16)), raw, least)
+    for block, total in totals.items():
+        got |= {block * phrases.SPAN + i: n for i, n in zip(np.flatnonzero(total).tolist(), total[total > 0].tolist())}
+    assert got == {slot: min(n, least) for slot, n in want.items()}
+    assert list(phrases._blocks(np.zeros(0, np.uint32), np.zeros(0, np.uint16), least)) == []
+
+
 def test_large_numbers_are_exact(spark):
     """Products beyond 64 bits, and a share that is met exactly."""
     big = 6 * 10 ** 13
