@@ -3,11 +3,13 @@
 import datetime
 import re
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
 
 from tidemark.operators import assets as A
 from tidemark.operators import dims as D
 from tidemark.operators import movements as M
+from tidemark.operators import relational as R
 from tidemark.plans import REGISTRY
 
 SF = "/root/testdata/sf0.001"
@@ -72,3 +74,20 @@ def test_transfers_carry_no_keys_of_their_parties(spark):
 def test_lines_and_sales_of_all_markets_are_made_once(spark):
     plan = executed(spark, lambda: REGISTRY["sales_all_markets"].fn(spark, SF))
     assert "/lineitem.parquet" not in plan and "/orders.parquet" not in plan
+
+
+def test_groups_of_all_markets_are_read_where_they_lie(spark):
+    """Every aggregate and join by group sent the lines once more."""
+    plan = executed(spark, lambda: REGISTRY["sales_all_markets"].fn(spark, SF))
+    assert "Bucketed: true" in plan
+    assert len(re.findall(r"hashpartitioning\(group_id#\d+, \d+\)", plan)) <= 2  # those of unions, which have no part of a bucket
+    assert "hashpartitioning(block_id" not in plan and "hashpartitioning(group_id#" in plan
+
+
+def test_rows_written_in_buckets_come_back(spark):
+    rows = [("a", 1), ("b", 2), (None, 3), ("a", 1), (None, None)]
+    df = R.written_by(R.dealt(spark.createDataFrame(rows, "g string, n long"), "g"), "g", "test-rows")
+    sums = lambda: df.groupBy("g").agg(F.sum("n").alias("n")).join(df, "g", "left_semi")
+    assert "Exchange" not in executed(spark, sums)
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(rows, key=str)
+    assert sorted(map(tuple, sums().collect())) == [("a", 2), ("b", 2)]
