@@ -91,3 +91,26 @@ def test_rows_written_in_buckets_come_back(spark):
     assert "Exchange" not in executed(spark, sums)
     assert sorted(map(tuple, df.collect()), key=str) == sorted(rows, key=str)
     assert sorted(map(tuple, sums().collect())) == [("a", 2), ("b", 2)]
+
+
+def test_holdings_send_short_keys_and_only_closed_ones_for_their_end(spark):
+    """Each join sent all rows with the 32 digits of every key found before."""
+    keys = ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2, "~" * 15, "!" * 15, "~" * 16, "!" * 16, "!", "~", "", "k", "0123456789abcdef" * 2 + "\n", "é" * 8, None]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").select("k", M._short("k").alias("s"))
+    got = df.select("k", M._long("s").alias("back"), F.octet_length("s").alias("n")).collect()
+    assert [r.back for r in got] == keys and [r.n == 16 for r in got] == [True] + [False] * 12
+    held = spark.createDataFrame([("a", n, 1.0, 4 + n % 3, n if n % 2 else None, False, True) for n in range(6)],
+                                 "address string, asset_id long, amount double, created_at long, closed_at long, asset_closed boolean, frozen boolean")
+    accounts = spark.createDataFrame([("a", 5, 4, None)], "address string, raw_amount long, created_at long, closed_at long")
+    blocks = spark.createDataFrame([(f"{n:032x}", n, datetime.datetime(2024, 1, n)) for n in (1, 3, 4, 6)], "dim_block_id string, block_id long, block_timestamp timestamp_ntz")
+    people = spark.createDataFrame([("a", "f" * 32)], "address string, dim_account_id string")
+    things = spark.createDataFrame([(n, f"{n:032x}") for n in range(5)], "asset_id long, dim_asset_id string")
+    make = lambda: M.holdings_fact(held, accounts, people, things, blocks)
+    above = executed(spark, make)
+    above = above[:above.index("hashpartitioning(closed_at")]
+    assert "isnotnull(closed_at" in executed(spark, make).split("hashpartitioning(closed_at")[1] and "hashpartitioning(created_at" in above
+    key = lambda n, ok, other: f"{n:032x}" if n in ok else other
+    assert sorted((r.asset_id, r.amount, r.dim_account_id, r.dim_asset_id, r.dim_block_id__asset_added_at, r.dim_block_id__asset_last_removed,
+                   r.asset_last_removed and r.asset_last_removed.day) for r in make().collect()) == sorted(
+        [(n, 1.0, "f" * 32, key(n, range(5), "-1"), key(4 + n % 3, (4, 6), "-1"), key(n, (1, 3), "-2") if n % 2 else "-2", n if n in (1, 3) else None) for n in range(6)]
+        + [(0, 5e-6, "f" * 32, key(0, [0], ""), key(4, [4], ""), "-2", None)])

@@ -121,16 +121,28 @@ def pool_labels(swaps: DataFrame, assets: DataFrame, native_name: str) -> DataFr
         F.concat("best.program", F.lit(": "), shown("from"), F.lit("-"), shown("to"), F.lit(" pool")).alias("address_name"))
 
 
-def _block_role(df: DataFrame, blocks: DataFrame, column: str, key: str, time: str, missing: str) -> DataFrame:
-    """Key and time of the block in ``column``; ``missing`` for none.  Rows without a block are salted."""
-    # the blocks' side is always 0, but no constant: the optimiser would take one out of the join key
-    zero = F.pmod(F.xxhash64("block_id"), F.lit(1).cast("long"))
-    salt = F.when(F.col(column).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(4096)) + 1).otherwise(F.lit(0))
-    d = blocks.select(F.col("block_id").alias("__b"), F.col("dim_block_id").alias("__id"), F.col("block_timestamp").alias(time),
-                      zero.alias("__none"))
+def _short(key: str) -> Column:
+    """A text key as binary, for rows that are sent on: 16 bytes for 32 lower hex digits, as surrogate keys are; any
+    other text after a mark, and never of 16 bytes.  :func:`_long` is the way back."""
+    mark = F.when(F.octet_length(key) == 15, F.lit("!!")).otherwise(F.lit("~"))
+    return F.when(F.col(key).rlike(r"\A[0-9a-f]{32}\z"), F.unhex(key)).otherwise(F.concat(mark, F.col(key)).cast("binary"))
+
+
+def _long(key: str) -> Column:
+    text = F.expr(f"CAST(substring(`{key}`, CASE WHEN substring(`{key}`, 1, 1) = X'21' THEN 3 ELSE 2 END) AS STRING)")
+    return F.when(F.octet_length(key) == 16, F.lower(F.hex(key))).otherwise(text)
+
+
+def _block_role(df: DataFrame, blocks: DataFrame, column: str, key: str, time: str) -> DataFrame:
+    """Short key and time of the block in ``column``.  Rows without a block are salted."""
+    # 0 for every block, but no constant: the optimiser would take one out of the join key
+    zero = lambda c: F.pmod(F.xxhash64(c), F.lit(1).cast("long"))
+    salt = F.when(F.col(column).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(4096)) + 1).otherwise(zero(column))
+    d = blocks.select(F.col("block_id").alias("__b"), _short("dim_block_id").alias(key), F.col("block_timestamp").alias(time),
+                      zero("block_id").alias("__none"))
     x = df.withColumn("__salt", salt.cast("long"))
     x = x.join(d, (x[column] == d["__b"]) & (x["__salt"] == d["__none"]), "left")
-    return x.withColumn(key, F.coalesce("__id", F.lit(missing))).drop("__b", "__id", "__none", "__salt")
+    return x.drop("__b", "__none", "__salt")
 
 
 def holdings_fact(held: DataFrame, accounts: DataFrame, dim_account: DataFrame, dim_asset: DataFrame, dim_block: DataFrame) -> DataFrame:
@@ -139,17 +151,25 @@ def holdings_fact(held: DataFrame, accounts: DataFrame, dim_account: DataFrame,
     ``held``: address, asset_id, amount, created_at, closed_at, asset_closed, frozen; ``accounts``: address,
     raw_amount of the native coin, created_at, closed_at.  An account, asset or first block that its
     dimension lacks is ``-1``; without a block of removal the role does not apply (``-2``).
+
+    Every join sends the rows anew: those without a block of removal skip its join, keys travel short, and what
+    adds most is joined last.
     """
     coin = accounts.select("address", F.lit(S.NATIVE_ASSET_ID).cast("long").alias("asset_id"), (F.col("raw_amount") / 10.0 ** S.NATIVE_DECIMALS).alias("amount"),
                            "created_at", "closed_at", F.lit(False).alias("asset_closed"), F.lit(False).alias("frozen"))
     x = held.select(coin.columns).unionByName(coin)
-    x = x.join(dim_account.select("address", "dim_account_id"), "address", "left").join(dim_asset.select("asset_id", "dim_asset_id"), "asset_id", "left")
-    x = _block_role(x, dim_block, "created_at", "dim_block_id__asset_added_at", "asset_added_at", UNKNOWN_KEY)
-    x = _block_role(x, dim_block, "closed_at", "dim_block_id__asset_last_removed", "asset_last_removed", NOT_APPLICABLE_KEY)
+    closed = _block_role(x.where("closed_at IS NOT NULL"), dim_block, "closed_at", "__removed", "asset_last_removed")
+    time = dim_block.schema["block_timestamp"].dataType
+    x = closed.unionByName(x.where("closed_at IS NULL").withColumn("__removed", F.lit(None).cast("binary"))
+                           .withColumn("asset_last_removed", F.lit(None).cast(time))).drop("closed_at")
+    x = x.join(dim_asset.select("asset_id", _short("dim_asset_id").alias("__asset")), "asset_id", "left")
+    x = x.join(dim_account.select("address", _short("dim_account_id").alias("__account")), "address", "left")
+    x = _block_role(x, dim_block, "created_at", "__added", "asset_added_at")
+    known = lambda c, missing: F.coalesce(_long(c), F.lit(missing))
     return x.select(
-        S.surrogate_key("address", "asset_id").alias("fact_account_asset_id"), F.coalesce("dim_account_id", F.lit(UNKNOWN_KEY)).alias("dim_account_id"),
-        "address", F.coalesce("dim_asset_id", F.lit(UNKNOWN_KEY)).alias("dim_asset_id"), "asset_id", "amount", "dim_block_id__asset_added_at",
-        "asset_added_at", "dim_block_id__asset_last_removed", "asset_last_removed", "asset_closed", "frozen")
+        S.surrogate_key("address", "asset_id").alias("fact_account_asset_id"), known("__account", UNKNOWN_KEY).alias("dim_account_id"),
+        "address", known("__asset", UNKNOWN_KEY).alias("dim_asset_id"), "asset_id", "amount", known("__added", UNKNOWN_KEY).alias("dim_block_id__asset_added_at"),
+        "asset_added_at", known("__removed", NOT_APPLICABLE_KEY).alias("dim_block_id__asset_last_removed"), "asset_last_removed", "asset_closed", "frozen")
 
 
 def block_fact(blocks: DataFrame, tx: DataFrame, dim_block: DataFrame) -> DataFrame:
