@@ -8,6 +8,7 @@ from pyspark.sql.types import VariantType
 
 from tidemark.operators import assets as A
 from tidemark.operators import dims as D
+from tidemark.operators import ledger as L
 from tidemark.operators import movements as M
 from tidemark.operators import relational as R
 from tidemark.plans import REGISTRY
@@ -114,3 +115,19 @@ def test_holdings_send_short_keys_and_only_closed_ones_for_their_end(spark):
                    r.asset_last_removed and r.asset_last_removed.day) for r in make().collect()) == sorted(
         [(n, 1.0, "f" * 32, key(n, range(5), "-1"), key(4 + n % 3, (4, 6), "-1"), key(n, (1, 3), "-2") if n % 2 else "-2", n if n in (1, 3) else None) for n in range(6)]
         + [(0, 5e-6, "f" * 32, key(0, [0], ""), key(4, [4], ""), "-2", None)])
+
+
+def test_day_sums_are_sent_by_key_once(spark):
+    """Sums of legs, those of known accounts with their openings, and balances were four exchanges."""
+    day = lambda n: datetime.date(2024, 1, n)
+    legs = spark.createDataFrame([("a", datetime.datetime(2024, 1, 3, 5), 2.0), ("a", datetime.datetime(2024, 1, 3, 6), 1.0), ("b", datetime.datetime(2024, 1, 2), 5.0),
+                                  (None, datetime.datetime(2024, 1, 2), 7.0)], "address string, ts timestamp_ntz, amount double")
+    accounts = spark.createDataFrame([("a", day(2)), ("a", day(2)), ("c", day(4)), (None, day(4))], "address string, opened date")
+    make = lambda: L.balance_intervals(legs, "address", None, accounts)
+    plan = executed(spark, make)
+    assert len(re.findall(r"hashpartitioning\(address#\d+, period", plan)) == 2 and len(re.findall(r"hashpartitioning\(address#\d+, \d+\)", plan)) == 2  # one each for keys and for none
+    want = [("a", day(2), day(2), 0.0), ("a", day(3), None, 3.0), ("c", day(4), None, 0.0), (None, day(4), None, 0.0)]
+    assert sorted(map(tuple, make().collect()), key=str) == sorted(want, key=str)
+    dense = L.daily_balance(legs, "address", F.lit(day(4)), None, accounts)
+    assert sorted(map(tuple, dense.collect()), key=str) == sorted(
+        [("a", day(2), 0.0), ("a", day(3), 3.0), ("a", day(4), 3.0), ("c", day(4), 0.0), (None, day(4), 0.0)], key=str)
